@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from objsync.functions._cache import cached_expr
+
 from objsync import config as C
 
 
@@ -22,16 +24,19 @@ def _drop_last(c: Column, n: int) -> Column:
     return F.left(c, F.length(c) - F.lit(n))
 
 
+@cached_expr
 def is_open_2(acl) -> Column:
     """``acl in {"[u'open']", "['open']"}``; null acl is controlled."""
     return F.coalesce(_col(acl).isin(*C.OPEN_ACL_2), F.lit(False))
 
 
+@cached_expr
 def is_open_3(acl) -> Column:
     """``acl in {"[u'open']", "['open']", "*"}``; null acl is controlled."""
     return F.coalesce(_col(acl).isin(*C.OPEN_ACL_3), F.lit(False))
 
 
+@cached_expr
 def aws_bucket(aws_prefix, acl) -> Column:
     """Target AWS bucket of a file from its project's bucket prefix.
 
@@ -52,12 +57,14 @@ def aws_bucket(aws_prefix, acl) -> Column:
     )
 
 
+@cached_expr
 def gs_bucket(gs_prefix, acl) -> Column:
     """Target GS bucket ``prefix-open`` / ``prefix-controlled``."""
     return F.concat(_col(gs_prefix),
                     F.when(is_open_3(acl), F.lit("-open")).otherwise(F.lit("-controlled")))
 
 
+@cached_expr
 def flip_account(bucket) -> Column:
     """P5: the same bucket in the other AWS account; null if no suffix matches."""
     b = _col(bucket)
@@ -69,6 +76,7 @@ def flip_account(bucket) -> Column:
     )
 
 
+@cached_expr
 def aws_reversed_bucket(bucket) -> Column:
     """The bucket of the opposite ACL for an AWS target bucket."""
     b = _col(bucket)
@@ -92,6 +100,7 @@ def aws_reversed_bucket(bucket) -> Column:
     )
 
 
+@cached_expr
 def gs_reversed_bucket(bucket, acl) -> Column:
     """GS bucket of the opposite ACL; tests ``"open"`` as a substring of
     the ACL text (so ``*`` goes to ``-open`` here although P2 calls it open).
@@ -102,6 +111,7 @@ def gs_reversed_bucket(bucket, acl) -> Column:
         .otherwise(F.concat(_drop_last(b, 11), F.lit("-open")))
 
 
+@cached_expr
 def aws_expected_buckets(aws_prefix) -> Column:
     """Array of AWS buckets listed for one project prefix."""
     p = _col(aws_prefix)
@@ -112,12 +122,14 @@ def aws_expected_buckets(aws_prefix) -> Column:
         .otherwise(F.array(F.concat_ws("-", p, open_sfx), F.concat_ws("-", p, ctl_sfx)))
 
 
+@cached_expr
 def gs_expected_buckets(gs_prefix) -> Column:
     """Array of GS buckets listed for one project prefix."""
     p = _col(gs_prefix)
     return F.array(F.concat(p, F.lit("-open")), F.concat(p, F.lit("-controlled")))
 
 
+@cached_expr
 def bucket_project_stem(bucket) -> Column:
     """``b[:-5]`` when ``b`` ends in ``-open`` else ``b[:-11]``."""
     b = _col(bucket)

@@ -195,19 +195,18 @@ def q_augmented_manifest(spark, d):
     return V.augmented_manifest(_validated(spark, d))
 
 
-def _index_text(df: DataFrame) -> DataFrame:
+def _index_text(df: DataFrame, *extra: str) -> DataFrame:
     return df.select("did", F.array_join("urls", "|").alias("urls"),
                      F.array_join(F.sort_array(F.map_keys("urls_metadata")), "|").alias("meta_keys"),
                      F.array_join("acl", "|").alias("acl"), F.array_join("authz", "|").alias("authz"),
-                     F.try_element_at("hashes", F.lit("md5")).alias("md5"), "size")
+                     F.try_element_at("hashes", F.lit("md5")).alias("md5"), "size", *extra)
 
 
 def q_index_merge(spark, d):
     cfg = _cfg()
     rows = _routed(spark, d).withColumn("url", U.provider_url("s3", "target_bucket", "object_key")) \
         .filter(F.col("known_project"))
-    merged = I.merge_index(_index(spark, d), I.index_updates(rows, cfg), cfg)
-    return _index_text(merged).join(merged.select("did", "change"), "did")
+    return _index_text(I.merge_index(_index(spark, d), I.index_updates(rows, cfg), cfg), "change")
 
 
 def _redaction_log(spark, d, dry_run: bool):
@@ -226,7 +225,7 @@ def q_redaction_summary(spark, d):
 
 def q_index_remove_url(spark, d):
     out = I.remove_index_urls(_index(spark, d), RD.index_url_removals(_redaction_log(spark, d, False)))
-    return _index_text(out).join(out.select("did", "updated"), "did")
+    return _index_text(out, "updated")
 
 
 def q_index_delete(spark, d):

@@ -11,6 +11,7 @@ result.
 from __future__ import annotations
 
 import os
+import uuid
 from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
@@ -169,11 +170,25 @@ def _deps(text: str) -> list[str]:
 
 
 class Fixtures:
-    """Lazily built fixture DataFrames for one TESTDATA directory."""
+    """Fixture tables for one TESTDATA directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    Each derived table is computed by Spark once, written as parquet under
+    the session's checkpoint folder (the shared folder of the cluster;
+    a scratch folder only in local tests) and read back like any input
+    table.  With ``materialize=False`` the tables stay lazy views.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, partitions: int | None = None):
+        self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
+        self.partitions = partitions or spark.sparkContext.defaultParallelism
         self._cache: dict[str, DataFrame] = {}
+        self._root = None
+
+    def _folder(self) -> str:
+        if self._root is None:
+            from objsync.session import ensure_checkpoint_dir
+            self._root = os.path.join(ensure_checkpoint_dir(self.spark), f"objsync-fixtures-{uuid.uuid4().hex}")
+        return self._root
 
     def table(self, name: str) -> DataFrame:
         if name in self._cache:
@@ -183,9 +198,18 @@ class Fixtures:
         else:
             text = FIXTURES[name]
             df = self.spark.sql(text, **{d: self.table(d) for d in _deps(text)})
+            if self.materialize:
+                path = os.path.join(self._folder(), name)
+                df.repartition(self.partitions).write.mode("overwrite").parquet(path)
+                df = self.spark.read.parquet(path)
         self._cache[name] = df
         return df
 
+    def prepare(self, *names: str) -> None:
+        """Derive (and write) the given fixtures, or all of them."""
+        for n in names or FIXTURES:
+            self.table(n)
+
     __getitem__ = table
 
 
