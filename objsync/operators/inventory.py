@@ -53,11 +53,30 @@ def missing_buckets(expected: DataFrame, inv: DataFrame) -> DataFrame:
 
 
 def inventory_by_key(inv: DataFrame, dedupe: bool = True, order_col: str = "seq") -> DataFrame:
-    """``key -> objects: map<bucket, struct<size, storage_class>>``."""
-    inv = dedupe_inventory(inv, order_col) if dedupe else normalize_inventory(inv).drop(order_col)
-    return inv.groupBy("key").agg(
-        F.map_from_entries(F.collect_list(F.struct(
-            F.col("bucket"), F.struct(F.col("size"), F.col("storage_class"))))).alias("objects"))
+    """``key -> objects: map<bucket, struct<size, storage_class>>``.
+
+    With an order column the listing is first made unique by last-wins
+    (A9).  Without one, exact repeats are removed by ``collect_set`` (its
+    partial aggregation collapses copies of a hot key map-side) and, should
+    a bucket still list a key twice with different attributes, the
+    smallest entry is kept so the result is deterministic.
+    """
+    inv = normalize_inventory(inv)
+    if dedupe and order_col in inv.columns:
+        inv = last_wins(inv, ["bucket", "key"], order_col).drop(order_col)
+        return inv.groupBy("key").agg(
+            F.map_from_entries(F.collect_list(F.struct(
+                F.col("bucket"), F.struct(F.col("size"), F.col("storage_class"))))).alias("objects"))
+    if order_col in inv.columns:
+        inv = inv.drop(order_col)
+    entries = F.array_sort(F.collect_set(F.struct(F.col("bucket"), F.col("size"), F.col("storage_class"))))
+    empty = F.create_map().cast("map<string,struct<size:bigint,storage_class:string>>")
+    one_per_bucket = F.aggregate(
+        entries, empty,
+        lambda m, e: F.when(F.map_contains_key(m, e["bucket"]), m).otherwise(
+            F.map_concat(m, F.create_map(e["bucket"], F.struct(e["size"].alias("size"),
+                                                               e["storage_class"].alias("storage_class"))))))
+    return inv.groupBy("key").agg(one_per_bucket.alias("objects"))
 
 
 def probe_join(manifest: DataFrame, inv_by_key: DataFrame, key: Column, objects_col: str = "objects") -> DataFrame:
