@@ -41,8 +41,10 @@ def dedupe_inventory(inv: DataFrame, order_col: str = "seq") -> DataFrame:
 
 
 def restrict_to_buckets(inv: DataFrame, buckets: DataFrame) -> DataFrame:
-    """Keep only the listed (expected) buckets; ``buckets`` is small."""
-    return inv.join(F.broadcast(buckets.select("bucket").distinct()), "bucket", "left_semi")
+    """Keep only the listed (expected) buckets.  ``buckets`` is the
+    expected-bucket set (two per project), broadcast as is: a semi join
+    needs no distinct."""
+    return inv.join(F.broadcast(buckets.select("bucket")), "bucket", "left_semi")
 
 
 def missing_buckets(expected: DataFrame, inv: DataFrame) -> DataFrame:

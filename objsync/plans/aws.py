@@ -27,12 +27,14 @@ def route_aws(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> D
 
 def aws_inventory_by_key(inventory: DataFrame, project_map: DataFrame, cfg: PlanConfig,
                          restrict: bool = True) -> DataFrame:
-    """Inventory of the expected AWS buckets (S7), grouped by key."""
-    inv = dedupe_inventory(inventory) if cfg.dedupe_inventory else inventory
+    """Inventory of the expected AWS buckets (S7), grouped by key.  The
+    bucket filter runs before the last-wins dedupe so only listed buckets
+    are shuffled."""
+    inv = inventory
     if restrict:
         exp = expected_buckets(project_map).filter(F.col("provider") == "aws")
         inv = restrict_to_buckets(inv, exp)
-    return inventory_by_key(inv, dedupe=False)
+    return inventory_by_key(inv, dedupe=cfg.dedupe_inventory)
 
 
 def to_copy(manifest: DataFrame, project_map: DataFrame, inventory: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -51,15 +53,15 @@ def copy_totals(to_copy_rows: DataFrame) -> DataFrame:
             .withColumn("total_gib", gib("total_bytes")))
 
 
-def resolve_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str = "line_no") -> DataFrame:
-    """Per row, the first source key that exists among
-    ``id/file_name`` (1), the UUID tail of ``url`` (2) and ``id`` (3), with
-    its storage class.  Adds ``source_key``, ``source_priority``,
-    ``source_storage_class`` (nulls when no candidate exists).
-
-    Candidates are exploded (at most three per row, nulls dropped so no
-    null-key hot spot), inner-joined with the source listing on key, and the
-    best priority per row is kept with ``min_by``.
+def best_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str = "line_no") -> DataFrame:
+    """J6/J7 core: ``(row_id, source_key, source_priority,
+    source_storage_class)`` for the rows that have at least one candidate in
+    the source listing.
+
+    Candidates are exploded (at most three per row, nulls dropped so there
+    is no null-key hot spot), inner-joined with the source listing on key
+    (narrow rows: id, priority, key), and the best priority per row is kept
+    with ``min_by``.
     """
     src = source_inventory
     if "seq" in src.columns:
@@ -77,11 +79,16 @@ def resolve_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: st
             .groupBy(row_id)
             .agg(F.min_by(F.struct(F.col("_ck").alias("k"), F.col("_pri").alias("p"), F.col("_csc").alias("s")),
                           F.col("_pri")).alias("_best")))
-    return (rows.join(best, row_id, "left")
-            .withColumn("source_key", F.col("_best.k"))
-            .withColumn("source_priority", F.col("_best.p"))
-            .withColumn("source_storage_class", F.col("_best.s"))
-            .drop("_best"))
+    return best.select(row_id, F.col("_best.k").alias("source_key"), F.col("_best.p").alias("source_priority"),
+                       F.col("_best.s").alias("source_storage_class"))
+
+
+def resolve_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str = "line_no") -> DataFrame:
+    """``rows`` with ``source_key``, ``source_priority`` and
+    ``source_storage_class`` (nulls when no candidate exists): the first
+    existing key among ``id/file_name`` (1), the UUID tail of ``url`` (2)
+    and ``id`` (3)."""
+    return rows.join(best_source_keys(rows, source_inventory, row_id), row_id, "left")
 
 
 PLAN_COLUMNS = [
@@ -104,45 +111,43 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
     5. otherwise ``ALREADY_COPIED`` (a different size does not re-copy)
 
     ``needs_copy`` is J2 (absent or size differs), the prepare filter.
+
+    One pass: the manifest meets the key-first inventory in one probe join;
+    the source-key resolution depends only on manifest columns, so it runs
+    on a narrow projection of the manifest and is joined back on
+    ``line_no`` (the probe-joined rows are never recomputed).
     """
     m = route_aws(manifest, project_map, cfg)
     bl = bounded_broadcast(buckets.select("bucket").distinct().withColumn("_bx", F.lit(True)),
                            cfg.broadcast_max_rows)
     m = (m.join(bl, m["target_bucket"] == bl["bucket"], "left").drop("bucket")
-          .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx")
-          .withColumn("reversed_bucket", R.aws_reversed_bucket("target_bucket")))
+          .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))
     m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"))
-    m = m.withColumn("needs_copy", ~listed("objects", "target_bucket")
-                     | (listed_size("objects", "target_bucket") != F.col("size")))
-    pre = (F.when(~F.col("known_project"), F.lit("REJECT"))
-           .when(~F.col("bucket_exists"), F.lit("REJECT"))
-           .when(listed("objects", "reversed_bucket"), F.lit("MOVE"))
-           .when(~listed("objects", "target_bucket"), F.lit("SOURCE"))
-           .otherwise(F.lit("ALREADY_COPIED")))
-    m = m.withColumn("action", pre).drop("objects")
-
-    done = (m.filter(F.col("action") != "SOURCE")
-            .withColumn("source_key", F.lit(None).cast("string"))
-            .withColumn("source_priority", F.lit(None).cast("int"))
-            .withColumn("storage_class", F.lit(None).cast("string"))
-            .withColumn("copy_method", F.when(F.col("action") == "MOVE", F.lit("AWS")))
-            .withColumn("in_summary", F.col("action") == "MOVE")
-            .withColumn("reject_reason",
-                        F.when(~F.col("known_project"), F.lit("unknown_project"))
-                        .when(~F.col("bucket_exists"), F.lit("no_bucket"))))
-
-    need = resolve_source_keys(m.filter(F.col("action") == "SOURCE"), source_inventory)
-    sc = F.coalesce(F.col("source_storage_class"), F.lit(C.DEFAULT_STORAGE_CLASS))
-    cold = sc.isin(*C.COLD_STORAGE_CLASSES)
+    best = best_source_keys(manifest.select("line_no", "id", "file_name", "url"), source_inventory)
+    m = m.join(best, "line_no", "left")
+    present = listed("objects", "target_bucket")
+    moved = listed("objects", R.aws_reversed_bucket("target_bucket"))
     found = F.col("source_key").isNotNull()
-    need = (need
-            .withColumn("storage_class", F.when(found, sc))
-            .withColumn("action", F.when(~found | cold, F.lit("STREAM")).otherwise(F.lit("COPY")))
-            .withColumn("copy_method", F.when(~found | cold, F.lit("GDCAPI")).otherwise(F.lit("AWS")))
-            .withColumn("in_summary", found)
-            .withColumn("reject_reason", F.lit(None).cast("string"))
-            .drop("source_storage_class"))
-    return done.select(*PLAN_COLUMNS).unionByName(need.select(*PLAN_COLUMNS))
+    sc = F.coalesce(F.col("source_storage_class"), F.lit(C.DEFAULT_STORAGE_CLASS))
+    stream = ~found | sc.isin(*C.COLD_STORAGE_CLASSES)
+    action = (F.when(~F.col("known_project") | ~F.col("bucket_exists"), F.lit("REJECT"))
+              .when(moved, F.lit("MOVE"))
+              .when(present, F.lit("ALREADY_COPIED"))
+              .when(stream, F.lit("STREAM"))
+              .otherwise(F.lit("COPY")))
+    sourced = F.col("action").isin("STREAM", "COPY")
+    return m.withColumn("action", action).select(
+        "line_no", "id", "file_name", "size", "md5", "acl", "project_id", "target_bucket", "object_key",
+        F.when(sourced, F.col("source_key")).alias("source_key"),
+        F.when(sourced, F.col("source_priority")).alias("source_priority"),
+        F.when(sourced & found, sc).alias("storage_class"),
+        "action",
+        F.when(F.col("action") == "MOVE", F.lit("AWS")).when(F.col("action") == "COPY", F.lit("AWS"))
+        .when(F.col("action") == "STREAM", F.lit("GDCAPI")).alias("copy_method"),
+        (F.col("action").isin("MOVE", "COPY") | ((F.col("action") == "STREAM") & found)).alias("in_summary"),
+        (~present | (listed_size("objects", "target_bucket") != F.col("size"))).alias("needs_copy"),
+        F.when(~F.col("known_project"), F.lit("unknown_project"))
+        .when(~F.col("bucket_exists"), F.lit("no_bucket")).alias("reject_reason"))
 
 
 SUMMARY_CATEGORIES = ("GDCAPI", "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "GDCAPI_NOT_COUNTED")

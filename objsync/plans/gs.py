@@ -40,11 +40,11 @@ def attach_ignored(manifest: DataFrame, ignored_objs: DataFrame) -> DataFrame:
 
 
 def gs_inventory_by_key(gs_inventory: DataFrame, project_map: DataFrame | None, cfg: PlanConfig) -> DataFrame:
-    inv = dedupe_inventory(gs_inventory) if cfg.dedupe_inventory else gs_inventory
+    inv = gs_inventory
     if project_map is not None:
         exp = expected_buckets(project_map).filter(F.col("provider") == "gs")
         inv = restrict_to_buckets(inv, exp)
-    return inventory_by_key(inv, dedupe=False)
+    return inventory_by_key(inv, dedupe=cfg.dedupe_inventory)
 
 
 def pipeline_manifest(manifest: DataFrame, project_map: DataFrame, gs_inventory: DataFrame,

@@ -42,10 +42,13 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
         raise ValueError("platform must be AWS, GS or ALL")
     m = manifest if "manifest_no" in manifest.columns else manifest.withColumn("manifest_no", F.lit(0))
     m = attach_projects(m, project_map, cfg)
+    # both id-keyed joins first: the second reuses the first one's partitioning
     idx = index_urls.select(F.col("did").alias("_did"), F.col("urls").alias("_urls"))
     m = (m.join(idx, m["id"] == idx["_did"], "left").drop("_did")
           .withColumn("indexd_urls", F.coalesce(F.col("_urls"), F.array().cast("array<string>"))).drop("_urls")
           .withColumn("no_index", F.size("indexd_urls") == 0))
+    if _gs(platform):
+        m = attach_ignored(m, ignored_objs)
     nonzero = F.col("size") != 0
     known = F.col("known_project")
     if _aws(platform):
@@ -69,7 +72,6 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
               .withColumn("aws_url", F.lit(None).cast("string")))
     if _gs(platform):
         m = m.withColumn("gs_bucket", R.gs_bucket("gs_bucket_prefix", "acl"))
-        m = attach_ignored(m, ignored_objs)
         key = F.when(F.col("is_ignored"), F.coalesce(F.col("structured_key"), F.lit("None"))) \
             .otherwise(U.object_key("id", U.safe_name("file_name")))
         m = m.withColumn("_gs_key", key)

@@ -171,7 +171,7 @@ def _index(spark, d):
 def _validated(spark, d):
     f = fx(spark, d)
     return V.validate_rows(f["f_manifest"], f["f_project_map"], I.index_url_map(_index(spark, d)),
-                           dedupe_inventory(f["f_inventory_raw"]), f["f_gs_inventory"], _ignored(spark, d),
+                           f["f_inventory_raw"], f["f_gs_inventory"], _ignored(spark, d),
                            _cfg(platform="ALL"))
 
 
@@ -211,7 +211,7 @@ def q_index_merge(spark, d):
 
 def _redaction_log(spark, d, dry_run: bool):
     f = fx(spark, d)
-    return RD.redaction_plan(f["f_manifest"], f["f_project_map"], dedupe_inventory(f["f_inventory_raw"]),
+    return RD.redaction_plan(f["f_manifest"], f["f_project_map"], f["f_inventory_raw"],
                              f["f_gs_inventory"], _ignored(spark, d), _cfg(dry_run=dry_run, redact_scope="all"))
 
 
@@ -240,7 +240,7 @@ def q_index_missing(spark, d):
 
 def q_indexing_status(spark, d):
     f = fx(spark, d)
-    return I.indexing_status(f["f_manifest"], f["f_project_map"], dedupe_inventory(f["f_inventory_raw"]), _cfg())
+    return I.indexing_status(f["f_manifest"], f["f_project_map"], f["f_inventory_raw"], _cfg())
 
 
 def q_md5_hex(spark, d):
