@@ -32,11 +32,29 @@ def union_last_wins(frames: Sequence[DataFrame], keys: Sequence[str], order_col:
     return last_wins(out, keys, order_col).drop(order_col)
 
 
+_ROW_BOUNDS: dict[tuple[str, int, int], int] = {}
+
+
+def bounded_count(df: DataFrame, max_rows: int) -> int:
+    """``min(count(df), max_rows + 1)``, computed with a ``limit`` job.
+
+    The answer is kept per application and semantic plan hash: the same
+    logical input (same files, same filters) is counted once even when
+    several plans are built over it.
+    """
+    sc = df.sparkSession.sparkContext
+    key = (sc.applicationId, df.semanticHash(), max_rows)
+    if key not in _ROW_BOUNDS:
+        if len(_ROW_BOUNDS) > 10_000:
+            _ROW_BOUNDS.clear()
+        _ROW_BOUNDS[key] = df.limit(max_rows + 1).count()
+    return _ROW_BOUNDS[key]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast hint only after a bounded count proved ``df`` holds at most
     ``max_rows`` rows; otherwise return it unhinted (shuffle join)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
 
 
 def with_line_no(df: DataFrame, col: str = "line_no", block_cols: Sequence[str] | None = None,

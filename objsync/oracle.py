@@ -539,3 +539,31 @@ select cast(floor(line_no / 100) as bigint) as chunk_id, count(*) as n_files,
    and g.key = r.id || '/' || r.file_name)) as complete
 from r group by 1
 """)
+
+ORACLE["received_bytes"] = _q(w("f_manifest"), f"""
+select id, cast(sum(least(s + {_CH - 1}, size - 1) - s + 1) as bigint) as received_size
+from (select id, size, unnest(generate_series(0, size - 1, {_CH})) as s from f_manifest where size > 0) t
+group by id
+""")
+ORACLE["gs_blob_checks"] = _q(w("f_verify"), """
+select v.doc_id as id, d.doc_id is not null as exists,
+ d.doc_id is not null and coalesce(cast(length(d.text) as bigint) = v.size and md5(d.text) = v.md5, false)
+  as exists_and_match,
+ d.doc_id is not null and coalesce(md5(d.text) <> v.md5, false) as resumable_copy_failed
+from f_verify v left join (select * from documents where doc_id % 17 <> 0) d on d.doc_id = v.doc_id
+""")
+# C3 -> C6: URLs produced by the GS copy plan merged into the index.
+INDEX_MERGE_GS = w(*MAN, "f_buckets", "f_gs_inventory", "f_ignored", "f_index_urls", "f_index_attrs",
+                   extra=[ROUTED, IGNORED, GS_PLAN_CTE.strip(), INDEX]).rstrip() + ",\n" + \
+    INDEX_MERGE[INDEX_MERGE.index("upd as ("):].replace(
+        """upd as (
+ select id as did, 's3://' || target_bucket || '/' || object_key as url, acl_lst, authz_lst, md5, size
+ from r where known_project and target_bucket is not null and (open2 or acl_ok)
+)""", """upd as (
+ select p.id as did, p.index_url as url, r.acl_lst, r.authz_lst, p.md5, p.size
+ from gsplan p join r on r.line_no = p.line_no where p.index_url is not null and (r.open2 or r.acl_ok)
+)""")
+ORACLE["index_merge_gs"] = _q(INDEX_MERGE_GS, """
+select did, array_to_string(urls, '|') as urls, array_to_string(meta_keys, '|') as meta_keys,
+ array_to_string(acl, '|') as acl, array_to_string(authz, '|') as authz, md5, size, change from final
+""")

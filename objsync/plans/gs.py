@@ -14,7 +14,7 @@ from objsync.functions import urls as U
 from objsync.functions.objects import py_bool_text, py_text
 from objsync.operators.inventory import dedupe_inventory, inventory_by_key, listed, probe_join, restrict_to_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import bounded_broadcast, last_wins
+from objsync.operators.relational import bounded_broadcast, bounded_count, last_wins
 
 
 def ignored_objects(ignored: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -76,7 +76,7 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, g
     job's result row assuming every copy succeeds; an invalid ACL fails the
     index update with an internal error.  ``index_url`` is the URL handed to
     the index merge (null when nothing is indexed)."""
-    if check_ignored_nonempty and ignored_objs.limit(1).count() == 0:
+    if check_ignored_nonempty and bounded_count(ignored_objs, 0) == 0:
         raise ValueError("expecting a non-empty ignored-objects table")
     m = attach_projects(manifest, project_map, cfg)
     bl = bounded_broadcast(buckets.select("bucket").distinct().withColumn("_bx", F.lit(True)),

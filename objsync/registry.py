@@ -26,11 +26,13 @@ CHUNK_QUERY_BYTES = 8 * 1024 * 1024  # part size of the chunk_plan query
 SLICE = (1000, 5000)  # rows[start:end] of the row_slice query
 GROUP_ROWS = 100  # rows per task of the group_complete query
 
-_FX: dict[tuple[int, str], Fixtures] = {}
+_FX: dict[tuple[str, str], Fixtures] = {}
 
 
 def fx(spark: SparkSession, sf_dir: str) -> Fixtures:
-    key = (id(spark), sf_dir)
+    """Fixture tables of one TESTDATA directory, derived once per Spark
+    application."""
+    key = (spark.sparkContext.applicationId, os.path.normpath(sf_dir))
     if key not in _FX:
         _FX[key] = Fixtures(spark, sf_dir)
     return _FX[key]
@@ -260,6 +262,27 @@ def q_verify_objects(spark, d):
                                                                 "passed")
 
 
+def q_received_bytes(spark, d):
+    return VF.received_bytes(VF.chunk_plan(fx(spark, d)["f_manifest"], CHUNK_QUERY_BYTES))
+
+
+def q_gs_blob_checks(spark, d):
+    f = fx(spark, d)
+    v = f["f_verify"]
+    expected = v.select(F.col("doc_id").alias("id"), "size", "md5")
+    blobs = f["documents"].filter(F.col("doc_id") % 17 != 0).select(
+        F.col("doc_id").alias("id"), F.length("text").cast("bigint").alias("blob_size"),
+        O.md5_base64(F.md5("text")).alias("md5_base64"))
+    return VF.gs_blob_checks(expected, blobs)
+
+
+def q_index_merge_gs(spark, d):
+    cfg = _cfg()
+    plan = q_copy_plan_gs(spark, d).filter(F.col("index_url").isNotNull())
+    merged = I.merge_index(_index(spark, d), I.index_updates(plan, cfg, url_col="index_url"), cfg)
+    return _index_text(merged, "change")
+
+
 def q_inventory_last_wins(spark, d):
     return dedupe_inventory(fx(spark, d)["f_inventory_raw"])
 
@@ -311,6 +334,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "md5_hex": q_md5_hex,
     "verify_objects": q_verify_objects,
     "inventory_last_wins": q_inventory_last_wins,
+    "received_bytes": q_received_bytes,
+    "gs_blob_checks": q_gs_blob_checks,
+    "index_merge_gs": q_index_merge_gs,
     "row_slice": q_row_slice,
     "group_complete": q_group_complete,
 }
