@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from objsync import sinks
 from objsync.config import PlanConfig
+from objsync.operators.inventory import restrict_to_buckets
 from objsync.operators.projects import expected_buckets
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V
 from objsync.sources import readers as S
@@ -110,8 +111,11 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
     if ignored.limit(1).count() == 0:
         raise ValueError("expecting a non-empty ignored-objects table")
     urls = I.index_url_map(_index(spark, config["index"]))
-    rows = V.validate_rows(manifest, pm, urls, _table(spark, config["inventory"]),
-                           _table(spark, config["gs_inventory"]), ignored, cfg)
+    exp = expected_buckets(pm)
+    # the job lists the expected buckets only
+    aws_inv = restrict_to_buckets(_table(spark, config["inventory"]), exp.filter(F.col("provider") == "aws"))
+    gs_inv = restrict_to_buckets(_table(spark, config["gs_inventory"]), exp.filter(F.col("provider") == "gs"))
+    rows = V.validate_rows(manifest, pm, urls, aws_inv, gs_inv, ignored, cfg)
     rows.write.mode("overwrite").parquet(_out(config, "validated"))
     rows = spark.read.parquet(_out(config, "validated"))
     counts = V.validate_counts(rows)

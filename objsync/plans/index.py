@@ -82,6 +82,38 @@ def index_updates(rows: DataFrame, cfg: PlanConfig, url_col: str = "url") -> Dat
         A.acl_valid("acl").alias("valid"))
 
 
+def _update_runs(up: DataFrame) -> DataFrame:
+    """Per did, the first update of every run of identical updates, as
+    ``ups: array<struct<line_no, url, acl_l, authz_l, md5, size>>`` sorted by
+    line.
+
+    Updates are first reduced by ``(did, signature)`` with a partial
+    aggregate, so copies of one update (a hot did) collapse map-side.  When
+    a did's signatures occupy disjoint line ranges, each signature is one
+    run and the reduced rows are the answer.  Only dids whose signatures
+    interleave go back to their update rows, where a line-ordered ``lag``
+    window finds the run starts.
+    """
+    sig = F.struct("url", "acl_l", "authz_l")
+    stats = up.groupBy("did", sig.alias("sig")).agg(
+        F.min_by(F.struct("line_no", "md5", "size"), F.col("line_no")).alias("first"),
+        F.max("line_no").alias("hi"))
+    w = Window.partitionBy("did").orderBy(F.col("first.line_no"))
+    stats = stats.withColumn("_prev_hi", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    mixed = stats.groupBy("did").agg(F.bool_or(F.coalesce(F.col("_prev_hi") > F.col("first.line_no"),
+                                                          F.lit(False))).alias("_mixed"))
+    simple = stats.join(mixed.filter(~F.col("_mixed")), "did", "left_semi").select(
+        "did", F.col("first.line_no").alias("line_no"), F.col("sig.url").alias("url"),
+        F.col("sig.acl_l").alias("acl_l"), F.col("sig.authz_l").alias("authz_l"),
+        F.col("first.md5").alias("md5"), F.col("first.size").alias("size"))
+    rows = up.join(mixed.filter(F.col("_mixed")), "did", "left_semi")
+    lw = Window.partitionBy("did").orderBy("line_no")
+    rows = rows.withColumn("_prev", F.lag(sig).over(lw)).filter(F.col("_prev").isNull() | (F.col("_prev") != sig))
+    runs = simple.unionByName(rows.select("did", "line_no", "url", "acl_l", "authz_l", "md5", "size"))
+    return runs.groupBy("did").agg(
+        F.sort_array(F.collect_list(F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
+
+
 def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Apply updates to index records; several updates of one did fold
     in ``line_no`` order.  Output: the merged index plus ``change`` in
@@ -93,15 +125,10 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig) -> DataFr
     ``size`` (0 when null), ``urls = [data_api_url + did, url]``.
 
     Consecutive identical updates of a did are no-ops after the first, so
-    they are collapsed (one window over the did's updates, spillable)
-    before the per-did list is collected: the list holds only changes.
+    only the first of each run of identical updates is folded (see
+    ``_update_runs``): the collected per-did list holds only changes.
     """
-    up = updates.filter(F.col("valid") & F.col("url").isNotNull())
-    w = Window.partitionBy("did").orderBy("line_no")
-    sig = F.struct("url", "acl_l", "authz_l")
-    up = up.withColumn("_prev", F.lag(sig).over(w)).filter(F.col("_prev").isNull() | (F.col("_prev") != sig))
-    grouped = up.groupBy("did").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
+    grouped = _update_runs(updates.filter(F.col("valid") & F.col("url").isNotNull()))
     j = index.withColumn("_has_doc", F.lit(True)).join(grouped, "did", "full_outer")
     has_doc = F.coalesce(F.col("_has_doc"), F.lit(False))
     first = F.col("ups")[0]

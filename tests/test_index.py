@@ -201,3 +201,15 @@ def test_delete_and_missing(spark):
     assert [r.did for r in I.delete_index_records(idx, spark.createDataFrame([("a",)], "did string")).collect()] == ["b"]
     man = spark.createDataFrame([(1, "a"), (2, "c")], "line_no bigint, id string")
     assert [r.id for r in I.missing_from_index(man, idx).collect()] == ["c"]
+
+
+def test_merge_hot_record(spark):
+    """A third of the updates repeat one record: same result as one update."""
+    cfg = PlanConfig(data_api_url="https://api/")
+    docs = {"hot": {"urls": ["s3://p-open/hot"], "meta": ["s3://p-open/hot"], "acl": ["*"], "authz": ["/open"]}}
+    idx = _index_df(spark, docs)
+    ups = [(i, "hot" if i % 3 == 0 else f"d{i}", "['phs1']", "m", 5, "s3://p-controlled/x") for i in range(600)]
+    rows = spark.createDataFrame(ups, "line_no bigint, id string, acl string, md5 string, size bigint, url string")
+    got = {r.did: r for r in I.merge_index(idx, I.index_updates(rows, cfg), cfg).collect()}
+    assert got["hot"].urls == ["s3://p-controlled/x"] and got["hot"].acl == ["phs1"] and got["hot"].change == "patched"
+    assert len(got) == 1 + 400 and all(got[f"d{i}"].change == "created" for i in range(1, 600) if i % 3)
