@@ -52,9 +52,14 @@ def pipeline_manifest(manifest: DataFrame, project_map: DataFrame, gs_inventory:
     """J3 + K2: rows whose ``gs_bucket/id/file_name`` (raw name) is not
     listed, projected to the 6-column pipeline manifest with ``_`` for
     spaces in names and spaces removed from ACLs.  Rows of unknown projects
-    are kept (the copy step rejects them)."""
+    are kept (the copy step rejects them).
+
+    The job lists the expected GS buckets only (S8), but every probed bucket
+    (P4) is one of them, so the listing filter cannot change the result and
+    is left out: the inventory subtree is then the same as the copy plan's
+    and its exchange is shared when both run in one plan."""
     m = attach_projects(manifest, project_map, cfg).withColumn("gs_bucket", R.gs_bucket("gs_bucket_prefix", "acl"))
-    m = probe_join(m, gs_inventory_by_key(gs_inventory, project_map, cfg), U.object_key("id", "file_name"))
+    m = probe_join(m, gs_inventory_by_key(gs_inventory, None, cfg), U.object_key("id", "file_name"))
     m = m.filter(~listed("objects", "gs_bucket"))
     return m.select("line_no", "id", U.safe_name("file_name").alias("file_name"), "size", "md5",
                     U.compact_acl("acl").alias("acl"), "project_id")
