@@ -567,3 +567,14 @@ ORACLE["index_merge_gs"] = _q(INDEX_MERGE_GS, """
 select did, array_to_string(urls, '|') as urls, array_to_string(meta_keys, '|') as meta_keys,
  array_to_string(acl, '|') as acl, array_to_string(authz, '|') as authz, md5, size, change from final
 """)
+
+ORACLE["copy_counters"] = _q(AWS_PLAN, """
+select cast(sum(case when action in ('MOVE', 'COPY', 'ALREADY_COPIED') or (action = 'STREAM' and in_summary)
+  then 1 else 0 end) as bigint) as processed_files,
+ cast(sum(case when action in ('MOVE', 'COPY', 'ALREADY_COPIED') or (action = 'STREAM' and in_summary)
+  then size else 0 end) as bigint) as processed_bytes,
+ count(*) as total_files,
+ cast(sum(case when action in ('MOVE', 'COPY', 'ALREADY_COPIED') or (action = 'STREAM' and in_summary)
+  then size else 0 end) as double) / 1073741824.0 as processed_gib
+from plan
+""")

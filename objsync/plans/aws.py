@@ -12,7 +12,7 @@ from objsync.functions import routing as R
 from objsync.functions import urls as U
 from objsync.functions.objects import gib
 from objsync.operators.inventory import (
-    dedupe_inventory, inventory_by_key, listed, listed_size, probe_join, restrict_to_buckets,
+    inventory_by_key, listed, listed_size, probe_join, restrict_to_buckets,
 )
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import bounded_broadcast, last_wins
@@ -150,6 +150,19 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
         .when(~F.col("bucket_exists"), F.lit("no_bucket")).alias("reject_reason"))
 
 
+def copy_counters(plan: DataFrame) -> DataFrame:
+    """A2: the job's progress counters after a run: files processed and
+    their GiB.  Rows that return early (rejected, or streamed without a
+    source key) are not counted; already-copied rows are.  One global
+    two-phase aggregate."""
+    counted = F.col("action").isin("MOVE", "COPY", "ALREADY_COPIED") | \
+        ((F.col("action") == "STREAM") & F.col("in_summary"))
+    out = plan.agg(F.sum(F.when(counted, 1).otherwise(0)).cast("bigint").alias("processed_files"),
+                   F.sum(F.when(counted, F.col("size")).otherwise(0)).cast("bigint").alias("processed_bytes"),
+                   F.count(F.lit(1)).alias("total_files"))
+    return out.withColumn("processed_gib", gib("processed_bytes"))
+
+
 SUMMARY_CATEGORIES = ("GDCAPI", "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "GDCAPI_NOT_COUNTED")
 
 

@@ -12,7 +12,7 @@ from objsync.functions import acl as A
 from objsync.functions import routing as R
 from objsync.functions import urls as U
 from objsync.functions.objects import py_bool_text, py_text
-from objsync.operators.inventory import dedupe_inventory, inventory_by_key, listed, probe_join, restrict_to_buckets
+from objsync.operators.inventory import inventory_by_key, listed, probe_join, restrict_to_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import bounded_broadcast, bounded_count, last_wins
 

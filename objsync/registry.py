@@ -16,7 +16,7 @@ from objsync.functions import acl as A
 from objsync.functions import objects as O
 from objsync.functions import routing as R
 from objsync.functions import urls as U
-from objsync.operators.inventory import dedupe_inventory, missing_buckets, restrict_to_buckets
+from objsync.operators.inventory import dedupe_inventory, missing_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import row_slice, with_line_no
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V, verify as VF
@@ -147,6 +147,10 @@ def q_copy_summary(spark, d):
     return aws.copy_summary(_aws_plan(spark, d))
 
 
+def q_copy_counters(spark, d):
+    return aws.copy_counters(_aws_plan(spark, d))
+
+
 def _ignored(spark, d):
     return gs.ignored_objects(fx(spark, d)["f_ignored"])
 
@@ -318,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_key": q_source_key,
     "copy_plan_aws": q_copy_plan_aws,
     "copy_summary": q_copy_summary,
+    "copy_counters": q_copy_counters,
     "copy_plan_gs": q_copy_plan_gs,
     "format_result": q_format_result,
     "validate_rows": q_validate_rows,
