@@ -126,6 +126,21 @@ def read_listing(spark: SparkSession, root: str) -> DataFrame:
                       "size", F.lit(None).cast("string").alias("storage_class"))
 
 
+def file_digest(spark: SparkSession, root: str) -> DataFrame:
+    """C9 observed side for file-system objects: ``(bucket, key,
+    received_size, content_md5)`` computed from the bytes in executor tasks
+    (``binaryFile`` holds one file per row, so files above 2 GiB cannot be
+    read this way; use the listing's stored md5 for those)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select("path", F.col("length").alias("received_size"), F.md5("content").alias("content_md5")))
+    no_scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    root_path = re.sub(no_scheme, "", root).rstrip("/")
+    rel = F.regexp_replace(F.regexp_replace(F.col("path"), no_scheme, ""), "^" + re.escape(root_path) + "/", "")
+    out = files.select(rel.alias("_rel"), "received_size", "content_md5")
+    return out.select(F.substring_index("_rel", "/", 1).alias("bucket"),
+                      F.expr("substring(_rel, instr(_rel, '/') + 1)").alias("key"), "received_size", "content_md5")
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """An index snapshot (parquet, schema ``INDEX_SCHEMA``)."""
     return spark.read.parquet(path)

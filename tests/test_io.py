@@ -107,6 +107,14 @@ def test_read_listing(spark, tmp):
     assert got == [("bucket-a", "id1/f 1.bam", 3, None), ("bucket-b", "k", 5, None)]
 
 
+def test_file_digest(spark, tmp):
+    import hashlib
+    _write(os.path.join(tmp, "r", "b1", "id", "x.bam"), "hello world")
+    got = S.file_digest(spark, os.path.join(tmp, "r")).collect()
+    assert [(r.bucket, r.key, r.received_size, r.content_md5) for r in got] == \
+        [("b1", "id/x.bam", 11, hashlib.md5(b"hello world").hexdigest())]
+
+
 def test_ignored_last_wins_and_host(spark, tmp):
     p = _write(os.path.join(tmp, "ig.tsv"),
                "gcs_object_size\tgcs_object_time_stamp\tmd5sum\tacl\tgcs_object_url\tgdc_uuid\n"
