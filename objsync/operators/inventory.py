@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from objsync.operators.relational import last_wins
+from objsync.operators.relational import bounded_broadcast, last_wins
 
 INVENTORY_COLUMNS = ("bucket", "key", "size", "storage_class")
 
@@ -40,11 +40,11 @@ def dedupe_inventory(inv: DataFrame, order_col: str = "seq") -> DataFrame:
     return inv
 
 
-def restrict_to_buckets(inv: DataFrame, buckets: DataFrame) -> DataFrame:
+def restrict_to_buckets(inv: DataFrame, buckets: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
     """Keep only the listed (expected) buckets.  ``buckets`` is the
-    expected-bucket set (two per project), broadcast as is: a semi join
-    needs no distinct."""
-    return inv.join(F.broadcast(buckets.select("bucket")), "bucket", "left_semi")
+    expected-bucket set (two per project); it is broadcast after a bounded
+    count (a semi join needs no distinct), otherwise shuffle-joined."""
+    return inv.join(bounded_broadcast(buckets.select("bucket"), max_broadcast_rows), "bucket", "left_semi")
 
 
 def missing_buckets(expected: DataFrame, inv: DataFrame) -> DataFrame:
