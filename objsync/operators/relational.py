@@ -42,8 +42,9 @@ def bounded_count(df: DataFrame, max_rows: int) -> int:
     logical input (same files, same filters) is counted once even when
     several plans are built over it.
     """
-    sc = df.sparkSession.sparkContext
-    key = (sc.applicationId, df.semanticHash(), max_rows)
+    from objsync.session import app_id
+
+    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
     if key not in _ROW_BOUNDS:
         if len(_ROW_BOUNDS) > 10_000:
             _ROW_BOUNDS.clear()

@@ -20,6 +20,7 @@ from objsync.operators.inventory import dedupe_inventory, missing_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import row_slice, with_line_no
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V, verify as VF
+from objsync.session import app_id
 from objsync.sources.fixtures import Fixtures
 
 CHUNK_QUERY_BYTES = 8 * 1024 * 1024  # part size of the chunk_plan query
@@ -32,7 +33,7 @@ _FX: dict[tuple[str, str], Fixtures] = {}
 def fx(spark: SparkSession, sf_dir: str) -> Fixtures:
     """Fixture tables of one TESTDATA directory, derived once per Spark
     application."""
-    key = (spark.sparkContext.applicationId, os.path.normpath(sf_dir))
+    key = (app_id(spark), os.path.normpath(sf_dir))
     if key not in _FX:
         _FX[key] = Fixtures(spark, sf_dir)
     return _FX[key]

@@ -29,12 +29,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def app_id(spark: SparkSession) -> str:
+    """The application id (also without a SparkContext, e.g. Spark Connect)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no JVM context on this client
+        return spark.conf.get("spark.app.id", "app")
+
+
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return default
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster's ``spark.checkpoint.dir``.
 
     Only when the session has none (local tests) a scratch folder is set.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context: use the configured folder or a local scratch one
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="objsync-ckpt-")
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():

@@ -180,7 +180,9 @@ class Fixtures:
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, partitions: int | None = None):
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
-        self.partitions = partitions or spark.sparkContext.defaultParallelism
+        from objsync.session import parallelism
+
+        self.partitions = partitions or parallelism(spark)
         self._cache: dict[str, DataFrame] = {}
         self._root = None
 
