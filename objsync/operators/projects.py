@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from objsync.config import PlanConfig
 from objsync.functions import routing as R
-from objsync.operators.relational import bounded_broadcast
+from objsync.operators.relational import bounded_broadcast, small_distinct
 
 
 def attach_projects(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -30,10 +30,11 @@ def attach_projects(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig
     return out
 
 
-def expected_buckets(project_map: DataFrame) -> DataFrame:
-    """Distinct ``(provider, bucket)`` pairs listed for the map."""
+def expected_buckets(project_map: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Distinct ``(provider, bucket)`` pairs listed for the map
+    (two per project and provider; deduped in one task once proved small)."""
     aws = project_map.select(F.lit("aws").alias("provider"),
                              F.explode(R.aws_expected_buckets("aws_bucket_prefix")).alias("bucket"))
     gs = project_map.select(F.lit("gs").alias("provider"),
                             F.explode(R.gs_expected_buckets("gs_bucket_prefix")).alias("bucket"))
-    return aws.unionByName(gs).distinct()
+    return small_distinct(aws.unionByName(gs), max_rows)

@@ -58,6 +58,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
 
 
+def small_distinct(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df.distinct()`` for a table proved small (bounded count): deduped in
+    one task without an exchange.  A table that is not proved small takes
+    the regular shuffle ``distinct``."""
+    if bounded_count(df, max_rows) <= max_rows:
+        return df.coalesce(1).distinct()
+    return df.distinct()
+
+
 def with_line_no(df: DataFrame, col: str = "line_no", block_cols: Sequence[str] | None = None,
                  pos_col: str | None = None, max_broadcast_blocks: int = 1_000_000) -> DataFrame:
     """0-based position of each row in input order, without a

@@ -15,7 +15,7 @@ from objsync.operators.inventory import (
     inventory_by_key, listed, listed_size, probe_join, restrict_to_buckets,
 )
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import bounded_broadcast, last_wins
+from objsync.operators.relational import bounded_broadcast, small_distinct, last_wins
 
 
 def route_aws(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -118,8 +118,8 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
     ``line_no`` (the probe-joined rows are never recomputed).
     """
     m = route_aws(manifest, project_map, cfg)
-    bl = bounded_broadcast(buckets.select("bucket").distinct().withColumn("_bx", F.lit(True)),
-                           cfg.broadcast_max_rows)
+    bl = bounded_broadcast(small_distinct(buckets.select("bucket"), cfg.broadcast_max_rows)
+                           .withColumn("_bx", F.lit(True)), cfg.broadcast_max_rows)
     m = (m.join(bl, m["target_bucket"] == bl["bucket"], "left").drop("bucket")
           .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))
     m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"))

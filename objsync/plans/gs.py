@@ -14,7 +14,7 @@ from objsync.functions import urls as U
 from objsync.functions.objects import py_bool_text, py_text
 from objsync.operators.inventory import inventory_by_key, listed, probe_join, restrict_to_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import bounded_broadcast, bounded_count, last_wins
+from objsync.operators.relational import bounded_broadcast, small_distinct, bounded_count, last_wins
 
 
 def ignored_objects(ignored: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -84,8 +84,8 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, g
     if check_ignored_nonempty and bounded_count(ignored_objs, 0) == 0:
         raise ValueError("expecting a non-empty ignored-objects table")
     m = attach_projects(manifest, project_map, cfg)
-    bl = bounded_broadcast(buckets.select("bucket").distinct().withColumn("_bx", F.lit(True)),
-                           cfg.broadcast_max_rows)
+    bl = bounded_broadcast(small_distinct(buckets.select("bucket"), cfg.broadcast_max_rows)
+                           .withColumn("_bx", F.lit(True)), cfg.broadcast_max_rows)
     m = m.withColumn("gs_bucket", R.gs_bucket("gs_bucket_prefix", "acl"))
     m = (m.join(bl, m["gs_bucket"] == bl["bucket"], "left").drop("bucket")
           .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))
