@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from objsync.config import PlanConfig
 from objsync.functions import routing as R
-from objsync.operators.relational import bounded_broadcast, small_distinct
+from objsync.operators.relational import bounded_broadcast, bounded_count, small_distinct
 
 
 def attach_projects(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -17,8 +17,11 @@ def attach_projects(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig
     With ``cfg.on_unknown_project == 'fail'`` a row whose project is not in
     the map aborts the job, as the prepare and validate steps do.
     """
-    pm = project_map.select("project_id", "aws_bucket_prefix", "gs_bucket_prefix") \
-        .withColumn("_pm", F.lit(True))
+    pm = project_map.select("project_id", "aws_bucket_prefix", "gs_bucket_prefix")
+    if bounded_count(pm, cfg.broadcast_max_rows) <= cfg.broadcast_max_rows:
+        pm = pm.coalesce(1)  # proved small: dedupe in one task, no exchange
+    # one entry per project, so the join never multiplies manifest rows
+    pm = pm.dropDuplicates(["project_id"]).withColumn("_pm", F.lit(True))
     out = manifest.join(bounded_broadcast(pm, cfg.broadcast_max_rows), "project_id", "left") \
         .withColumn("known_project", F.col("_pm").isNotNull()).drop("_pm")
     if cfg.on_unknown_project == "fail":

@@ -66,6 +66,10 @@ def best_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str =
     src = source_inventory
     if "seq" in src.columns:
         src = last_wins(src.select("key", "storage_class", "seq"), ["key"], "seq")
+    else:
+        # one row per key, so a repeated key never multiplies candidates; the
+        # aggregate's partitioning on key is the join's, no extra exchange
+        src = src.select("key", "storage_class").dropDuplicates(["key"])
     src = src.select(F.col("key").alias("_ck"), F.col("storage_class").alias("_csc"))
     cands = rows.select(
         F.col(row_id),

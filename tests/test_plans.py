@@ -207,3 +207,14 @@ def test_manifest_stream_equals_batch(spark):
                          PlanConfig())
     cols = ["line_no", "id", "action", "source_key", "reject_reason"]
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
+
+
+def test_hot_source_key_does_not_multiply(spark):
+    # one source key repeated 300 times and a duplicated project-map entry
+    man = [(i, "a", "f.bam", 5, "m", "['open']", "TCGA", None) for i in range(20)]
+    src = [("a/f.bam", 5, "STANDARD")] * 300
+    pm = spark.createDataFrame(PM + [PM[0]], PM_SCHEMA)
+    b = spark.createDataFrame([("tcga-2-open",)], "bucket string")
+    plan = aws.copy_plan(spark.createDataFrame(man, MAN_SCHEMA), pm, b, spark.createDataFrame([], INV_SCHEMA),
+                         spark.createDataFrame(src, SRC_SCHEMA), PlanConfig()).collect()
+    assert len(plan) == 20 and all(r.action == "COPY" and r.source_key == "a/f.bam" for r in plan)
