@@ -6,6 +6,7 @@ that both engines hash them alike."""
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +29,17 @@ SLICE = (1000, 5000)  # rows[start:end] of the row_slice query
 GROUP_ROWS = 100  # rows per task of the group_complete query
 
 _FX: dict[tuple[str, str], Fixtures] = {}
+_FX_LOCK = threading.Lock()
 
 
 def fx(spark: SparkSession, sf_dir: str) -> Fixtures:
     """Fixture tables of one TESTDATA directory, derived once per Spark
     application."""
     key = (app_id(spark), os.path.normpath(sf_dir))
-    if key not in _FX:
-        _FX[key] = Fixtures(spark, sf_dir)
-    return _FX[key]
+    with _FX_LOCK:
+        if key not in _FX:
+            _FX[key] = Fixtures(spark, sf_dir)
+        return _FX[key]
 
 
 def _cfg(**kw) -> PlanConfig:

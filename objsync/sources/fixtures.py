@@ -11,6 +11,7 @@ result.
 from __future__ import annotations
 
 import os
+import threading
 import uuid
 from collections import OrderedDict
 
@@ -185,6 +186,7 @@ class Fixtures:
         self.partitions = partitions or parallelism(spark)
         self._cache: dict[str, DataFrame] = {}
         self._root = None
+        self._lock = threading.RLock()  # fixtures derive from each other
 
     def _folder(self) -> str:
         if self._root is None:
@@ -193,6 +195,10 @@ class Fixtures:
         return self._root
 
     def table(self, name: str) -> DataFrame:
+        with self._lock:
+            return self._table(name)
+
+    def _table(self, name: str) -> DataFrame:
         if name in self._cache:
             return self._cache[name]
         if name in BASE_TABLES:
