@@ -114,7 +114,7 @@ def _update_runs(up: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
 
 
-def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig) -> DataFrame:
+def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_only: bool = False) -> DataFrame:
     """Apply updates to index records; several updates of one did fold
     in ``line_no`` order.  Output: the merged index plus ``change`` in
     ``created | patched | unchanged | untouched``.
@@ -127,9 +127,17 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig) -> DataFr
     Consecutive identical updates of a did are no-ops after the first, so
     only the first of each run of identical updates is folded (see
     ``_update_runs``): the collected per-did list holds only changes.
+
+    ``changes_only=True`` returns only the records that have updates (no
+    ``untouched`` rows): the index is then the non-preserved side of a left
+    join, which lets Spark's runtime Bloom filter prune the index scan when
+    the update set is selective, instead of rewriting the whole index.
     """
     grouped = _update_runs(updates.filter(F.col("valid") & F.col("url").isNotNull()))
-    j = index.withColumn("_has_doc", F.lit(True)).join(grouped, "did", "full_outer")
+    if changes_only:
+        j = grouped.join(index.withColumn("_has_doc", F.lit(True)), "did", "left")
+    else:
+        j = index.withColumn("_has_doc", F.lit(True)).join(grouped, "did", "full_outer")
     has_doc = F.coalesce(F.col("_has_doc"), F.lit(False))
     first = F.col("ups")[0]
     state0 = F.when(has_doc, F.struct(F.col("urls").alias("urls"), F.array().cast("array<string>").alias("removed"),

@@ -213,3 +213,18 @@ def test_merge_hot_record(spark):
     got = {r.did: r for r in I.merge_index(idx, I.index_updates(rows, cfg), cfg).collect()}
     assert got["hot"].urls == ["s3://p-controlled/x"] and got["hot"].acl == ["phs1"] and got["hot"].change == "patched"
     assert len(got) == 1 + 400 and all(got[f"d{i}"].change == "created" for i in range(1, 600) if i % 3)
+
+
+def test_merge_changes_only(spark):
+    cfg = PlanConfig(data_api_url="https://api/")
+    docs = {"a": {"urls": ["s3://p-open/a"], "meta": ["s3://p-open/a"], "acl": ["*"], "authz": ["/open"]},
+            "b": {"urls": ["s3://p-open/b"], "meta": ["s3://p-open/b"], "acl": ["*"], "authz": ["/open"]}}
+    idx = _index_df(spark, docs)
+    rows = spark.createDataFrame([(1, "a", "['phs1']", "m", 5, "s3://p-controlled/a"), (2, "c", "['open']", "m", 5,
+                                                                                        "s3://p-open/c")],
+                                 "line_no bigint, id string, acl string, md5 string, size bigint, url string")
+    full = {r.did: r for r in I.merge_index(idx, I.index_updates(rows, cfg), cfg).collect()}
+    delta = {r.did: r for r in I.merge_index(idx, I.index_updates(rows, cfg), cfg, changes_only=True).collect()}
+    assert set(full) == {"a", "b", "c"} and set(delta) == {"a", "c"}
+    for d in delta:
+        assert delta[d] == full[d]
