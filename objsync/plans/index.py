@@ -128,6 +128,10 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     only the first of each run of identical updates is folded (see
     ``_update_runs``): the collected per-did list holds only changes.
 
+    ``updates`` is read twice (signature statistics, and the rows of records
+    with interleaved updates): materialize it first when it comes from an
+    expensive plan (the jobs write their plans; ``checkpoint()`` works too).
+
     ``changes_only=True`` returns only the records that have updates (no
     ``untouched`` rows): the index is then the non-preserved side of a left
     join, which lets Spark's runtime Bloom filter prune the index scan when

@@ -21,7 +21,7 @@ from objsync.operators.inventory import dedupe_inventory, missing_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import row_slice, with_line_no
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V, verify as VF
-from objsync.session import app_id
+from objsync.session import app_id, ensure_checkpoint_dir
 from objsync.sources.fixtures import Fixtures
 
 CHUNK_QUERY_BYTES = 8 * 1024 * 1024  # part size of the chunk_plan query
@@ -287,7 +287,11 @@ def q_gs_blob_checks(spark, d):
 def q_index_merge_gs(spark, d):
     cfg = _cfg()
     plan = q_copy_plan_gs(spark, d).filter(F.col("index_url").isNotNull())
-    merged = I.merge_index(_index(spark, d), I.index_updates(plan, cfg, url_col="index_url"), cfg)
+    # the merge reads its updates twice: cut the copy plan's lineage once
+    # (reliable checkpoint in the session's checkpoint folder)
+    ensure_checkpoint_dir(spark)
+    updates = I.index_updates(plan, cfg, url_col="index_url").checkpoint(eager=True)
+    merged = I.merge_index(_index(spark, d), updates, cfg)
     return _index_text(merged, "change")
 
 
