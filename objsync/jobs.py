@@ -19,6 +19,7 @@ from objsync import sinks
 from objsync.config import PlanConfig
 from objsync.operators.inventory import restrict_to_buckets
 from objsync.operators.projects import expected_buckets
+from objsync.operators.relational import bounded_count
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V
 from objsync.sources import readers as S
 
@@ -108,7 +109,7 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
         manifest = manifest.unionByName(f, allowMissingColumns=True)
     pm = S.read_project_map(spark, config["project_map"])
     ignored = gs.ignored_objects(S.read_ignored(spark, config["ignored"]), order_col="line_no")
-    if ignored.limit(1).count() == 0:
+    if bounded_count(ignored, 0) == 0:
         raise ValueError("expecting a non-empty ignored-objects table")
     urls = I.index_url_map(_index(spark, config["index"]))
     exp = expected_buckets(pm)

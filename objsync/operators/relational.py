@@ -89,11 +89,39 @@ def with_line_no(df: DataFrame, col: str = "line_no", block_cols: Sequence[str]
     blocks = blocks.withColumn(
         "_off", F.sum("_n").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
     blocks = blocks.select("_blk", "_m0", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
-    blocks = bounded_broadcast(blocks, max_broadcast_blocks)
+    if _split_bound(df) <= max_broadcast_blocks:
+        blocks = F.broadcast(blocks)  # one row per split: bounded without running a job
+    else:
+        blocks = bounded_broadcast(blocks, max_broadcast_blocks)
     out = d.join(blocks, "_blk").withColumn(col, F.col("_off") + F.col("_mid") - F.col("_m0"))
     return out.drop("_mid", "_blk", "_m0", "_off")
 
 
+def _split_bound(df: DataFrame) -> int:
+    """Upper bound on the number of input splits of ``df``, from planning
+    only (no job): a scan partition packs splits of at least
+    ``openCostInBytes`` up to ``maxPartitionBytes``."""
+    conf = df.sparkSession.conf
+    try:
+        max_bytes = _bytes(conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+        open_cost = max(_bytes(conf.get("spark.sql.files.openCostInBytes", "4m")), 1)
+        return df.rdd.getNumPartitions() * (max_bytes // open_cost + 1)
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): no static bound
+        return 1 << 62
+
+
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb", "b"):
+        if v.endswith(suffix):
+            v = v[: -len(suffix)] if suffix == "b" else v[: -len(suffix)] + suffix[0]
+            break
+    if v and v[-1] in units:
+        return int(float(v[:-1]) * units[v[-1]])
+    return int(v)
+
+
 def row_slice(df: DataFrame, start: int | None = None, end: int | None = None, col: str = "line_no") -> DataFrame:
     """``rows[start:end]`` by position; falsy start is 0, falsy end is
     the end.  Negative positions are rejected."""
