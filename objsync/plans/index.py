@@ -82,34 +82,35 @@ def index_updates(rows: DataFrame, cfg: PlanConfig, url_col: str = "url") -> Dat
         A.acl_valid("acl").alias("valid"))
 
 
-def _update_runs(up: DataFrame) -> DataFrame:
+def _update_runs(up: DataFrame, namespace: str = "") -> DataFrame:
     """Per did, the first update of every run of identical updates, as
     ``ups: array<struct<line_no, url, acl_l, authz_l, md5, size>>`` sorted by
     line.
 
-    Updates are first reduced by ``(did, signature)`` with a partial
-    aggregate, so copies of one update (a hot did) collapse map-side.  When
-    a did's signatures occupy disjoint line ranges, each signature is one
-    run and the reduced rows are the answer.  Only dids whose signatures
-    interleave go back to their update rows, where a line-ordered ``lag``
-    window finds the run starts.
+    Updates are first reduced by ``(did, url, acl, md5, size)`` text with
+    fixed-width ``min``/``max`` of the line (a hash aggregate with partial
+    aggregation), so copies of one update (a hot did) collapse map-side.
+    Two ACL texts that parse alike only add a run boundary, which the fold
+    treats as a no-op.  When a did's signatures occupy disjoint line ranges,
+    each signature is one run; only dids whose signatures interleave go
+    back to their update rows, where a line-ordered ``lag`` window finds the
+    run starts.
     """
-    sig = F.struct("url", "acl_l", "authz_l")
-    stats = up.groupBy("did", sig.alias("sig")).agg(
-        F.min_by(F.struct("line_no", "md5", "size"), F.col("line_no")).alias("first"),
-        F.max("line_no").alias("hi"))
-    w = Window.partitionBy("did").orderBy(F.col("first.line_no"))
+    keys = ["url", "acl", "md5", "size"]
+    stats = up.groupBy("did", *keys).agg(F.min("line_no").alias("lo"), F.max("line_no").alias("hi"))
+    w = Window.partitionBy("did").orderBy("lo")
     stats = stats.withColumn("_prev_hi", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    mixed = stats.groupBy("did").agg(F.bool_or(F.coalesce(F.col("_prev_hi") > F.col("first.line_no"),
-                                                          F.lit(False))).alias("_mixed"))
-    simple = stats.join(mixed.filter(~F.col("_mixed")), "did", "left_semi").select(
-        "did", F.col("first.line_no").alias("line_no"), F.col("sig.url").alias("url"),
-        F.col("sig.acl_l").alias("acl_l"), F.col("sig.authz_l").alias("authz_l"),
-        F.col("first.md5").alias("md5"), F.col("first.size").alias("size"))
+    mixed = stats.groupBy("did").agg(F.bool_or(F.coalesce(F.col("_prev_hi") > F.col("lo"), F.lit(False)))
+                                     .alias("_mixed"))
+    simple = stats.join(mixed.filter(~F.col("_mixed")), "did", "left_semi") \
+        .select("did", F.col("lo").alias("line_no"), *keys)
     rows = up.join(mixed.filter(F.col("_mixed")), "did", "left_semi")
+    sig = F.struct(*keys)
     lw = Window.partitionBy("did").orderBy("line_no")
     rows = rows.withColumn("_prev", F.lag(sig).over(lw)).filter(F.col("_prev").isNull() | (F.col("_prev") != sig))
-    runs = simple.unionByName(rows.select("did", "line_no", "url", "acl_l", "authz_l", "md5", "size"))
+    runs = simple.unionByName(rows.select("did", "line_no", *keys))
+    runs = runs.select("did", "line_no", "url", A.acl_list("acl").alias("acl_l"),
+                       A.authz_list("acl", namespace).alias("authz_l"), "md5", "size")
     return runs.groupBy("did").agg(
         F.sort_array(F.collect_list(F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
 
@@ -137,7 +138,7 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     join, which lets Spark's runtime Bloom filter prune the index scan when
     the update set is selective, instead of rewriting the whole index.
     """
-    grouped = _update_runs(updates.filter(F.col("valid") & F.col("url").isNotNull()))
+    grouped = _update_runs(updates.filter(F.col("valid") & F.col("url").isNotNull()), cfg.namespace())
     if changes_only:
         j = grouped.join(index.withColumn("_has_doc", F.lit(True)), "did", "left")
     else:
