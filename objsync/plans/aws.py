@@ -60,8 +60,7 @@ def best_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str =
 
     Candidates are exploded (at most three per row, nulls dropped so there
     is no null-key hot spot), inner-joined with the source listing on key
-    (narrow rows: id, priority, key), and the best priority per row is kept
-    with ``min_by``.
+    (narrow rows: id, priority, key), and the best priority per row is kept.
     """
     src = source_inventory
     if "seq" in src.columns:
@@ -79,10 +78,13 @@ def best_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str =
             F.struct(F.lit(3).alias("pri"), F.col("id").alias("ck")),
         )).alias("c")).select(row_id, F.col("c.pri").alias("_pri"), F.col("c.ck").alias("_ck"))
     cands = cands.filter(F.col("_ck").isNotNull())
+    # at most three matches per row (one per candidate, the listing is
+    # unique on key): the smallest (priority, ...) struct of the collected
+    # list is the best match; a hash-based aggregate, no sort
     best = (cands.join(src, "_ck")
             .groupBy(row_id)
-            .agg(F.min_by(F.struct(F.col("_ck").alias("k"), F.col("_pri").alias("p"), F.col("_csc").alias("s")),
-                          F.col("_pri")).alias("_best")))
+            .agg(F.array_min(F.collect_list(F.struct(F.col("_pri").alias("p"), F.col("_ck").alias("k"),
+                                                     F.col("_csc").alias("s")))).alias("_best")))
     return best.select(row_id, F.col("_best.k").alias("source_key"), F.col("_best.p").alias("source_priority"),
                        F.col("_best.s").alias("source_storage_class"))
 
