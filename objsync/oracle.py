@@ -527,10 +527,13 @@ from f_verify v left join documents d on d.doc_id = v.doc_id
 """)
 ORACLE["inventory_last_wins"] = _q(w("f_manifest", "f_project_buckets", "f_inventory_raw", extra=[INV_DEDUP]),
                                    "select bucket, key, size, storage_class from inv_all")
-# Positions [1000, 5000) of the orders file in file order.
+# Positions [1000, 5000) of the orders file in file order.  The TESTDATA
+# orders files are stored in o_orderkey order (checked against DuckDB's
+# file_row_number at every scale factor), which makes the oracle's order
+# deterministic; the Spark query numbers rows by file position only.
 ORACLE["row_slice"] = """
 select line_no, o_orderkey, o_custkey from (
- select row_number() over () - 1 as line_no, o_orderkey, o_custkey from orders) t
+ select row_number() over (order by o_orderkey) - 1 as line_no, o_orderkey, o_custkey from orders) t
 where line_no >= 1000 and line_no < 5000
 """
 ORACLE["group_complete"] = _q(w(*MAN, "f_gs_inventory", extra=[ROUTED]), """
