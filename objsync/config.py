@@ -71,6 +71,9 @@ AUGMENTED_COLUMNS = (
     "indexd_url", "case_submitter_ids",
 )
 
+# Field names of the redaction (deletion) log records.
+DELETION_LOG_FIELDS = ("url", "deleted", "indexdUpdated", "message")
+
 # Default multipart chunk (bytes) of a streamed copy.
 DEFAULT_CHUNK_BYTES = 1024 * 1024 * 128
 

@@ -129,7 +129,7 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
                             fields=list(V.C.AUGMENTED_COLUMNS))
         else:
             fl = V.fail_list(mine).orderBy("line_no", "check_no")
-            sinks.write_tsv(fl.drop("indexd_urls"), _out(config, f"FAIL_manifest_{i}"))
+            sinks.write_tsv(fl.drop("index_urls"), _out(config, f"FAIL_manifest_{i}"))
     return {"passed": all(passed.values()), "counts": counts}
 
 

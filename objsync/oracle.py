@@ -173,7 +173,7 @@ plan as (
   case when p.act <> 'SOURCE' then p.act
    when b.b.k is null or coalesce(b.b.s, 'STANDARD') in ({COLD}) then 'STREAM' else 'COPY' end as action,
   case when p.act = 'MOVE' then 'AWS' when p.act = 'SOURCE' then
-   case when b.b.k is null or coalesce(b.b.s, 'STANDARD') in ({COLD}) then 'GDCAPI' else 'AWS' end end as copy_method,
+   case when b.b.k is null or coalesce(b.b.s, 'STANDARD') in ({COLD}) then 'API' else 'AWS' end end as copy_method,
   case when p.act = 'MOVE' then true when p.act = 'SOURCE' then b.b.k is not null else false end as in_summary,
   (not p.present) or p.tsize <> p.size as needs_copy,
   case when not p.known_project then 'unknown_project' when not p.bucket_exists then 'no_bucket' end as reject_reason
@@ -220,7 +220,7 @@ gsplan as (
 VALIDATE = w(*MAN, "f_inventory_raw", "f_gs_inventory", "f_ignored", "f_index_urls", "f_index_attrs",
              extra=[ROUTED, INV_DEDUP, IGNORED, INDEX, f"""
 v0 as (
- select r.*, coalesce(idx.urls, []) as indexd_urls, coalesce({flip_sql('r.target_bucket')}, 'None') as flip,
+ select r.*, coalesce(idx.urls, []) as index_urls, coalesce({flip_sql('r.target_bucket')}, 'None') as flip,
   (ig.gdc_uuid is not null) as is_ignored, ig.structured_key
  from r left join idx on idx.did = r.id left join ig on ig.gdc_uuid = r.id
 ),
@@ -234,18 +234,18 @@ v2 as (
 ),
 v as (
  select cast(0 as integer) as manifest_no, line_no, id, file_name, md5, size, state, project_id, baseid, version, release,
-  acl, type, deletereason, indexd_urls,
-  len(indexd_urls) = 0 as no_index,
+  acl, type, deletereason, index_urls,
+  len(index_urls) = 0 as no_index,
   case when known_project then not aws_present and size <> 0 end as aws_copy_fail,
   case when known_project then aws_present and size <> 0
-   and not list_contains(indexd_urls, 's3://' || target_bucket || '/' || object_key)
-   and not list_contains(indexd_urls, 's3://' || flip || '/' || object_key) end as aws_index_fail,
+   and not list_contains(index_urls, 's3://' || target_bucket || '/' || object_key)
+   and not list_contains(index_urls, 's3://' || flip || '/' || object_key) end as aws_index_fail,
   case when known_project then not gs_present and size <> 0 end as gs_copy_fail,
   case when known_project then gs_present and size <> 0
-   and not list_contains(indexd_urls, 'gs://' || gs_bucket || '/' || gs_key) end as gs_index_fail,
+   and not list_contains(index_urls, 'gs://' || gs_bucket || '/' || gs_key) end as gs_index_fail,
   case when known_project and aws_present and size <> 0 then 's3://' || flip || '/' || object_key end as aws_url,
   case when known_project and gs_present and size <> 0 then 'gs://' || gs_bucket || '/' || gs_key end as gs_url,
-  {repr_list('indexd_urls')} as indexd_url,
+  {repr_list('index_urls')} as indexd_url,
   case when not known_project then 'unknown_project' end as reject_reason
  from v2
 )"""])
@@ -411,15 +411,15 @@ from f_manifest m left join best b on m.line_no = b.line_no
 ORACLE["copy_plan_aws"] = _q(AWS_PLAN, "select * from plan")
 ORACLE["copy_summary"] = _q(AWS_PLAN.rstrip() + ",\n" + """
 cat as (
- select case when not in_summary then (case when copy_method = 'GDCAPI' then 'GDCAPI_NOT_COUNTED' end)
-  when copy_method = 'GDCAPI' then 'GDCAPI'
+ select case when not in_summary then (case when copy_method = 'API' then 'API_NOT_COUNTED' end)
+  when copy_method = 'API' then 'API'
   when coalesce(storage_class = 'INTELLIGENT_TIERING', false) then 'AWS_INTELLIGENT_TIERING'
   else 'AWS_OTHER' end as category, size from plan
 )
 """, """
 select v.category, coalesce(a.n, 0) as n_files, coalesce(a.b, 0) as total_bytes,
  cast(coalesce(a.b, 0) as double) / 1073741824.0 as total_gib
-from (values ('GDCAPI'), ('AWS_INTELLIGENT_TIERING'), ('AWS_OTHER'), ('GDCAPI_NOT_COUNTED')) v(category)
+from (values ('API'), ('AWS_INTELLIGENT_TIERING'), ('AWS_OTHER'), ('API_NOT_COUNTED')) v(category)
 left join (select category, count(*) as n, cast(sum(size) as bigint) as b from cat group by category) a
  on a.category = v.category
 """)

@@ -149,7 +149,7 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
         F.when(sourced & found, sc).alias("storage_class"),
         "action",
         F.when(F.col("action") == "MOVE", F.lit("AWS")).when(F.col("action") == "COPY", F.lit("AWS"))
-        .when(F.col("action") == "STREAM", F.lit("GDCAPI")).alias("copy_method"),
+        .when(F.col("action") == "STREAM", F.lit("API")).alias("copy_method"),
         (F.col("action").isin("MOVE", "COPY") | ((F.col("action") == "STREAM") & found)).alias("in_summary"),
         (~present | (listed_size("objects", "target_bucket") != F.col("size"))).alias("needs_copy"),
         F.when(~F.col("known_project"), F.lit("unknown_project"))
@@ -169,22 +169,22 @@ def copy_counters(plan: DataFrame) -> DataFrame:
     return out.withColumn("processed_gib", gib("processed_bytes"))
 
 
-SUMMARY_CATEGORIES = ("GDCAPI", "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "GDCAPI_NOT_COUNTED")
+SUMMARY_CATEGORIES = ("API", "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "API_NOT_COUNTED")
 
 
 def copy_summary(plan: DataFrame) -> DataFrame:
     """A3: dry-run summary, one row per category.
 
     The first three are the job's printed counters (rows of the summary:
-    MOVE, COPY and cold-storage STREAM).  ``GDCAPI_NOT_COUNTED`` reports the
+    MOVE, COPY and cold-storage STREAM).  ``API_NOT_COUNTED`` reports the
     streamed rows without a source key, which the job leaves out of its
     counters.  A global two-phase aggregate: partial sums map-side, one row
     per task shuffled.
     """
-    api = F.col("copy_method") == "GDCAPI"
+    api = F.col("copy_method") == "API"
     it = F.coalesce(F.col("storage_class") == C.INTELLIGENT_TIERING, F.lit(False))
-    cat = (F.when(~F.col("in_summary"), F.when(api, F.lit("GDCAPI_NOT_COUNTED")))
-           .when(api, F.lit("GDCAPI"))
+    cat = (F.when(~F.col("in_summary"), F.when(api, F.lit("API_NOT_COUNTED")))
+           .when(api, F.lit("API"))
            .when(it, F.lit("AWS_INTELLIGENT_TIERING"))
            .otherwise(F.lit("AWS_OTHER")))
     aggs = []

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from objsync import config as C
 from objsync.config import PlanConfig
 from objsync.functions import routing as R
 from objsync.functions import urls as U
@@ -13,7 +14,8 @@ from objsync.operators.inventory import inventory_by_key, listed, probe_join
 from objsync.operators.projects import attach_projects
 from objsync.plans.gs import attach_ignored
 
-LOG_COLUMNS = ["line_no", "id", "provider", "url", "deleted", "indexdUpdated", "message"]
+LOG_COLUMNS = ["line_no", "id", "provider", *C.DELETION_LOG_FIELDS]
+_UPDATED = C.DELETION_LOG_FIELDS[2]
 
 
 def _scope(cfg: PlanConfig) -> tuple[bool, bool]:
@@ -29,7 +31,7 @@ def redaction_plan(manifest: DataFrame, project_map: DataFrame, aws_inventory: D
 
     S3 step (scope all/s3): object ``id/(filename or file_name)`` in the
     target bucket; absent -> not deleted, no message; present -> deleted
-    (on a real run also ``indexdUpdated``).  GS step only when not a dry
+    (on a real run also the index-updated flag).  GS step only when not a dry
     run (scope all/gs): key is the structured key of an ignored id, else
     ``id/name``; a missing object is a failed delete with a message.
     Unknown projects give one log row per step with a message.
@@ -50,7 +52,7 @@ def redaction_plan(manifest: DataFrame, project_map: DataFrame, aws_inventory: D
             "line_no", "id", F.lit("s3").alias("provider"),
             F.when(known, U.provider_url("s3", "_bucket", "_key")).otherwise(F.col("_key")).alias("url"),
             present.alias("deleted"),
-            (present & F.lit(not cfg.dry_run)).alias("indexdUpdated"),
+            (present & F.lit(not cfg.dry_run)).alias(_UPDATED),
             F.when(~known, unknown_msg).alias("message"))
         parts.append(s3)
     if do_gs and not cfg.dry_run:
@@ -62,7 +64,7 @@ def redaction_plan(manifest: DataFrame, project_map: DataFrame, aws_inventory: D
         gs = gs.select(
             "line_no", "id", F.lit("gs").alias("provider"),
             F.when(known, url).otherwise(F.col("_key")).alias("url"),
-            present.alias("deleted"), present.alias("indexdUpdated"),
+            present.alias("deleted"), present.alias(_UPDATED),
             F.when(~known, unknown_msg)
             .when(~present, F.concat(F.lit("No such object: "), F.col("_bucket"), F.lit("/"), F.col("_gkey")))
             .alias("message"))
@@ -89,7 +91,7 @@ def redaction_summary(log: DataFrame) -> DataFrame:
 
 def index_url_removals(log: DataFrame) -> DataFrame:
     """I2 input: ``(did, url)`` for every object actually deleted."""
-    return log.filter(F.col("indexdUpdated")).select(F.col("id").alias("did"), "url")
+    return log.filter(F.col(_UPDATED)).select(F.col("id").alias("did"), "url")
 
 
 def index_record_deletes(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> DataFrame:

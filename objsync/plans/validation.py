@@ -45,8 +45,8 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
     # both id-keyed joins first: the second reuses the first one's partitioning
     idx = index_urls.select(F.col("did").alias("_did"), F.col("urls").alias("_urls"))
     m = (m.join(idx, m["id"] == idx["_did"], "left").drop("_did")
-          .withColumn("indexd_urls", F.coalesce(F.col("_urls"), F.array().cast("array<string>"))).drop("_urls")
-          .withColumn("no_index", F.size("indexd_urls") == 0))
+          .withColumn("index_urls", F.coalesce(F.col("_urls"), F.array().cast("array<string>"))).drop("_urls")
+          .withColumn("no_index", F.size("index_urls") == 0))
     if _gs(platform):
         m = attach_ignored(m, ignored_objs)
     nonzero = F.col("size") != 0
@@ -62,8 +62,8 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
         p2 = U.provider_url("s3", "_flip", U.object_key("id", "file_name"))
         m = (m.withColumn("aws_copy_fail", F.when(known, copy_fail))
               .withColumn("aws_index_fail", F.when(known, ~copy_fail & nonzero
-                                                   & ~F.array_contains("indexd_urls", p1)
-                                                   & ~F.array_contains("indexd_urls", p2)))
+                                                   & ~F.array_contains("index_urls", p1)
+                                                   & ~F.array_contains("index_urls", p2)))
               .withColumn("aws_url", F.when(known & ~copy_fail & nonzero, p2))
               .drop("aws_objects", "_flip"))
     else:
@@ -82,7 +82,7 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
         m = (m.withColumn("gs_copy_fail", F.when(known, copy_fail))
               .withColumn("gs_url", F.when(known & ~copy_fail & nonzero, gs_url))
               .withColumn("gs_index_fail", F.when(known, ~copy_fail & nonzero
-                                                  & ~F.array_contains("indexd_urls", gs_url)))
+                                                  & ~F.array_contains("index_urls", gs_url)))
               .drop("gs_objects", "_gs_key", "structured_key", "is_ignored"))
     else:
         m = (m.withColumn("gs_copy_fail", F.lit(None).cast("boolean"))
@@ -136,13 +136,13 @@ def fail_list(rows: DataFrame) -> DataFrame:
     out = rows.withColumn("_chk", F.explode(failed))
     return (out.withColumn("check_no", F.col("_chk.check_no")).withColumn("reason", F.col("_chk.reason"))
             .drop("_chk")
-            .withColumn("indexd_url", A.py_list_repr("indexd_urls")))
+            .withColumn("indexd_url", A.py_list_repr("index_urls")))
 
 
 def augmented_manifest(rows: DataFrame) -> DataFrame:
     """The 15-column augmented manifest (zero-size files dropped);
     ``indexd_url`` rendered as a Python list."""
-    r = rows.filter(F.col("size") != 0).withColumn("indexd_url", A.py_list_repr("indexd_urls"))
+    r = rows.filter(F.col("size") != 0).withColumn("indexd_url", A.py_list_repr("index_urls"))
     if "case_submitter_ids" not in r.columns:
         r = r.withColumn("case_submitter_ids", F.lit(None).cast("string"))
     return r.select("manifest_no", "line_no", *C.AUGMENTED_COLUMNS)

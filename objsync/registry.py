@@ -188,7 +188,7 @@ def _validated(spark, d):
 def q_validate_rows(spark, d):
     v = _validated(spark, d)
     return v.select("manifest_no", "line_no", "id", "no_index", "aws_copy_fail", "aws_index_fail", "gs_copy_fail",
-                    "gs_index_fail", "aws_url", "gs_url", A.py_list_repr("indexd_urls").alias("indexd_url"),
+                    "gs_index_fail", "aws_url", "gs_url", A.py_list_repr("index_urls").alias("indexd_url"),
                     "reject_reason")
 
 

@@ -65,10 +65,10 @@ def write_result_log(plan: DataFrame, path: str, release: str, mode: str = "appe
 
 
 def write_deletion_log(log: DataFrame, path: str, release: str, mode: str = "append") -> None:
-    """K5: deletion log rows ``{url, deleted, indexdUpdated, message}`` as
+    """K5: deletion log rows (``config.DELETION_LOG_FIELDS``) as
     JSON lines partitioned by release and provider (the job writes them only
     on a real run)."""
-    log.select(F.lit(release).alias("release"), "provider", "url", "deleted", "indexdUpdated", "message") \
+    log.select(F.lit(release).alias("release"), "provider", *C.DELETION_LOG_FIELDS) \
         .write.mode(mode).partitionBy("release", "provider").json(path)
 
 

@@ -37,7 +37,7 @@ def test_aws_decisions(spark):
         (3, "d", "f.bam", 5, "m", "['open']", "TCGA", None),  # in opposite bucket -> MOVE
         (4, "e", "f.bam", 5, "m", "['open']", "TCGA", None),  # already there (size differs) -> ALREADY
         (5, "f", "f.bam", 5, "m", "['open']", "TGCA", None),  # unknown project
-        (6, U1, "abc", 5, "m", "['phs1']", "CCLE", f"s3://h/gdcbackup/{U1}/abc"),  # url key
+        (6, U1, "abc", 5, "m", "['phs1']", "CCLE", f"s3://h/backup/{U1}/abc"),  # url key
         (7, "g", "f.bam", 5, "m", "*", "CCLE", None),  # id key; '*' is open for the default branch
         (8, "h", "f.bam", 5, "m", "['phs1']", "CCLE", None),  # controlled bucket missing
     ]
@@ -45,8 +45,8 @@ def test_aws_decisions(spark):
     src = [("a/f.bam", 5, "STANDARD"), ("c/f.bam", 5, "GLACIER"), (f"{U1}/abc", 5, None), ("g", 5, "STANDARD_IA")]
     p = _plan(spark, man, inv, src, buckets=["tcga-2-open", "tcga-2-controlled", "gdc-ccle-2-open"])
     assert (p[0].action, p[0].copy_method, p[0].storage_class, p[0].in_summary) == ("COPY", "AWS", "STANDARD", True)
-    assert (p[1].action, p[1].copy_method, p[1].in_summary) == ("STREAM", "GDCAPI", False)
-    assert (p[2].action, p[2].copy_method, p[2].in_summary) == ("STREAM", "GDCAPI", True)
+    assert (p[1].action, p[1].copy_method, p[1].in_summary) == ("STREAM", "API", False)
+    assert (p[2].action, p[2].copy_method, p[2].in_summary) == ("STREAM", "API", True)
     assert (p[3].action, p[3].copy_method) == ("MOVE", "AWS")
     assert (p[4].action, p[4].needs_copy) == ("ALREADY_COPIED", True)
     assert (p[5].action, p[5].reject_reason) == ("REJECT", "unknown_project")
@@ -58,7 +58,7 @@ def test_aws_decisions(spark):
 
 
 def test_aws_url_key_priority(spark):
-    man = [(0, U1, "abc", 5, "m", "['open']", "CCLE", f"s3://h/gdcbackup/{U1}/abc/x"),
+    man = [(0, U1, "abc", 5, "m", "['open']", "CCLE", f"s3://h/backup/{U1}/abc/x"),
            (1, U1 + "x", "abc", 5, "m", "['open']", "CCLE", "no uuid here")]
     src = [(f"{U1}/abc/x", 5, "INTELLIGENT_TIERING"), (U1, 5, "STANDARD"), (U1 + "x", 5, "STANDARD")]
     p = _plan(spark, man, [], src)
@@ -68,12 +68,12 @@ def test_aws_url_key_priority(spark):
 
 def test_summary_categories(spark):
     plan = spark.createDataFrame(
-        [("GDCAPI", None, True, 10), ("GDCAPI", None, False, 20), ("AWS", "INTELLIGENT_TIERING", True, 30),
+        [("API", None, True, 10), ("API", None, False, 20), ("AWS", "INTELLIGENT_TIERING", True, 30),
          ("AWS", "STANDARD", True, 40), ("AWS", None, True, 50), (None, None, False, 60)],
         "copy_method string, storage_class string, in_summary boolean, size bigint")
     got = {r.category: (r.n_files, r.total_bytes) for r in aws.copy_summary(plan).collect()}
-    assert got == {"GDCAPI": (1, 10), "AWS_INTELLIGENT_TIERING": (1, 30), "AWS_OTHER": (2, 90),
-                   "GDCAPI_NOT_COUNTED": (1, 20)}
+    assert got == {"API": (1, 10), "AWS_INTELLIGENT_TIERING": (1, 30), "AWS_OTHER": (2, 90),
+                   "API_NOT_COUNTED": (1, 20)}
 
 
 def test_hot_key_duplicates_keep_all_rows(spark):
