@@ -53,7 +53,7 @@ def aws_copy_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = Non
     manifest = S.read_manifest(spark, config["manifest"], start=config.get("start"), end=config.get("end"))
     pm = S.read_project_map(spark, config["project_map"])
     plan = aws.copy_plan(manifest, pm, _buckets(spark, config, pm), _table(spark, config["inventory"]),
-                         _table(spark, config["source_inventory"]), cfg)
+                         _table(spark, config["source_inventory"]), cfg, resolve_sources="needed")
     plan.write.mode("overwrite").parquet(_out(config, "copy_plan"))
     plan = spark.read.parquet(_out(config, "copy_plan"))
     summary = aws.copy_summary(plan)

@@ -105,7 +105,7 @@ PLAN_COLUMNS = [
 
 
 def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, inventory: DataFrame,
-              source_inventory: DataFrame, cfg: PlanConfig) -> DataFrame:
+              source_inventory: DataFrame, cfg: PlanConfig, resolve_sources: str = "all") -> DataFrame:
     """Per manifest row, the first matching action:
 
     1. project not in the map -> ``REJECT`` (``unknown_project``)
@@ -118,21 +118,37 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
 
     ``needs_copy`` is J2 (absent or size differs), the prepare filter.
 
-    One pass: the manifest meets the key-first inventory in one probe join;
-    the source-key resolution depends only on manifest columns, so it runs
-    on a narrow projection of the manifest and is joined back on
-    ``line_no`` (the probe-joined rows are never recomputed).
+    ``resolve_sources="all"`` (lazy, one pass): the manifest meets the
+    key-first inventory in one probe join; the source-key resolution depends
+    only on manifest columns, so it runs on a narrow projection of the whole
+    manifest and is joined back on ``line_no`` (the probe-joined rows are
+    never recomputed).  ``"needed"``: the probe-joined rows are first
+    materialized with a reliable ``checkpoint`` (the session's checkpoint
+    folder) and only rows still pending a copy look for a source key, which
+    shuffles far fewer candidates once most files are copied.
     """
+    if resolve_sources not in ("all", "needed"):
+        raise ValueError("resolve_sources must be 'all' or 'needed'")
     m = route_aws(manifest, project_map, cfg)
     bl = bounded_broadcast(small_distinct(buckets.select("bucket"), cfg.broadcast_max_rows)
                            .withColumn("_bx", F.lit(True)), cfg.broadcast_max_rows)
     m = (m.join(bl, m["target_bucket"] == bl["bucket"], "left").drop("bucket")
           .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))
     m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"))
-    best = best_source_keys(manifest.select("line_no", "id", "file_name", "url"), source_inventory)
-    m = m.join(best, "line_no", "left")
     present = listed("objects", "target_bucket")
     moved = listed("objects", R.aws_reversed_bucket("target_bucket"))
+    if resolve_sources == "needed":
+        from objsync.session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(m.sparkSession)
+        pending = F.col("known_project") & F.col("bucket_exists") & ~moved & ~present
+        m = m.withColumn("_pending", pending).checkpoint(eager=True)
+        src_rows = m.filter(F.col("_pending")).select("line_no", "id", "file_name", "url")
+        m = m.drop("_pending")
+    else:
+        src_rows = manifest.select("line_no", "id", "file_name", "url")
+    best = best_source_keys(src_rows, source_inventory)
+    m = m.join(best, "line_no", "left")
     found = F.col("source_key").isNotNull()
     sc = F.coalesce(F.col("source_storage_class"), F.lit(C.DEFAULT_STORAGE_CLASS))
     stream = ~found | sc.isin(*C.COLD_STORAGE_CLASSES)

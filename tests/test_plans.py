@@ -218,3 +218,15 @@ def test_hot_source_key_does_not_multiply(spark):
     plan = aws.copy_plan(spark.createDataFrame(man, MAN_SCHEMA), pm, b, spark.createDataFrame([], INV_SCHEMA),
                          spark.createDataFrame(src, SRC_SCHEMA), PlanConfig()).collect()
     assert len(plan) == 20 and all(r.action == "COPY" and r.source_key == "a/f.bam" for r in plan)
+
+
+def test_resolve_sources_modes_agree(spark):
+    from conftest import SF_SMALL
+    from objsync.sources.fixtures import Fixtures
+
+    fx = Fixtures(spark, SF_SMALL)
+    args = (fx["f_manifest"], fx["f_project_map"], fx["f_buckets"], fx["f_inventory_raw"], fx["f_source"],
+            PlanConfig())
+    every = aws.copy_plan(*args, resolve_sources="all")
+    needed = aws.copy_plan(*args, resolve_sources="needed")
+    assert sorted(tuple(r) for r in every.collect()) == sorted(tuple(r) for r in needed.collect())
