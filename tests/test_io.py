@@ -184,6 +184,13 @@ def test_jobs_end_to_end(spark, tmp):
     r = jobs.redaction_job(spark, dict(paths, dry_run=False))
     s = {row.provider: (row.deleted, row.total) for row in r["summary"].collect()}
     assert s["gs"][1] > 0 and s["s3"][1] > 0
+    dl = spark.read.json(os.path.join(paths["output"], "deletion_log"))
+    assert set(dl.columns) >= {"url", "deleted", "indexdUpdated", "message", "release", "provider"}
+    assert dl.count() == r["log"].count()
+    lines = spark.read.text(os.path.join(paths["output"], "results")).collect()
+    # 9 fields per record; the "no bucket" message ends in a newline (kept
+    # literally), which leaves an empty line after those records
+    assert lines and all(len(x.value.split("\t")) == 9 or x.value == "" for x in lines)
     assert r["index"].count() <= spark.read.parquet(paths["index"]).count()
     ix = jobs.indexing_job(spark, paths, cfg)
     assert ix["index"].filter("change = 'patched'").count() > 0
