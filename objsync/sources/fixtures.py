@@ -213,6 +213,20 @@ class Fixtures:
         self._cache[name] = df
         return df
 
+    def derived(self, name: str, build) -> DataFrame:
+        """An input table built by library code from other fixtures (e.g. an
+        index snapshot assembled from its long-form export), materialized
+        once like the SQL fixtures."""
+        with self._lock:
+            if name not in self._cache:
+                df = build()
+                if self.materialize:
+                    path = os.path.join(self._folder(), name)
+                    df.repartition(self.partitions).write.mode("overwrite").parquet(path)
+                    df = self.spark.read.parquet(path)
+                self._cache[name] = df
+            return self._cache[name]
+
     def prepare(self, *names: str) -> None:
         """Derive (and write) the given fixtures, or all of them."""
         for n in names or FIXTURES:
