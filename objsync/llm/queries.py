@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import quality, quality_sql
+from objsync.llm import pieces, quality, quality_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_token_counts": pieces.op3_token_counts,
     "op6_quality_rules": quality.op6_quality_rules,
+    "op9_sentencepiece": pieces.op9_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {
