@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import chat, chat_sql, pieces, quality, quality_sql, warc
+from objsync.llm import chat, chat_sql, pieces, quality, quality_sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_counts": pieces.op3_token_counts,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_warc": warc.op7_warc,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_sentencepiece": pieces.op9_sentencepiece,
 }
 

@@ -220,7 +220,7 @@ class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path = options["path"]
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> Part | None:
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
         fs, top = file_system(self.path)
         fs.create_dir(top, recursive=True)
         name, marks, at = f"part-{uuid.uuid4().hex}.warc", [0], 0
@@ -234,19 +234,19 @@ class WarcWriter(DataSourceArrowWriter):
                     at += len(data)
         if not at:
             fs.delete_file(f"{top}/{name}")
-            return None
+            return Part("", [])
         return Part(name, marks)
 
     def commit(self, messages: list[Part | None]) -> None:
         fs, top = file_system(self.path)
         fs.create_dir(top, recursive=True)
         with fs.open_output_stream(f"{top}/{INDEX}") as out:
-            out.write(json.dumps([{"file": m.file, "marks": m.marks} for m in messages if m]).encode())
+            out.write(json.dumps([{"file": m.file, "marks": m.marks} for m in messages if m and m.file]).encode())
 
     def abort(self, messages: list[Part | None]) -> None:
         fs, top = file_system(self.path)
         for m in messages:
-            if m:
+            if m and m.file:
                 fs.delete_file(f"{top}/{m.file}")
 
 
