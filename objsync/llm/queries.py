@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import chat, chat_sql, pieces, quality, quality_sql, toxicity, warc
+from objsync.llm import chat, chat_sql, decontaminate, pieces, quality, quality_sql, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": decontaminate.op2_decontamination,
     "op3_token_counts": pieces.op3_token_counts,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_quality_rules": quality.op6_quality_rules,
