@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -60,9 +61,22 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of queries that are done; it
+    learns of them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def partitions_for(spark: SparkSession, n_bytes: int, each: int = 8 << 20) -> int:
+    """So many partitions that each holds about ``each`` bytes."""
+    return max(spark.sparkContext.defaultParallelism, -(-n_bytes // each))
+
+
 def free_name(df: DataFrame, wish: str) -> str:
     """``wish``, changed where a column of ``df`` has that name already."""
     taken = {c.lower() for c in df.columns}

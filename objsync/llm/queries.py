@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import chat, chat_sql, decontaminate, pieces, quality, quality_sql, toxicity, warc
+from objsync.llm import chat, chat_sql, decontaminate, pieces, quality, quality_sql, recompress, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontaminate.op2_decontamination,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": warc.op7_warc,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_sentencepiece": pieces.op9_sentencepiece,
+    "op10_substring_dedup": recompress.op10_substring_dedup,
 }
 
 ORACLE: dict[str, str] = {
