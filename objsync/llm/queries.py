@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import chat, chat_sql, decontaminate, pieces, quality, quality_sql, recompress, runindex, toxicity, warc
+from objsync.llm import chat, chat_sql, decontaminate, jaccard, pieces, quality, quality_sql, recompress, runindex, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": runindex.op1_suffix_array_dedup,
     "op2_decontamination": decontaminate.op2_decontamination,
     "op3_token_counts": pieces.op3_token_counts,
     "op4_chat_formatting": chat.op4_chat_formatting,
+    "op5_ngram_jaccard_join": jaccard.op5_ngram_jaccard_join,
     "op6_quality_rules": quality.op6_quality_rules,
     "op7_warc": warc.op7_warc,
     "op8_toxicity": toxicity.op8_toxicity,
