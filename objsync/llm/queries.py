@@ -25,4 +25,5 @@ ORACLE: dict[str, str] = {
     "op4_chat_formatting": chat_sql.OP4,
     "op6_quality_rules": quality_sql.OP6,
     "op7_warc": warc.OP7,
+    "op10_substring_dedup": recompress.OP10,
 }

@@ -235,3 +235,14 @@ def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = False) -> DataF
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
+
+
+OP10 = r"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM t, unnest(range(1, len(w) - 11)) AS u(i) WHERE len(w) >= 13),
+late AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY k) AS first FROM win) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM late, unnest(range(0, 13)) AS v(j)),
+words AS (SELECT doc_id, p, w[p] AS x FROM t, unnest(range(1, len(w) + 1)) AS u(p)),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)"""

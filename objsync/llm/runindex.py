@@ -32,11 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm.common import as_long, byte_texts, mix64, partitions_for, seed64, ship, table, written
+from objsync.llm.common import as_long, byte_texts, free_name, mix64, partitions_for, seed64, ship, table, written
 
 LENGTH = 400
 GRAM = 32
@@ -298,5 +299,25 @@ def dedup(docs: DataFrame, length: int = LENGTH, with_text: bool = False, most_s
     return joined.mapInArrow(lambda b: _kept(b, length, with_text), schema)
 
 
+def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with its columns, every text without its repeated bytes."""
+    ship(docs.sparkSession)
+    kd, kt, ks = free_name(docs, "_d"), free_name(docs, "_t"), free_name(docs, "_spans")
+    rows = docs.withColumns({kd: F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), kt: F.xxhash64("text")})
+    spans = repeated_bytes(rows.select(F.col(kd).alias("d"), F.col(kt).alias("t"), "text"), length)
+    spans = written(spans.select(F.col("d").alias(kd), F.col("t").alias(kt), F.col("spans").alias(ks)), "repeated-bytes")
+    joined = rows.join(spans, [kd, kt], "left").select(*docs.columns, ks)
+    names, at = docs.columns, docs.columns.index("text")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            few = pa.RecordBatch.from_arrays([b.column(at), b.column(at), b.column(b.num_columns - 1)], names=["x", "text", "spans"])
+            kept = next(_kept(iter([few]), length, True)).column("kept")
+            text = pc.if_else(pc.is_null(b.column(at)), pa.scalar(None, pa.string()), kept)  # null stays null
+            yield pa.RecordBatch.from_arrays([text if i == at else b.column(i) for i in range(b.num_columns - 1)], names=names)
+
+    return joined.mapInArrow(cut, docs.schema)
+
+
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents"))
