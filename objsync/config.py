@@ -7,7 +7,7 @@ different.  Everything else is a parameter with a default.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must match the replication jobs we reproduce)
@@ -52,6 +52,10 @@ COLD_STORAGE_CLASSES = ("DEEP_ARCHIVE", "GLACIER", "GLACIER_IR")
 DEFAULT_STORAGE_CLASS = "STANDARD"
 INTELLIGENT_TIERING = "INTELLIGENT_TIERING"
 
+# Copy methods of a plan, and the categories of the dry-run summary.
+STREAM_METHOD = "GDCAPI"
+SERVER_METHOD = "AWS"
+
 # Regular expression of a lower-case UUID followed by the rest of a URL.
 UUID_TAIL_PATTERN = (
     "[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}.*$"
@@ -89,24 +93,18 @@ class PlanConfig:
     """Parameters of the plan builders.
 
     ``on_unknown_project``: ``"reject"`` keeps the row and sets
-    ``reject_reason='unknown_project'``; ``"fail"`` raises ``ValueError``
-    on the driver when any row has a project missing from the map.
-    ``broadcast_max_rows`` bounds every explicit broadcast: a small side is
-    broadcast only after a bounded count proved it has at most that many
-    rows, otherwise the join is left to the shuffle planner.
+    ``reject_reason='unknown_project'``; ``"fail"`` aborts the job when a row
+    has a project missing from the map.
     """
 
     on_unknown_project: str = "reject"
     data_api_url: str = "https://api.example.org/data/"
     auth_namespace: str = ""
-    chunk_bytes: int = DEFAULT_CHUNK_BYTES
-    broadcast_max_rows: int = 100_000
     dedupe_inventory: bool = True
     platform: str = "ALL"  # validation: AWS | GS | ALL
     redact_scope: str = "all"  # redaction: all | s3 | aws | gs
     dry_run: bool = True
     force_manifest: bool = False
-    extra: dict = field(default_factory=dict)
 
     def namespace(self) -> str:
         ns = self.auth_namespace.strip("/")

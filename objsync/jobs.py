@@ -19,7 +19,6 @@ from objsync import sinks
 from objsync.config import PlanConfig
 from objsync.operators.inventory import restrict_to_buckets
 from objsync.operators.projects import expected_buckets
-from objsync.operators.relational import bounded_count
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V
 from objsync.sources import readers as S
 
@@ -42,13 +41,20 @@ def _buckets(spark: SparkSession, config: dict, project_map: DataFrame) -> DataF
     return expected_buckets(project_map).select("bucket")
 
 
+def _need_ignored(ignored: DataFrame) -> None:
+    """The jobs stop without structured objects; asked anew in every run."""
+    if ignored.isEmpty():
+        raise ValueError("expecting a non-empty ignored-objects table")
+
+
 def _out(config: dict, name: str) -> str:
     return os.path.join(config["output"], name)
 
 
 def aws_copy_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:
-    """C12 + C1 + A3: plan every manifest row and write the plan, the rows
-    still to copy and the dry-run summary."""
+    """C12 + C1 + A3 + C6: plan every manifest row and write the plan, the rows
+    still to copy, the dry-run summary and, where ``index`` is given, the index
+    with the handled files' URLs merged in."""
     cfg = cfg or PlanConfig()
     manifest = S.read_manifest(spark, config["manifest"], start=config.get("start"), end=config.get("end"))
     pm = S.read_project_map(spark, config["project_map"])
@@ -60,24 +66,39 @@ def aws_copy_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = Non
     sinks.write_tsv(summary, _out(config, "summary"), single_file=True)
     sinks.write_tsv(plan.filter("needs_copy"), _out(config, "to_copy"),
                     fields=["id", "file_name", "size", "md5", "acl", "project_id", "target_bucket", "action"])
-    return {"plan": plan, "summary": summary}
+    out = {"plan": plan, "summary": summary}
+    if config.get("index"):
+        handled = plan.filter(F.col("action").isin("MOVE", "COPY", "ALREADY_COPIED") | F.col("in_summary"))
+        url = F.concat(F.lit("s3://"), F.col("target_bucket"), F.lit("/"), F.col("object_key"))
+        updates = I.index_updates(handled.withColumn("url", url), cfg)
+        sinks.write_snapshot(I.merge_index(_index(spark, config["index"]), updates, cfg), _out(config, "index"))
+        out["index"] = spark.read.parquet(_out(config, "index"))
+    return out
 
 
 def gs_copy_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:
-    """J3/K2 + C2 + K3: pipeline manifest of the files not yet listed, the
-    copy plan over it and its result lines."""
+    """J3/K2 + C2 + K3/K4 + C6: pipeline manifest of the files not yet listed,
+    the copy plan over it, its result lines and log, and, where ``index`` is
+    given, the index with the plan's URLs merged in."""
     cfg = cfg or PlanConfig()
     manifest = S.read_manifest(spark, config["manifest"])
     pm = S.read_project_map(spark, config["project_map"])
     gsi = _table(spark, config["gs_inventory"])
     ignored = gs.ignored_objects(S.read_ignored(spark, config["ignored"]), order_col="line_no")
+    _need_ignored(ignored)
     pipe = gs.pipeline_manifest(manifest, pm, gsi, cfg)
     sinks.write_pipeline_manifest(pipe, _out(config, "pipeline_manifest"))
     plan = gs.copy_plan(pipe, pm, _buckets(spark, config, pm), gsi, ignored, cfg)
     plan.write.mode("overwrite").parquet(_out(config, "gs_plan"))
     plan = spark.read.parquet(_out(config, "gs_plan"))
     sinks.write_result_lines(gs.result_lines(plan), _out(config, "results"))
-    return {"plan": plan}
+    sinks.write_result_log(plan, _out(config, "result_log"), config.get("release", "release"))
+    out = {"plan": plan}
+    if config.get("index"):
+        updates = I.index_updates(plan.filter(F.col("index_url").isNotNull()), cfg, url_col="index_url")
+        sinks.write_snapshot(I.merge_index(_index(spark, config["index"]), updates, cfg), _out(config, "index"))
+        out["index"] = spark.read.parquet(_out(config, "index"))
+    return out
 
 
 def indexing_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:
@@ -86,13 +107,13 @@ def indexing_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = Non
     manifest = S.read_manifest(spark, config["manifest"])
     pm = S.read_project_map(spark, config["project_map"])
     inv = _table(spark, config["inventory"])
-    status = I.indexing_status(manifest, pm, inv, cfg)
-    status.write.mode("overwrite").parquet(_out(config, "indexing_status"))
+    I.indexing_status(manifest, pm, inv, cfg).write.mode("overwrite").parquet(_out(config, "indexing_status"))
+    status = spark.read.parquet(_out(config, "indexing_status"))
     rows = aws.route_aws(manifest, pm, cfg).join(status.filter("copy_success").select("line_no"), "line_no", "left_semi")
     rows = rows.withColumn("url", F.concat(F.lit("s3://"), F.col("target_bucket"), F.lit("/"), F.col("object_key")))
     merged = I.merge_index(_index(spark, config["index"]), I.index_updates(rows, cfg), cfg)
     sinks.write_snapshot(merged, _out(config, "index"))
-    return {"status": spark.read.parquet(_out(config, "indexing_status")),
+    return {"status": status,
             "index": spark.read.parquet(_out(config, "index"))}
 
 
@@ -109,8 +130,7 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
         manifest = manifest.unionByName(f, allowMissingColumns=True)
     pm = S.read_project_map(spark, config["project_map"])
     ignored = gs.ignored_objects(S.read_ignored(spark, config["ignored"]), order_col="line_no")
-    if bounded_count(ignored, 0) == 0:
-        raise ValueError("expecting a non-empty ignored-objects table")
+    _need_ignored(ignored)
     urls = I.index_url_map(_index(spark, config["index"]))
     exp = expected_buckets(pm)
     # the job lists the expected buckets only
@@ -129,7 +149,8 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
                             fields=list(V.C.AUGMENTED_COLUMNS))
         else:
             fl = V.fail_list(mine).orderBy("line_no", "check_no")
-            sinks.write_tsv(fl.drop("index_urls"), _out(config, f"FAIL_manifest_{i}"))
+            fields = [c for c in V.C.MANIFEST_COLUMNS if c != "url"] + ["aws_url", "gs_url", "indexd_url"]
+            sinks.write_tsv(fl, _out(config, f"FAIL_manifest_{i}"), fields=fields)
     return {"passed": all(passed.values()), "counts": counts}
 
 

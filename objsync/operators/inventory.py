@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from objsync.operators.relational import bounded_broadcast, last_wins
+from objsync.operators.relational import last_wins
 
 INVENTORY_COLUMNS = ("bucket", "key", "size", "storage_class")
 
@@ -40,11 +40,10 @@ def dedupe_inventory(inv: DataFrame, order_col: str = "seq") -> DataFrame:
     return inv
 
 
-def restrict_to_buckets(inv: DataFrame, buckets: DataFrame, max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Keep only the listed (expected) buckets.  ``buckets`` is the
-    expected-bucket set (two per project); it is broadcast after a bounded
-    count (a semi join needs no distinct), otherwise shuffle-joined."""
-    return inv.join(bounded_broadcast(buckets.select("bucket"), max_broadcast_rows), "bucket", "left_semi")
+def restrict_to_buckets(inv: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Keep only the listed (expected) buckets (a semi join needs no
+    distinct)."""
+    return inv.join(buckets.select("bucket"), "bucket", "left_semi")
 
 
 def missing_buckets(expected: DataFrame, inv: DataFrame) -> DataFrame:
@@ -97,8 +96,3 @@ def listed(objects_col: str, bucket) -> Column:
 def listed_size(objects_col: str, bucket) -> Column:
     b = F.col(bucket) if isinstance(bucket, str) else bucket
     return F.try_element_at(F.col(objects_col), b).getField("size")
-
-
-def listed_class(objects_col: str, bucket) -> Column:
-    b = F.col(bucket) if isinstance(bucket, str) else bucket
-    return F.try_element_at(F.col(objects_col), b).getField("storage_class")

@@ -1,5 +1,5 @@
-"""Generic relational operators: last-wins dedupe, bounded broadcast,
-file-order row numbers, chunk ids."""
+"""Generic relational operators: last-wins dedupe, file-order row numbers,
+chunk ids."""
 
 from __future__ import annotations
 
@@ -32,94 +32,36 @@ def union_last_wins(frames: Sequence[DataFrame], keys: Sequence[str], order_col:
     return last_wins(out, keys, order_col).drop(order_col)
 
 
-_ROW_BOUNDS: dict[tuple[str, int, int], int] = {}
-
-
-def bounded_count(df: DataFrame, max_rows: int) -> int:
-    """``min(count(df), max_rows + 1)``, computed with a ``limit`` job.
-
-    The answer is kept per application and semantic plan hash: the same
-    logical input (same files, same filters) is counted once even when
-    several plans are built over it.
-    """
-    from objsync.session import app_id
-
-    key = (app_id(df.sparkSession), df.semanticHash(), max_rows)
-    if key not in _ROW_BOUNDS:
-        if len(_ROW_BOUNDS) > 10_000:
-            _ROW_BOUNDS.clear()
-        _ROW_BOUNDS[key] = df.limit(max_rows + 1).count()
-    return _ROW_BOUNDS[key]
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after a bounded count proved ``df`` holds at most
-    ``max_rows`` rows; otherwise return it unhinted (shuffle join)."""
-    return F.broadcast(df) if bounded_count(df, max_rows) <= max_rows else df
-
-
-def small_distinct(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """``df.distinct()`` for a table proved small (bounded count): deduped in
-    one task without an exchange.  A table that is not proved small takes
-    the regular shuffle ``distinct``."""
-    if bounded_count(df, max_rows) <= max_rows:
-        return df.coalesce(1).distinct()
-    return df.distinct()
-
-
 def with_line_no(df: DataFrame, col: str = "line_no", block_cols: Sequence[str] | None = None,
-                 pos_col: str | None = None, max_broadcast_blocks: int = 1_000_000) -> DataFrame:
+                 pos_col: str | None = None) -> DataFrame:
     """0-based position of each row in input order, without a
     single-partition window over the data.
 
-    Rows are ordered by ``block_cols`` (values constant per input split,
-    e.g. file path and split start) and then by their position inside the
-    split (``pos_col``, e.g. a parquet row index, else the generated id).
-    Only one row per split goes through the offset window; the data itself
-    is joined to its split's offset (broadcast when the number of splits is
-    proved small).  Without ``block_cols`` the partition order is the input
-    order.
+    Rows are ordered by ``block_cols`` (the file, then what is constant per
+    input split, e.g. its start) and then by their position inside the split
+    (``pos_col``, e.g. a parquet row index, else the generated id).  Offsets
+    are computed in two levels: of the splits within each file, and of the
+    files, so only one row per file meets in one task.  The data joins its
+    split's offset; the planner broadcasts the offsets while they are small.
+    Without ``block_cols`` the partition order is the input order.
     """
+    blocks = list(block_cols) if block_cols else ["_part"]
     d = df.withColumn("_mid", F.col(pos_col).cast("bigint") if pos_col else F.monotonically_increasing_id())
-    if block_cols:
-        d = d.withColumn("_blk", F.struct(*[F.col(c) for c in block_cols]))
-    else:
-        d = d.withColumn("_blk", F.struct(F.spark_partition_id().alias("p")))
-    blocks = d.groupBy("_blk").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    blocks = blocks.withColumn(
-        "_off", F.sum("_n").over(Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)))
-    blocks = blocks.select("_blk", "_m0", F.coalesce(F.col("_off"), F.lit(0)).alias("_off"))
-    if _split_bound(df) <= max_broadcast_blocks:
-        blocks = F.broadcast(blocks)  # one row per split: bounded without running a job
+    if not block_cols:
+        d = d.withColumn("_part", F.spark_partition_id())
+    sizes = d.groupBy(*blocks).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    before = (Window.unboundedPreceding, -1)
+    if len(blocks) > 1:
+        files = sizes.groupBy(blocks[0]).agg(F.sum("_n").alias("_n"))
+        files = files.select(blocks[0], F.sum("_n").over(Window.orderBy(blocks[0]).rowsBetween(*before)).alias("_file"))
+        inside = Window.partitionBy(blocks[0]).orderBy(*blocks[1:])
+        sizes = sizes.withColumn("_off", F.sum("_n").over(inside.rowsBetween(*before))).join(files, blocks[0])
     else:
-        blocks = bounded_broadcast(blocks, max_broadcast_blocks)
-    out = d.join(blocks, "_blk").withColumn(col, F.col("_off") + F.col("_mid") - F.col("_m0"))
-    return out.drop("_mid", "_blk", "_m0", "_off")
-
-
-def _split_bound(df: DataFrame) -> int:
-    """Upper bound on the number of input splits of ``df``, from planning
-    only (no job): a scan partition packs splits of at least
-    ``openCostInBytes`` up to ``maxPartitionBytes``."""
-    conf = df.sparkSession.conf
-    try:
-        max_bytes = _bytes(conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-        open_cost = max(_bytes(conf.get("spark.sql.files.openCostInBytes", "4m")), 1)
-        return df.rdd.getNumPartitions() * (max_bytes // open_cost + 1)
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): no static bound
-        return 1 << 62
-
-
-def _bytes(v: str) -> int:
-    v = str(v).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    for suffix in ("kb", "mb", "gb", "tb", "b"):
-        if v.endswith(suffix):
-            v = v[: -len(suffix)] if suffix == "b" else v[: -len(suffix)] + suffix[0]
-            break
-    if v and v[-1] in units:
-        return int(float(v[:-1]) * units[v[-1]])
-    return int(v)
+        inside = Window.orderBy(*blocks)
+        sizes = sizes.withColumn("_off", F.sum("_n").over(inside.rowsBetween(*before))).withColumn("_file", F.lit(0))
+    first = F.coalesce(F.col("_file"), F.lit(0)) + F.coalesce(F.col("_off"), F.lit(0)) - F.col("_m0")
+    out = d.join(sizes.select(*blocks, first.alias("_first")), blocks).withColumn(col, F.col("_first") + F.col("_mid"))
+    return out.drop("_mid", "_first", "_part")
 
 
 def row_slice(df: DataFrame, start: int | None = None, end: int | None = None, col: str = "line_no") -> DataFrame:

@@ -18,9 +18,10 @@ def _lst(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-P1 = _lst(C.POSTFIX_1_EXCEPTION)
-P2 = _lst(C.POSTFIX_2_EXCEPTION)
-COLD = _lst(C.COLD_STORAGE_CLASSES)
+# Fixed values, spelled out apart from the library's own.
+P1 = _lst(("gdc-cmi-mbc-phs001709", "gdc-cmi-asc-phs001931", "gdc-cmi-mpc-phs001939", "gdc-rebc-thyr-phs001134", "gdc-trio-cru-phs001163"))
+P2 = _lst(("gdc-cgci-phs000235", "tcga", "gdc-organoid-pancreatic-phs001611", "gdc-beataml1-cohort-phs001657"))
+COLD = _lst(("DEEP_ARCHIVE", "GLACIER", "GLACIER_IR"))
 WS = r"'^\s+|\s+$'"
 
 
@@ -173,7 +174,7 @@ plan as (
   case when p.act <> 'SOURCE' then p.act
    when b.b.k is null or coalesce(b.b.s, 'STANDARD') in ({COLD}) then 'STREAM' else 'COPY' end as action,
   case when p.act = 'MOVE' then 'AWS' when p.act = 'SOURCE' then
-   case when b.b.k is null or coalesce(b.b.s, 'STANDARD') in ({COLD}) then 'API' else 'AWS' end end as copy_method,
+   case when b.b.k is null or coalesce(b.b.s, 'STANDARD') in ({COLD}) then 'GDCAPI' else 'AWS' end end as copy_method,
   case when p.act = 'MOVE' then true when p.act = 'SOURCE' then b.b.k is not null else false end as in_summary,
   (not p.present) or p.tsize <> p.size as needs_copy,
   case when not p.known_project then 'unknown_project' when not p.bucket_exists then 'no_bucket' end as reject_reason
@@ -365,10 +366,9 @@ ORACLE["flip"] = _q(ROUTE, f"select line_no, target_bucket, {flip_sql('target_bu
 ORACLE["reverse"] = _q(ROUTE, f"select line_no, target_bucket, {reverse_sql('target_bucket')} as reversed from r")
 ORACLE["gs_reverse"] = _q(ROUTE, f"select line_no, gs_bucket, acl, {gs_reverse_sql('gs_bucket', 'acl')} as gs_reversed from r")
 ORACLE["expected_buckets"] = _q(w("f_project_map", extra=[EXPECTED]), "select provider, bucket from expected")
-ORACLE["missing_buckets"] = _q(w("f_project_map", "f_inventory_raw", "f_gs_inventory", extra=[EXPECTED]), """
+ORACLE["missing_buckets"] = _q(w("f_project_map", "f_listed", extra=[EXPECTED]), """
 select provider, bucket from expected e
-where not exists (select 1 from f_inventory_raw i where i.bucket = e.bucket)
-  and not exists (select 1 from f_gs_inventory g where g.bucket = e.bucket)
+where not exists (select 1 from f_listed i where i.bucket = e.bucket)
 """)
 ORACLE["parse_urls"] = f"""
 select page_id, lower(regexp_extract(url, {URL_RE}, 1)) as scheme, regexp_extract(url, {URL_RE}, 2) as netloc,
@@ -411,15 +411,15 @@ from f_manifest m left join best b on m.line_no = b.line_no
 ORACLE["copy_plan_aws"] = _q(AWS_PLAN, "select * from plan")
 ORACLE["copy_summary"] = _q(AWS_PLAN.rstrip() + ",\n" + """
 cat as (
- select case when not in_summary then (case when copy_method = 'API' then 'API_NOT_COUNTED' end)
-  when copy_method = 'API' then 'API'
+ select case when not in_summary then (case when copy_method = 'GDCAPI' then 'STREAM_NOT_COUNTED' end)
+  when copy_method = 'GDCAPI' then 'GDCAPI'
   when coalesce(storage_class = 'INTELLIGENT_TIERING', false) then 'AWS_INTELLIGENT_TIERING'
   else 'AWS_OTHER' end as category, size from plan
 )
 """, """
 select v.category, coalesce(a.n, 0) as n_files, coalesce(a.b, 0) as total_bytes,
  cast(coalesce(a.b, 0) as double) / 1073741824.0 as total_gib
-from (values ('API'), ('AWS_INTELLIGENT_TIERING'), ('AWS_OTHER'), ('API_NOT_COUNTED')) v(category)
+from (values ('GDCAPI'), ('AWS_INTELLIGENT_TIERING'), ('AWS_OTHER'), ('STREAM_NOT_COUNTED')) v(category)
 left join (select category, count(*) as n, cast(sum(size) as bigint) as b from cat group by category) a
  on a.category = v.category
 """)
@@ -442,6 +442,27 @@ select line_no, id, concat_ws(chr(9), coalesce(id, 'None'), coalesce(file_name,
 from gsplan
 """)
 
+_NO_FLAG = "cast(null as boolean)"
+ORACLE["validate_aws"] = _q(VALIDATE, f"""
+select line_no, id, no_index, aws_copy_fail, aws_index_fail, {_NO_FLAG} as gs_copy_fail, {_NO_FLAG} as gs_index_fail from v
+""")
+ORACLE["validate_gs"] = _q(VALIDATE, f"""
+select line_no, id, no_index, {_NO_FLAG} as aws_copy_fail, {_NO_FLAG} as aws_index_fail, gs_copy_fail, gs_index_fail from v
+""")
+ORACLE["result_log_round_trip"] = _q(GS_PLAN, """
+select id, concat_ws(chr(9), coalesce(id, 'None'), coalesce(replace(file_name, ' ', '_'), 'None'), cast(size as varchar),
+ coalesce(md5, 'None'), coalesce(acl, 'None'), coalesce(project_id, 'None'),
+ case when copy_success then 'True' else 'False' end, case when index_success then 'True' else 'False' end,
+ coalesce(message, 'None')) as line, 'r1' as release
+from gsplan
+""")
+ORACLE["manifest_round_trip"] = _q(w("f_names"), """
+select row_number() over (order by id) - 1 as line_no, id, file_name, size, md5 from f_names
+""")
+ORACLE["index_assemble"] = _q(w("f_index_urls", "f_index_attrs", extra=[INDEX]), """
+select did, array_to_string(urls, '|') as urls, array_to_string(list_sort(urls), '|') as meta_keys,
+ array_to_string(acl, '|') as acl, array_to_string(authz, '|') as authz, md5, size from idx
+""")
 ORACLE["validate_rows"] = _q(VALIDATE, """
 select manifest_no, line_no, id, no_index, aws_copy_fail, aws_index_fail, gs_copy_fail, gs_index_fail, aws_url, gs_url,
  indexd_url, reject_reason from v
@@ -548,12 +569,12 @@ select id, cast(sum(least(s + {_CH - 1}, size - 1) - s + 1) as bigint) as receiv
 from (select id, size, unnest(generate_series(0, size - 1, {_CH})) as s from f_manifest where size > 0) t
 group by id
 """)
-ORACLE["gs_blob_checks"] = _q(w("f_verify"), """
-select v.doc_id as id, d.doc_id is not null as exists,
- d.doc_id is not null and coalesce(cast(length(d.text) as bigint) = v.size and md5(d.text) = v.md5, false)
+ORACLE["gs_blob_checks"] = _q(w("f_verify", "f_blobs"), """
+select v.doc_id as id, d.blob_id is not null as exists,
+ d.blob_id is not null and coalesce(cast(length(d.text) as bigint) = v.size and md5(d.text) = v.md5, false)
   as exists_and_match,
- d.doc_id is not null and coalesce(md5(d.text) <> v.md5, false) as resumable_copy_failed
-from f_verify v left join (select * from documents where doc_id % 17 <> 0) d on d.doc_id = v.doc_id
+ d.blob_id is not null and coalesce(md5(d.text) <> v.md5, false) as resumable_copy_failed
+from f_verify v left join f_blobs d on d.blob_id = v.doc_id
 """)
 # C3 -> C6: URLs produced by the GS copy plan merged into the index.
 INDEX_MERGE_GS = w(*MAN, "f_buckets", "f_gs_inventory", "f_ignored", "f_index_urls", "f_index_attrs",

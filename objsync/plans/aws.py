@@ -15,7 +15,7 @@ from objsync.operators.inventory import (
     inventory_by_key, listed, listed_size, probe_join, restrict_to_buckets,
 )
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import bounded_broadcast, small_distinct, last_wins
+from objsync.operators.relational import last_wins
 
 
 def route_aws(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -130,8 +130,7 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
     if resolve_sources not in ("all", "needed"):
         raise ValueError("resolve_sources must be 'all' or 'needed'")
     m = route_aws(manifest, project_map, cfg)
-    bl = bounded_broadcast(small_distinct(buckets.select("bucket"), cfg.broadcast_max_rows)
-                           .withColumn("_bx", F.lit(True)), cfg.broadcast_max_rows)
+    bl = buckets.select("bucket").distinct().withColumn("_bx", F.lit(True))
     m = (m.join(bl, m["target_bucket"] == bl["bucket"], "left").drop("bucket")
           .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))
     m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"))
@@ -164,8 +163,8 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
         F.when(sourced, F.col("source_priority")).alias("source_priority"),
         F.when(sourced & found, sc).alias("storage_class"),
         "action",
-        F.when(F.col("action") == "MOVE", F.lit("AWS")).when(F.col("action") == "COPY", F.lit("AWS"))
-        .when(F.col("action") == "STREAM", F.lit("API")).alias("copy_method"),
+        F.when(F.col("action").isin("MOVE", "COPY"), F.lit(C.SERVER_METHOD))
+        .when(F.col("action") == "STREAM", F.lit(C.STREAM_METHOD)).alias("copy_method"),
         (F.col("action").isin("MOVE", "COPY") | ((F.col("action") == "STREAM") & found)).alias("in_summary"),
         (~present | (listed_size("objects", "target_bucket") != F.col("size"))).alias("needs_copy"),
         F.when(~F.col("known_project"), F.lit("unknown_project"))
@@ -185,22 +184,22 @@ def copy_counters(plan: DataFrame) -> DataFrame:
     return out.withColumn("processed_gib", gib("processed_bytes"))
 
 
-SUMMARY_CATEGORIES = ("API", "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "API_NOT_COUNTED")
+SUMMARY_CATEGORIES = (C.STREAM_METHOD, "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "STREAM_NOT_COUNTED")
 
 
 def copy_summary(plan: DataFrame) -> DataFrame:
     """A3: dry-run summary, one row per category.
 
     The first three are the job's printed counters (rows of the summary:
-    MOVE, COPY and cold-storage STREAM).  ``API_NOT_COUNTED`` reports the
+    MOVE, COPY and cold-storage STREAM).  ``STREAM_NOT_COUNTED`` reports the
     streamed rows without a source key, which the job leaves out of its
     counters.  A global two-phase aggregate: partial sums map-side, one row
     per task shuffled.
     """
-    api = F.col("copy_method") == "API"
+    api = F.col("copy_method") == C.STREAM_METHOD
     it = F.coalesce(F.col("storage_class") == C.INTELLIGENT_TIERING, F.lit(False))
-    cat = (F.when(~F.col("in_summary"), F.when(api, F.lit("API_NOT_COUNTED")))
-           .when(api, F.lit("API"))
+    cat = (F.when(~F.col("in_summary"), F.when(api, F.lit("STREAM_NOT_COUNTED")))
+           .when(api, F.lit(C.STREAM_METHOD))
            .when(it, F.lit("AWS_INTELLIGENT_TIERING"))
            .otherwise(F.lit("AWS_OTHER")))
     aggs = []

@@ -14,7 +14,7 @@ from objsync.functions import urls as U
 from objsync.functions.objects import py_bool_text, py_text
 from objsync.operators.inventory import inventory_by_key, listed, probe_join, restrict_to_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import bounded_broadcast, small_distinct, bounded_count, last_wins
+from objsync.operators.relational import last_wins
 
 
 def ignored_objects(ignored: DataFrame, order_col: str | None = None) -> DataFrame:
@@ -72,7 +72,7 @@ GS_PLAN_COLUMNS = [
 
 
 def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, gs_inventory: DataFrame,
-              ignored_objs: DataFrame, cfg: PlanConfig, check_ignored_nonempty: bool = True) -> DataFrame:
+              ignored_objs: DataFrame, cfg: PlanConfig) -> DataFrame:
     """Per row, first match: empty file -> ``SKIP_EMPTY``; unknown project
     or missing bucket -> ``REJECT``; ignored id -> ``INDEX_ONLY`` (C3: the
     structured object's URL is indexed when listed); null ACL -> ``ERROR``;
@@ -81,11 +81,8 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, g
     job's result row assuming every copy succeeds; an invalid ACL fails the
     index update with an internal error.  ``index_url`` is the URL handed to
     the index merge (null when nothing is indexed)."""
-    if check_ignored_nonempty and bounded_count(ignored_objs, 0) == 0:
-        raise ValueError("expecting a non-empty ignored-objects table")
     m = attach_projects(manifest, project_map, cfg)
-    bl = bounded_broadcast(small_distinct(buckets.select("bucket"), cfg.broadcast_max_rows)
-                           .withColumn("_bx", F.lit(True)), cfg.broadcast_max_rows)
+    bl = buckets.select("bucket").distinct().withColumn("_bx", F.lit(True))
     m = m.withColumn("gs_bucket", R.gs_bucket("gs_bucket_prefix", "acl"))
     m = (m.join(bl, m["gs_bucket"] == bl["bucket"], "left").drop("bucket")
           .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))

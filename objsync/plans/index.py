@@ -82,33 +82,30 @@ def index_updates(rows: DataFrame, cfg: PlanConfig, url_col: str = "url") -> Dat
         A.acl_valid("acl").alias("valid"))
 
 
+#: Lines per block of the first reduction of a record's updates.
+RUN_BLOCK = 1_000_000
+
+
 def _update_runs(up: DataFrame, namespace: str = "") -> DataFrame:
     """Per did, the first update of every run of identical updates, as
     ``ups: array<struct<line_no, url, acl_l, authz_l, md5, size>>`` sorted by
     line.
 
-    Updates are first reduced by ``(did, url, acl, md5, size)`` text with
-    fixed-width ``min``/``max`` of the line (a hash aggregate with partial
-    aggregation), so copies of one update (a hot did) collapse map-side.
+    Updates are read once.  Each block of lines of a did is reduced to its run
+    starts first, so a did with a large share of all rows is spread over as
+    many tasks as it has blocks; what is left of a did then meets in one
+    partitioning, where the block edges are checked and the list is built.
     Two ACL texts that parse alike only add a run boundary, which the fold
-    treats as a no-op.  When a did's signatures occupy disjoint line ranges,
-    each signature is one run; only dids whose signatures interleave go
-    back to their update rows, where a line-ordered ``lag`` window finds the
-    run starts.
+    treats as a no-op.
     """
-    keys = ["url", "acl", "md5", "size"]
-    stats = up.groupBy("did", *keys).agg(F.min("line_no").alias("lo"), F.max("line_no").alias("hi"))
-    w = Window.partitionBy("did").orderBy("lo")
-    stats = stats.withColumn("_prev_hi", F.max("hi").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    mixed = stats.groupBy("did").agg(F.bool_or(F.coalesce(F.col("_prev_hi") > F.col("lo"), F.lit(False)))
-                                     .alias("_mixed"))
-    simple = stats.join(mixed.filter(~F.col("_mixed")), "did", "left_semi") \
-        .select("did", F.col("lo").alias("line_no"), *keys)
-    rows = up.join(mixed.filter(F.col("_mixed")), "did", "left_semi")
-    sig = F.struct(*keys)
-    lw = Window.partitionBy("did").orderBy("line_no")
-    rows = rows.withColumn("_prev", F.lag(sig).over(lw)).filter(F.col("_prev").isNull() | (F.col("_prev") != sig))
-    runs = simple.unionByName(rows.select("did", "line_no", *keys))
+    sig = F.struct("url", "acl", "md5", "size")
+
+    def run_starts(rows: DataFrame, *by: str) -> DataFrame:
+        before = F.lag(sig).over(Window.partitionBy(*by).orderBy("line_no"))
+        return rows.withColumn("_prev", before).filter(F.col("_prev").isNull() | (F.col("_prev") != sig)).drop("_prev")
+
+    blocks = up.select("did", "line_no", "url", "acl", "md5", "size", F.floor(F.col("line_no") / RUN_BLOCK).alias("_block"))
+    runs = run_starts(run_starts(blocks, "did", "_block"), "did")
     runs = runs.select("did", "line_no", "url", A.acl_list("acl").alias("acl_l"),
                        A.authz_list("acl", namespace).alias("authz_l"), "md5", "size")
     return runs.groupBy("did").agg(
@@ -129,10 +126,6 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     only the first of each run of identical updates is folded (see
     ``_update_runs``): the collected per-did list holds only changes.
 
-    ``updates`` is read twice (signature statistics, and the rows of records
-    with interleaved updates): materialize it first when it comes from an
-    expensive plan (the jobs write their plans; ``checkpoint()`` works too).
-
     ``changes_only=True`` returns only the records that have updates (no
     ``untouched`` rows): the index is then the non-preserved side of a left
     join, which lets Spark's runtime Bloom filter prune the index scan when
@@ -161,7 +154,7 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
         authz_same = A.same_set(st["authz"], u["authz_l"])
         return F.struct(
             F.when(present, st["urls"]).otherwise(F.concat(rc["kept"], F.array(u["url"]))).alias("urls"),
-            F.when(present, st["removed"]).otherwise(F.concat(st["removed"], rc["removed"])).alias("removed"),
+            F.when(present, st["removed"]).otherwise(F.array_union(st["removed"], rc["removed"])).alias("removed"),
             F.when(acl_same, st["acl"]).otherwise(u["acl_l"]).alias("acl"),
             F.when(authz_same, st["authz"]).otherwise(u["authz_l"]).alias("authz"),
             (st["changed"] | ~present | ~acl_same | ~authz_same).alias("changed"))

@@ -3,7 +3,8 @@
 The plan rows are partitioned by Spark; each task copies or moves its
 objects with ``pyarrow.fs`` (local, HDFS or any filesystem pyarrow can
 open) and returns one result row per plan row.  A failed task is retried
-by Spark; copies overwrite, so a retried task is idempotent.  Streaming
+by Spark; copies overwrite and a move that is done counts as done, so a
+retried task is idempotent.  Streaming
 from the data API has no counterpart here and is reported, not executed.
 """
 
@@ -51,6 +52,9 @@ def _copier(source_root: str, target_root: str, dry_run: bool):
                     elif action == "MOVE":
                         src = f"{dst_base}/{row.reversed_bucket}/{row.object_key}"
                         if not dry_run:
+                            if size_of(dst_fs, src) is None and size_of(dst_fs, dst) == row.size:
+                                ok.append(True), msg.append("already moved")  # by an attempt that was lost
+                                continue
                             dst_fs.create_dir(dst.rsplit("/", 1)[0], recursive=True)
                             dst_fs.move(src, dst)
                     else:

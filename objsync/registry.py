@@ -7,11 +7,13 @@ from __future__ import annotations
 
 import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from objsync import sinks
 from objsync.config import PlanConfig
 from objsync.functions import acl as A
 from objsync.functions import objects as O
@@ -23,6 +25,7 @@ from objsync.operators.relational import row_slice, with_line_no
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V, verify as VF
 from objsync.session import app_id, ensure_checkpoint_dir
 from objsync.sources.fixtures import Fixtures
+from objsync.sources.readers import read_manifest
 
 CHUNK_QUERY_BYTES = 8 * 1024 * 1024  # part size of the chunk_plan query
 SLICE = (1000, 5000)  # rows[start:end] of the row_slice query
@@ -84,9 +87,7 @@ def q_expected_buckets(spark, d):
 def q_missing_buckets(spark, d):
     f = fx(spark, d)
     exp = expected_buckets(f["f_project_map"])
-    inv = dedupe_inventory(f["f_inventory_raw"]).select("bucket")
-    gsi = dedupe_inventory(f["f_gs_inventory"]).select("bucket")
-    return missing_buckets(exp, inv.unionByName(gsi))
+    return missing_buckets(exp, f["f_listed"])
 
 
 def q_parse_urls(spark, d):
@@ -285,8 +286,8 @@ def q_gs_blob_checks(spark, d):
     f = fx(spark, d)
     v = f["f_verify"]
     expected = v.select(F.col("doc_id").alias("id"), "size", "md5")
-    blobs = f["documents"].filter(F.col("doc_id") % 17 != 0).select(
-        F.col("doc_id").alias("id"), F.length("text").cast("bigint").alias("blob_size"),
+    blobs = f["f_blobs"].select(
+        F.col("blob_id").alias("id"), F.length("text").cast("bigint").alias("blob_size"),
         O.md5_base64(F.md5("text")).alias("md5_base64"))
     return VF.gs_blob_checks(expected, blobs)
 
@@ -294,14 +295,50 @@ def q_gs_blob_checks(spark, d):
 def q_index_merge_gs(spark, d):
     cfg = _cfg()
     plan = q_copy_plan_gs(spark, d).filter(F.col("index_url").isNotNull())
-    # the merge reads its updates twice: cut the copy plan's lineage once
-    # (reliable checkpoint in the session's checkpoint folder)
-    ensure_checkpoint_dir(spark)
-    updates = I.index_updates(plan, cfg, url_col="index_url").checkpoint(eager=True)
-    merged = I.merge_index(_index(spark, d), updates, cfg)
+    merged = I.merge_index(_index(spark, d), I.index_updates(plan, cfg, url_col="index_url"), cfg)
     return _index_text(merged, "change")
 
 
+def q_index_assemble(spark, d):
+    f = fx(spark, d)
+    return _index_text(I.index_from_long_form(f["f_index_urls"], f["f_index_attrs"]))
+
+
+def q_index_merge_multi(spark, d):
+    """Several interleaved updates per record; every third update is of one record."""
+    cfg = _cfg()
+    return _index_text(I.merge_index(_index(spark, d), I.index_updates(fx(spark, d)["f_updates"], cfg), cfg), "change")
+
+
+def q_validate_platform(platform):
+    def query(spark, d):
+        f = fx(spark, d)
+        rows = V.validate_rows(f["f_manifest"], f["f_project_map"], I.index_url_map(_index(spark, d)),
+                               f["f_inventory_raw"], f["f_gs_inventory"], _ignored(spark, d), _cfg(platform=platform))
+        return rows.select("line_no", "id", "no_index", "aws_copy_fail", "aws_index_fail", "gs_copy_fail", "gs_index_fail")
+    return query
+
+
+def _tsv_folder(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), f"objsync-{name}-{uuid.uuid4().hex}")
+
+
+def q_manifest_round_trip(spark, d):
+    """Names with blanks at the ends, quotes and tabs, written and read back."""
+    path = _tsv_folder(spark, "manifest")
+    sinks.write_tsv(fx(spark, d)["f_names"], path, fields=["id", "file_name", "size", "md5"], sort_by="id")
+    return read_manifest(spark, path).select("line_no", "id", "file_name", "size", "md5")
+
+
+def q_result_log_round_trip(spark, d):
+    """K4 written twice for one release (a rerun) and read back."""
+    path = _tsv_folder(spark, "log")
+    plan = q_copy_plan_gs(spark, d)
+    for _ in range(2):
+        sinks.write_result_log(plan, path, "r1")
+    return spark.read.parquet(path).select("id", "line", F.col("release").cast("string").alias("release"))
+
+
 def q_inventory_last_wins(spark, d):
     return dedupe_inventory(fx(spark, d)["f_inventory_raw"])
 
@@ -357,6 +394,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "received_bytes": q_received_bytes,
     "gs_blob_checks": q_gs_blob_checks,
     "index_merge_gs": q_index_merge_gs,
+    "index_assemble": q_index_assemble,
+    "index_merge_multi": q_index_merge_multi,
+    "validate_aws": q_validate_platform("AWS"),
+    "validate_gs": q_validate_platform("GS"),
+    "manifest_round_trip": q_manifest_round_trip,
+    "result_log_round_trip": q_result_log_round_trip,
     "row_slice": q_row_slice,
     "group_complete": q_group_complete,
 }

@@ -37,26 +37,19 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "app")
 
 
-def parallelism(spark: SparkSession, default: int = 8) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        return default
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a scratch folder is set.
+    Only a ``local`` session without that setting (tests) gets a scratch
+    folder; on a cluster the setting is required, because executors on other
+    hosts would not see this host's folder.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no JVM context: use the configured folder or a local scratch one
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="objsync-ckpt-")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="objsync-ckpt-"))
+    if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="objsync-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return sc.getCheckpointDir()

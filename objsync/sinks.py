@@ -20,6 +20,13 @@ def _render(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+def _tsv(df: DataFrame, mode: str):
+    """TSV with header that ``read_manifest`` reads back unchanged: blanks stay,
+    a quote inside a quoted field is doubled."""
+    return (df.write.mode(mode).option("sep", "\t").option("header", True).option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
 def write_tsv(df: DataFrame, path: str, fields: Sequence[str] | None = None, sort_by: str | None = None,
               mode: str = "overwrite", single_file: bool = False) -> None:
     """K1: TSV with header; ``fields`` fixes the columns (missing ones are
@@ -39,7 +46,7 @@ def write_tsv(df: DataFrame, path: str, fields: Sequence[str] | None = None, sor
     out = _render(out)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode(mode).option("sep", "\t").option("header", True).option("emptyValue", "").csv(path)
+    _tsv(out, mode).option("emptyValue", "").csv(path)
 
 
 def write_pipeline_manifest(pm: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -47,7 +54,7 @@ def write_pipeline_manifest(pm: DataFrame, path: str, mode: str = "overwrite") -
     spaces) as TSV with header."""
     cols = [F.col("id"), safe_name("file_name").alias("file_name"), F.col("size"), F.col("md5"),
             compact_acl("acl").alias("acl"), F.col("project_id")]
-    pm.select(*cols).write.mode(mode).option("sep", "\t").option("header", True).csv(path)
+    _tsv(pm.select(*cols), mode).csv(path)
 
 
 def write_result_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -55,21 +62,21 @@ def write_result_lines(lines: DataFrame, path: str, mode: str = "overwrite") ->
     lines.select("line").write.mode(mode).text(path)
 
 
-def write_result_log(plan: DataFrame, path: str, release: str, mode: str = "append") -> None:
+def write_result_log(plan: DataFrame, path: str, release: str, mode: str = "overwrite") -> None:
     """K4: per-object result rows as one table partitioned by release
-    (instead of one object per row)."""
+    (instead of one object per row); a rerun replaces its release."""
     from objsync.plans.gs import result_lines
 
     result_lines(plan, safe_names=True).withColumn("release", F.lit(release)) \
-        .select("release", "id", "line").write.mode(mode).partitionBy("release").parquet(path)
+        .select("release", "id", "line").write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("release").parquet(path)
 
 
-def write_deletion_log(log: DataFrame, path: str, release: str, mode: str = "append") -> None:
+def write_deletion_log(log: DataFrame, path: str, release: str, mode: str = "overwrite") -> None:
     """K5: deletion log rows (``config.DELETION_LOG_FIELDS``) as
     JSON lines partitioned by release and provider (the job writes them only
-    on a real run)."""
+    on a real run); a rerun replaces its partitions."""
     log.select(F.lit(release).alias("release"), "provider", *C.DELETION_LOG_FIELDS) \
-        .write.mode(mode).partitionBy("release", "provider").json(path)
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("release", "provider").json(path)
 
 
 def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:

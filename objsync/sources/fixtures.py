@@ -34,6 +34,7 @@ select * from (values
  ('P7','gdc-rebc-thyr-phs001134','gdc-rebc-thyr-phs001134'),
  ('P8','gdc-varepop-apollo-phs001374','gdc-varepop-apollo-phs001374')
 ) as t(project_id, aws_bucket_prefix, gs_bucket_prefix)
+where project_id in (select 'P' || cast(o_custkey % 10 as string) from {orders})
 """
 
 # Literal bucket names per project, independent of the routing code.
@@ -93,6 +94,11 @@ select 'gdc-ccle-2-controlled', m.id || '/' || m.file_name, m.size, 'STANDARD',
 from {f_manifest} m where m.project_id = 'P2' and m.k % 3 = 2
 """
 
+# Stored objects; those of doc_id % 17 = 0 are under another id.
+FIXTURES["f_blobs"] = """
+select case when doc_id % 17 = 0 then -1 - doc_id else doc_id end as blob_id, text from {documents}
+"""
+
 # Source-bucket listing; k%11 in (8,9,10) absent; k%11=2 has name+URL keys,
 # k%11=3 URL+id keys.
 FIXTURES["f_source"] = """
@@ -140,6 +146,12 @@ select g.gs_bucket_prefix || case when m.k % 2 = 0 then '-open' else '-controlle
 from {f_manifest} m join {f_project_map} g on m.project_id = g.project_id where m.k % 31 = 0 and m.k % 93 <> 0
 """
 
+# What a listing run that failed on three buckets returns.
+FIXTURES["f_listed"] = """
+select bucket, key from (select bucket, key from {f_inventory_raw} union all select bucket, key from {f_gs_inventory}) t
+where bucket not in ('gdc-cgci-phs000235-2-open', 'gdc-cgci-phs000235-controlled', 'gdc-varepop-apollo-phs001374-open')
+"""
+
 # Structured objects; k%62=0 lives on another host and must be filtered out.
 FIXTURES["f_ignored"] = """
 select id as gdc_uuid, size as gcs_object_size, '2016-03-28T21:51:54Z' as gcs_object_time_stamp, md5 as md5sum, 'phs000178' as acl,
@@ -154,6 +166,29 @@ select open_bucket as bucket from {f_project_buckets}
 union select controlled_bucket from {f_project_buckets} where project_id <> 'P7'
 """
 
+# Five updates for some records, told apart by bucket and ACL; the records of
+# k % 3 = 0 are updated once and every one of their rows also hits one record.
+FIXTURES["f_updates"] = """
+select 8 * k as line_no, id, acl, md5, size, 's3://' || open_bucket || '/' || id as url
+from {f_manifest} m join {f_project_buckets} p on m.project_id = p.project_id where k % 2 = 1
+union all
+select 8 * k + 1, id, acl, md5, size, 's3://' || controlled_bucket || '/' || id
+from {f_manifest} m join {f_project_buckets} p on m.project_id = p.project_id where k % 4 = 1
+union all
+select 8 * k + 2, id, acl, md5, size, 'gs://other-open/' || id from {f_manifest} where k % 8 = 1
+union all
+select 8 * k + 3, 'hot', '[' || chr(39) || 'open' || chr(39) || ']', 'm', cast(7 as bigint),
+ case when k % 5 = 0 then 's3://hot-open/x' when k % 7 = 0 then 's3://hot-2-controlled/y' else 'gs://hot-open/z' end
+from {f_manifest}
+"""
+
+# File names that a careless writer or reader changes.
+FIXTURES["f_names"] = """
+select id, k, size, md5, case k % 6 when 0 then ' lead ' || cast(k as string) when 1 then 'trail ' || cast(k as string) || ' '
+ when 2 then 'q"uote ' || cast(k as string) when 3 then 'tab' || chr(9) || cast(k as string) when 4 then '"' || cast(k as string) || '"'
+ else 'back' || chr(92) || cast(k as string) end as file_name from {f_manifest}
+"""
+
 # Integrity check over real text.
 FIXTURES["f_verify"] = """
 select doc_id, case when doc_id % 11 = 0 then n_chars + 1 else n_chars end as size,
@@ -179,11 +214,8 @@ class Fixtures:
     table.  With ``materialize=False`` the tables stay lazy views.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, partitions: int | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
         self.spark, self.sf_dir, self.materialize = spark, sf_dir, materialize
-        from objsync.session import parallelism
-
-        self.partitions = partitions or parallelism(spark)
         self._cache: dict[str, DataFrame] = {}
         self._root = None
         self._lock = threading.RLock()  # fixtures derive from each other
@@ -208,7 +240,7 @@ class Fixtures:
             df = self.spark.sql(text, **{d: self.table(d) for d in _deps(text)})
             if self.materialize:
                 path = os.path.join(self._folder(), name)
-                df.repartition(self.partitions).write.mode("overwrite").parquet(path)
+                df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
         self._cache[name] = df
         return df
@@ -222,7 +254,7 @@ class Fixtures:
                 df = build()
                 if self.materialize:
                     path = os.path.join(self._folder(), name)
-                    df.repartition(self.partitions).write.mode("overwrite").parquet(path)
+                    df.write.mode("overwrite").parquet(path)
                     df = self.spark.read.parquet(path)
                 self._cache[name] = df
             return self._cache[name]

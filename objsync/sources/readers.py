@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from objsync import config as C
-from objsync.operators.relational import bounded_broadcast, row_slice, with_line_no
+from objsync.functions.acl import py_strip
+from objsync.operators.relational import row_slice, with_line_no
 
 _INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 
@@ -32,11 +33,12 @@ def read_manifest(spark: SparkSession, path: str | list[str], sep: str = "\t", s
     Columns come from the header (all text, empty fields as '' like a
     ``DictReader``), ``size`` is a strict integer, and ``line_no`` is the
     0-based row position in file order (W1; rows of several files follow
-    the path order).  ``start``/``end`` slice by position (S4);
+    the path order; their headers must be equal, else the read fails).  ``start``/``end`` slice by position (S4);
     ``shuffle_seed`` randomizes the row order (W6) by adding ``rand_key``.
     """
     raw = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
-           .option("mode", "FAILFAST").csv(path))
+           .option("mode", "FAILFAST")
+           .option("enforceSchema", False).csv(path))
     cols = raw.columns
     if "size" not in cols or "id" not in cols:
         raise ValueError("manifest needs at least the id and size columns")
@@ -57,11 +59,11 @@ def read_pipeline_manifest(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_fp"),
                                        F.col("_metadata.file_block_start").alias("_fb"))
     numbered = with_line_no(raw, col="_pos", block_cols=["_fp", "_fb"])
-    firsts = bounded_broadcast(numbered.groupBy("_fp").agg(F.min("_pos").alias("_pos")).withColumn("_hdr", F.lit(True)),
-                               1_000_000)
+    firsts = numbered.groupBy("_fp").agg(F.min("_pos").alias("_pos")).withColumn("_hdr", F.lit(True))
     body = numbered.join(firsts, ["_fp", "_pos"], "left").filter(F.col("_hdr").isNull())
-    words = F.split(F.trim(F.col("value")), r"\s+")
-    out = body.filter(F.trim(F.col("value")) != "").select(
+    line = py_strip(F.col("value"))
+    words = F.split(line, r"\s+")
+    out = body.filter(line != "").select(
         F.col("_pos").alias("line_no"),
         *[F.try_element_at(words, F.lit(i + 1)).alias(c) for i, c in enumerate(C.PIPELINE_COLUMNS)])
     return out.withColumn("size", _strict_long("size"))

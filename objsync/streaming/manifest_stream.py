@@ -27,8 +27,8 @@ def plan_batch(batch: DataFrame, epoch_id: int, project_map: DataFrame, buckets:
                source_inventory: DataFrame, cfg: PlanConfig) -> DataFrame:
     """The plan of one micro-batch: rows numbered in file order within the
     batch (W1), then C1."""
-    df = batch.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in batch.columns if c != "_fp"], "_fp")
-    df = with_line_no(df, block_cols=["_fp"]).withColumnRenamed("_fp", "manifest_file")
+    df = batch.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in batch.columns if c not in ("_fp", "_fb")], "_fp", "_fb")
+    df = with_line_no(df, block_cols=["_fp", "_fb"]).drop("_fb").withColumnRenamed("_fp", "manifest_file")
     df = df.withColumn("size", F.col("size").cast("bigint"))
     return aws.copy_plan(df, project_map, buckets, inventory, source_inventory, cfg) \
         .withColumn("epoch", F.lit(epoch_id).cast("bigint"))
@@ -42,7 +42,8 @@ def start_manifest_stream(spark: SparkSession, manifest_dir: str, output_path: s
     and stops (a periodic job), otherwise it keeps polling."""
     cfg = cfg or PlanConfig()
     stream = (spark.readStream.schema(MANIFEST_STREAM_SCHEMA).option("header", True).option("sep", "\t")
-              .csv(manifest_dir).select("*", F.col("_metadata.file_path").alias("_fp")))
+              .csv(manifest_dir).select("*", F.col("_metadata.file_path").alias("_fp"),
+                                         F.col("_metadata.file_block_start").alias("_fb")))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
         plan = plan_batch(batch, epoch_id, project_map, buckets, inventory, source_inventory, cfg)

@@ -1,6 +1,7 @@
 """Index merge (C6, P22), URL removal (C7) and ACL parsing (P17-P20),
 checked against a plain-Python row model written from the job semantics."""
 
+import itertools
 import random
 
 import pytest
@@ -13,33 +14,34 @@ from objsync.plans import index as I
 
 # --- plain-Python model -----------------------------------------------------
 
-def _netloc(u):
-    if "://" not in u:
-        return "", ""
-    scheme, rest = u.split("://", 1)
-    host = rest.split("/", 1)[0].split("?", 1)[0].split("#", 1)[0]
-    return scheme.lower(), host
+def split_url(u):
+    from urllib.parse import urlsplit
 
+    p = urlsplit(u)
+    return p.scheme, p.netloc
 
-def _stem(b):
-    return b[:-5] if b.endswith("-open") else b[:-11]
+
+def same_project(a, b):
+    """Buckets that differ in their access suffix alone, or the special pair."""
+    if sorted((a, b)) == ["ccle-open-access", "gdc-ccle-controlled"]:
+        return True
+    stem = lambda x: x.removesuffix("-open") if x.endswith("-open") else x[: -len("-controlled")]
+    return stem(a) == stem(b)
 
 
 def model_remove_changed(urls, meta, url):
-    urls, meta = list(urls), dict(meta)
-    s1, b1 = _netloc(url)
-    for element in urls:  # in-place removal while iterating, as the job does
-        s2, b2 = _netloc(element)
-        if s1 != s2:
-            continue
-        if {b1, b2} == {"ccle-open-access", "gdc-ccle-controlled"}:
-            urls.remove(element)
-            meta.pop(element, None)
-            continue
-        if _stem(b1) == _stem(b2):
-            urls.remove(element)
-            meta.pop(element, None)
-    return urls, meta
+    """Of each stretch of neighbouring URLs that the new one replaces, the 1st,
+    3rd, 5th ... go; the others stay."""
+    scheme, bucket = split_url(url)
+    replaced = [split_url(u)[0] == scheme and same_project(bucket, split_url(u)[1]) for u in urls]
+    kept, metas = [], dict(meta)
+    for hit, stretch in itertools.groupby(zip(replaced, urls), key=lambda x: x[0]):
+        names = [u for _, u in stretch]
+        gone = names[::2] if hit else []
+        kept += [u for u in names if u not in gone]
+        for u in gone:
+            metas.pop(u, None)
+    return kept, metas
 
 
 def model_acl(acl):
@@ -50,22 +52,17 @@ def model_acl(acl):
 
 
 def model_update(doc, did, url, acl, md5, size, api):
-    acl_l, authz_l, ok = model_acl(acl)
-    if not ok:
+    """The record after one update, as a value of its parts."""
+    wanted, resources, accepted = model_acl(acl)
+    if not accepted:
         return doc
     if doc is None:
-        return {"urls": [api + did, url], "meta": {}, "acl": acl_l, "authz": authz_l, "md5": md5,
-                "size": size or 0, "changed": True, "new": True}
-    doc = dict(doc)
-    if url not in doc["urls"]:
-        doc["urls"], doc["meta"] = model_remove_changed(doc["urls"], doc["meta"], url)
-        doc["urls"] = doc["urls"] + [url]
-        doc["changed"] = True
-    if set(doc["acl"]) != set(acl_l):
-        doc["acl"], doc["changed"] = acl_l, True
-    if set(doc["authz"]) != set(authz_l):
-        doc["authz"], doc["changed"] = authz_l, True
-    return doc
+        return dict(urls=[api + did, url], meta={}, acl=wanted, authz=resources, md5=md5, size=size or 0, changed=True, new=True)
+    known = url in doc["urls"]
+    urls, meta = (doc["urls"], doc["meta"]) if known else model_remove_changed(doc["urls"], doc["meta"], url)
+    parts = {name: old if sorted(set(old)) == sorted(set(new)) else new for name, old, new in (("acl", doc["acl"], wanted), ("authz", doc["authz"], resources))}
+    moved = not known or any(parts[n] is not doc[n] for n in parts)
+    return doc | parts | {"urls": urls if known else [*urls, url], "meta": meta, "changed": doc["changed"] or moved}
 
 
 # --- tests ------------------------------------------------------------------

