@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import functools
 import gc
 import os
 import tempfile
@@ -102,38 +103,49 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@functools.cache
 def seed64(n: int) -> np.uint64:
     """The n-th of a fixed series of odd 64-bit multipliers."""
     x = mix64(np.array([(n + 1) * 0x9E3779B97F4A7C15 % 2**64], dtype=np.uint64))[0]
     return np.uint64(int(x) | 1)
 
 
-class Names:
-    """64-bit names of byte words, the same in every process.
+#: Random values of a byte at one of the first places of a word.
+_NEAR = 64
+_VALUE = mix64(np.arange(1, _NEAR * 256 + 1, dtype=np.uint64) * seed64(900))
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 
-    Remembers at most ``most`` words, then starts anew; forgetting changes no
-    name.
-    """
-
-    def __init__(self, most: int = 300_000):
-        import xxhash
 
-        self._hash, self._seen, self._most = xxhash.xxh3_64_intdigest, {}, most
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        seen = self._seen
-        if len(seen) > self._most:
-            seen.clear()
-        get, made = seen.get, self._hash
-        out = [get(w) for w in words]
-        if None in out:
-            for i, (w, h) in enumerate(zip(words, out)):
-                if h is None:
-                    h = get(w)
-                    if h is None:
-                        h = seen[w] = made(w)
-                    out[i] = h
-        return np.array(out, dtype=np.uint64)
+def word_names(text: bytes, lower: bool = False) -> np.ndarray:
+    """64-bit names of the words of a text (between space and 09-0D), the same
+    in every process: sums of a random value per byte and place, mixed.
+    ``lower`` takes A-Z as a-z."""
+    data = np.frombuffer(text, dtype=np.uint8)
+    at = np.flatnonzero(~_SPACE[data])
+    if not len(at):
+        return np.empty(0, dtype=np.uint64)
+    data = data[at]
+    if lower:
+        data = _LOWER[data]
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1]))
+    lengths = np.diff(np.append(starts, len(at)))
+    place = np.arange(len(at)) - np.repeat(starts, lengths)
+    if lengths.max() <= _NEAR:
+        values = _VALUE[place << 8 | data]
+    else:
+        values = mix64((place << 8 | data).astype(np.uint64) * seed64(901) + seed64(902))
+        near = place < _NEAR
+        values[near] = _VALUE[place[near] << 8 | data[near]]
+    return mix64(np.add.reduceat(values, starts) + lengths.astype(np.uint64) * seed64(903))
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
 
 
 def window_names(h: np.ndarray, width: int, first_seed: int = 0) -> np.ndarray:
@@ -143,7 +155,7 @@ def window_names(h: np.ndarray, width: int, first_seed: int = 0) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     out = np.zeros(n, dtype=np.uint64)
     for j in range(width):
-        out += mix64(h[j : j + n] * seed64(first_seed + j)) if width <= 4 else h[j : j + n] * seed64(first_seed + j)
+        out += h[j : j + n] * seed64(first_seed + j)
     return mix64(out)
 
 

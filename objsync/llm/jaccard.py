@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm.common import Names, as_long, byte_texts, mix64, seed64, ship, table, window_names, written
+from objsync.llm.common import as_long, byte_texts, distinct, mix64, seed64, ship, table, window_names, word_names, written
 
 WORDS = 3
 PERCENT = 90
@@ -44,17 +44,12 @@ SKETCH_BITS = 20
 SLICES = 64
 LAST_ID = 2**63 - 1
 
-_NAMES = Names()
-
 
 def shingles(text: bytes, words: int) -> np.ndarray:
     """Sorted 64-bit names of the distinct shingles of a text."""
-    split = text.lower().split()  # of bytes: A-Z only, at space and 09-0D
-    if not split:
-        return np.empty(0, dtype=np.uint64)
-    names = _NAMES(split)
+    names = word_names(text, lower=True)
     width = min(words, len(names))
-    return np.unique(window_names(names, width, 10 * width))
+    return distinct(window_names(names, width, 10 * width)) if width else names
 
 
 def slot(tokens: np.ndarray) -> np.ndarray:
@@ -135,7 +130,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], rarity, words: int, percent: in
 def _candidates(batches: Iterator[pa.RecordBatch], rarity, words: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Adds the prefixes of the other orders, as 32-bit parts of the tokens."""
     for b in batches:
-        sets = [shingles(x, words) for x in byte_texts(b.column(2))]
+        sets = [shingles(x, words) for x in byte_texts(b.column(1))]
         more = [[(ordered_prefix(s, rarity.value, o, percent) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32) for s in sets] for o in range(2, ORDERS + 1)]
         yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(m, pa.list_(pa.int32())) for m in more]], names=[*b.schema.names, *[f"p{o}" for o in range(2, ORDERS + 1)]])
 
@@ -205,10 +200,12 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     shared = tokens.groupBy("token").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x < y").select("token")
     posts = tokens.join(shared, "token").dropDuplicates(["token", "s1", "s2"])
     posts = written(posts.join(classes.select("s1", "s2", "r", "n"), ["s1", "s2"]).select("token", "r", "n", "pos"), "jaccard-posts")
-    asked = posts.select("r").distinct().join(classes.select("r", "t"), "r").select(F.col("r").alias("d"), "t")
-    cand = rows.join(asked, ["d", "t"]).select(F.col("d").alias("r"), F.lit(0).alias("z"), "text")
-    cand = cand.mapInArrow(lambda b: _candidates(b, rarity, words, percent), "r bigint, z int, text string" + "".join(f", p{o} array<int>" for o in range(2, ORDERS + 1)))
-    cand = written(cand.drop("z"), "jaccard-candidates")
+
+    def candidates(pairs: DataFrame) -> DataFrame:
+        """Texts of the classes in ``pairs``, and their prefixes under the other orders."""
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("r")).distinct().join(classes.select("r", "t"), "r").select(F.col("r").alias("d"), "t")
+        cand = rows.join(asked, ["d", "t"]).select(F.col("d").alias("r"), "text")
+        return written(cand.mapInArrow(lambda b: _candidates(b, rarity, words, percent), "r bigint, text string" + "".join(f", p{o} array<int>" for o in range(2, ORDERS + 1))), "jaccard-candidates")
 
     def fits(x: str, y: str):
         """Sizes allow the similarity, and so does what follows the shared token."""
@@ -219,7 +216,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     lead = posts.groupBy("token").agg(F.min(F.struct("pos", "n", "r")).alias("l")).select("token", "l.*")
     first = posts.alias("x").join(lead.alias("y"), "token").filter("x.r <> y.r").filter(fits("x", "y"))
     pairs = first.select(F.col("y.r").alias("a"), F.col("x.r").alias("b")).distinct()
-    links = verify(written(pairs, "jaccard-leads"), cand, words, percent)
+    pairs = written(pairs, "jaccard-leads")
+    links = verify(pairs, candidates(pairs), words, percent)
     found = written(components(links), "jaccard-components")
 
     # tokens whose classes lie in several components: every pair across them
@@ -229,7 +227,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     left = written(placed.join(torn, "token"), "jaccard-rest")
     across = left.alias("x").join(left.alias("y"), F.expr("x.token = y.token and x.component < y.component")).filter(fits("x", "y"))
     pairs = across.select(F.col("x.r").alias("a"), F.col("y.r").alias("b")).distinct().join(links, ["a", "b"], "left_anti")
-    more = verify(written(pairs, "jaccard-across"), cand, words, percent)
+    pairs = written(pairs, "jaccard-across")
+    more = verify(pairs, candidates(pairs), words, percent)
     found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     of = classes.join(found, F.col("r") == F.col("node"), "left").select("s1", "s2", F.coalesce("component", "r").alias("component"))

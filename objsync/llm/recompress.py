@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm.common import Names, as_long, byte_texts, mix64, seed64, ship, table, window_names, written
+from objsync.llm.common import as_long, byte_texts, mix64, seed64, ship, table, window_names, word_names, written
 
 WIDTH = 13
 ROUNDS = 4
@@ -125,9 +125,6 @@ def symbols(names: np.ndarray, doc: np.ndarray, width: int = WIDTH, rounds: int
     return starts, ends - starts, symbol, offset
 
 
-_NAMES = Names()
-
-
 def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
     """Rows in chunks of about ``CHUNK_WORDS`` words: the rows, names of all
     words, the row of each word, and each row's first word (and the end)."""
@@ -135,7 +132,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[p
         names, start, held = [], 0, 0
         texts = byte_texts(b.column(text_at))
         for i, t in enumerate(texts):
-            x = _NAMES(t.split()) if t else np.empty(0, dtype=np.uint64)
+            x = word_names(t)
             names.append(x)
             held += len(x)
             if held >= CHUNK_WORDS or i == len(texts) - 1:
