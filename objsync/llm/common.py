@@ -63,7 +63,16 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     path = scratch_path(spark, tag)
     df.write.parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``written`` made and no later step reads."""
+    jvm = table.sparkSession.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -16,10 +16,13 @@ nothing merges (one word over and over) take a name of their whole content.
 1. Spark gathers the symbols of all documents and keeps those that occur in
    two or more documents (a partial aggregation, then a join that AQE splits
    where a symbol is frequent).
-2. Only the stretches of text around shared symbols are looked at again: each
-   gives the fingerprints of its windows.  Equal stretches are merged before
-   windows are compared, and the smallest document of each window is found.
-3. Words covered by a window whose smallest document is not their own go.
+2. The stretches of windows around shared symbols are found again and named by
+   their content.  Equal stretches are one from here on, with the smallest
+   document that has them; where all stretches of a symbol are equal, that
+   settles it.
+3. Of the others, one owner each shows the fingerprints of its windows, and the
+   smallest document of each window is found.
+4. Words covered by a window whose smallest document is not their own go.
 
 Null text has no words.  A null ``doc_id`` counts as larger than any other;
 rows with equal ids are one document to the rule (neither is smaller), each
@@ -37,10 +40,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm.common import as_long, byte_texts, mix64, seed64, ship, table, window_names, word_names, written
+from objsync.llm.common import as_long, byte_texts, discard, mix64, seed64, ship, table, window_names, word_names, written
 
 WIDTH = 13
-ROUNDS = 4
+ROUNDS = 3
 LAST_ID = 2**63 - 1
 FAR = 1 << 60
 CHUNK_WORDS = 500_000
@@ -151,9 +154,14 @@ def _symbols_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
         yield pa.RecordBatch.from_arrays([as_long(symbol[once]), pa.array(d[once])], names=["symbol", "d"])
 
 
-def _stretches_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _stretches_of(batches: Iterator[pa.RecordBatch], width: int, show: bool) -> Iterator[pa.RecordBatch]:
+    """Stretches of the wanted symbols, named; with ``show`` those of the wanted
+    names, with the fingerprints of their windows."""
     for rows, names, doc, ends in _chunks(batches, 2):
         starts, count, symbol, _ = symbols(names, doc, width)
+        window = window_names(names, width)
+        if show and len(starts):
+            symbol = _named(starts, count, symbol, window)
         wanted = rows.column(3)
         keep = np.zeros(len(starts), dtype=bool)
         cut = np.searchsorted(doc[starts], np.arange(rows.num_rows + 1))
@@ -165,14 +173,23 @@ def _stretches_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
         if not len(starts):
             continue
         of = doc[starts]
-        window = window_names(names, width)
+        if not show:
+            yield pa.RecordBatch.from_arrays(
+                [as_long(symbol), as_long(_named(starts, count, symbol, window)), pa.array(rows.column(0).to_numpy(zero_copy_only=False)[of]),
+                 pa.array(rows.column(1).to_numpy(zero_copy_only=False)[of]), pa.array((starts - ends[of]).astype(np.int32)), pa.array(count.astype(np.int32))],
+                names=["symbol", "stretch", "d", "t", "at", "n"])
+            continue
         total = np.concatenate([[0], np.cumsum(count)])
         flat = window[np.repeat(starts - total[:-1], count) + np.arange(total[-1])]
-        stretch = mix64(np.add.reduceat(flat * np.repeat(seed64(61), len(flat)) + mix64(flat), total[:-1]) + symbol + count.astype(np.uint64) * seed64(62))
-        yield pa.RecordBatch.from_arrays(
-            [as_long(symbol), as_long(stretch), pa.array(rows.column(0).to_numpy(zero_copy_only=False)[of]), pa.array(rows.column(1).to_numpy(zero_copy_only=False)[of]),
-             pa.array((starts - ends[of]).astype(np.int32)), pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), as_long(flat))],
-            names=["symbol", "stretch", "d", "t", "at", "windows"])
+        yield pa.RecordBatch.from_arrays([as_long(symbol), pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), as_long(flat))], names=["stretch", "windows"])
+
+
+def _named(starts: np.ndarray, count: np.ndarray, symbol: np.ndarray, window: np.ndarray) -> np.ndarray:
+    """Names of stretches: of their symbol, length and windows in order."""
+    last = starts + count - 1
+    middle = window[starts + count // 2]
+    # windows overlap, so the first, a middle and the last spell out all words
+    return mix64(symbol + window[starts] * seed64(61) + middle * seed64(62) + window[last] * seed64(63) + count.astype(np.uint64) * seed64(64))
 
 
 def _removed(batches: Iterator[pa.RecordBatch], width: int, text_too: bool) -> Iterator[pa.RecordBatch]:
@@ -200,23 +217,26 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     marks = written(rows.select("d", "text").mapInArrow(lambda b: _symbols_of(b, width), "symbol bigint, d bigint"), "symbols")
     shared = marks.groupBy("symbol").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a < b").select("symbol")
     lists = written(marks.join(shared, "symbol").groupBy("d").agg(F.collect_list("symbol").alias("symbols")), "shared-symbols")
+    discard(marks)
     near = rows.join(lists, "d").select("d", "t", "text", "symbols")
-    found = near.mapInArrow(lambda b: _stretches_of(b, width), "symbol bigint, stretch bigint, d bigint, t bigint, at int, windows array<bigint>")
+    found = near.mapInArrow(lambda b: _stretches_of(b, width, False), "symbol bigint, stretch bigint, d bigint, t bigint, at int, n int")
     found = written(found, "stretches")
+    discard(lists)
     # equal stretches are one from here on, however many documents have them
-    own = found.groupBy("symbol", "stretch").agg(F.min("d").alias("d"), F.any_value("windows").alias("windows"))
-    windows = own.select("symbol", "stretch", "d", F.posexplode("windows").alias("i", "window"))
-    windows = written(windows, "windows")
-    first = windows.groupBy("symbol", "window").agg(F.min("d").alias("first"))
-    per = windows.join(first, ["symbol", "window"]).groupBy("symbol", "stretch").agg(F.array_sort(F.collect_list(F.struct("i", "first"))).alias("firsts"))  # at most width windows a stretch
-    hits = found.select("symbol", "stretch", "d", "t", "at").join(per, ["symbol", "stretch"])
-    late = F.expr("filter(transform(firsts, x -> if(x.first < d, at + x.i, -1)), x -> x >= 0)")
-    hits = hits.select("d", "t", F.explode(late).alias("at")).groupBy("d", "t").agg(F.collect_set("at").alias("places"))
-    # consecutive windows in one span: a document's own list, no longer than its text
-    spans = F.expr("""aggregate(array_sort(places), cast(array() as array<struct<at:int,n:int>>), (a, x) ->
-        if(size(a) > 0 and element_at(a, -1).at + element_at(a, -1).n = x,
-           array_append(slice(a, 1, size(a) - 1), named_struct('at', element_at(a, -1).at, 'n', element_at(a, -1).n + 1)), array_append(a, named_struct('at', x, 'n', 1))))""")
-    return hits.select("d", "t", spans.alias("spans"))
+    own = found.groupBy("symbol", "stretch").agg(F.min(F.struct("d", "t")).alias("o")).select("symbol", "stretch", "o.d", "o.t")
+    own = written(own, "stretch-owners")
+    several = own.groupBy("symbol").agg(F.min("stretch").alias("x"), F.max("stretch").alias("y")).filter("x < y").select("symbol")
+    asked = own.join(several, "symbol").groupBy("d", "t").agg(F.collect_list("stretch").alias("asked"))
+    shown = rows.join(asked, ["d", "t"]).select("d", "t", "text", "asked").mapInArrow(lambda b: _stretches_of(b, width, True), "stretch bigint, windows array<bigint>")
+    shown = written(shown.dropDuplicates(["stretch"]).join(own.select("symbol", "stretch", "d"), "stretch"), "windows")
+    shown = shown.select("symbol", "stretch", "d", F.posexplode("windows").alias("i", "window"))
+    first = shown.groupBy("symbol", "window").agg(F.min("d").alias("first"))
+    per = shown.join(first, ["symbol", "window"]).groupBy("stretch").agg(F.collect_list(F.struct("i", "first")).alias("firsts"))  # at most width windows a stretch
+    hits = found.join(own.select("stretch", F.col("d").alias("least")), "stretch").join(per, "stretch", "left").select("d", "t", "at", "n", "least", "firsts")
+    late = F.expr("""if(firsts is null, if(least < d, array(named_struct('at', at, 'n', n)), cast(array() as array<struct<at:int,n:int>>)),
+        transform(filter(firsts, x -> x.first < d), x -> named_struct('at', at + x.i, 'n', 1)))""")
+    spans = hits.select("d", "t", late.alias("spans")).filter("size(spans) > 0")
+    return spans.groupBy("d", "t").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a document's own, no longer than its text
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = False) -> DataFrame:
