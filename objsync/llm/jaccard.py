@@ -7,8 +7,9 @@ Two sets of a given similarity share a token among the first few of either
 under any order of all tokens.  ``ORDERS`` orders are used.  All put rare
 tokens first, by a sketch of ``2**SKETCH_BITS`` counters that every task adds to
 (any order is right; this one keeps frequent tokens out of the prefixes), and
-break ties by different hashes.  Pairs come from shared prefix tokens of the
-first order with fitting sizes and positions; those whose prefixes do not meet
+break ties by different hashes.  Pairs come from ``MEET`` shared tokens in
+the (so much longer) prefixes of the first order, with fitting sizes and
+positions; those whose prefixes do not meet
 under each other order too are dropped, and only the rest is verified against
 the whole texts.
 
@@ -35,11 +36,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm.common import as_long, byte_texts, distinct, mix64, seed64, ship, table, window_names, word_names, written
+from objsync.llm.common import as_long, byte_texts, discard, distinct, mix64, seed64, ship, table, window_names, word_names, written
 
 WORDS = 3
 PERCENT = 90
 ORDERS = 3
+MEET = 3  # tokens that the prefixes of the first order, longer by MEET - 1, must share
 SKETCH_BITS = 20
 SLICES = 64
 LAST_ID = 2**63 - 1
@@ -60,9 +62,10 @@ def prefix_length(n: int, percent: int) -> int:
     return n + 1 - -(-percent * n // 100)
 
 
-def ordered_prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """The first tokens of a set under one of the orders."""
-    p = prefix_length(len(tokens), percent)
+def ordered_prefix(tokens: np.ndarray, rarity: np.ndarray, order: int, percent: int, meet: int = 1) -> np.ndarray:
+    """The first tokens of a set under one of the orders; similar sets share
+    ``meet`` of them, or all that they must have in common if that is fewer."""
+    p = prefix_length(len(tokens), percent) + meet - 1
     key = (rarity[slot(tokens)].astype(np.uint64) << np.uint64(56)) | (mix64(tokens * seed64(500 + order)) >> np.uint64(8))
     first = np.argpartition(key, p - 1)[:p] if p < len(key) else np.arange(len(key))
     return tokens[first[np.argsort(key[first])]]
@@ -119,12 +122,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], rarity, words: int, percent: in
             if x in seen:  # an equal set of this batch says the same
                 continue
             seen.add(x)
-            parts.append((ordered_prefix(s, rarity.value, 1, percent), x & (2**64 - 1), x >> 64))
+            parts.append((ordered_prefix(s, rarity.value, 1, percent, MEET), x & (2**64 - 1)))
         if parts:
-            lengths = [len(p) for p, _, _ in parts]
-            low, high = (np.repeat(np.array([x[i] for x in parts], dtype=np.uint64), lengths) for i in (1, 2))
+            lengths = [len(p) for p, _ in parts]
+            of = np.repeat(np.array([x for _, x in parts], dtype=np.uint64), lengths)
             at = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
-            yield pa.RecordBatch.from_arrays([as_long(np.concatenate([p for p, _, _ in parts])), as_long(low), as_long(high), pa.array(at)], names=["token", "s1", "s2", "pos"])
+            yield pa.RecordBatch.from_arrays([as_long(np.concatenate([p for p, _ in parts])), as_long(of), pa.array(at)], names=["token", "s1", "pos"])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], rarity, words: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -172,17 +175,20 @@ def components(links: DataFrame) -> DataFrame:
     node points at its component; every round is written.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "edges")
-    while True:
+    while not _settled(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         small_least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(small_least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-        after = written(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
-        state = [x.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (edges, after)]
-        edges = after
-        if state[0] == state[1]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        edges = written(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Every node has one edge, to a node that has none of its own."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("root")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("root").alias("root")).filter("out > 1 or (out = 1 and root = 1)").isEmpty()
 
 
 def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -196,10 +202,11 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     sets = made.filter("slice is null").drop("slice", "counts")
     classes = written(sets.filter("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("d", "t")).alias("o"), F.first("n").alias("n")).select("s1", "s2", F.col("o.d").alias("r"), F.col("o.t").alias("t"), "n"), "jaccard-classes")
 
-    tokens = written(rows.select("text").mapInArrow(lambda b: _prefixes(b, rarity, words, percent), "token bigint, s1 bigint, s2 bigint, pos int"), "jaccard-prefixes")
+    tokens = written(rows.select("text").mapInArrow(lambda b: _prefixes(b, rarity, words, percent), "token bigint, s1 bigint, pos int"), "jaccard-prefixes")
     shared = tokens.groupBy("token").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x < y").select("token")
-    posts = tokens.join(shared, "token").dropDuplicates(["token", "s1", "s2"])
-    posts = written(posts.join(classes.select("s1", "s2", "r", "n"), ["s1", "s2"]).select("token", "r", "n", "pos"), "jaccard-posts")
+    posts = tokens.join(shared, "token").dropDuplicates(["token", "s1"])
+    posts = written(posts.join(classes.select("s1", "r", "n"), "s1").select("token", "r", "n", "pos"), "jaccard-posts")
+    discard(tokens)
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Texts of the classes in ``pairs``, and their prefixes under the other orders."""
@@ -207,29 +214,31 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         cand = rows.join(asked, ["d", "t"]).select(F.col("d").alias("r"), "text")
         return written(cand.mapInArrow(lambda b: _candidates(b, rarity, words, percent), "r bigint, text string" + "".join(f", p{o} array<int>" for o in range(2, ORDERS + 1))), "jaccard-candidates")
 
-    def fits(x: str, y: str):
-        """Sizes allow the similarity, and so does what follows the shared token."""
-        need = f"ceil({percent} * ({x}.n + {y}.n) / {100 + percent}.0)"
-        return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) and least({x}.n - {x}.pos, {y}.n - {y}.pos) >= {need}")
+    def meeting(both: DataFrame) -> DataFrame:
+        """Pairs of x and y whose sizes allow the similarity, as does what
+        follows each token they share, and that share enough tokens."""
+        need = F.ceil(F.expr(f"{percent} * (x.n + y.n) / {100 + percent}.0"))
+        both = both.filter(F.expr(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
+        both = both.filter(F.expr("least(x.n - x.pos, y.n - y.pos)") >= need - (MEET - 1))
+        shared = both.groupBy(F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b"), need.alias("need")).agg(F.count("*").alias("c"))
+        return shared.filter(F.col("c") >= F.least(F.lit(MEET), F.col("need"))).select("a", "b")
 
     # every class with the cleanest class of each of its tokens
     lead = posts.groupBy("token").agg(F.min(F.struct("pos", "n", "r")).alias("l")).select("token", "l.*")
-    first = posts.alias("x").join(lead.alias("y"), "token").filter("x.r <> y.r").filter(fits("x", "y"))
-    pairs = first.select(F.col("y.r").alias("a"), F.col("x.r").alias("b")).distinct()
-    pairs = written(pairs, "jaccard-leads")
+    pairs = written(meeting(posts.alias("x").join(lead.alias("y"), "token").filter("x.r <> y.r")), "jaccard-leads")
     links = verify(pairs, candidates(pairs), words, percent)
-    found = written(components(links), "jaccard-components")
+    found = components(links)
 
     # tokens whose classes lie in several components: every pair across them
     placed = posts.join(found.withColumnRenamed("node", "r"), "r", "left").withColumn("component", F.coalesce("component", "r"))
     placed = written(placed, "jaccard-placed")
     torn = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("token")
     left = written(placed.join(torn, "token"), "jaccard-rest")
-    across = left.alias("x").join(left.alias("y"), F.expr("x.token = y.token and x.component < y.component")).filter(fits("x", "y"))
-    pairs = across.select(F.col("x.r").alias("a"), F.col("y.r").alias("b")).distinct().join(links, ["a", "b"], "left_anti")
-    pairs = written(pairs, "jaccard-across")
+    across = left.alias("x").join(left.alias("y"), F.expr("x.token = y.token and x.component < y.component"))
+    pairs = written(meeting(across), "jaccard-across")
     more = verify(pairs, candidates(pairs), words, percent)
-    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    if not more.isEmpty():
+        found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     of = classes.join(found, F.col("r") == F.col("node"), "left").select("s1", "s2", F.coalesce("component", "r").alias("component"))
     out = sets.join(of, ["s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("d")).alias("c"))

@@ -62,6 +62,7 @@ def test_prefixes_meet_under_every_order():
         if 100 * both >= 80 * (len(a) + len(b) - both):
             for order in (1, 2, 3):
                 assert len(np.intersect1d(J.ordered_prefix(a, rarity, order, 80), J.ordered_prefix(b, rarity, order, 80)))
+                assert len(np.intersect1d(J.ordered_prefix(a, rarity, order, 80, 3), J.ordered_prefix(b, rarity, order, 80, 3))) >= min(3, both)
 
 
 def test_components_of_a_chain(spark):

@@ -79,11 +79,11 @@ def test_odd_tables(spark, tmp_path):
     text = " ".join(f"word{i}" for i in range(60))
     rows = [(1, text, "en", None, 5, "a", 1), (None, text + " x", None, None, None, None, 2), (2, None, "en", "s", 0, "b", 3), (3, "", "en", "s", 0, "b", 4), (3, "", "en", "s", 0, "b", 4)]
     odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, d int")
-    for df, n in ((odd, None), (odd.limit(0), 0)):
-        for name, stage in C.STAGES[:4]:
-            out = stage(spark, df, SF)
-            assert out.columns == df.columns, name
-            assert n is None or out.count() == n, name
-            df = df if n is None else out
-            out.count()
+    df = odd
+    for name, stage in C.STAGES[:4]:
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns, name
+        out.count()
+    for name, stage in [x for x in C.STAGES if x[0] != "near_duplicates"]:  # whose own tests have the empty table
+        assert stage(spark, odd.limit(0), SF).count() == 0, name
     assert C.sentencepiece(spark, odd, SF).count() == 5
