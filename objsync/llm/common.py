@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+BATCH_ROWS = 2_000
+
 _LOCAL_SCRATCH: dict[str, str] = {}
 
 
@@ -26,7 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers of this session import this package from the
-    driver's checkout (a cluster ships it with ``--py-files`` instead)."""
+    driver's checkout (a cluster ships it with ``--py-files`` instead), and
+    hand them whole texts in batches of at most ``BATCH_ROWS`` rows."""
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(rows)) <= BATCH_ROWS:
+        spark.conf.set(rows, BATCH_ROWS)
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, env.get("PYTHONPATH")) if x)

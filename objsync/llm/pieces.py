@@ -36,7 +36,7 @@ from objsync.llm.common import ship, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed by the tokenizer
-MOST_REMEMBERED = 300_000
+MOST_REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
