@@ -5,8 +5,11 @@ with the benchmark on shared seeds (Karp-Rabin fingerprints of ``SEED``
 consecutive words, or of a whole item that is shorter).  Where enough of an
 item is seeded, tiling marks the longest match of unmarked words again and
 again, so each word of item and text is used once and the order of the matched
-passages does not matter.  A pair counts when the tiles that lie within
-``REACH`` item lengths of one another cover ``COVERAGE`` of the item's words.
+passages does not matter.  A pair counts when tiles that lie within ``REACH``
+item lengths of one another cover ``COVERAGE`` of the item's words.  The whole
+text is tiled first, then each stretch of that many words by itself, where far
+tiles take no words from a near copy; the best cover counts.  Passages farther
+apart than that are not added up.
 
 The benchmark is a stated query set: it is taken in blocks of at most
 ``BLOCK_BYTES`` of text, and each block is broadcast against all texts.
@@ -101,6 +104,48 @@ def densest(tiles: list[tuple[int, int, int]], reach: int) -> tuple[int, int]:
     return best
 
 
+def stretches(seeds: list[tuple[int, int]], width: int, reach: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """The seeds within ``reach`` text words from each seed on, and the item
+    or text words they hold, whichever are fewer: no tiling covers more."""
+    seeds = sorted(seeds, key=lambda s: (s[1], s[0]))
+    held: tuple[dict[int, int], dict[int, int]] = ({}, {})  # words of item and text -> seeds that hold them
+
+    def count(seed: tuple[int, int], by: int) -> None:
+        for words, at in zip(held, seed):
+            for x in range(at, at + width):
+                n = words.get(x, 0) + by
+                if n:
+                    words[x] = n
+                else:
+                    del words[x]
+
+    a = b = 0
+    while a < len(seeds):
+        while b < len(seeds) and seeds[b][1] + width - seeds[a][1] <= reach:
+            count(seeds[b], 1)
+            b += 1
+        yield min(map(len, held)), seeds[a:b]
+        start = seeds[a][1]
+        while a < b and seeds[a][1] == start:
+            count(seeds[a], -1)
+            a += 1
+
+
+def best_cover(seeds: list[tuple[int, int]], width: int, reach: int, least: float) -> tuple[int, int]:
+    """Most item words covered within ``reach`` text words, and the number of
+    tiles: by the tiles of the whole text or of one stretch of it."""
+    best = densest(greedy_tiles(seeds, width), reach)
+    if best[0] == min(len({at + x for at in ends for x in range(width)}) for ends in map(set, zip(*seeds))):
+        return best
+    for bound, some in stretches(seeds, width, reach):
+        if bound >= least and bound > best[0]:
+            tiles = greedy_tiles(some, width)
+            covered = sum(n for _, _, n in tiles)
+            if covered > best[0]:
+                best = (covered, len(tiles))
+    return best
+
+
 class Block:
     """Some benchmark items, indexed by the fingerprints of their seeds."""
 
@@ -160,7 +205,7 @@ class Block:
                 seeded = len({i + x for i, _ in seeds for x in range(width)})
                 if seeded < least * len(item):
                     continue
-                covered, tiles = densest(greedy_tiles(seeds, width), REACH * len(item))
+                covered, tiles = best_cover(seeds, width, REACH * len(item), least * len(item))
                 if covered >= least * len(item):
                     out.append((item_id, len(item), covered, tiles, covered / len(item)))
         return sorted(out)

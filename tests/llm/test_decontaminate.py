@@ -62,3 +62,30 @@ def test_frames(spark):
     assert D.keep_clean(docs, items).columns == docs.columns
     assert D.contaminated(docs, items.limit(0)).count() == 0 and D.contaminated(docs.limit(0), items).count() == 0
     assert len(D.blocks(items, 40)) == 2
+
+
+def test_far_copies_take_no_words_from_one_another():
+    item = [f"v{i}" for i in range(100)]
+    change = lambda at: [w if i != at else "zz" for i, w in enumerate(item)]
+    block = D.Block([(7, " ".join(item))])
+    for words in (change(50) + ["zz"] * 900 + change(45), change(45) + ["zz"] * 900 + change(50)):
+        assert [m[:4] for m in block.matches(" ".join(words))] == [(7, 100, 99, 2)]
+    assert [m[2] for m in block.matches(" ".join(change(50) + ["zz"] * 900 + item))] == [100]
+    assert block.matches(" ".join(item[:50] + ["zz"] * 900 + item[:50])) == []
+
+
+def test_best_cover_against_brute_force():
+    rng = random.Random(6)
+    more = 0
+    for _ in range(300):
+        item = [rng.randint(1, 6) for _ in range(rng.randint(2, 9))]
+        text = [x for _ in range(5) for x in (item[rng.randint(0, 3) :] + [0] * rng.randint(0, 12))]
+        width, reach = 2, 2 * len(item)
+        seeds = [(i, j) for i in range(len(item) - 1) for j in range(len(text) - 1) if item[i : i + 2] == text[j : j + 2]]
+        if not seeds:
+            continue
+        whole = D.densest(brute_tiles(item, text, width), reach)[0]
+        parts = [sum(n for _, _, n in brute_tiles(item, text[j : j + reach], width)) for j in range(len(text))]
+        assert D.best_cover(seeds, width, reach, 0)[0] == max(whole, *parts)
+        more += max(parts) > whole
+    assert more
