@@ -8,7 +8,8 @@ ids) Spark counts, per word, the toxic and other documents that have it; the
 terms, become features of a logistic regression.
 
 Identity terms name groups of people.  For every sampled text that has some,
-counterfactual texts are formed in which a term gives way to another of its
+counterfactual texts are formed in which a term, with those of its beginnings
+that no other word of the text has, gives way to another of its
 kind, and the fit is charged for the squared change of the score, so a neutral
 mention of one group scores like that of any other.  Terms that differ only by
 whom they name end with (nearly) the same weight, and a shared weight that the
@@ -23,6 +24,7 @@ the share of toxic labels (0 without labels).  Other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +54,17 @@ IDENTITY = {
 def words_of(text: str | None) -> set[str]:
     """Distinct words, and their beginnings of 5, 6 and 7 letters (``abcde*``)."""
     words = set(WORD.findall((text or "").lower()))
-    return words | {f"{w[:k]}*" for w in words for k in (5, 6, 7) if len(w) >= k}
+    return words | {b for w in words for b in beginnings(w)}
+
+
+def beginnings(word: str) -> list[str]:
+    return [f"{word[:k]}*" for k in (5, 6, 7) if len(word) >= k]
+
+
+def shared_beginnings(text: str | None) -> set[str]:
+    """Beginnings of two or more distinct words: they outlast the loss of one."""
+    counts = Counter(b for w in set(WORD.findall((text or "").lower())) for b in beginnings(w))
+    return {b for b, n in counts.items() if n > 1}
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
@@ -87,35 +99,54 @@ def pick_features(sample: DataFrame, n_toxic: int, n_other: int, most: int = MAX
     return list(dict.fromkeys([*top, *terms]))
 
 
-def design(sample: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature matrix (rows x features, 0/1) and labels of the sample."""
+def matrices(sample: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Feature matrix (rows x features, 0/1) and labels of the sample, and
+    which features are beginnings of several words of the row."""
     at = {w: i for i, w in enumerate(features)}
 
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = lambda words: sorted(at[w] for w in words & at.keys())
         for b in batches:
-            rows = [sorted(at[w] for w in words_of(t) & at.keys()) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.list_(pa.int32()))], names=["toxic", "hits"])
+            texts = b.column(1).to_pylist()
+            columns = [pa.array([numbers(of(t)) for t in texts], pa.list_(pa.int32())) for of in (words_of, shared_beginnings)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns], names=["toxic", "hits", "shared"])
 
-    rows = sample.mapInArrow(hits, "toxic int, hits array<int>").collect()  # at most max_rows short lists
+    rows = sample.mapInArrow(hits, "toxic int, hits array<int>, shared array<int>").collect()  # at most max_rows short lists
     rows.sort()
-    x = np.zeros((len(rows), len(features)), dtype=np.float32)
+    x, shared = np.zeros((len(rows), len(features)), dtype=np.float32), np.zeros((len(rows), len(features)), dtype=bool)
     for i, r in enumerate(rows):
         x[i, r.hits] = 1
-    return x, np.array([r.toxic for r in rows], dtype=np.float32)
+        shared[i, r.shared] = True
+    return x, np.array([r.toxic for r in rows], dtype=np.float32), shared
+
+
+def design(sample: DataFrame, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature matrix (rows x features, 0/1) and labels of the sample."""
+    return matrices(sample, features)[:2]
+
+
+def partners(n: int, k: int) -> tuple[int, int]:
+    """The terms that stand for term ``k`` of ``n``: the next and a farther one, never itself."""
+    return (k + 1) % n, (k + (7 if n > 8 else n // 2)) % n
 
 
-def counterfactuals(x: np.ndarray, features: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def counterfactuals(x: np.ndarray, features: list[str], shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers of ``x`` and their versions with one identity term swapped
-    for the next two of its kind."""
+    for two others of its kind: the features of the swapped set of words.
+    Without ``shared`` no other word is taken to have a beginning of the term."""
     at = {w: i for i, w in enumerate(features)}
     rows, swapped = [], []
     for kind in IDENTITY.values():
-        terms = [at[t] for t in kind.split()]
-        for k, t in enumerate(terms):
-            for other in (terms[(k + 1) % len(terms)], terms[(k + 7) % len(terms)]):
-                for i in np.flatnonzero(x[:, t]).tolist():
+        terms = kind.split()
+        for k, term in enumerate(terms):
+            for other in partners(len(terms), k):
+                old = [at[b] for b in beginnings(term) if b in at]
+                new = [at[w] for w in (terms[other], *beginnings(terms[other])) if w in at]
+                for i in np.flatnonzero(x[:, at[term]]).tolist():
                     y = x[i].copy()
-                    y[t], y[other] = 0, 1
+                    y[old] = 0 if shared is None else shared[i, old]
+                    y[at[term]] = 0
+                    y[new] = 1
                     rows.append(i)
                     swapped.append(y)
                     if len(rows) >= 2 * MAX_ROWS:
@@ -156,8 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_feat
         share = min(max(float(n.get(1, 0) > 0), 1e-9), 1 - 1e-9)
         return {}, float(np.log(share / (1 - share)))
     features = pick_features(sample, n[1], n[0], max_features)
-    x, y = design(sample, features)
-    w, b = fit(x, y, *counterfactuals(x, features))
+    x, y, shared = matrices(sample, features)
+    w, b = fit(x, y, *counterfactuals(x, features, shared))
     return {f: float(c) for f, c in zip(features, w) if abs(c) > 1e-4}, b
 
 

@@ -54,3 +54,41 @@ def test_odd_inputs(spark):
     assert got[0].score > 0.5
     assert X.score(docs, *X.train(docs, labels.limit(0))).agg({"score": "max"}).collect()[0][0] < 1e-6
     assert X.score(docs.limit(0), w, b).count() == 0
+
+
+def test_swaps_take_the_beginnings_along(spark):
+    """With enough biased rows the beginnings of a term are features too."""
+    docs, labels = frame(spark, 3000)
+    sample = X.training_sample(docs, labels)
+    n = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
+    assert {"muslim", "musli*", "muslim*"} <= set(X.pick_features(sample, n[1], n[0]))
+    features = X.pick_features(sample, n[1], n[0])
+    x, y = X.design(sample, features)
+    spread = []
+    for fairness in (5.0, 200.0):  # as shipped, and as above
+        w, b = X.fit(x, y, *X.counterfactuals(x, features), fairness=fairness)
+        known = dict(zip(features, w))
+        scores = [X.sigmoid(np.array([b + sum(known.get(t, 0) for t in X.words_of(f"the {g} neighbour went home to a nice dinner"))]))[0] for g in ("muslim", "christian", "jewish")]
+        spread.append(max(scores) - min(scores))
+    assert spread[0] < X.THRESHOLD and spread[1] < 0.1, spread
+
+
+def test_swapped_words():
+    terms = [t for kind in X.IDENTITY.values() for t in kind.split()]
+    features = [*terms, *{b: 0 for t in terms for b in X.beginnings(t)}]
+    texts = [f"the {t} choir and a {u}" for t in terms for u in ("muslims", "americana", "friend")]
+    x = np.array([[f in X.words_of(t) for f in features] for t in texts], dtype=np.float32)
+    shared = np.array([[f in X.shared_beginnings(t) for f in features] for t in texts])
+    got, at = X.counterfactuals(x, features, shared), 0
+    for kind in X.IDENTITY.values():
+        names = kind.split()
+        for k, t in enumerate(names):
+            others = X.partners(len(names), k)
+            assert k not in others and others[0] != others[1]
+            for other in others:
+                for i in np.flatnonzero(x[:, features.index(t)]):
+                    words = (set(X.WORD.findall(texts[i])) - {t}) | {names[other]}
+                    want = [f in X.words_of(" ".join(words)) for f in features]
+                    assert got[0][at] == i and (got[1][at] == want).all()
+                    at += 1
+    assert at == len(got[0])
