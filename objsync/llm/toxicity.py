@@ -130,48 +130,69 @@ def partners(n: int, k: int) -> tuple[int, int]:
     return (k + 1) % n, (k + (7 if n > 8 else n // 2)) % n
 
 
-def counterfactuals(x: np.ndarray, features: list[str], shared: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+class Swaps:
+    """Counterfactual rows as differences: swap ``i`` adds row ``change[i]`` of
+    ``changes`` (+1, 0 or -1 per feature) to its row of the sample."""
+
+    def __init__(self, change: np.ndarray, changes: np.ndarray):
+        self.change, self.changes = change, changes
+
+    def __len__(self) -> int:
+        return len(self.change)
+
+
+def counterfactuals(x: np.ndarray, features: list[str], shared: np.ndarray | None = None) -> tuple[np.ndarray, Swaps]:
     """Row numbers of ``x`` and their versions with one identity term swapped
     for two others of its kind: the features of the swapped set of words.
     Without ``shared`` no other word is taken to have a beginning of the term."""
     at = {w: i for i, w in enumerate(features)}
-    rows, swapped = [], []
+    rows, change, changes, n_changes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty((0, len(features)), np.float32)], 0
     for kind in IDENTITY.values():
         terms = kind.split()
         for k, term in enumerate(terms):
+            having = np.flatnonzero(x[:, at[term]])
+            if not len(having):
+                continue
             for other in partners(len(terms), k):
                 old = [at[b] for b in beginnings(term) if b in at]
                 new = [at[w] for w in (terms[other], *beginnings(terms[other])) if w in at]
-                for i in np.flatnonzero(x[:, at[term]]).tolist():
-                    y = x[i].copy()
-                    y[old] = 0 if shared is None else shared[i, old]
-                    y[at[term]] = 0
-                    y[new] = 1
-                    rows.append(i)
-                    swapped.append(y)
-                    if len(rows) >= 2 * MAX_ROWS:
-                        return np.array(rows), np.array(swapped)
-    return np.array(rows, dtype=np.int64), np.array(swapped, dtype=np.float32).reshape(len(rows), x.shape[1])
+                columns = sorted({at[term], *old, *new})
+                place = {c: i for i, c in enumerate(columns)}
+                before = x[np.ix_(having, columns)]
+                after = before.copy()
+                after[:, [place[c] for c in old]] = 0 if shared is None else shared[np.ix_(having, old)]
+                after[:, place[at[term]]] = 0
+                after[:, [place[c] for c in new]] = 1
+                kinds, which = np.unique(after - before, axis=0, return_inverse=True)
+                wide = np.zeros((len(kinds), len(features)), dtype=np.float32)
+                wide[:, columns] = kinds
+                rows.append(having)
+                change.append(which.reshape(-1) + n_changes)
+                changes.append(wide)
+                n_changes += len(kinds)
+    return np.concatenate(rows), Swaps(np.concatenate(change), np.concatenate(changes))
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, rows: np.ndarray, swapped: np.ndarray, l2: float = 2e-4, fairness: float = 5.0, steps: int = 400) -> tuple[np.ndarray, float]:
+def fit(x: np.ndarray, y: np.ndarray, rows: np.ndarray, swapped: Swaps, l2: float = 2e-4, fairness: float = 5.0, steps: int = 400) -> tuple[np.ndarray, float]:
     """Weights and intercept: logistic loss + l2 |w|^2 + fairness * mean squared
     change of the score under the swaps; Adam from zero."""
     n, k = x.shape
     w, b = np.zeros(k), float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     m, v = np.zeros(k + 1), np.zeros(k + 1)
     for step in range(1, steps + 1):
-        p = sigmoid(x @ w + b)
+        score = x @ w + b
+        p = sigmoid(score)
         g = np.append(x.T @ (p - y) / n + 2 * l2 * w, (p - y).mean())
         if len(rows):
-            q = sigmoid(swapped @ w + b)
+            q = sigmoid(score[rows] + (swapped.changes @ w)[swapped.change])
             d = 2 * fairness * (p[rows] - q) / len(rows)
             dp, dq = d * p[rows] * (1 - p[rows]), -d * q * (1 - q)
-            g += np.append(x[rows].T @ dp + swapped.T @ dq, dp.sum() + dq.sum())
+            by_row, by_change = np.bincount(rows, dp + dq, n), np.bincount(swapped.change, dq, len(swapped.changes))
+            g += np.append(x.T @ by_row + swapped.changes.T @ by_change, dp.sum() + dq.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8) * min(1, 4 * (1 - step / (steps + 1)))
         w, b = w - move[:-1], b - float(move[-1])

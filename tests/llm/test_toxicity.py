@@ -79,7 +79,8 @@ def test_swapped_words():
     texts = [f"the {t} choir and a {u}" for t in terms for u in ("muslims", "americana", "friend")]
     x = np.array([[f in X.words_of(t) for f in features] for t in texts], dtype=np.float32)
     shared = np.array([[f in X.shared_beginnings(t) for f in features] for t in texts])
-    got, at = X.counterfactuals(x, features, shared), 0
+    rows, swaps = X.counterfactuals(x, features, shared)
+    got, at = (rows, x[rows] + swaps.changes[swaps.change]), 0
     for kind in X.IDENTITY.values():
         names = kind.split()
         for k, t in enumerate(names):
@@ -92,3 +93,19 @@ def test_swapped_words():
                     assert got[0][at] == i and (got[1][at] == want).all()
                     at += 1
     assert at == len(got[0])
+
+
+def test_every_mention_is_charged():
+    """Many mentions of the first kinds leave the last ones their swaps."""
+    kinds = [kind.split() for kind in X.IDENTITY.values()]
+    terms = [t for kind in kinds for t in kind]
+    x = np.zeros((4000, len(terms)), dtype=np.float32)
+    for i in range(len(x)):
+        for kind in kinds:
+            x[i, terms.index(kind[i % len(kind)])] = 1
+    rows, swaps = X.counterfactuals(x, terms)
+    assert len(rows) == len(swaps) == 2 * x.sum() == 48_000
+    blind, deaf = terms.index("blind"), terms.index("deaf")
+    y = np.maximum(x[:, blind], np.arange(len(x)) % 4 == 0)
+    w, b = X.fit(x, y, rows, swaps, fairness=200.0)
+    assert abs(X.sigmoid(w[blind] + b) - X.sigmoid(w[deaf] + b)) < 0.1
