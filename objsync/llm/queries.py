@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import chat, chat_sql, decontaminate, jaccard, pieces, quality, quality_sql, recompress, runindex, toxicity, warc
+from objsync.llm import chat, chat_sql, decontaminate, jaccard, pieces, quality, quality_sql, recompress, runindex, scaled, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": runindex.op1_suffix_array_dedup,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": recompress.op10_substring_dedup,
+    "op11_fingerprints": scaled.op11_fingerprints,
 }
 
 ORACLE: dict[str, str] = {
@@ -26,4 +27,5 @@ ORACLE: dict[str, str] = {
     "op6_quality_rules": quality_sql.OP6,
     "op7_warc": warc.OP7,
     "op10_substring_dedup": recompress.OP10,
+    "op11_fingerprints": scaled.OP11,
 }
