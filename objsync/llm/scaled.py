@@ -160,11 +160,17 @@ def with_edits(docs: DataFrame, words: int = WORDS, scale: int = SCALE, floor: i
     quarter = F.floor(F.length("text") / 4).cast("int")
     ids = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("pick"), F.max(quarter).alias("k"))
     nexts = written(following(ids), "next-ids")
-    asked = nexts.select(F.col("next.doc_id").alias("shows"), F.col("next.pick").alias("pick"), F.col("doc_id").alias("before"), "k")
-    rows = rows.withColumn("own", _packed(sketch(F.col("text"), words, scale, floor)))
-    shown = rows.hint("merge").join(asked, rows["doc_id"].eqNullSafe(asked["shows"]) & (F.xxhash64("text") == F.col("pick")))
-    shown = shown.select("before", F.expr("left(text, k)").alias("head"), F.col("own").alias("next")).dropDuplicates(["before"])
-    both = rows.hint("merge").join(shown, rows["doc_id"].eqNullSafe(shown["before"]))
+
+    def key(c: str) -> list[Column]:  # an id without nulls, so that all joins and groups use one partitioning
+        return [F.coalesce(c, F.lit(0).cast("long")).alias("id"), F.col(c).isNull().alias("no_id")]
+
+    asked = nexts.select(*key("next.doc_id"), F.col("next.pick").alias("pick"), F.col("doc_id").alias("before"), "k")
+    rows = rows.select(*key("doc_id"), "text", _packed(sketch(F.col("text"), words, scale, floor)).alias("own"))
+    # not an equality of two columns: that would become a key and part the two joins' partitionings
+    picked = F.xxhash64("text").bitwiseXOR(F.col("pick")) == 0
+    shown = rows.hint("merge").join(asked, ["id", "no_id"]).filter(picked)
+    shown = shown.select(*key("before"), F.expr("left(text, k)").alias("head"), F.col("own").alias("next")).dropDuplicates(["id", "no_id"])
+    both = rows.hint("merge").join(shown, ["id", "no_id"]).withColumn("doc_id", F.when(~F.col("no_id"), F.col("id")))
     edited = F.concat(F.expr("left(text, length(text) - floor(length(text) / 4))"), F.expr("left(head, floor(length(text) / 4))"))
     both = both.select("doc_id", "text", edited.alias("edited"), "own", "next")
     return both.select("doc_id", "text", "edited", _unpacked(F.col("own")).alias("own"), sketch(F.col("edited"), words, scale, floor).alias("changed"), _unpacked(F.col("next")).alias("next"))
