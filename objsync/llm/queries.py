@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from objsync.llm import chat, chat_sql, decontaminate, jaccard, pieces, quality, quality_sql, ranked, recompress, runindex, scaled, toxicity, warc
+from objsync.llm import aligned, chat, chat_sql, decontaminate, jaccard, pieces, quality, quality_sql, ranked, recompress, runindex, scaled, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_array_dedup": runindex.op1_suffix_array_dedup,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": pieces.op9_sentencepiece,
     "op10_substring_dedup": recompress.op10_substring_dedup,
     "op11_fingerprints": scaled.op11_fingerprints,
+    "op12_cross_tokenizer_alignment": aligned.op12_cross_tokenizer_alignment,
     "op13_ranked_search": ranked.op13_ranked_search,
 }
 
