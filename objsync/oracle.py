@@ -602,3 +602,62 @@ select cast(sum(case when action in ('MOVE', 'COPY', 'ALREADY_COPIED') or (actio
   then size else 0 end) as double) / 1073741824.0 as processed_gib
 from plan
 """)
+
+
+def _stem_sql(b: str) -> str:
+    return f"case when ends_with({b}, '-open') then {drop_last(b, 5)} else {drop_last(b, 11)} end"
+
+
+def _same_project_sql(x: str, y: str) -> str:
+    bx, by = (f"regexp_extract({v}, {URL_RE}, 2)" for v in (x, y))
+    pair = "['ccle-open-access', 'gdc-ccle-controlled']"
+    return f"""(lower(regexp_extract({x}, {URL_RE}, 1)) = lower(regexp_extract({y}, {URL_RE}, 1)) and
+  ({_stem_sql(bx)} = {_stem_sql(by)} or ({bx} <> {by} and list_contains({pair}, {bx}) and list_contains({pair}, {by}))))"""
+
+
+_SWEEP = f"""list_reduce(a.urls, lambda k, e: case when not k.skip and {_same_project_sql('u.url', 'e')}
+   then {{'kept': k.kept, 'gone': list_append(k.gone, e), 'skip': true}}
+   else {{'kept': list_append(k.kept, e), 'gone': k.gone, 'skip': false}} end,
+  {{'kept': []::varchar[], 'gone': []::varchar[], 'skip': false}})"""
+_SAME_SET = "list_sort(list_distinct({})) = list_sort(list_distinct({}))"
+# Every update of a record applied in order, one after another.
+ORACLE["index_merge_multi"] = _q(w("f_updates", "f_index_urls", "f_index_attrs", extra=[INDEX, f"""
+read1 as (
+ select *, coalesce(acl in ('[u''open'']', '[''open'']'), false) as open2 from f_updates
+),
+read2 as (
+ select *, case when open2 then ['*'] else list_transform(
+   string_split(substr({pystrip("coalesce(acl, '')")}, 2, greatest(length({pystrip("coalesce(acl, '')")}) - 2, 0)), ','),
+   lambda x: replace(replace({pystrip('x')}, 'u''', ''), '''', '')) end as acl_lst from read1
+),
+ups as (
+ select id as did, arg_min(md5, line_no) as md5, arg_min(coalesce(size, 0), line_no) as size,
+  list({{'url': url, 'acl': acl_lst,
+   'authz': case when open2 then ['/open'] else list_transform(acl_lst, lambda x: '/programs/' || x) end}} order by line_no) as ups
+ from read2 where open2 or len(list_filter(acl_lst, lambda x: not starts_with(x, 'phs'))) = 0 group by id
+),
+begun as (
+ select coalesce(x.did, n.did) as did, x.did is not null as old, n.did is not null as touched, coalesce(n.ups, []) as ups,
+  case when x.did is null then ['{API}' || n.did, n.ups[1].url] else x.urls end as urls0,
+  case when x.did is null then n.ups[1].acl else x.acl end as acl0,
+  case when x.did is null then n.ups[1].authz else x.authz end as authz0,
+  coalesce(x.md5, n.md5) as md5, coalesce(x.size, n.size) as size
+ from idx x full join ups n on x.did = n.did
+),
+ended as (
+ select *, list_reduce(ups, lambda a, u: {{
+   'urls': case when list_contains(a.urls, u.url) then a.urls else list_append({_SWEEP}.kept, u.url) end,
+   'gone': case when list_contains(a.urls, u.url) then a.gone else list_distinct(list_concat(a.gone, {_SWEEP}.gone)) end,
+   'acl': case when {_SAME_SET.format('a.acl', 'u.acl')} then a.acl else u.acl end,
+   'authz': case when {_SAME_SET.format('a.authz', 'u.authz')} then a.authz else u.authz end,
+   'changed': a.changed or not list_contains(a.urls, u.url) or not ({_SAME_SET.format('a.acl', 'u.acl')})
+     or not ({_SAME_SET.format('a.authz', 'u.authz')})}},
+  {{'urls': urls0, 'gone': []::varchar[], 'acl': acl0, 'authz': authz0, 'changed': false}}) as z
+ from begun
+)"""]), """
+select did, array_to_string(z.urls, '|') as urls,
+ array_to_string(case when old then list_sort(list_filter(urls0, lambda x: not list_contains(z.gone, x))) else [] end, '|') as meta_keys,
+ array_to_string(z.acl, '|') as acl, array_to_string(z.authz, '|') as authz, md5, size,
+ case when not touched then 'untouched' when not old then 'created' when z.changed then 'patched' else 'unchanged' end as change
+from ended
+""")

@@ -84,36 +84,117 @@ def index_updates(rows: DataFrame, cfg: PlanConfig, url_col: str = "url") -> Dat
 
 #: Lines per block of the first reduction of a record's updates.
 RUN_BLOCK = 1_000_000
+_ACL = "acl"  # the track of a record's ACL; URL tracks hold "://"
+
+
+def url_class(url: Column) -> Column:
+    """Scheme and P21 stem of a URL: only URLs of one class remove each other.
+    The stems of the special pair make one class."""
+    netloc = U.url_netloc(url)
+    stem = R.bucket_project_stem(netloc)
+    special = [n[:-5] if n.endswith("-open") else n[:-11] for n in C.SPECIAL_URL_BUCKET_PAIR]
+    return F.concat(U.url_scheme(url), F.lit("://"), F.when(stem.isin(*special), F.lit("/special")).otherwise(stem))
+
+
+def _odd(url: Column) -> Column:
+    """In the special class, but not one of its two buckets: such URLs do not
+    all remove each other."""
+    return url_class(url).endswith("/special") & ~U.url_netloc(url).isin(*C.SPECIAL_URL_BUCKET_PAIR)
+
+
+def index_transitions(updates: DataFrame, cfg: PlanConfig, block: int = RUN_BLOCK) -> DataFrame:
+    """What all updates of a did amount to, whatever its record holds:
+    ``(did, head, tracks, acl_first, acl_last, acl_single)``.
+
+    A record's updates are tracks: one per URL class, and the ACL.  Of a track
+    only its last run of equal values counts (where it began, its value) and
+    whether there was any other run.  Tracks combine: blocks of lines are
+    reduced each by itself, so a record with a third of all updates is spread
+    over as many tasks as it has blocks, and of each block one row per track goes on to
+    meet the others, where only neighbouring blocks are compared.
+
+    ``head`` is the first update; ``tracks`` has ``(at, url, cls, single)`` per
+    URL class, ``at`` being the line that began the last run.
+    """
+    acl_set = F.concat_ws(",", F.sort_array(F.array_distinct("acl_l")))
+    values = updates.select("did", "line_no", F.explode(F.array(
+        F.struct(url_class(F.col("url")).alias("track"), F.col("url").alias("value"), F.col("md5").alias("more"), F.col("size").alias("size")),
+        F.struct(F.lit(_ACL).alias("track"), acl_set.alias("value"), F.col("acl").alias("more"), F.lit(None).cast("bigint").alias("size")))).alias("v")) \
+        .select("did", "line_no", "v.*", F.floor(F.col("line_no") / block).alias("block"))
+    by_block = Window.partitionBy("did", "track", "block").orderBy("line_no")
+    point = F.struct("line_no", "value", "more", "size")
+    starts = values.withColumn("before", F.lag("value").over(by_block)).filter(F.col("before").isNull() | (F.col("before") != F.col("value")))
+    blocks = starts.groupBy("did", "track", "block").agg(F.count(F.lit(1)).alias("runs"), F.min(point).alias("first"), F.max(point).alias("last"))
+    # one partitioning by did serves the comparison of blocks, the tracks and the records
+    along = Window.partitionBy("did", "track").orderBy("block")
+    blocks = blocks.repartition("did").withColumn("before", F.lag("last.value").over(along))
+    edge = F.col("before").isNull() | (F.col("before") != F.col("first.value"))
+    began = F.when(F.col("runs") > 1, F.col("last")).when(edge, F.col("first"))
+    changes = F.col("runs") - 1 + F.when(edge & F.col("before").isNotNull(), 1).otherwise(0)
+    tracks = blocks.groupBy("did", "track").agg(F.min("first").alias("first"), F.max(began).alias("last"), (F.sum(changes) == 0).alias("single"))
+    is_acl = F.col("track") == _ACL
+    url = F.struct(F.col("last.line_no").alias("at"), F.col("last.value").alias("url"), F.col("track").alias("cls"), "single")
+    return tracks.groupBy("did").agg(
+        F.min(F.when(~is_acl, F.col("first"))).alias("head"), F.sort_array(F.collect_list(F.when(~is_acl, url))).alias("tracks"),
+        F.max(F.when(is_acl, F.col("first.more"))).alias("acl_first"), F.max(F.when(is_acl, F.col("last.more"))).alias("acl_last"),
+        F.bool_and(F.when(is_acl, F.col("single"))).alias("acl_single"))
 
 
 def _update_runs(up: DataFrame, namespace: str = "") -> DataFrame:
     """Per did, the first update of every run of identical updates, as
     ``ups: array<struct<line_no, url, acl_l, authz_l, md5, size>>`` sorted by
-    line.
-
-    Updates are read once.  Each block of lines of a did is reduced to its run
-    starts first, so a did with a large share of all rows is spread over as
-    many tasks as it has blocks; what is left of a did then meets in one
-    partitioning, where the block edges are checked and the list is built.
-    Two ACL texts that parse alike only add a run boundary, which the fold
-    treats as a no-op.
+    line.  Two ACL texts that parse alike only add a run boundary, which the
+    fold treats as a no-op.
     """
     sig = F.struct("url", "acl", "md5", "size")
+    before = F.lag(sig).over(Window.partitionBy("did").orderBy("line_no"))
+    runs = up.withColumn("_prev", before).filter(F.col("_prev").isNull() | (F.col("_prev") != sig))
+    return runs.groupBy("did").agg(F.sort_array(F.collect_list(
+        F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
 
-    def run_starts(rows: DataFrame, *by: str) -> DataFrame:
-        before = F.lag(sig).over(Window.partitionBy(*by).orderBy("line_no"))
-        return rows.withColumn("_prev", before).filter(F.col("_prev").isNull() | (F.col("_prev") != sig)).drop("_prev")
 
-    blocks = up.select("did", "line_no", "url", "acl", "md5", "size", F.floor(F.col("line_no") / RUN_BLOCK).alias("_block"))
-    runs = run_starts(run_starts(blocks, "did", "_block"), "did")
-    runs = runs.select("did", "line_no", "url", A.acl_list("acl").alias("acl_l"),
-                       A.authz_list("acl", namespace).alias("authz_l"), "md5", "size")
-    return runs.groupBy("did").agg(
-        F.sort_array(F.collect_list(F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
+def _fold(urls: Column, acl: Column, authz: Column, ups: Column) -> Column:
+    """A record after its updates one by one: ``struct(urls, removed, acl,
+    authz, changed)``, with the literal P22."""
+    state0 = F.struct(urls.alias("urls"), F.array().cast("array<string>").alias("removed"), acl.alias("acl"),
+                      authz.alias("authz"), F.lit(False).alias("changed"))
 
+    def apply(st, u):
+        present = F.array_contains(st["urls"], u["url"])
+        rc = remove_changed_urls(st["urls"], u["url"])
+        acl_same = A.same_set(st["acl"], u["acl_l"])
+        authz_same = A.same_set(st["authz"], u["authz_l"])
+        return F.struct(
+            F.when(present, st["urls"]).otherwise(F.concat(rc["kept"], F.array(u["url"]))).alias("urls"),
+            F.when(present, st["removed"]).otherwise(F.array_union(st["removed"], rc["removed"])).alias("removed"),
+            F.when(acl_same, st["acl"]).otherwise(u["acl_l"]).alias("acl"),
+            F.when(authz_same, st["authz"]).otherwise(u["authz_l"]).alias("authz"),
+            (st["changed"] | ~present | ~acl_same | ~authz_same).alias("changed"))
 
-def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_only: bool = False) -> DataFrame:
-    """Apply updates to index records; several updates of one did fold
+    return F.aggregate(ups, state0, apply)
+
+
+def _apply(urls: Column, acl: Column, authz: Column, namespace: str) -> Column:
+    """A record after its transition, like ``_fold``.  A class whose only run is of a URL that
+    the record lists keeps it in place; of every other class
+    the record's URLs go and the last run's is appended where it began."""
+    reset = F.filter("tracks", lambda t: ~(t["single"] & F.array_contains(urls, t["url"])))
+    gone = lambda e: F.exists(reset, lambda t: t["cls"] == url_class(e))
+    last, first = A.acl_list(F.col("acl_last")), A.acl_list(F.col("acl_first"))
+    last_z, first_z = A.authz_list(F.col("acl_last"), namespace), A.authz_list(F.col("acl_first"), namespace)
+    acl_same = F.col("acl_single") & A.same_set(acl, first)
+    authz_same = F.col("acl_single") & A.same_set(authz, first_z)
+    return F.struct(
+        F.concat(F.filter(urls, lambda e: ~gone(e)), F.transform(reset, lambda t: t["url"])).alias("urls"),
+        F.filter(urls, gone).alias("removed"),
+        F.when(acl_same, acl).otherwise(last).alias("acl"),
+        F.when(authz_same, authz).otherwise(last_z).alias("authz"),
+        ((F.size(reset) > 0) | ~acl_same | ~authz_same).alias("changed"))
+
+
+def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_only: bool = False,
+                block: int = RUN_BLOCK) -> DataFrame:
+    """Apply updates to index records; several updates of one did count
     in ``line_no`` order.  Output: the merged index plus ``change`` in
     ``created | patched | unchanged | untouched``.
 
@@ -122,46 +203,38 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     are replaced when their sets differ.  New record: ``hashes{md5}``,
     ``size`` (0 when null), ``urls = [data_api_url + did, url]``.
 
-    Consecutive identical updates of a did are no-ops after the first, so
-    only the first of each run of identical updates is folded (see
-    ``_update_runs``): the collected per-did list holds only changes.
+    Records are not folded update by update: ``index_transitions`` reduces
+    all updates of a did, block by block, to one small row that is applied
+    to its record.  That is exact while a record has at most one URL
+    per class, which its updates keep up.  Where a class has several, P22 skips the element after each
+    removed one and the outcome depends on every single update: the updates of such
+    records (and of those with other buckets under the special pair's stems) are
+    collected and folded in order instead.
 
     ``changes_only=True`` returns only the records that have updates (no
     ``untouched`` rows): the index is then the non-preserved side of a left
     join, which lets Spark's runtime Bloom filter prune the index scan when
     the update set is selective, instead of rewriting the whole index.
     """
-    grouped = _update_runs(updates.filter(F.col("valid") & F.col("url").isNotNull()), cfg.namespace())
+    ups = updates.filter(F.col("valid") & F.col("url").isNotNull())
+    api_url = F.concat(F.lit(cfg.data_api_url), F.col("did"))
+    classes = F.transform("urls", url_class)
+    several = index.filter((F.size(F.array_distinct(classes)) < F.size("urls")) | F.exists("urls", _odd)).select("did")
+    also = ups.filter(_odd(F.col("url")) | (url_class(F.col("url")) == url_class(api_url))).select("did")
+    in_order = _update_runs(ups.join(several.unionByName(also), "did", "left_semi"), cfg.namespace())
+    grouped = index_transitions(ups, cfg, block).join(in_order, "did", "left")
     if changes_only:
         j = grouped.join(index.withColumn("_has_doc", F.lit(True)), "did", "left")
     else:
         j = index.withColumn("_has_doc", F.lit(True)).join(grouped, "did", "full_outer")
     has_doc = F.coalesce(F.col("_has_doc"), F.lit(False))
-    first = F.col("ups")[0]
-    state0 = F.when(has_doc, F.struct(F.col("urls").alias("urls"), F.array().cast("array<string>").alias("removed"),
-                                      F.col("acl").alias("acl"), F.col("authz").alias("authz"),
-                                      F.lit(False).alias("changed"))) \
-        .otherwise(F.struct(F.array(F.concat(F.lit(cfg.data_api_url), F.col("did")), first["url"]).alias("urls"),
-                            F.array().cast("array<string>").alias("removed"),
-                            first["acl_l"].alias("acl"), first["authz_l"].alias("authz"),
-                            F.lit(True).alias("changed")))
-    rest = F.when(has_doc, F.col("ups")).otherwise(F.slice(F.col("ups"), 2, F.greatest(F.size("ups") - 1, F.lit(0))))
-
-    def apply(st, u):
-        present = F.array_contains(st["urls"], u["url"])
-        rc = remove_changed_urls(st["urls"], u["url"])
-        acl_same = A.same_set(st["acl"], u["acl_l"])
-        authz_same = A.same_set(st["authz"], u["authz_l"])
-        return F.struct(
-            F.when(present, st["urls"]).otherwise(F.concat(rc["kept"], F.array(u["url"]))).alias("urls"),
-            F.when(present, st["removed"]).otherwise(F.array_union(st["removed"], rc["removed"])).alias("removed"),
-            F.when(acl_same, st["acl"]).otherwise(u["acl_l"]).alias("acl"),
-            F.when(authz_same, st["authz"]).otherwise(u["authz_l"]).alias("authz"),
-            (st["changed"] | ~present | ~acl_same | ~authz_same).alias("changed"))
-
-    touched = F.col("ups").isNotNull()
-    st = F.when(touched, F.aggregate(rest, state0, apply))
-    j = j.withColumn("_st", st)
+    head, touched = F.col("head"), F.col("head").isNotNull()
+    none = F.array().cast("array<string>")
+    start = [F.when(has_doc, F.coalesce("urls", none)).otherwise(F.array(api_url, head["value"])),
+             F.when(has_doc, F.coalesce("acl", none)).otherwise(A.acl_list(F.col("acl_first"))),
+             F.when(has_doc, F.coalesce("authz", none)).otherwise(A.authz_list(F.col("acl_first"), cfg.namespace()))]
+    st = F.when(F.col("ups").isNotNull(), _fold(*start, F.col("ups"))).otherwise(_apply(*start, cfg.namespace()))
+    j = j.withColumn("_st", F.when(touched, st))
     meta_src = F.when(has_doc, F.col("urls_metadata")).otherwise(F.create_map().cast("map<string,map<string,string>>"))
     return j.select(
         "did",
@@ -170,8 +243,8 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
         .otherwise(F.col("urls_metadata")).alias("urls_metadata"),
         F.when(touched, F.col("_st.acl")).otherwise(F.col("acl")).alias("acl"),
         F.when(touched, F.col("_st.authz")).otherwise(F.col("authz")).alias("authz"),
-        F.when(has_doc, F.col("hashes")).otherwise(F.create_map(F.lit("md5"), first["md5"])).alias("hashes"),
-        F.when(has_doc, F.col("size")).otherwise(F.coalesce(first["size"], F.lit(0)).cast("bigint")).alias("size"),
+        F.when(has_doc, F.col("hashes")).otherwise(F.create_map(F.lit("md5"), head["more"])).alias("hashes"),
+        F.when(has_doc, F.col("size")).otherwise(F.coalesce(head["size"], F.lit(0)).cast("bigint")).alias("size"),
         F.when(~touched, F.lit("untouched")).when(~has_doc, F.lit("created"))
         .when(F.col("_st.changed"), F.lit("patched")).otherwise(F.lit("unchanged")).alias("change"))
 

@@ -225,3 +225,69 @@ def test_merge_changes_only(spark):
     assert set(full) == {"a", "b", "c"} and set(delta) == {"a", "c"}
     for d in delta:
         assert delta[d] == full[d]
+
+
+def _model_merge(docs, updates, api):
+    out = {}
+    for did in set(docs) | {u[1] for u in updates}:
+        d = docs.get(did)
+        doc = d and {"urls": d["urls"], "meta": {u: {} for u in d["meta"]}, "acl": d["acl"], "authz": d["authz"], "md5": "m", "size": 1, "changed": False, "new": False}
+        for _, udid, acl, md5, size, url in updates:
+            if udid == did:
+                doc = model_update(doc, did, url, acl, md5, size, api)
+        out[did] = doc
+    return out
+
+
+@pytest.mark.parametrize("block", [1, 7, 100, 10**6])
+def test_transitions_of_any_blocks(spark, block):
+    """Blocks of any size give the records of one update after another: clean records, records with
+    several URLs of a class, the special pair and its neighbours."""
+    cfg = PlanConfig(data_api_url="s3://api-open/")
+    rnd = random.Random(block)
+    buckets = ["p-open", "p-controlled", "p-2-open", "q-open", "ccle-open-access", "gdc-ccle-controlled", "gdc-ccle-open", "api-controlled"]
+    acls = ["['open']", "[u'open']", "['phs1']", "['phs1', 'phs2']", "['phs2','phs1']", "['bad']"]
+    docs, updates = {}, []
+    for i in range(60):
+        did = f"d{i}"
+        pool = buckets if i % 2 else buckets[:4]
+        if rnd.random() < 0.7:
+            urls = list(dict.fromkeys(f"{rnd.choice(['s3', 'gs'])}://{rnd.choice(pool)}/{did}" for _ in range(rnd.randint(0, 4 if i % 3 else 1))))
+            docs[did] = {"urls": urls, "meta": list(urls), "acl": rnd.choice([["*"], ["phs1"], ["phs2", "phs1"]]), "authz": rnd.choice([["/open"], ["/programs/phs1"]])}
+        for _ in range(rnd.choice([0, 1, 2, 12])):
+            updates.append((did, rnd.choice(acls[: rnd.randint(1, 6)]), f"m{len(updates)}", rnd.choice([5, None]), f"{rnd.choice(['s3', 'gs', 'S3'])}://{rnd.choice(pool)}/{rnd.choice([did, 'x'])}"))
+    rnd.shuffle(updates)
+    updates = [(n, *u) for n, u in enumerate(updates)]
+    rows = spark.createDataFrame(updates, "line_no bigint, id string, acl string, md5 string, size bigint, url string")
+    got = {r.did: r for r in I.merge_index(_index_df(spark, docs), I.index_updates(rows, cfg), cfg, block=block).collect()}
+    for did, doc in _model_merge(docs, updates, cfg.data_api_url).items():
+        if doc is None:
+            assert did not in got
+            continue
+        r = got[did]
+        assert (r.urls, sorted(r.urls_metadata), r.acl, r.authz) == (doc["urls"], sorted(doc["meta"]), doc["acl"], doc["authz"]), did
+        if doc["new"]:
+            assert r.change == "created" and r.hashes == {"md5": doc["md5"]} and r["size"] == doc["size"]
+        elif any(u[1] == did and model_acl(u[2])[2] for u in updates):
+            assert r.change == ("patched" if doc["changed"] else "unchanged"), did
+
+
+def test_hot_record_is_spread(spark):
+    """A third of interleaved updates on one record: rows of a block per task, one row per
+    block and track beyond."""
+    cfg = PlanConfig()
+    urls = ["s3://p-open/x", "s3://p-controlled/x", "gs://p-open/x"]
+    ups = [(i, "hot" if i % 3 == 0 else f"d{i}", "['phs1']" if i % 2 else "['open']", "m", 5, urls[i % 7 % 3]) for i in range(6000)]
+    rows = spark.createDataFrame(ups, "line_no bigint, id string, acl string, md5 string, size bigint, url string")
+    up = I.index_updates(rows, cfg)
+    plan = I.index_transitions(up, cfg, block=100)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "did" in plan
+    hot = I.index_transitions(up, cfg, block=100).filter("did = 'hot'").first()
+    of_class = {}
+    for n, did, _, _, _, url in ups:
+        if did == "hot":
+            cls = url[:2]
+            if of_class.get(cls, (None, None))[1] != url:
+                of_class[cls] = (n, url)
+    assert sorted((t.at, t.url) for t in hot.tracks) == sorted(of_class.values())
+    assert hot.head.line_no == 0 and not hot.acl_single and hot.acl_first == "['open']"
