@@ -31,7 +31,7 @@ def _table(spark: SparkSession, path: str) -> DataFrame:
 
 def _index(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".json"):
-        return S.read_index_map_json(spark, path)
+        return S.read_index_json(spark, path)
     return S.read_index(spark, path)
 
 

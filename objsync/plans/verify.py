@@ -77,6 +77,54 @@ def received_bytes(parts: DataFrame) -> DataFrame:
     return parts.groupBy("id").agg(F.sum("part_size").cast("bigint").alias("received_size"))
 
 
+def content_parts(objects: DataFrame, chunk_bytes: int, id_col: str, content_col: str) -> DataFrame:
+    """C10 parts of a content column with the digests of their bytes: ``(id,
+    part_number, part_size, part_md5)``, like ``file_parts`` of files."""
+    content = F.col(content_col).cast("binary")
+    base = objects.select(F.col(id_col).alias("id"), content.alias("_c"))
+    parts = base.select("id", "_c", F.posexplode(O.chunk_ranges(F.octet_length("_c").cast("bigint"), chunk_bytes)).alias("pos", "r"))
+    size = F.col("r.end") - F.col("r.start") + 1
+    piece = F.substring(F.col("_c"), (F.col("r.start") + 1).cast("int"), size.cast("int"))
+    return parts.select("id", (F.col("pos") + 1).cast("int").alias("part_number"), size.alias("part_size"), F.md5(piece).alias("part_md5"))
+
+
+def combine_parts(parts: DataFrame, *by: str) -> DataFrame:
+    """W5 + A7: parts that were digested apart, in part order: ``(by, parts,
+    received_size, complete, multipart_etag)``.
+
+    ``parts`` is the ordered list of ``(part_number, part_size, part_md5)``; a part that
+    was delivered twice counts once (the later copy of equal ones is the same, of
+    different ones the larger digest).  ``complete`` tells whether the numbers run
+    from 1 without a gap.  The ETag of a multipart object is the MD5 of its
+    parts' binary MD5s in order, a dash and their number.  An object has at
+    most 10,000 parts, so its list is bounded.
+    """
+    once = parts.groupBy(*by, "part_number").agg(F.max(F.struct("part_size", "part_md5")).alias("p"))
+    lists = once.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("part_number", "p.part_size", "p.part_md5"))).alias("parts"))
+    digest = F.md5(F.unhex(F.array_join(F.transform("parts", lambda p: p["part_md5"]), "")))
+    return lists.select(
+        *by, "parts", F.aggregate("parts", F.lit(0).cast("bigint"), lambda n, p: n + p["part_size"]).alias("received_size"),
+        (F.element_at("parts", -1)["part_number"] == F.size("parts")).alias("complete"),
+        F.concat(digest, F.lit("-"), F.size("parts").cast("string")).alias("multipart_etag"))
+
+
+def verify_parts(expected: DataFrame, parts: DataFrame, *by: str) -> DataFrame:
+    """C9 for objects uploaded in parts: the job's checks in its order, with the
+    stored ETag compared with the one the received parts make.  ``expected``:
+    ``(by, size, stored_size, etag)``, nulls for a missing object; an object
+    of no bytes has no parts and nothing to compare."""
+    j = expected.join(combine_parts(parts, *by), list(by), "left")
+    got = F.coalesce("received_size", F.lit(0))
+    reason = (F.when(~F.coalesce((got == F.col("size")) & F.coalesce("complete", F.lit(True)), F.lit(False)), F.lit("size_received"))
+              .when(F.col("stored_size").isNull(), F.lit("no_object"))
+              .when(F.col("stored_size") != F.col("size"), F.lit("size_stored"))
+              .when(F.col("etag").isNull(), F.lit("no_etag"))
+              .when(F.col("multipart_etag").isNotNull() & (F.trim("etag", F.lit('"')) != F.col("multipart_etag")), F.lit("etag"))
+              .otherwise(F.lit("ok")))
+    return j.select(*by, "size", got.alias("received_size"), F.size(F.coalesce("parts", F.array())).alias("n_parts"), "multipart_etag",
+                    reason.alias("result"), (reason == "ok").alias("passed"))
+
+
 def group_complete(manifest: DataFrame, project_map: DataFrame, gs_inventory: DataFrame, cfg: PlanConfig,
                    chunk_rows: int = 100) -> DataFrame:
     """Per chunk of ``chunk_rows`` manifest rows (W7), whether every file

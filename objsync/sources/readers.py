@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from objsync import config as C
 from objsync.functions.acl import py_strip
 from objsync.operators.relational import row_slice, with_line_no
+from objsync.sources.jsondict import RANGE_BYTES, read_dictionary
+from objsync.sources.ranges import file_ranges, list_files, range_digests
 
 _INT_PATTERN = r"^\s*[+-]?[0-9]+\s*$"
 
 
-def _strict_long(col: str) -> F.Column:
+def strict_long(col: str) -> F.Column:
     """``int(text)``: a value that is not an integer fails the job."""
     c = F.col(col)
     return F.when(c.rlike(_INT_PATTERN), F.trim(c).cast("bigint")).otherwise(
@@ -45,7 +47,7 @@ def read_manifest(spark: SparkSession, path: str | list[str], sep: str = "\t", s
     df = raw.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in cols],
                     F.col("_metadata.file_path").alias("_fp"), F.col("_metadata.file_block_start").alias("_fb"))
     df = with_line_no(df, block_cols=["_fp", "_fb"]).drop("_fp", "_fb")
-    df = df.withColumn("size", _strict_long("size"))
+    df = df.withColumn("size", strict_long("size"))
     df = row_slice(df, start, end)
     if shuffle_seed is not None:
         df = df.withColumn("rand_key", F.rand(shuffle_seed))
@@ -66,29 +68,20 @@ def read_pipeline_manifest(spark: SparkSession, path: str) -> DataFrame:
     out = body.filter(line != "").select(
         F.col("_pos").alias("line_no"),
         *[F.try_element_at(words, F.lit(i + 1)).alias(c) for i, c in enumerate(C.PIPELINE_COLUMNS)])
-    return out.withColumn("size", _strict_long("size"))
+    return out.withColumn("size", strict_long("size"))
 
 
-PROJECT_MAP_TYPE = "map<string,struct<aws_bucket_prefix:string,gs_bucket_prefix:string>>"
-
-
-def read_project_map(spark: SparkSession, path: str) -> DataFrame:
+def read_project_map(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """JSON object ``project_id -> {aws_bucket_prefix, gs_bucket_prefix}``."""
-    txt = spark.read.text(path, wholetext=True)
-    return (txt.select(F.explode(F.from_json("value", PROJECT_MAP_TYPE)).alias("project_id", "p"))
-            .select("project_id", "p.aws_bucket_prefix", "p.gs_bucket_prefix"))
-
+    d = read_dictionary(spark, path, "struct<aws_bucket_prefix:string,gs_bucket_prefix:string>", range_bytes)
+    return d.select(F.col("key").alias("project_id"), "value.aws_bucket_prefix", "value.gs_bucket_prefix")
 
-INVENTORY_JSON_TYPE = "map<string,map<string,string>>"
 
-
-def read_inventory_json(spark: SparkSession, path: str) -> DataFrame:
+def read_inventory_json(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """JSON dictionary ``"bucket/key" -> {StorageClass, Size, Bucket}``
     (GS form: ``{bucket, Size}``).  Values are read as case-sensitive maps.
-    A JSON document is one object, read by one task per file: use parquet
-    snapshots (K6) for large listings."""
-    txt = spark.read.text(path, wholetext=True)
-    e = txt.select(F.explode(F.from_json("value", INVENTORY_JSON_TYPE)).alias("path", "o"))
+    A document is read by as many tasks as it has ranges of ``range_bytes``."""
+    e = read_dictionary(spark, path, "map<string,string>", range_bytes).withColumnsRenamed({"key": "path", "value": "o"})
     o = F.col("o")
     bucket = F.coalesce(F.try_element_at(o, F.lit("Bucket")), F.try_element_at(o, F.lit("bucket")),
                         F.substring_index("path", "/", 1))
@@ -97,50 +90,66 @@ def read_inventory_json(spark: SparkSession, path: str) -> DataFrame:
     return e.select("bucket", F.expr("substring(path, length(bucket) + 2)").alias("key"), "size", "storage_class")
 
 
-def read_index_map_json(spark: SparkSession, path: str) -> DataFrame:
+def read_index_map_json(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """JSON ``did -> [urls]`` map file -> ``(did, urls)``."""
-    txt = spark.read.text(path, wholetext=True)
-    return txt.select(F.explode(F.from_json("value", "map<string,array<string>>")).alias("did", "urls"))
+    return read_dictionary(spark, path, "array<string>", range_bytes).withColumnsRenamed({"key": "did", "value": "urls"})
+
+
+def read_index_json(spark: SparkSession, path: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    """S12 as an index (S10): a map file knows URLs only, so ``urls_metadata``
+    has an empty entry per URL, and all other columns are empty or null."""
+    none = F.array().cast("array<string>")
+    empty = F.create_map().cast("map<string,string>")
+    urls = F.coalesce(F.col("urls"), none)
+    return read_index_map_json(spark, path, range_bytes).select(
+        "did", urls.alias("urls"), F.map_from_arrays(F.array_distinct(urls), F.transform(F.array_distinct(urls), lambda _: empty)).alias("urls_metadata"),
+        none.alias("acl"), none.alias("authz"), empty.alias("hashes"), F.lit(None).cast("bigint").alias("size"))
 
 
 def read_ignored(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     """Ignored-objects table (header CSV/TSV) with ``line_no`` for the
     last-row-wins rule; a bad size fails the read."""
-    raw = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(path)
+    raw = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
+           .option("mode", "FAILFAST").option("enforceSchema", False).csv(path))
     df = raw.select(*raw.columns, F.col("_metadata.file_path").alias("_fp"),
                     F.col("_metadata.file_block_start").alias("_fb"))
     df = with_line_no(df, block_cols=["_fp", "_fb"]).drop("_fp", "_fb")
-    return df.withColumn("gcs_object_size", _strict_long("gcs_object_size"))
+    return df.withColumn("gcs_object_size", strict_long("gcs_object_size"))
 
 
 def read_listing(spark: SparkSession, root: str) -> DataFrame:
     """S7/S8 for file-system buckets: every file under ``root/<bucket>/``
     becomes ``(bucket, key, size)``.  Only names and lengths are read
     (``binaryFile`` with the content column pruned from the scan)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path", "length"))
+    files = list_files(spark, root)
+    return files.select(*_object_names("path", root), F.col("length").alias("size"), F.lit(None).cast("string").alias("storage_class"))
+
+
+def _object_names(path: str, root: str) -> tuple[F.Column, F.Column]:
+    """Bucket and key of a file under ``root/<bucket>/``."""
     no_scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
     root_path = re.sub(no_scheme, "", root).rstrip("/")
-    rel = F.regexp_replace(F.regexp_replace(F.col("path"), no_scheme, ""), "^" + re.escape(root_path) + "/", "")
-    out = files.select(rel.alias("_rel"), F.col("length").alias("size"))
-    bucket = F.substring_index("_rel", "/", 1)
-    return out.select(bucket.alias("bucket"), F.expr("substring(_rel, instr(_rel, '/') + 1)").alias("key"),
-                      "size", F.lit(None).cast("string").alias("storage_class"))
+    rel = F.regexp_replace(F.regexp_replace(F.col(path), no_scheme, ""), "^" + re.escape(root_path) + "/", "")
+    return F.substring_index(rel, "/", 1).alias("bucket"), F.substring(rel, F.instr(rel, "/") + 1, F.length(rel)).alias("key")
 
 
 def file_digest(spark: SparkSession, root: str) -> DataFrame:
     """C9 observed side for file-system objects: ``(bucket, key,
-    received_size, content_md5)`` computed from the bytes in executor tasks
-    (``binaryFile`` holds one file per row, so files above 2 GiB cannot be
-    read this way; use the listing's stored md5 for those)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-             .select("path", F.col("length").alias("received_size"), F.md5("content").alias("content_md5")))
-    no_scheme = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
-    root_path = re.sub(no_scheme, "", root).rstrip("/")
-    rel = F.regexp_replace(F.regexp_replace(F.col("path"), no_scheme, ""), "^" + re.escape(root_path) + "/", "")
-    out = files.select(rel.alias("_rel"), "received_size", "content_md5")
-    return out.select(F.substring_index("_rel", "/", 1).alias("bucket"),
-                      F.expr("substring(_rel, instr(_rel, '/') + 1)").alias("key"), "received_size", "content_md5")
+    received_size, content_md5)`` of the bytes, read block by block in executor tasks, whatever
+    the size.  An MD5 runs through its object in order, so an
+    object is one task; ``file_parts`` spreads large ones."""
+    files = list_files(spark, root)
+    whole = files.select("path", "length", F.lit(0).cast("bigint").alias("no"), F.lit(0).cast("bigint").alias("start"), F.col("length").alias("end"))
+    sums = range_digests(whole.repartition("path"))
+    return sums.select(*_object_names("path", root), F.col("length").alias("received_size"), F.lower(F.hex("digest")).alias("content_md5"))
+
+
+def file_parts(spark: SparkSession, root: str, chunk_bytes: int) -> DataFrame:
+    """C10 parts of file-system objects with the digests of their bytes, each
+    part read by its own task: ``(bucket, key, part_number, part_size, part_md5)``."""
+    sums = range_digests(file_ranges(list_files(spark, root), chunk_bytes))
+    return sums.select(*_object_names("path", root), (F.col("no") + 1).cast("int").alias("part_number"),
+                       (F.col("end") - F.col("start")).alias("part_size"), F.lower(F.hex("digest")).alias("part_md5"))
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:

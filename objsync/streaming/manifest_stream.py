@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from objsync.config import PlanConfig
 from objsync.operators.relational import with_line_no
 from objsync.plans import aws
+from objsync.sources.readers import strict_long
 
 MANIFEST_STREAM_SCHEMA = ("id string, file_name string, md5 string, size string, state string, project_id string, "
                           "baseid string, version string, release string, acl string, type string, "
@@ -29,7 +30,7 @@ def plan_batch(batch: DataFrame, epoch_id: int, project_map: DataFrame, buckets:
     batch (W1), then C1."""
     df = batch.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in batch.columns if c not in ("_fp", "_fb")], "_fp", "_fb")
     df = with_line_no(df, block_cols=["_fp", "_fb"]).drop("_fb").withColumnRenamed("_fp", "manifest_file")
-    df = df.withColumn("size", F.col("size").cast("bigint"))
+    df = df.withColumn("size", strict_long("size"))
     return aws.copy_plan(df, project_map, buckets, inventory, source_inventory, cfg) \
         .withColumn("epoch", F.lit(epoch_id).cast("bigint"))
 
@@ -38,10 +39,12 @@ def start_manifest_stream(spark: SparkSession, manifest_dir: str, output_path: s
                           project_map: DataFrame, buckets: DataFrame, inventory: DataFrame,
                           source_inventory: DataFrame, cfg: PlanConfig | None = None,
                           available_now: bool = True) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes what is in the folder
+    """Start the stream; a file whose header is not that of
+    ``MANIFEST_STREAM_SCHEMA`` in that order, or whose size is no integer, fails it.  ``available_now`` processes what is in the folder
     and stops (a periodic job), otherwise it keeps polling."""
     cfg = cfg or PlanConfig()
     stream = (spark.readStream.schema(MANIFEST_STREAM_SCHEMA).option("header", True).option("sep", "\t")
+              .option("quote", '"').option("escape", '"').option("mode", "FAILFAST").option("enforceSchema", False)
               .csv(manifest_dir).select("*", F.col("_metadata.file_path").alias("_fp"),
                                          F.col("_metadata.file_block_start").alias("_fb")))
 
