@@ -11,8 +11,12 @@ filter pushdown for Python sources on.
 
 Response blocks are HTTP messages whose body has a gzip transfer encoding;
 revisit records hold HTTP headers only and name the record they repeat.
-Writing tasks may be retried: only files named in the index that the commit
-writes are part of an archive folder.
+Writing tasks may be retried: only files named in an index are part of an
+archive folder.  Every commit writes an index of its own, so appending adds to what is there;
+``overwrite`` takes the older indexes and their files away after its own is written.
+
+A record without Content-Length, and an archive that ends within a record,
+fail the read; line ends between records and at the end are skipped.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ FIELD = {"record_id": "WARC-Record-ID", "record_type": "WARC-Type", "target_uri"
          "payload_digest": "WARC-Payload-Digest", "payload_bytes": "X-Payload-Length"}
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: gzip\r\n\r\n"
-INDEX = "_index.json"
+INDEX = "_index"
 PART_BYTES = 64 << 20  # a partition of an indexed archive
 BATCH_BYTES = 4 << 20
 
@@ -111,6 +115,23 @@ def columns_of(headers: dict[str, str]) -> dict:
     return out
 
 
+def indexes(fs: pafs.FileSystem, top: str) -> dict[str, list[dict]]:
+    """The indexes of an archive folder, by path: their files and marks."""
+    found = fs.get_file_info(pafs.FileSelector(top, allow_not_found=True)) if fs.get_file_info([top])[0].type != pafs.FileType.File else []
+    out = {}
+    for f in sorted(f.path for f in found if re.fullmatch(rf"{INDEX}.*\.json", f.base_name)):
+        with fs.open_input_stream(f) as data:
+            out[f] = json.loads(data.read())
+    return out
+
+
+def _past(stream, size: int, end: int | None) -> None:
+    """Go on by ``size`` bytes, which must exist."""
+    to = stream.tell() + size
+    if stream.seek(size, io.SEEK_CUR) < to or end is not None and to > end:
+        raise ValueError("the archive ends within a record")
+
+
 @dataclass
 class Span(InputPartition):
     """Records of one file from byte ``start`` up to ``end`` (None: its end)."""
@@ -152,12 +173,10 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[Span]:
         fs, top = file_system(self.path)
-        found = fs.get_file_info([f"{top}/{INDEX}"])[0]
-        if found.type == pafs.FileType.File:
-            with fs.open_input_stream(found.path) as f:
-                listed = json.loads(f.read())
+        listed = indexes(fs, top)
+        if listed:
             spans = []
-            for x in listed:
+            for x in [x for own in listed.values() for x in own]:
                 marks = x["marks"]
                 keep = [0]
                 for m in marks[1:]:
@@ -179,22 +198,27 @@ class WarcReader(DataSourceReader):
         with fs.open_input_file(path) as raw:
             # archives packed as a whole are read through; plain ones allow seeking
             stream = gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else io.BufferedReader(raw, 1 << 16)
+            end = None if path.endswith(".gz") else raw.size()
             stream.seek(part.start)
             while part.end is None or stream.tell() < part.end:
                 headers = read_headers(stream)
                 if headers is None:
                     break
-                row, size = columns_of(headers), int(next(v for k, v in headers.items() if k.lower() == "content-length"))
-                if not self.wants(row):
-                    stream.seek(size + 4, io.SEEK_CUR)  # and the two line ends after a block
-                    continue
-                if self.want_payload and row["record_type"] != "revisit":
+                row, size = columns_of(headers), next((v for k, v in headers.items() if k.lower() == "content-length"), None)
+                if size is None:
+                    raise ValueError(f"record without Content-Length: {row['record_id']}")
+                size, wanted = int(size), self.wants(row)
+                if wanted and self.want_payload and row["record_type"] != "revisit":
                     block = stream.read(size)
+                    if len(block) < size:
+                        raise ValueError("the archive ends within a record")
                     row["payload"] = payload_of(block) if "application/http" in headers.get("Content-Type", "") else block
                 else:
-                    stream.seek(size, io.SEEK_CUR)
+                    _past(stream, size, end)
                     row["payload"] = None
-                stream.seek(4, io.SEEK_CUR)
+                stream.seek(4, io.SEEK_CUR)  # the two line ends after a block
+                if not wanted:
+                    continue
                 row["headers"] = list(headers.items())
                 rows.append(row)
                 held += len(row["payload"] or b"") + 500
@@ -217,8 +241,8 @@ class Part(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict):
-        self.path = options["path"]
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.path, self.overwrite = options["path"], overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
         fs, top = file_system(self.path)
@@ -240,8 +264,13 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Part | None]) -> None:
         fs, top = file_system(self.path)
         fs.create_dir(top, recursive=True)
-        with fs.open_output_stream(f"{top}/{INDEX}") as out:
+        older = indexes(fs, top) if self.overwrite else {}
+        with fs.open_output_stream(f"{top}/{INDEX}-{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps([{"file": m.file, "marks": m.marks} for m in messages if m and m.file]).encode())
+        for index, files in older.items():
+            fs.delete_file(index)
+            for x in files:
+                fs.delete_file(f"{top}/{x['file']}")
 
     def abort(self, messages: list[Part | None]) -> None:
         fs, top = file_system(self.path)
@@ -262,7 +291,7 @@ class WarcSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -278,11 +307,12 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True) -> DataFrame
     return spark.read.format("warc").option("path", path).option("payload", str(payload).lower()).load()
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """Write rows with the columns of ``SCHEMA`` (``headers`` is not used)."""
+def write_warc(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Write rows with the columns of ``SCHEMA`` (``headers`` is not used);
+    ``mode`` is append or overwrite."""
     register(records.sparkSession)
     wanted = records.select(*[c for c in COLUMNS], "payload", F.lit(None).cast("map<string,string>").alias("headers"))
-    wanted.select(*[x.split()[0] for x in SCHEMA.split(", ")]).write.format("warc").option("path", path).mode("append").save()
+    wanted.select(*[x.split()[0] for x in SCHEMA.split(", ")]).write.format("warc").option("path", path).mode(mode).save()
 
 
 #: Fixed by the rule: payloads below this size are always stored.

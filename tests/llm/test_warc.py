@@ -55,3 +55,35 @@ def test_empty(spark, tmp_path):
     path = str(tmp_path / "w")
     W.write_warc(W.to_records(spark.createDataFrame([], "page_id long, url string, html string")), path)
     assert W.read_warc(spark, path).count() == 0
+
+
+def test_append_and_overwrite(spark, tmp_path):
+    path = str(tmp_path / "w")
+
+    def pages(ids):
+        return W.to_records(spark.createDataFrame([(i, "u", f"page {i}") for i in ids], "page_id long, url string, html string"))
+
+    def ids():
+        return sorted(r.record_id for r in W.read_warc(spark, path).collect())
+
+    W.write_warc(pages([1, 2, 3]), path)
+    W.write_warc(pages([4, 5]), path)
+    assert ids() == [f"<urn:page:{i}>" for i in range(1, 6)]
+    W.write_warc(pages([7]), path, mode="overwrite")
+    assert ids() == ["<urn:page:7>"] and len(list((tmp_path / "w").glob("*.warc"))) == 1
+    (tmp_path / "w" / "part-left-by-a-lost-task.warc").write_bytes(b"WARC/1.1\r\n")
+    assert ids() == ["<urn:page:7>"]
+
+
+def test_damaged_archives_fail(spark, tmp_path):
+    import pytest
+
+    row = {"record_id": "<a>", "record_type": "response", "target_uri": "u", "date": "d", "payload": b"body" * 50, "payload_bytes": 200}
+    whole = W.record(row)
+    for name, data in (("cut.warc", whole + whole[:-40]), ("head.warc", whole.replace(b"Content-Length", b"Content-Longth")), ("none.warc", b"nothing\r\n")):
+        (tmp_path / name).write_bytes(data)
+        for payload in (True, False):
+            with pytest.raises(Exception, match="WARC record|Content-Length|ends within"):
+                W.read_warc(spark, str(tmp_path / name), payload=payload).collect()
+    (tmp_path / "ok.warc").write_bytes(b"\r\n\r\n" + whole + b"\r\n" + whole + b"\r\n\r\n")
+    assert W.read_warc(spark, str(tmp_path / "ok.warc")).count() == 2
