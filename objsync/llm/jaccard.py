@@ -22,7 +22,8 @@ components is lost, and links inside a component cannot change it.
 
 Texts without words, and null texts, have empty sets and stand alone.  A null
 ``doc_id`` is larger than any other and stays null in the result.  Rows are
-documents; classes with the same smallest ``doc_id`` count as linked.  Other
+documents, also where they share an id: a class is a node of its own, whatever ids it has, and only
+the result maps components to their smallest ``doc_id``.  Other
 columns are ignored; an empty table gives an empty result.
 """
 
@@ -122,12 +123,12 @@ def _prefixes(batches: Iterator[pa.RecordBatch], rarity, words: int, percent: in
             if x in seen:  # an equal set of this batch says the same
                 continue
             seen.add(x)
-            parts.append((ordered_prefix(s, rarity.value, 1, percent, MEET), x & (2**64 - 1)))
+            parts.append((ordered_prefix(s, rarity.value, 1, percent, MEET), x & (2**64 - 1), x >> 64))
         if parts:
-            lengths = [len(p) for p, _ in parts]
-            of = np.repeat(np.array([x for _, x in parts], dtype=np.uint64), lengths)
+            lengths = [len(p) for p, _, _ in parts]
+            low, high = (np.repeat(np.array([x[i] for x in parts], dtype=np.uint64), lengths) for i in (1, 2))
             at = np.concatenate([np.arange(n, dtype=np.int32) for n in lengths])
-            yield pa.RecordBatch.from_arrays([as_long(np.concatenate([p for p, _ in parts])), as_long(of), pa.array(at)], names=["token", "s1", "pos"])
+            yield pa.RecordBatch.from_arrays([as_long(np.concatenate([p for p, _, _ in parts])), as_long(low), as_long(high), pa.array(at)], names=["token", "s1", "s2", "pos"])
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], rarity, words: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -200,18 +201,21 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     made = written(rows.select("doc_id", "d", "t", "text").mapInArrow(lambda b: _sets(b, words), kind), "jaccard-sets")
     rarity = spark.sparkContext.broadcast(rarity_of(made))
     sets = made.filter("slice is null").drop("slice", "counts")
-    classes = written(sets.filter("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("d", "t")).alias("o"), F.first("n").alias("n")).select("s1", "s2", F.col("o.d").alias("r"), F.col("o.t").alias("t"), "n"), "jaccard-classes")
-
-    tokens = written(rows.select("text").mapInArrow(lambda b: _prefixes(b, rarity, words, percent), "token bigint, s1 bigint, pos int"), "jaccard-prefixes")
-    shared = tokens.groupBy("token").agg(F.min("s1").alias("x"), F.max("s1").alias("y")).filter("x < y").select("token")
-    posts = tokens.join(shared, "token").dropDuplicates(["token", "s1"])
-    posts = written(posts.join(classes.select("s1", "r", "n"), "s1").select("token", "r", "n", "pos"), "jaccard-posts")
+    # a class is known by its 128-bit name, and from here on by the number r that it gets when written
+    classes = sets.filter("n > 0").groupBy("s1", "s2").agg(F.min(F.struct("d", "t")).alias("o"), F.first("n").alias("n"))
+    classes = written(classes.select(F.monotonically_increasing_id().alias("r"), "s1", "s2", "o.d", "o.t", "n"), "jaccard-classes")
+
+    tokens = written(rows.select("text").mapInArrow(lambda b: _prefixes(b, rarity, words, percent), "token bigint, s1 bigint, s2 bigint, pos int"), "jaccard-prefixes")
+    name = F.struct("s1", "s2")
+    shared = tokens.groupBy("token").agg(F.min(name).alias("x"), F.max(name).alias("y")).filter("x < y").select("token")
+    posts = tokens.join(shared, "token").dropDuplicates(["token", "s1", "s2"])
+    posts = written(posts.join(classes.select("s1", "s2", "r", "n"), ["s1", "s2"]).select("token", "r", "n", "pos"), "jaccard-posts")
     discard(tokens)
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Texts of the classes in ``pairs``, and their prefixes under the other orders."""
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("r")).distinct().join(classes.select("r", "t"), "r").select(F.col("r").alias("d"), "t")
-        cand = rows.join(asked, ["d", "t"]).select(F.col("d").alias("r"), "text")
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("r")).distinct().join(classes.select("r", "d", "t"), "r")
+        cand = rows.join(asked, ["d", "t"]).dropDuplicates(["d", "t"]).select("r", "text")
         return written(cand.mapInArrow(lambda b: _candidates(b, rarity, words, percent), "r bigint, text string" + "".join(f", p{o} array<int>" for o in range(2, ORDERS + 1))), "jaccard-candidates")
 
     def meeting(both: DataFrame) -> DataFrame:
@@ -240,7 +244,8 @@ def link(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     if not more.isEmpty():
         found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
-    of = classes.join(found, F.col("r") == F.col("node"), "left").select("s1", "s2", F.coalesce("component", "r").alias("component"))
+    of = classes.join(found, F.col("r") == F.col("node"), "left").select("s1", "s2", "d", F.coalesce("component", "r").alias("node"))
+    of = of.join(of.groupBy("node").agg(F.min("d").alias("component")), "node").select("s1", "s2", "component")
     out = sets.join(of, ["s1", "s2"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("d")).alias("c"))
     return out.select("doc_id", "n_shingles", F.when(F.col("c") < LAST_ID, F.col("c")).alias("component_id"))
 
