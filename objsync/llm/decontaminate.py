@@ -5,14 +5,15 @@ with the benchmark on shared seeds (Karp-Rabin fingerprints of ``SEED``
 consecutive words, or of a whole item that is shorter).  Where enough of an
 item is seeded, tiling marks the longest match of unmarked words again and
 again, so each word of item and text is used once and the order of the matched
-passages does not matter.  A pair counts when tiles that lie within ``REACH``
-item lengths of one another cover ``COVERAGE`` of the item's words.  The whole
-text is tiled first, then each stretch of that many words by itself, where far
-tiles take no words from a near copy; the best cover counts.  Passages farther
-apart than that are not added up.
+passages does not matter.  A pair counts when the tiles of the whole text,
+however far apart, cover ``COVERAGE`` of the item's words.  Each stretch of ``REACH``
+item lengths is also tiled by itself, where far tiles take no words from a near copy; the
+best cover counts.
 
 The benchmark is a stated query set: it is taken in blocks of at most
-``BLOCK_BYTES`` of text, and each block is broadcast against all texts.
+``BLOCK_BYTES`` of text, and each block is broadcast against all texts.  The
+driver holds one block at a time: what the texts have in common with a block is written
+before the next block is read.
 
 Null, empty and wordless texts or items match nothing; equal items are each
 reported, repeated rows give repeated results; empty tables give an empty
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from objsync.llm.common import mix64, seed64, ship, table
+from objsync.llm.common import mix64, seed64, ship, table, written
 
 SEED = 5
 COVERAGE = 0.6
@@ -91,19 +92,6 @@ def greedy_tiles(pairs: list[tuple[int, int]], width: int) -> list[tuple[int, in
     return tiles
 
 
-def densest(tiles: list[tuple[int, int, int]], reach: int) -> tuple[int, int]:
-    """Most item words covered by tiles within ``reach`` text words, and their number."""
-    tiles = sorted(tiles, key=lambda t: t[1])
-    best, covered, a = (0, 0), 0, 0
-    for b, (_, j, n) in enumerate(tiles):
-        covered += n
-        while j + n - tiles[a][1] > reach:
-            covered -= tiles[a][2]
-            a += 1
-        best = max(best, (covered, b - a + 1))
-    return best
-
-
 def stretches(seeds: list[tuple[int, int]], width: int, reach: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """The seeds within ``reach`` text words from each seed on, and the item
     or text words they hold, whichever are fewer: no tiling covers more."""
@@ -132,9 +120,10 @@ def stretches(seeds: list[tuple[int, int]], width: int, reach: int) -> Iterator[
 
 
 def best_cover(seeds: list[tuple[int, int]], width: int, reach: int, least: float) -> tuple[int, int]:
-    """Most item words covered within ``reach`` text words, and the number of
-    tiles: by the tiles of the whole text or of one stretch of it."""
-    best = densest(greedy_tiles(seeds, width), reach)
+    """Most item words covered, and the number of tiles: by the tiles of the
+    whole text, or of one stretch of ``reach`` words of it."""
+    tiles = greedy_tiles(seeds, width)
+    best = (sum(n for _, _, n in tiles), len(tiles))
     if best[0] == min(len({at + x for at in ends for x in range(width)}) for ends in map(set, zip(*seeds))):
         return best
     for bound, some in stretches(seeds, width, reach):
@@ -211,19 +200,29 @@ class Block:
         return sorted(out)
 
 
-def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> list[list[tuple[int, str | None]]]:
-    """The query set, cut into blocks of bounded size; longer ones of the
+def blocks(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str | None]]]:
+    """The query set, cut into blocks of bounded size, one at a time; longer ones of the
     benchmark's items stand alone."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    out: list[list] = []
-    held = most + 1
+    block: list[tuple[int, str | None]] = []
+    held = 0
     for r in rows.toLocalIterator():
+        if block and held + len(r.text) > most:
+            yield block
+            block, held = [], 0
+        block.append((r.item_id, r.text))
         held += len(r.text)
-        if held > most:
-            out.append([])
-            held = len(r.text)
-        out[-1].append((r.item_id, r.text))
-    return out
+    if block:
+        yield block
+
+
+def _all_but_last(items: Iterator) -> Iterator[tuple[object, bool]]:
+    """Each item, and whether it is the last."""
+    held = next(items, None)
+    while held is not None:
+        after = next(items, None)
+        yield held, after is None
+        held = after
 
 
 def _match(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
@@ -240,19 +239,22 @@ def _match(docs: DataFrame, items: list[tuple[int, str | None]]) -> DataFrame:
     return docs.mapInArrow(run, SCHEMA)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per text and item that the text covers."""
     ship(docs.sparkSession)
     few = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = [_match(few, items) for items in blocks(benchmark)]
+    found = []
+    for items, last in _all_but_last(blocks(benchmark, block_bytes)):
+        rows = _match(few, items)
+        found.append(rows if last else written(rows, "benchmark-block"))
     return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], SCHEMA)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` whose text covers no item."""
     ship(docs.sparkSession)
     spark, at = docs.sparkSession, docs.columns.index("text")
-    for items in blocks(benchmark):
+    for items, last in _all_but_last(blocks(benchmark, block_bytes)):
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -261,6 +263,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield b.filter(pa.array([not (t and block.matches(t)) for t in b.column(at).to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        docs = docs if last else written(docs, "clean-of-a-block")
     return docs
 
 

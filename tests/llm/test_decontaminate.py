@@ -48,7 +48,9 @@ def test_matches():
     assert found(a[20:] + ["zz"] + a[10:20] + ["zz"] + a[:10]) == [3]  # passages in another order
     assert found(a[:10] + filler) == [] and found(a[:18] + filler) == [3]
     assert found([w for x in a for w in (x, "zz")]) == []
-    assert found(a[:10] + filler * 20 + a[10:]) == [3] and found([x for i in range(0, 30, 10) for x in a[i : i + 10] + filler * 20]) == []  # too far apart
+    assert found(a[:10] + filler * 20 + a[10:]) == [3] and found([x for i in range(0, 30, 10) for x in a[i : i + 10] + filler * 20]) == [3]  # passages far apart
+    assert found([x for i in (20, 0, 10) for x in a[i : i + 10] + filler * 200]) == [3]  # and in another order
+    assert found([x for i in (20, 10) for x in a[i : i + 8] + filler * 200]) == []  # 16 of 30 words
     assert found("say: one, two three!".split()) == [50, 53]
     assert block.matches("") == [] and D.Block([]).matches("x y") == []
 
@@ -61,7 +63,10 @@ def test_frames(spark):
     assert sorted(str(r.doc_id) for r in D.keep_clean(docs, items).collect()) == ["11", "12", "None"]
     assert D.keep_clean(docs, items).columns == docs.columns
     assert D.contaminated(docs, items.limit(0)).count() == 0 and D.contaminated(docs.limit(0), items).count() == 0
-    assert len(D.blocks(items, 40)) == 2
+    assert len(list(D.blocks(items, 40))) == 2 and list(D.blocks(items.limit(0))) == []
+    more = items.unionByName(spark.createDataFrame([(i, f"alpha beta gamma delta epsilon zeta item{i}", 9) for i in range(5, 9)], items.schema))
+    assert sorted(r.item_id for r in D.contaminated(docs, more, 60).collect()) == sorted(r.item_id for r in D.contaminated(docs, more).collect())
+    assert sorted(str(r.doc_id) for r in D.keep_clean(docs, more, 60).collect()) == ["11", "12", "None"]
 
 
 def test_far_copies_take_no_words_from_one_another():
@@ -69,7 +74,7 @@ def test_far_copies_take_no_words_from_one_another():
     change = lambda at: [w if i != at else "zz" for i, w in enumerate(item)]
     block = D.Block([(7, " ".join(item))])
     for words in (change(50) + ["zz"] * 900 + change(45), change(45) + ["zz"] * 900 + change(50)):
-        assert [m[:4] for m in block.matches(" ".join(words))] == [(7, 100, 99, 2)]
+        assert [m[:4] for m in block.matches(" ".join(words))] == [(7, 100, 100, 2)]  # the tiles of both copies
     assert [m[2] for m in block.matches(" ".join(change(50) + ["zz"] * 900 + item))] == [100]
     assert block.matches(" ".join(item[:50] + ["zz"] * 900 + item[:50])) == []
 
@@ -84,7 +89,7 @@ def test_best_cover_against_brute_force():
         seeds = [(i, j) for i in range(len(item) - 1) for j in range(len(text) - 1) if item[i : i + 2] == text[j : j + 2]]
         if not seeds:
             continue
-        whole = D.densest(brute_tiles(item, text, width), reach)[0]
+        whole = sum(n for _, _, n in brute_tiles(item, text, width))
         parts = [sum(n for _, _, n in brute_tiles(item, text[j : j + reach], width)) for j in range(len(text))]
         assert D.best_cover(seeds, width, reach, 0)[0] == max(whole, *parts)
         more += max(parts) > whole
