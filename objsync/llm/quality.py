@@ -4,11 +4,17 @@ Every text gets a few whole-number measures.  For each language and source the
 measures are summarised by a mergeable quantile sketch: counts per bucket,
 where a bucket keeps the seven leading bits of a value (values under 128 are
 exact, others within 1/64).  Sketches merge by adding counts, so they are a
-plain partial aggregation and give the same answer in any order.  A group's
-cut-offs come from its own quantiles (median plus a multiple of the distance
-from the median to the 90 % point, and a small slack); groups of fewer than
-``min_rows`` documents take the sketch of their language, small languages that
-of the whole corpus.  Documents are then joined with their group's cut-offs.
+plain partial aggregation and give the same answer in any order.
+
+A group's cut-offs come from its median and its 10 % point, which bad
+documents hardly move as long as they are fewer than the good ones: the
+median plus a multiple of the distance between both, and at least plus a slack.
+Twice the slack above the larger of the group's and its language's median is the
+most, so that no cut-off leaves a measure's range.  A group's median and distance
+are averaged with its language's, which count as ``WEIGHT`` rows, and the language's
+with the whole corpus's likewise, so that small groups lean on wider ones and no size
+is a threshold; a wider group's figures are the means of its groups' over
+their documents, so that differences between sources do not widen any of them.  Documents are then joined with their group's cut-offs.
 """
 
 from __future__ import annotations
@@ -36,7 +42,7 @@ MAX_REPEAT_PERCENT = 30
 MEASURES = {"symbol_share": 60, "dup_line_share": 400, "repeat_share": 300, "stutter_share": 200,
             "upper_share": 300, "mark_share": 200, "digit_share": 500, "word_length": 300}
 SPREAD = 6
-MIN_ROWS = 200
+WEIGHT = 200
 
 BASE = T.StructType([T.StructField(c, T.LongType()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *MEASURES)])
 
@@ -136,34 +142,38 @@ def quantiles(sketch: DataFrame, by: list[str], points: dict[str, float]) -> Dat
     return rows.select(*by, "measure", "n_rows", *[c.alias(k) for k, c in point.items()])
 
 
-def cutoffs(measured: DataFrame, min_rows: int = MIN_ROWS, spread: int = SPREAD) -> DataFrame:
+def cutoffs(measured: DataFrame, weight: int = WEIGHT, spread: int = SPREAD) -> DataFrame:
     """(lang, source, cut): upper cut-off of every measure per group."""
-    points = {"mid": 0.5, "high": 0.9}
-    own = sketches(measured)
-    part = [quantiles(own, by, points).select(*by, "measure", F.struct("n_rows", "mid", "high").alias(f"q{len(by)}")) for by in (["lang", "source"], ["lang"], [])]
-    same = lambda a, b, by: F.lit(True) if not by else F.expr(" and ".join(f"{a}.{c} <=> {b}.{c}" for c in by))
-    g, lang, whole = part[0].alias("g"), part[1].alias("l"), part[2].alias("w")
-    joined = (g.join(lang, same("g", "l", ["lang", "measure"])).join(whole, same("g", "w", ["measure"]))
-              .select("g.lang", "g.source", "g.measure", F.expr(f"case when q2.n_rows >= {min_rows} then q2 when q1.n_rows >= {min_rows} then q1 else q0 end").alias("q")))
+    q = quantiles(sketches(measured), ["lang", "source"], {"low": 0.1, "mid": 0.5}).withColumn("far", F.col("mid") - F.col("low"))
+
+    def means(by: list[str], tag: str) -> DataFrame:
+        parts = [F.expr(f"sum(n_rows * {x}) div sum(n_rows)").alias(f"{tag}_{x}") for x in ("mid", "far")]
+        return q.groupBy(*by, "measure").agg(F.sum("n_rows").alias(f"{tag}_rows"), *parts)
+
+    lang = means(["lang"], "l").withColumnRenamed("lang", "l_lang").withColumnRenamed("measure", "l_measure")
+    joined = q.join(lang, F.expr("lang <=> l_lang and measure = l_measure")).join(means([], "w"), "measure")
+    mean = lambda n, own, wide: F.expr(f"({n} * {own} + {weight} * {wide}) div ({n} + {weight})")
+    joined = joined.withColumns({f"l_{x}": mean("l_rows", f"l_{x}", f"w_{x}") for x in ("mid", "far")}).withColumns({x: mean("n_rows", x, f"l_{x}") for x in ("mid", "far")})
     slack = F.element_at(F.create_map(*[F.lit(x) for kv in MEASURES.items() for x in kv]), F.col("measure"))
-    cut = F.col("q.mid") + F.greatest(slack, spread * (F.col("q.high") - F.col("q.mid")))
+    cut = F.least(F.col("mid") + F.greatest(slack, spread * F.col("far")), F.greatest("mid", "l_mid") + 2 * slack)
     return joined.select("lang", "source", "measure", cut.alias("cut")).groupBy("lang", "source").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("measure", "cut")))).alias("cut"))
 
 
 def base_failed(m: str = "m") -> Column:
-    return F.expr(f"{m}.n_words < {MIN_WORDS} or 100 * {m}.n_repeat_words > {MAX_REPEAT_PERCENT} * {m}.n_words")
+    return F.expr(f"`{m}`.n_words < {MIN_WORDS} or 100 * `{m}`.n_repeat_words > {MAX_REPEAT_PERCENT} * `{m}`.n_words")
 
 
-def verdict(measured: DataFrame, cuts: DataFrame, m: str = "m", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``measured`` and a column ``kept``, by a join with the cut-offs.
+def verdict(measured: DataFrame, cuts: DataFrame, m: str = "m", lang: str = "lang", source: str = "source", name: str = "kept") -> DataFrame:
+    """``measured`` and a column ``name``, by a join with the cut-offs.
 
     ``cuts`` has one row per language and source; it was written, so the
     planner knows its size and broadcasts it only while it is small.
     """
-    c = cuts.select(F.col("lang").alias("_cut_lang"), F.col("source").alias("_cut_source"), F.col("cut").alias("_cut"))
-    joined = measured.join(c, F.expr(f"`{lang}` <=> _cut_lang and `{source}` <=> _cut_source"), "left")
-    over = F.expr(" or ".join(f"coalesce({m}.{x} > _cut['{x}'], false)" for x in MEASURES))
-    return joined.withColumn("kept", ~base_failed(m) & ~over).drop("_cut_lang", "_cut_source", "_cut")
+    cl, cs, cut = (free_name(measured, c) for c in ("_cut_lang", "_cut_source", "_cut"))
+    c = cuts.select(F.col("lang").alias(cl), F.col("source").alias(cs), F.col("cut").alias(cut))
+    joined = measured.join(c, F.expr(f"`{lang}` <=> `{cl}` and `{source}` <=> `{cs}`"), "left")
+    over = F.expr(" or ".join(f"coalesce(`{m}`.{x} > `{cut}`['{x}'], false)" for x in MEASURES))
+    return joined.withColumn(name, ~base_failed(m) & ~over).drop(cl, cs, cut)
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
@@ -186,13 +196,9 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """
     measured = with_measures(docs.select("text", "lang", "source"), "text", "m").drop("text")
     cuts = written(cutoffs(measured), "quality-cutoffs")
-    name = free_name(docs, "_quality")
-    judged = verdict(with_measures(docs, "text", name), cuts, name) if "kept" not in docs.columns else None
-    if judged is None:  # a column of that name is the caller's
-        renamed = docs.withColumnRenamed("kept", "_caller_kept")
-        judged = verdict(with_measures(renamed, "text", name), cuts, name)
-        return judged.filter("kept").select(*[F.col("_caller_kept" if c == "kept" else c).alias(c) for c in docs.columns])
-    return judged.filter("kept").select(*docs.columns)
+    name, good = free_name(docs, "_quality"), free_name(docs, "_good")
+    judged = verdict(with_measures(docs, "text", name), cuts, name, name=good)
+    return judged.filter(F.col(good)).select(*docs.columns)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ def _case(col: str) -> str:
 def _part(by: list[str]) -> str:
     cols = "".join(f"{c}, " for c in by)
     return f"""SELECT {cols}measure, count(*) AS n_rows,
-        list_sort(list(b))[CAST(ceil(count(*) * 0.5) AS BIGINT)] AS mid, list_sort(list(b))[CAST(ceil(count(*) * 0.9) AS BIGINT)] AS high
+        list_sort(list(b))[CAST(ceil(count(*) * 0.5) AS BIGINT)] AS mid, list_sort(list(b))[CAST(ceil(count(*) * 0.1) AS BIGINT)] AS low
       FROM long GROUP BY {cols}measure"""
 
 
@@ -51,13 +51,20 @@ def judged(docs: str = "documents", columns: str = "doc_id, lang, source") -> st
     return measured(docs, columns) + f""", long AS (
       SELECT lang, source, measure, (v >> CAST(greatest(0, length(ltrim(bin(v), '0')) - 7) AS BIGINT)) << CAST(greatest(0, length(ltrim(bin(v), '0')) - 7) AS BIGINT) AS b
       FROM ({rows})
-    ), q2 AS ({_part(["lang", "source"])}), q1 AS ({_part(["lang"])}), q0 AS ({_part([])}), chosen AS (
-      SELECT q2.lang, q2.source, q2.measure,
-        CASE WHEN q2.n_rows >= 200 THEN q2.mid WHEN q1.n_rows >= 200 THEN q1.mid ELSE q0.mid END AS mid,
-        CASE WHEN q2.n_rows >= 200 THEN q2.high WHEN q1.n_rows >= 200 THEN q1.high ELSE q0.high END AS high
-      FROM q2 JOIN q1 ON q1.lang IS NOT DISTINCT FROM q2.lang AND q1.measure = q2.measure JOIN q0 ON q0.measure = q2.measure
+    ), q2 AS ({_part(["lang", "source"])}), means AS (
+      SELECT lang, measure, sum(n_rows) AS n, sum(n_rows * mid) // sum(n_rows) AS mid, sum(n_rows * (mid - low)) // sum(n_rows) AS far FROM q2 GROUP BY lang, measure
+    ), corpus AS (
+      SELECT measure, sum(n_rows * mid) // sum(n_rows) AS mid, sum(n_rows * (mid - low)) // sum(n_rows) AS far FROM q2 GROUP BY measure
+    ), wide AS (
+      SELECT l.lang, l.measure, (l.n * l.mid + 200 * c.mid) // (l.n + 200) AS mid, (l.n * l.far + 200 * c.far) // (l.n + 200) AS far
+      FROM means l JOIN corpus c ON c.measure = l.measure
+    ), chosen AS (
+      SELECT q2.lang, q2.source, q2.measure, (q2.n_rows * q2.mid + 200 * wide.mid) // (q2.n_rows + 200) AS mid,
+        (q2.n_rows * (q2.mid - q2.low) + 200 * wide.far) // (q2.n_rows + 200) AS far, wide.mid AS wide_mid
+      FROM q2 JOIN wide ON wide.lang IS NOT DISTINCT FROM q2.lang AND wide.measure = q2.measure
     ), cuts AS (
-      SELECT lang, source, {pivot} FROM (SELECT lang, source, measure, mid + greatest({_case("measure")}, 6 * (high - mid)) AS cut FROM chosen) GROUP BY lang, source
+      SELECT lang, source, {pivot} FROM (
+        SELECT lang, source, measure, least(mid + greatest({_case("measure")}, 6 * far), greatest(mid, wide_mid) + 2 * {_case("measure")}) AS cut FROM chosen) GROUP BY lang, source
     ), judged AS (
       SELECT m.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
         NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND NOT ({over}) AS kept

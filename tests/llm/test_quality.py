@@ -62,5 +62,33 @@ def test_cutoffs_follow_the_group(spark):
     assert not got.pop(5000) and all(got.values())
 
 
+@pytest.mark.parametrize("junk", [9, 15, 35])
+def test_bad_rows_do_not_raise_their_own_cut(spark, junk):
+    plain, marked = (" ".join(f"word{i}{c}" for i in range(40)) for c in ("", "#####"))
+    docs = [(i, marked if i % 100 < junk else plain, "en", "hot") for i in range(1000)]
+    got = {r.doc_id: r["kept"] for r in Q.quality_report(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept == (d % 100 >= junk) for d, kept in got.items())
+
+
+def test_no_size_is_a_threshold(spark):
+    """A group's cut-offs move little from one row more."""
+    rng = random.Random(8)
+    rows = [(" ".join("x" * rng.randint(2, 9) + "#" * (rng.random() < 0.1) for _ in range(40)), "en", "big") for _ in range(900)]
+    tail = [(" ".join("x" * (5 + i % 7) + "#" * (i % 3 == 0) for i in range(40)), "en", "small")] * 201
+    cuts = []
+    for n in (199, 200, 201):
+        measured = Q.with_measures(spark.createDataFrame(rows + tail[:n], "text string, lang string, source string"), "text", "m")
+        cuts.append(next(r.cut for r in Q.cutoffs(measured).collect() if r.source == "small"))
+    assert all(abs(a[m] - b[m]) <= 2 for a, b in zip(cuts, cuts[1:]) for m in Q.MEASURES)
+
+
+def test_clashing_names(spark):
+    names = ["_cut", "_cut_lang", "kept", "_caller_kept", "_quality", "_good", "m"]
+    text = " ".join(f"word{i}" for i in range(40))
+    df = spark.createDataFrame([(text, "en", "s", *range(7)), (None, None, None, *range(7))], "text string, lang string, source string, " + ", ".join(f"{n} int" for n in names))
+    out = Q.keep_good(df)
+    assert out.columns == df.columns and [tuple(r)[3:] for r in out.collect()] == [tuple(range(7))]
+
+
 def test_sql_states_the_same_slack():
     assert Q.MEASURES == quality_sql.MEASURES
