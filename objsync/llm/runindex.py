@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from objsync.llm.common import as_long, byte_texts, free_name, mix64, partitions_for, seed64, ship, table, written
 
 LENGTH = 400
-GRAM = 32
+GRAM = 64
 CHUNK = 1 << 20
 INDEX_BYTES = 1 << 20
 MOST_SEGMENTS = 5_000
@@ -57,10 +57,11 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
     word = np.ndarray((len(data),), dtype="<u8", buffer=padded, strides=(1,))
     grams = len(data) - GRAM + 1
-    name = np.zeros(grams, dtype=np.uint64)
-    for j in range(0, GRAM, 8):
-        name += mix64(word[j : j + grams] * seed64(j))
-    name = mix64(name)
+    half = GRAM // 2  # a gram is named by its two halves
+    name = np.zeros(grams + half, dtype=np.uint64)
+    for j in range(0, half, 8):
+        name += mix64(word[j : j + grams + half] * seed64(j))
+    name = mix64(name[:grams] * seed64(1) + mix64(name[half:]))
     key = (name & np.uint64(0xFFFFFFFF00000000)) | np.arange(grams, dtype=np.uint64)
     rows = -(-grams // spread)
     full = np.full(rows * spread, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -259,7 +260,8 @@ def repeated_bytes(rows: DataFrame, length: int = LENGTH, most_segments: int = M
     crowd = prints.join(again, ["name", "print"]).groupBy("name", "seg").agg(F.collect_list(F.struct("i", F.lit(1).alias("n"))).cast(SPANS).alias("spans"))  # at most length windows
     found = written(whole.unionByName(found.join(whole.select("name", "seg"), ["name", "seg"], "left_anti").filter(F.size("spans") > 0)).unionByName(crowd), "repeated-segments")
     hits = marks.join(found, ["name", "seg"]).select("d", "t", F.expr("transform(spans, x -> named_struct('at', at + x.i, 'n', x.n))").alias("x"))
-    return hits.groupBy("d", "t").agg(F.array_sort(F.flatten(F.collect_list("x"))).alias("spans"))
+    # rows that repeat a (d, t) carry the same spans: each once, already within the tasks
+    return hits.groupBy("d", "t").agg(F.array_sort(F.flatten(F.collect_set("x"))).alias("spans"))
 
 
 def _kept(batches: Iterator[pa.RecordBatch], length: int, text_too: bool) -> Iterator[pa.RecordBatch]:
@@ -320,4 +322,5 @@ def strip_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup(table(spark, sf_dir, "documents"))
+    """The digest columns, and the text that is left."""
+    return dedup(table(spark, sf_dir, "documents"), with_text=True).withColumnRenamed("kept", "text")
