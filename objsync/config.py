@@ -94,7 +94,9 @@ class PlanConfig:
 
     ``on_unknown_project``: ``"reject"`` keeps the row and sets
     ``reject_reason='unknown_project'``; ``"fail"`` aborts the job when a row
-    has a project missing from the map.
+    has a project missing from the map.  ``spread_hot_keys``: into so many
+    parts the rows of a frequent manifest key are dealt for an inventory
+    probe (0: not at all).
     """
 
     on_unknown_project: str = "reject"
@@ -105,6 +107,7 @@ class PlanConfig:
     redact_scope: str = "all"  # redaction: all | s3 | aws | gs
     dry_run: bool = True
     force_manifest: bool = False
+    spread_hot_keys: int = 0
 
     def namespace(self) -> str:
         ns = self.auth_namespace.strip("/")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from objsync import sinks
@@ -52,21 +52,22 @@ def _out(config: dict, name: str) -> str:
 
 
 def aws_copy_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:
-    """C12 + C1 + A3 + C6: plan every manifest row and write the plan, the rows
-    still to copy, the dry-run summary and, where ``index`` is given, the index
+    """C12 + C1 + A2 + A3 + C6: plan every manifest row and write the plan (its
+    counters are taken as it is written), the rows still to copy, the dry-run summary and, where ``index`` is given, the index
     with the handled files' URLs merged in."""
     cfg = cfg or PlanConfig()
     manifest = S.read_manifest(spark, config["manifest"], start=config.get("start"), end=config.get("end"))
     pm = S.read_project_map(spark, config["project_map"])
     plan = aws.copy_plan(manifest, pm, _buckets(spark, config, pm), _table(spark, config["inventory"]),
                          _table(spark, config["source_inventory"]), cfg, resolve_sources="needed")
-    plan.write.mode("overwrite").parquet(_out(config, "copy_plan"))
+    counters = Observation("copy_counters")
+    plan.observe(counters, *aws.counter_metrics()).write.mode("overwrite").parquet(_out(config, "copy_plan"))
     plan = spark.read.parquet(_out(config, "copy_plan"))
     summary = aws.copy_summary(plan)
     sinks.write_tsv(summary, _out(config, "summary"), single_file=True)
     sinks.write_tsv(plan.filter("needs_copy"), _out(config, "to_copy"),
                     fields=["id", "file_name", "size", "md5", "acl", "project_id", "target_bucket", "action"])
-    out = {"plan": plan, "summary": summary}
+    out = {"plan": plan, "summary": summary, "counters": counters.get}
     if config.get("index"):
         handled = plan.filter(F.col("action").isin("MOVE", "COPY", "ALREADY_COPIED") | F.col("in_summary"))
         url = F.concat(F.lit("s3://"), F.col("target_bucket"), F.lit("/"), F.col("object_key"))
@@ -118,9 +119,11 @@ def indexing_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = Non
 
 
 def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:
-    """C4: validate one or more manifests in one pass; write per manifest the
-    augmented manifest (pass or force) or the fail list, and the counters.
-    Returns the run's pass flag (A5)."""
+    """C4: validate one or more manifests in one pass; write the augmented
+    manifests (passed, or force) under ``manifest`` and the fail lists under
+    ``FAIL_manifest``, a folder ``manifest_no=<i>`` each, and the counters of
+    manifests and run.  Returns the run's pass flag (A5), counted while the rows
+    are written."""
     cfg = cfg or PlanConfig(platform=config.get("platform", "AWS"), on_unknown_project="fail",
                             force_manifest=bool(config.get("force", False)))
     paths = config["manifests"]
@@ -137,21 +140,25 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
     aws_inv = restrict_to_buckets(_table(spark, config["inventory"]), exp.filter(F.col("provider") == "aws"))
     gs_inv = restrict_to_buckets(_table(spark, config["gs_inventory"]), exp.filter(F.col("provider") == "gs"))
     rows = V.validate_rows(manifest, pm, urls, aws_inv, gs_inv, ignored, cfg)
-    rows.write.mode("overwrite").parquet(_out(config, "validated"))
+    failures = Observation("run_failures")
+    rows.observe(failures, *V.run_failures()).write.mode("overwrite").parquet(_out(config, "validated"))
     rows = spark.read.parquet(_out(config, "validated"))
     counts = V.validate_counts(rows)
-    sinks.write_tsv(counts, _out(config, "counts"), single_file=True)
-    passed = {r["manifest_no"]: r["passed"] for r in counts.select("manifest_no", "passed").collect()}
-    for i in range(len(paths)):
-        mine = rows.filter(F.col("manifest_no") == i)
-        if passed.get(i, True) or cfg.force_manifest:
-            sinks.write_tsv(V.augmented_manifest(mine).drop("manifest_no"), _out(config, f"manifest_{i}"),
-                            fields=list(V.C.AUGMENTED_COLUMNS))
-        else:
-            fl = V.fail_list(mine).orderBy("line_no", "check_no")
-            fields = [c for c in V.C.MANIFEST_COLUMNS if c != "url"] + ["aws_url", "gs_url", "indexd_url"]
-            sinks.write_tsv(fl, _out(config, f"FAIL_manifest_{i}"), fields=fields)
-    return {"passed": all(passed.values()), "counts": counts}
+    report = V.run_report(counts, cfg.force_manifest)
+    sinks.write_tsv(report, _out(config, "counts"), single_file=True)
+    write_validation_reports(rows, counts, config["output"], cfg.force_manifest)
+    return {"passed": not any(failures.get.values()), "failures": failures.get, "counts": counts, "report": report}
+
+
+def write_validation_reports(rows: DataFrame, counts: DataFrame, output: str, force: bool = False) -> None:
+    """K1 of a validation run: all augmented manifests in one write, all fail
+    lists in another; a manifest without rows for its report has no folder."""
+    judged = V.with_verdict(rows, counts, force)
+    fields = [c for c in V.C.MANIFEST_COLUMNS if c != "url"] + ["aws_url", "gs_url", "indexd_url"]
+    sinks.write_tsv_by(V.augmented_manifest(judged.filter(F.col("output") == "manifest")), os.path.join(output, "manifest"),
+                       "manifest_no", list(V.C.AUGMENTED_COLUMNS), ["line_no"])
+    sinks.write_tsv_by(V.fail_list(judged.filter(F.col("output") == "FAIL_manifest")), os.path.join(output, "FAIL_manifest"),
+                       "manifest_no", fields, ["line_no", "check_no"])
 
 
 def redaction_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:

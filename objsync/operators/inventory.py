@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from objsync.operators.relational import last_wins
 
@@ -54,37 +55,59 @@ def missing_buckets(expected: DataFrame, inv: DataFrame) -> DataFrame:
 
 
 def inventory_by_key(inv: DataFrame, dedupe: bool = True, order_col: str = "seq") -> DataFrame:
-    """``key -> objects: map<bucket, struct<size, storage_class>>``.
-
-    With an order column the listing is first made unique by last-wins
-    (A9).  Without one, exact repeats are removed by ``collect_set`` (its
-    partial aggregation collapses copies of a hot key map-side) and, should
-    a bucket still list a key twice with different attributes, the
-    smallest entry is kept so the result is deterministic.
+    """``key -> objects: map<bucket, struct<size, storage_class>>`` in one
+    exchange by key.
+
+    ``order_col`` numbers the listings that were put together: of a bucket's
+    entries for a key the one of the last listing wins (A9/U1).  The entries of a key are
+    gathered as a set, whose partial aggregation collapses copies of a hot
+    key map-side and which holds at most an entry per listing and bucket (as a
+    listing names an object once).  Without an order column, or with ``dedupe`` off,
+    the smallest of a bucket's entries is kept, so the result is deterministic.
     """
     inv = normalize_inventory(inv)
-    if dedupe and order_col in inv.columns:
-        inv = last_wins(inv, ["bucket", "key"], order_col).drop(order_col)
-        return inv.groupBy("key").agg(
-            F.map_from_entries(F.collect_list(F.struct(
-                F.col("bucket"), F.struct(F.col("size"), F.col("storage_class"))))).alias("objects"))
-    if order_col in inv.columns:
-        inv = inv.drop(order_col)
-    entries = F.array_sort(F.collect_set(F.struct(F.col("bucket"), F.col("size"), F.col("storage_class"))))
-    empty = F.create_map().cast("map<string,struct<size:bigint,storage_class:string>>")
-    one_per_bucket = F.aggregate(
-        entries, empty,
-        lambda m, e: F.when(F.map_contains_key(m, e["bucket"]), m).otherwise(
-            F.map_concat(m, F.create_map(e["bucket"], F.struct(e["size"].alias("size"),
-                                                               e["storage_class"].alias("storage_class"))))))
-    return inv.groupBy("key").agg(one_per_bucket.alias("objects"))
-
-
-def probe_join(manifest: DataFrame, inv_by_key: DataFrame, key: Column, objects_col: str = "objects") -> DataFrame:
+    ordered = dedupe and order_col in inv.columns
+    seq = F.col(order_col) if ordered else F.lit(0).cast("bigint")
+    found = inv.groupBy("key").agg(F.collect_set(F.struct(F.col("bucket"), seq.alias("seq"), F.col("size"), F.col("storage_class"))).alias("_e"))
+
+    def one_per_bucket(e: Column) -> Column:
+        beside = (lambda i: F.get(e, i + 1)) if ordered else (lambda i: F.when(i > 0, F.get(e, i - 1)))
+        return F.filter(e, lambda x, i: beside(i).isNull() | ~beside(i)["bucket"].eqNullSafe(x["bucket"]))
+
+    entries = F.element_at(F.transform(F.array(F.array_sort("_e")), one_per_bucket), 1)
+    value = lambda x: F.struct(x["bucket"], F.struct(x["size"].alias("size"), x["storage_class"].alias("storage_class")))
+    return found.select("key", F.map_from_entries(F.transform(F.filter(entries, lambda x: x["bucket"].isNotNull()), value)).alias("objects"))
+
+
+#: A key is hot when it has more than one in so many of the manifest's rows;
+#: there are fewer than so many of them, whatever the data.
+HOT_SHARE = 1_000
+
+
+def probe_join(manifest: DataFrame, inv_by_key: DataFrame, key: Column, objects_col: str = "objects", spread: int = 0) -> DataFrame:
     """Left join of the manifest on one probe key; adds ``objects_col``
-    (null when no bucket lists the key)."""
+    (null when no bucket lists the key).
+
+    The right side is an aggregate, which Spark's skewed-join rule does not split around, so all
+    rows of a key meet in one task.  With ``spread`` the keys are counted first (a partial
+    aggregation); rows of hot keys are dealt over ``spread`` parts, and only those keys'
+    inventory entries are repeated for each part.  The list of hot keys is bounded by
+    ``HOT_SHARE`` and therefore broadcast.
+    """
     right = inv_by_key.select(F.col("key").alias("_probe"), F.col("objects").alias(objects_col))
-    return manifest.withColumn("_probe", key).join(right, "_probe", "left").drop("_probe")
+    left = manifest.withColumn("_probe", key)
+    if not spread:
+        return left.join(right, "_probe", "left").drop("_probe")
+    keys = left.select("_probe")
+    total = keys.count()
+    hot = F.broadcast(keys.filter("_probe is not null").groupBy("_probe").count().filter(F.col("count") * HOT_SHARE > total).select("_probe", F.lit(True).alias("_hot")))
+    # dealt by the row's own values, so that a task that runs again deals alike
+    values = [c for c in manifest.columns if not isinstance(manifest.schema[c].dataType, MapType)]
+    part = F.when(F.col("_hot"), F.pmod(F.xxhash64(*values), F.lit(spread))).otherwise(F.lit(0).cast("bigint"))
+    left = left.join(hot, "_probe", "left").withColumn("_part", part).drop("_hot")
+    parts = F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))
+    right = right.join(hot, "_probe", "left").withColumn("_part", F.explode(parts)).drop("_hot")
+    return left.join(right, ["_probe", "_part"], "left").drop("_probe", "_part")
 
 
 def listed(objects_col: str, bucket) -> Column:

@@ -64,6 +64,25 @@ def with_line_no(df: DataFrame, col: str = "line_no", block_cols: Sequence[str]
     return out.drop("_mid", "_first", "_part")
 
 
+def shuffle_position(df: DataFrame, seed: int, col: str = "line_no", out: str = "rand_pos", digits: int = 3) -> DataFrame:
+    """``out``, the 0-based position of each row in a random order that
+    depends on ``seed`` and ``col`` only, not on partitions or runs.
+
+    The order is that of a keyed hash (MD5 of seed and ``col``, ties by ``col``).  Rows are
+    numbered within each of the ``16 ** digits`` leading values of the hash, which are
+    equally likely, and the leading values' sizes, a table of fixed size,
+    are summed up before them.
+    """
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(col).cast("string")))
+    keyed = df.withColumn("_rk", key).withColumn("_rp", F.substring("_rk", 1, digits))
+    sizes = keyed.groupBy("_rp").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_rp").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_rp", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_rp").orderBy("_rk", col)
+    numbered = keyed.withColumn("_rn", F.row_number().over(inside)).join(offsets, "_rp")
+    return numbered.withColumn(out, F.col("_off") + F.col("_rn") - 1).drop("_rk", "_rp", "_rn", "_off")
+
+
 def row_slice(df: DataFrame, start: int | None = None, end: int | None = None, col: str = "line_no") -> DataFrame:
     """``rows[start:end]`` by position; falsy start is 0, falsy end is
     the end.  Negative positions are rejected."""

@@ -661,3 +661,69 @@ select did, array_to_string(z.urls, '|') as urls,
  case when not touched then 'untouched' when not old then 'created' when z.changed then 'patched' else 'unchanged' end as change
 from ended
 """)
+
+ORACLE["inventory_json_round_trip"] = _q(w("f_manifest", "f_project_buckets", "f_inventory_raw", extra=[INV_DEDUP]),
+                                         "select bucket, key, size, storage_class from inv_all")
+ORACLE["gs_inventory_json"] = _q(w("f_manifest", "f_project_map", "f_gs_inventory", extra=[EXPECTED]), """
+select bucket, key, cast(size as bigint) as size from f_gs_inventory where bucket in (select bucket from expected where provider = 'gs')
+""")
+ORACLE["project_map_json"] = _q(w("f_project_map"), "select project_id, aws_bucket_prefix, gs_bucket_prefix from f_project_map")
+_INDEX_TEXT = """select did, array_to_string(urls, '|') as urls, array_to_string(list_sort(urls), '|') as meta_keys, {acl} as acl, {authz} as authz,
+ {md5} as md5, {size} as size from idx"""
+ORACLE["index_map_json"] = _q(w("f_index_urls", "f_index_attrs", extra=[INDEX]),
+                              _INDEX_TEXT.format(acl="''", authz="''", md5="cast(null as varchar)", size="cast(null as bigint)"))
+ORACLE["index_snapshot_round_trip"] = _q(w("f_index_urls", "f_index_attrs", extra=[INDEX]), _INDEX_TEXT.format(
+    acl="array_to_string(acl, '|')", authz="array_to_string(authz, '|')", md5="md5", size="size"))
+ORACLE["pipeline_manifest_round_trip"] = _q(w("f_manifest"), """
+select id, replace(file_name, ' ', '_') as file_name, size, md5, replace(acl, ' ', '') as acl, project_id from f_manifest where acl is not null
+""")
+ORACLE["deletion_log_round_trip"] = _q(REDACT, """
+select 'r1' as release, provider, url, deleted, "indexdUpdated", message from rlog
+""")
+ORACLE["lookup_later_wins"] = _q(REDACT.rstrip() + ",\n" + INDEX + ",\n" + """
+rm as (select id as did, list(distinct url) as gone from rlog where "indexdUpdated" group by id),
+x as (
+ select idx.did, m.k, array_to_string(idx.urls, '|') as before,
+  array_to_string(list_filter(idx.urls, lambda u: not list_contains(coalesce(rm.gone, []), u)), '|') as after
+ from idx join f_manifest m on m.id = idx.did left join rm on rm.did = idx.did
+)""", "select did, case when k % 2 = 0 then after else before end as urls from x where k % 3 <> 0 or k % 2 = 0")
+for _scope, _provider in (("s3", "s3"), ("aws", "s3"), ("gs", "gs")):
+    ORACLE[f"redaction_plan_{_scope}"] = _q(REDACT, f"select * from rlog where provider = '{_provider}'")
+_RUN = VALIDATE.rstrip() + """,
+tagged as (
+ select v.* replace (cast(case when v.no_index or v.aws_copy_fail or v.aws_index_fail or v.gs_copy_fail or v.gs_index_fail then f.k % 2 else 2 end as integer) as manifest_no)
+ from v join f_manifest f on f.line_no = v.line_no
+),
+per as (
+ select manifest_no, """ + f"""{_flag('aws_copy_fail')} as aws_copy_failures, {_flag('no_index')} + {_flag('aws_index_fail')} as aws_index_failures,
+  {_flag('gs_copy_fail')} as gs_copy_failures, {_flag('no_index')} + {_flag('gs_index_fail')} as gs_index_failures, count(*) as n_rows
+ from tagged group by manifest_no
+),
+judged as (select *, aws_copy_failures + aws_index_failures + gs_copy_failures + gs_index_failures = 0 as passed from per)
+"""
+ORACLE["validate_run"] = _q(_RUN, """
+select *, case when passed then 'manifest' else 'FAIL_manifest' end as output, 'manifest' as forced_output from judged
+union all select null, cast(sum(aws_copy_failures) as bigint), cast(sum(aws_index_failures) as bigint), cast(sum(gs_copy_failures) as bigint),
+ cast(sum(gs_index_failures) as bigint), cast(sum(n_rows) as bigint), bool_and(passed), null, null from judged
+""")
+ORACLE["validation_reports"] = _q(_RUN, """
+select 'manifest' as kind, t.manifest_no, t.id, t.size, t.gs_url, t.indexd_url from tagged t join judged j on j.manifest_no = t.manifest_no
+where j.passed and t.size <> 0
+union all
+select 'FAIL_manifest', t.manifest_no, t.id, t.size, t.gs_url, t.indexd_url from tagged t join judged j on j.manifest_no = t.manifest_no,
+ unnest([t.no_index, t.aws_copy_fail, t.aws_index_fail, t.gs_copy_fail, t.gs_index_fail]) as c(failed)
+where not j.passed and coalesce(failed, false)
+""")
+ORACLE["shuffled_rows"] = _q(w("f_manifest"), """
+select line_no, id, row_number() over (order by md5('42:' || cast(line_no as varchar)), line_no) - 1 as rand_pos from f_manifest
+""")
+ORACLE["part_digests"] = """
+with b as (select doc_id as id, encode(text) as c, octet_length(encode(text)) as n from documents),
+p as (
+ select id, n, i + 1 as part_number, md5(c[i * 1000 + 1 : (i + 1) * 1000]) as part_md5 from b, unnest(range(0, (n + 999) // 1000)) as u(i)
+)
+select id, cast(count(*) as integer) as n_parts, any_value(n) as received_size, true as complete,
+ md5(unhex(string_agg(part_md5, '' order by part_number))) || '-' || count(*) as multipart_etag,
+ string_agg(part_md5, ',' order by part_number) as part_md5s
+from p group by id
+"""

@@ -15,7 +15,6 @@ from objsync.operators.inventory import (
     inventory_by_key, listed, listed_size, probe_join, restrict_to_buckets,
 )
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import last_wins
 
 
 def route_aws(manifest: DataFrame, project_map: DataFrame, cfg: PlanConfig) -> DataFrame:
@@ -41,7 +40,7 @@ def to_copy(manifest: DataFrame, project_map: DataFrame, inventory: DataFrame, c
     """Rows whose target key is absent from the inventory or listed with a
     different size.  Unknown projects (null bucket) always count."""
     m = route_aws(manifest, project_map, cfg)
-    m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"))
+    m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"), spread=cfg.spread_hot_keys)
     keep = ~listed("objects", "target_bucket") | (listed_size("objects", "target_bucket") != F.col("size"))
     return m.filter(keep).drop("objects")
 
@@ -62,13 +61,14 @@ def best_source_keys(rows: DataFrame, source_inventory: DataFrame, row_id: str =
     is no null-key hot spot), inner-joined with the source listing on key
     (narrow rows: id, priority, key), and the best priority per row is kept.
     """
+    # one row per key, so a repeated key never multiplies candidates: the last
+    # listing's entry, or the smallest; a hash-based aggregate whose
+    # partitioning on key is the join's, no extra exchange
     src = source_inventory
     if "seq" in src.columns:
-        src = last_wins(src.select("key", "storage_class", "seq"), ["key"], "seq")
+        src = src.groupBy("key").agg(F.array_max(F.collect_set(F.struct("seq", "storage_class")))["storage_class"].alias("storage_class"))
     else:
-        # one row per key, so a repeated key never multiplies candidates; the
-        # aggregate's partitioning on key is the join's, no extra exchange
-        src = src.select("key", "storage_class").dropDuplicates(["key"])
+        src = src.groupBy("key").agg(F.array_min(F.collect_set("storage_class")).alias("storage_class"))
     src = src.select(F.col("key").alias("_ck"), F.col("storage_class").alias("_csc"))
     cands = rows.select(
         F.col(row_id),
@@ -105,7 +105,7 @@ PLAN_COLUMNS = [
 
 
 def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, inventory: DataFrame,
-              source_inventory: DataFrame, cfg: PlanConfig, resolve_sources: str = "all") -> DataFrame:
+              source_inventory: DataFrame, cfg: PlanConfig, resolve_sources: str = "pending") -> DataFrame:
     """Per manifest row, the first matching action:
 
     1. project not in the map -> ``REJECT`` (``unknown_project``)
@@ -118,34 +118,32 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
 
     ``needs_copy`` is J2 (absent or size differs), the prepare filter.
 
-    ``resolve_sources="all"`` (lazy, one pass): the manifest meets the
-    key-first inventory in one probe join; the source-key resolution depends
-    only on manifest columns, so it runs on a narrow projection of the whole
-    manifest and is joined back on ``line_no`` (the probe-joined rows are
-    never recomputed).  ``"needed"``: the probe-joined rows are first
-    materialized with a reliable ``checkpoint`` (the session's checkpoint
-    folder) and only rows still pending a copy look for a source key, which
-    shuffles far fewer candidates once most files are copied.
+    ``resolve_sources="pending"`` (lazy): the manifest meets the key-first
+    inventory in one probe join, and only rows still pending a copy look for a
+    source key; both uses of the joined rows read the same shuffled tables.  ``"all"``: every
+    row looks for one, independently of the probe.  ``"needed"``: like pending, with the joined
+    rows materialized by a reliable ``checkpoint`` (the session's checkpoint folder) first.
     """
-    if resolve_sources not in ("all", "needed"):
-        raise ValueError("resolve_sources must be 'all' or 'needed'")
+    if resolve_sources not in ("pending", "all", "needed"):
+        raise ValueError("resolve_sources must be 'pending', 'all' or 'needed'")
     m = route_aws(manifest, project_map, cfg)
     bl = buckets.select("bucket").distinct().withColumn("_bx", F.lit(True))
     m = (m.join(bl, m["target_bucket"] == bl["bucket"], "left").drop("bucket")
           .withColumn("bucket_exists", F.coalesce(F.col("_bx"), F.lit(False))).drop("_bx"))
-    m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"))
+    m = probe_join(m, aws_inventory_by_key(inventory, project_map, cfg), F.col("object_key"), spread=cfg.spread_hot_keys)
     present = listed("objects", "target_bucket")
     moved = listed("objects", R.aws_reversed_bucket("target_bucket"))
+    pending = F.col("known_project") & F.col("bucket_exists") & ~moved & ~present
+    asking = ["line_no", "id", "file_name", "url"]
     if resolve_sources == "needed":
         from objsync.session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(m.sparkSession)
-        pending = F.col("known_project") & F.col("bucket_exists") & ~moved & ~present
         m = m.withColumn("_pending", pending).checkpoint(eager=True)
-        src_rows = m.filter(F.col("_pending")).select("line_no", "id", "file_name", "url")
+        src_rows = m.filter(F.col("_pending")).select(*asking)
         m = m.drop("_pending")
     else:
-        src_rows = manifest.select("line_no", "id", "file_name", "url")
+        src_rows = m.filter(pending).select(*asking) if resolve_sources == "pending" else manifest.select(*asking)
     best = best_source_keys(src_rows, source_inventory)
     m = m.join(best, "line_no", "left")
     found = F.col("source_key").isNotNull()
@@ -171,17 +169,21 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
         .when(~F.col("bucket_exists"), F.lit("no_bucket")).alias("reject_reason"))
 
 
-def copy_counters(plan: DataFrame) -> DataFrame:
-    """A2: the job's progress counters after a run: files processed and
-    their GiB.  Rows that return early (rejected, or streamed without a
-    source key) are not counted; already-copied rows are.  One global
-    two-phase aggregate."""
+def counter_metrics() -> list:
+    """A2 as metrics over plan rows, for ``agg`` or for ``DataFrame.observe`` on
+    the plan's own write: files processed, their bytes, and all files.  Rows that return early
+    (rejected, or streamed without a source key) are not counted; already-copied rows are."""
     counted = F.col("action").isin("MOVE", "COPY", "ALREADY_COPIED") | \
         ((F.col("action") == "STREAM") & F.col("in_summary"))
-    out = plan.agg(F.sum(F.when(counted, 1).otherwise(0)).cast("bigint").alias("processed_files"),
-                   F.sum(F.when(counted, F.col("size")).otherwise(0)).cast("bigint").alias("processed_bytes"),
-                   F.count(F.lit(1)).alias("total_files"))
-    return out.withColumn("processed_gib", gib("processed_bytes"))
+    return [F.sum(F.when(counted, 1).otherwise(0)).cast("bigint").alias("processed_files"),
+            F.sum(F.when(counted, F.col("size")).otherwise(0)).cast("bigint").alias("processed_bytes"),
+            F.count(F.lit(1)).alias("total_files")]
+
+
+def copy_counters(plan: DataFrame) -> DataFrame:
+    """A2: the job's progress counters after a run: files processed and
+    their GiB.  One global two-phase aggregate."""
+    return plan.agg(*counter_metrics()).withColumn("processed_gib", gib("processed_bytes"))
 
 
 SUMMARY_CATEGORIES = (C.STREAM_METHOD, "AWS_INTELLIGENT_TIERING", "AWS_OTHER", "STREAM_NOT_COUNTED")

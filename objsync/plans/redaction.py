@@ -3,14 +3,14 @@ implies (I2 URL removals, I3 record deletes)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from objsync import config as C
 from objsync.config import PlanConfig
 from objsync.functions import routing as R
 from objsync.functions import urls as U
-from objsync.operators.inventory import inventory_by_key, listed, probe_join
+from objsync.operators.inventory import inventory_by_key, listed, normalize_inventory, probe_join
 from objsync.operators.projects import attach_projects
 from objsync.plans.gs import attach_ignored
 
@@ -37,44 +37,50 @@ def redaction_plan(manifest: DataFrame, project_map: DataFrame, aws_inventory: D
     Unknown projects give one log row per step with a message.
     """
     do_s3, do_gs = _scope(cfg)
+    do_gs = do_gs and not cfg.dry_run
+    if not (do_s3 or do_gs):
+        raise ValueError("nothing to redact for this scope and dry-run setting")
     name = U.object_key("id", F.coalesce(F.nullif(F.col("filename"), F.lit("")), F.col("file_name"))) \
         if "filename" in manifest.columns else U.object_key("id", "file_name")
     m = attach_projects(manifest, project_map, cfg).withColumn("_key", name)
-    known = F.col("known_project")
-    unknown_msg = F.concat(F.lit("project "), F.coalesce(F.col("project_id"), F.lit("None")),
-                           F.lit(" is not in the project map"))
-    parts = []
+    if do_gs:
+        m = attach_ignored(m, ignored_objs)
+    steps, listings = [], []
     if do_s3:
-        s3 = m.withColumn("_bucket", R.aws_bucket("aws_bucket_prefix", "acl"))
-        s3 = probe_join(s3, inventory_by_key(aws_inventory, dedupe=cfg.dedupe_inventory), F.col("_key"), "_objs")
-        present = known & listed("_objs", "_bucket")
-        s3 = s3.select(
-            "line_no", "id", F.lit("s3").alias("provider"),
-            F.when(known, U.provider_url("s3", "_bucket", "_key")).otherwise(F.col("_key")).alias("url"),
-            present.alias("deleted"),
-            (present & F.lit(not cfg.dry_run)).alias(_UPDATED),
-            F.when(~known, unknown_msg).alias("message"))
-        parts.append(s3)
-    if do_gs and not cfg.dry_run:
-        gs = attach_ignored(m.withColumn("_bucket", R.gs_bucket("gs_bucket_prefix", "acl")), ignored_objs)
-        gs = gs.withColumn("_gkey", F.coalesce(F.when(F.col("is_ignored"), F.col("structured_key")), F.col("_key")))
-        gs = probe_join(gs, inventory_by_key(gs_inventory, dedupe=cfg.dedupe_inventory), F.col("_gkey"), "_objs")
-        present = known & listed("_objs", "_bucket")
-        url = U.provider_url("gs", "_bucket", "_gkey")
-        gs = gs.select(
-            "line_no", "id", F.lit("gs").alias("provider"),
-            F.when(known, url).otherwise(F.col("_key")).alias("url"),
-            present.alias("deleted"), present.alias(_UPDATED),
-            F.when(~known, unknown_msg)
-            .when(~present, F.concat(F.lit("No such object: "), F.col("_bucket"), F.lit("/"), F.col("_gkey")))
-            .alias("message"))
-        parts.append(gs)
-    if not parts:
-        raise ValueError("nothing to redact for this scope and dry-run setting")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*LOG_COLUMNS)
+        steps.append(_step("s3", R.aws_bucket("aws_bucket_prefix", "acl"), F.col("_key")))
+        listings.append(_tagged(aws_inventory, "s3"))
+    if do_gs:
+        gs_key = F.coalesce(F.when(F.col("is_ignored"), F.col("structured_key")), F.col("_key"))
+        steps.append(_step("gs", R.gs_bucket("gs_bucket_prefix", "acl"), gs_key))
+        listings.append(_tagged(gs_inventory, "gs"))
+    # both steps of a file probe one inventory, whose buckets are told apart by provider
+    rows = m.select("line_no", "id", "project_id", "known_project", "_key", F.explode(F.array(*steps)).alias("_s"))
+    rows = rows.select("*", "_s.*").drop("_s")
+    inventory = listings[0] if len(listings) == 1 else listings[0].unionByName(listings[1])
+    rows = probe_join(rows, inventory_by_key(inventory, dedupe=cfg.dedupe_inventory), F.col("_probed"), "_objs", cfg.spread_hot_keys)
+    known, on_gs = F.col("known_project"), F.col("provider") == "gs"
+    present = known & listed("_objs", F.concat_ws(":", "provider", "_bucket"))
+    url = F.concat(F.col("provider"), F.lit("://"), F.col("_bucket"), F.lit("/"), F.col("_probed"))
+    return rows.select(
+        "line_no", "id", "provider",
+        F.when(known, url).otherwise(F.col("_key")).alias("url"),
+        present.alias("deleted"),
+        (present & (F.lit(not cfg.dry_run) | on_gs)).alias(_UPDATED),
+        F.when(~known, F.concat(F.lit("project "), F.coalesce(F.col("project_id"), F.lit("None")), F.lit(" is not in the project map")))
+        .when(on_gs & ~present, F.concat(F.lit("No such object: "), F.col("_bucket"), F.lit("/"), F.col("_probed")))
+        .alias("message")).select(*LOG_COLUMNS)
+
+
+def _step(provider: str, bucket: Column, key: Column) -> Column:
+    return F.struct(F.lit(provider).alias("provider"), bucket.alias("_bucket"), key.alias("_probed"))
+
+
+def _tagged(inventory: DataFrame, provider: str) -> DataFrame:
+    """A listing whose bucket names say the provider."""
+    inv = normalize_inventory(inventory)
+    if "seq" not in inv.columns:
+        inv = inv.withColumn("seq", F.lit(0).cast("bigint"))
+    return inv.withColumn("bucket", F.concat(F.lit(provider + ":"), F.col("bucket")))
 
 
 def redaction_summary(log: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
         m = m.withColumn("aws_bucket", R.aws_bucket("aws_bucket_prefix", "acl"))
         m = m.withColumn("_flip", F.coalesce(R.flip_account("aws_bucket"), F.lit("None")))
         m = probe_join(m, inventory_by_key(aws_inventory, dedupe=cfg.dedupe_inventory),
-                       U.object_key("id", "file_name"), "aws_objects")
+                       U.object_key("id", "file_name"), "aws_objects", cfg.spread_hot_keys)
         present = listed("aws_objects", "aws_bucket") | listed("aws_objects", "_flip")
         copy_fail = known & ~present & nonzero
         p1 = U.provider_url("s3", "aws_bucket", U.object_key("id", "file_name"))
@@ -76,7 +76,7 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
             .otherwise(U.object_key("id", U.safe_name("file_name")))
         m = m.withColumn("_gs_key", key)
         m = probe_join(m, inventory_by_key(gs_inventory, dedupe=cfg.dedupe_inventory), F.col("_gs_key"),
-                       "gs_objects")
+                       "gs_objects", cfg.spread_hot_keys)
         copy_fail = known & ~listed("gs_objects", "gs_bucket") & nonzero
         gs_url = U.provider_url("gs", "gs_bucket", "_gs_key")
         m = (m.withColumn("gs_copy_fail", F.when(known, copy_fail))
@@ -111,6 +111,32 @@ def validate_counts(rows: DataFrame) -> DataFrame:
     return out.withColumn("passed", total == 0)
 
 
+FAILURES = ("aws_copy_failures", "aws_index_failures", "gs_copy_failures", "gs_index_failures")
+
+
+def run_failures() -> list:
+    """A4 over a whole run, as metrics for ``DataFrame.observe`` on the rows'
+    own write: the run passes (A5) when their sum is 0."""
+    return [F.sum(F.coalesce(F.col(a).cast("int"), F.lit(0)) + (F.coalesce(F.col("no_index").cast("int"), F.lit(0)) if "index" in n else F.lit(0))).alias(n)
+            for n, a in zip(FAILURES, ("aws_copy_fail", "aws_index_fail", "gs_copy_fail", "gs_index_fail"))]
+
+
+def with_verdict(rows: DataFrame, counts: DataFrame, force: bool = False) -> DataFrame:
+    """Rows with ``passed`` of their manifest, and ``output``: the report they
+    go to, ``manifest`` when it passed or ``force`` is set (F7), else ``FAIL_manifest``."""
+    judged = rows.join(counts.select("manifest_no", "passed"), "manifest_no")
+    return judged.withColumn("output", F.when(F.col("passed") | F.lit(force), F.lit("manifest")).otherwise(F.lit("FAIL_manifest")))
+
+
+def run_report(counts: DataFrame, force: bool = False) -> DataFrame:
+    """A4, A5 and F7 of a run: a row per manifest and one, ``manifest_no`` null,
+    for the run: counters, whether it passed, and the report that is written."""
+    sums = [F.sum(c).alias(c) for c in (*FAILURES, "n_rows")]
+    run = counts.agg(*sums, F.coalesce(F.bool_and("passed"), F.lit(True)).alias("passed")).withColumn("manifest_no", F.lit(None).cast("int"))
+    out = F.when(F.col("manifest_no").isNotNull(), F.when(F.col("passed") | F.lit(force), F.lit("manifest")).otherwise(F.lit("FAIL_manifest")))
+    return counts.unionByName(run).withColumn("output", out)
+
+
 def run_passed(counts: DataFrame) -> bool:
     """A5: the run passes iff every manifest passes (one driver-side bool)."""
     return bool(counts.agg(F.bool_and("passed").alias("ok")).first()["ok"])

@@ -19,12 +19,14 @@ from objsync.functions import acl as A
 from objsync.functions import objects as O
 from objsync.functions import routing as R
 from objsync.functions import urls as U
-from objsync.operators.inventory import dedupe_inventory, missing_buckets
+from objsync.jobs import write_validation_reports
+from objsync.operators.inventory import dedupe_inventory, missing_buckets, restrict_to_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
-from objsync.operators.relational import row_slice, with_line_no
+from objsync.operators.relational import row_slice, shuffle_position, union_last_wins, with_line_no
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V, verify as VF
 from objsync.session import app_id, ensure_checkpoint_dir
 from objsync.sources.fixtures import Fixtures
+from objsync.sources import readers
 from objsync.sources.readers import read_manifest
 
 CHUNK_QUERY_BYTES = 8 * 1024 * 1024  # part size of the chunk_plan query
@@ -343,6 +345,131 @@ def q_inventory_last_wins(spark, d):
     return dedupe_inventory(fx(spark, d)["f_inventory_raw"])
 
 
+def _folder(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), f"objsync-{name}-{uuid.uuid4().hex}")
+
+
+RANGE = 64 * 1024  # bytes per range of the JSON queries, so that their documents are cut
+
+
+def q_inventory_json_round_trip(spark, d):
+    """The listing as JSON dictionaries, read back in ranges."""
+    path = _folder(spark, "inventory-json")
+    inv = dedupe_inventory(fx(spark, d)["f_inventory_raw"])
+    entry = inv.select(F.concat_ws("/", "bucket", "key").alias("path"), F.struct(
+        F.col("storage_class").alias("StorageClass"), F.col("size").alias("Size"), F.col("bucket").alias("Bucket")).alias("o"))
+    sinks.write_dictionary(entry, path, "path", "o", entries_per_file=4_000)
+    return readers.read_inventory_json(spark, path, RANGE)
+
+
+def q_gs_inventory_json(spark, d):
+    """S9, the GS form, cut to the expected GS buckets."""
+    f = fx(spark, d)
+    path = _folder(spark, "gs-json")
+    entry = f["f_gs_inventory"].select(F.concat_ws("/", "bucket", "key").alias("path"), F.struct("bucket", F.col("size").alias("Size")).alias("o"))
+    sinks.write_dictionary(entry, path, "path", "o", entries_per_file=4_000)
+    expected = expected_buckets(f["f_project_map"]).filter("provider = 'gs'")
+    return restrict_to_buckets(readers.read_inventory_json(spark, path, RANGE), expected).select("bucket", "key", "size")
+
+
+def q_project_map_json(spark, d):
+    """The project map as one JSON document."""
+    path = _folder(spark, "project-map")
+    pm = fx(spark, d)["f_project_map"].select("project_id", F.struct("aws_bucket_prefix", "gs_bucket_prefix").alias("o"))
+    sinks.write_dictionary(pm, path, "project_id", "o")
+    return readers.read_project_map(spark, path, 64)
+
+
+def q_index_map_json(spark, d):
+    """``did -> urls`` as JSON, read back as an index."""
+    path = _folder(spark, "index-json")
+    sinks.write_dictionary(_index(spark, d).select("did", "urls"), path, "did", "urls", entries_per_file=4_000)
+    return _index_text(readers.read_index_json(spark, path, RANGE))
+
+
+def q_pipeline_manifest_round_trip(spark, d):
+    """The pipeline manifest written and read as text lines."""
+    path = _folder(spark, "pipeline")
+    sinks.write_pipeline_manifest(fx(spark, d)["f_manifest"].filter("acl is not null"), path)
+    return readers.read_pipeline_manifest(spark, path).select(*readers.C.PIPELINE_COLUMNS)
+
+
+def q_deletion_log_round_trip(spark, d):
+    """K5 written twice (a rerun replaces its partitions) and read back."""
+    path = _folder(spark, "deletion-log")
+    for _ in range(2):
+        sinks.write_deletion_log(_redaction_log(spark, d, False), path, "r1")
+    back = spark.read.schema("url string, deleted boolean, indexdUpdated boolean, message string, release string, provider string").json(path)
+    return back.select("release", "provider", "url", "deleted", "indexdUpdated", "message")
+
+
+def q_index_snapshot_round_trip(spark, d):
+    """An index snapshot written and read back."""
+    path = _folder(spark, "index")
+    sinks.write_snapshot(_index(spark, d), path)
+    return _index_text(readers.read_index(spark, path))
+
+
+def q_lookup_later_wins(spark, d):
+    """The look-ups of two manifests, the later one after redaction."""
+    idx, m = _index(spark, d), fx(spark, d)["f_manifest"]
+    later = I.remove_index_urls(idx, RD.index_url_removals(_redaction_log(spark, d, False)))
+    look = lambda ids, x: I.index_url_map(x.join(m.filter(ids).select(F.col("id").alias("did")), "did", "left_semi"))
+    both = union_last_wins([look("k % 3 <> 0", idx), look("k % 2 = 0", later)], ["did"])
+    return both.select("did", F.array_join("urls", "|").alias("urls"))
+
+
+def _redaction_scope(scope):
+    def query(spark, d):
+        f = fx(spark, d)
+        return RD.redaction_plan(f["f_manifest"], f["f_project_map"], f["f_inventory_raw"], f["f_gs_inventory"],
+                                 _ignored(spark, d), _cfg(dry_run=False, redact_scope=scope))
+    return query
+
+
+def _validated_run(spark, d):
+    """Three manifests in one pass: the rows without a failure, and the odd and even ones of the others."""
+    f = fx(spark, d)
+    rows = V.validate_rows(f["f_manifest"].withColumn("manifest_no", (F.col("k") % 2).cast("int")), f["f_project_map"], I.index_url_map(_index(spark, d)),
+                           f["f_inventory_raw"], f["f_gs_inventory"], _ignored(spark, d), _cfg(platform="ALL"))
+    failed = F.exists(F.array("no_index", "aws_copy_fail", "aws_index_fail", "gs_copy_fail", "gs_index_fail"), lambda x: F.coalesce(x, F.lit(False)))
+    return rows.withColumn("manifest_no", F.when(failed, F.col("manifest_no")).otherwise(2))
+
+
+def q_validate_run(spark, d):
+    """A4, A5 and F7 over three manifests, without and with force."""
+    counts = V.validate_counts(_validated_run(spark, d))
+    forced = V.run_report(counts, True).select(F.col("manifest_no").alias("_no"), F.col("output").alias("forced_output"))
+    report = V.run_report(counts)
+    return report.join(forced, F.col("manifest_no").eqNullSafe(F.col("_no"))).drop("_no")
+
+
+def q_validation_reports(spark, d):
+    """C4 and K1: the reports of three manifests, written at once and read back."""
+    path = _folder(spark, "reports")
+    rows = _validated_run(spark, d)
+    write_validation_reports(rows, V.validate_counts(rows), path)
+    out = []
+    for kind in ("manifest", "FAIL_manifest"):
+        back = spark.read.option("header", True).option("sep", "\t").option("escape", '"').csv(os.path.join(path, kind))
+        out.append(back.select(F.lit(kind).alias("kind"), F.col("manifest_no").cast("int"), "id", F.col("size").cast("bigint"), "gs_url", "indexd_url"))
+    return out[0].unionByName(out[1])
+
+
+def q_shuffled_rows(spark, d):
+    """The rows' positions in the random order of one seed."""
+    return shuffle_position(fx(spark, d)["f_manifest"].select("line_no", "id"), 42)
+
+
+def q_part_digests(spark, d):
+    """Texts as objects in parts of 1,000 bytes, digested apart and
+    combined in part order."""
+    parts = VF.content_parts(fx(spark, d)["documents"], 1_000, "doc_id", "text")
+    whole = VF.combine_parts(parts, "id")
+    return whole.select("id", F.size("parts").alias("n_parts"), "received_size", "complete", "multipart_etag",
+                        F.array_join(F.transform("parts", lambda p: p["part_md5"]), ",").alias("part_md5s"))
+
+
 def q_row_slice(spark, d):
     orders = spark.read.parquet(os.path.join(d, "orders.parquet")) \
         .select("o_orderkey", "o_custkey", "_metadata.file_path", "_metadata.row_index")
@@ -402,4 +529,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "result_log_round_trip": q_result_log_round_trip,
     "row_slice": q_row_slice,
     "group_complete": q_group_complete,
+    "inventory_json_round_trip": q_inventory_json_round_trip,
+    "gs_inventory_json": q_gs_inventory_json,
+    "project_map_json": q_project_map_json,
+    "index_map_json": q_index_map_json,
+    "pipeline_manifest_round_trip": q_pipeline_manifest_round_trip,
+    "deletion_log_round_trip": q_deletion_log_round_trip,
+    "index_snapshot_round_trip": q_index_snapshot_round_trip,
+    "lookup_later_wins": q_lookup_later_wins,
+    "redaction_plan_s3": _redaction_scope("s3"),
+    "redaction_plan_aws": _redaction_scope("aws"),
+    "redaction_plan_gs": _redaction_scope("gs"),
+    "validate_run": q_validate_run,
+    "validation_reports": q_validation_reports,
+    "shuffled_rows": q_shuffled_rows,
+    "part_digests": q_part_digests,
 }

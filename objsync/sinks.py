@@ -49,6 +49,29 @@ def write_tsv(df: DataFrame, path: str, fields: Sequence[str] | None = None, sor
     _tsv(out, mode).option("emptyValue", "").csv(path)
 
 
+def write_tsv_by(df: DataFrame, path: str, by: str, fields: Sequence[str], order: Sequence[str], mode: str = "overwrite") -> None:
+    """K1 for many reports in one write: a folder ``by=<value>`` per report,
+    its rows in ``order``.  Rows are spread by ranges of both, so a large report has many
+    files, whose names sort in row order, and small ones share a task."""
+    keys = [by, *[c for c in order if c != by]]
+    have = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in fields]
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    _tsv(_render(ranged.select(by, *have)), mode).option("emptyValue", "").partitionBy(by).csv(path)
+
+
+def write_dictionary(df: DataFrame, path: str, key: str, value: str, entries_per_file: int = 100_000, mode: str = "overwrite") -> None:
+    """K6 as JSON: dictionaries ``{key: value, ...}``, one document per file, which
+    ``read_dictionary`` reads back.  ``value`` is a struct, map or array column (null
+    fields are left out).  Entries are dealt over as many documents as
+    keep each at about ``entries_per_file``."""
+    rows = df.select(F.to_json(F.struct(F.col(key).alias("k"))).alias("_k"), F.to_json(value).alias("_v"))
+    text = F.concat(F.expr("substring(_k, 6, length(_k) - 6)"), F.lit(": "), F.col("_v"))
+    n = max(1, -(-df.count() // entries_per_file))
+    dealt = rows.select(F.pmod(F.xxhash64("_k"), F.lit(n)).alias("_d"), text.alias("_t"))
+    documents = dealt.groupBy("_d").agg(F.concat(F.lit("{"), F.array_join(F.collect_list("_t"), ",\n"), F.lit("}")).alias("value"))
+    documents.select("value").write.mode(mode).option("maxRecordsPerFile", 1).text(path)
+
+
 def write_pipeline_manifest(pm: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K2: the 6-column pipeline manifest (names with ``_``, ACL without
     spaces) as TSV with header."""

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from objsync import config as C
 from objsync.functions.acl import py_strip
-from objsync.operators.relational import row_slice, with_line_no
+from objsync.operators.relational import row_slice, shuffle_position, with_line_no
 from objsync.sources.jsondict import RANGE_BYTES, read_dictionary
 from objsync.sources.ranges import file_ranges, list_files, range_digests
 
@@ -36,7 +36,8 @@ def read_manifest(spark: SparkSession, path: str | list[str], sep: str = "\t", s
     ``DictReader``), ``size`` is a strict integer, and ``line_no`` is the
     0-based row position in file order (W1; rows of several files follow
     the path order; their headers must be equal, else the read fails).  ``start``/``end`` slice by position (S4);
-    ``shuffle_seed`` randomizes the row order (W6) by adding ``rand_key``.
+    ``shuffle_seed`` puts the rows into a random order that this seed always
+    gives (W6), with their position in it as ``rand_key``.
     """
     raw = (spark.read.option("header", True).option("sep", sep).option("quote", '"').option("escape", '"')
            .option("mode", "FAILFAST")
@@ -50,7 +51,7 @@ def read_manifest(spark: SparkSession, path: str | list[str], sep: str = "\t", s
     df = df.withColumn("size", strict_long("size"))
     df = row_slice(df, start, end)
     if shuffle_seed is not None:
-        df = df.withColumn("rand_key", F.rand(shuffle_seed))
+        df = shuffle_position(df, shuffle_seed, out="rand_key").orderBy("rand_key")
     return df
 
 

@@ -180,7 +180,9 @@ def test_jobs_end_to_end(spark, tmp):
     v = jobs.validation_job(spark, dict(paths, manifests=[paths["manifest"]], platform="ALL"),
                             PlanConfig(platform="ALL"))
     assert v["passed"] is False
-    assert any(f.startswith("FAIL_manifest_0") for f in os.listdir(paths["output"]))
+    assert os.listdir(os.path.join(paths["output"], "FAIL_manifest")).count("manifest_no=0") == 1
+    assert v["failures"] == {c: x for c, x in v["counts"].first().asDict().items() if c in v["failures"]}
+    assert out["counters"] == {c: x for c, x in aws.copy_counters(want).first().asDict().items() if c in out["counters"]}
     r = jobs.redaction_job(spark, dict(paths, dry_run=False))
     s = {row.provider: (row.deleted, row.total) for row in r["summary"].collect()}
     assert s["gs"][1] > 0 and s["s3"][1] > 0

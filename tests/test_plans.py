@@ -207,6 +207,59 @@ def test_manifest_stream_equals_batch(spark):
     assert sorted(tuple(r) for r in got.select(*cols).collect()) == sorted(tuple(r) for r in want.select(*cols).collect())
 
 
+def _drop(spark, df, folder, name, mtime):
+    """A manifest file put into the drop folder."""
+    from objsync import sinks
+
+    tmp = tempfile.mkdtemp(prefix="objsync-one-")
+    sinks.write_tsv(df, os.path.join(tmp, "w"), fields=STREAM_FIELDS, sort_by="line_no", single_file=True)
+    part = next(f for f in os.listdir(os.path.join(tmp, "w")) if f.endswith(".csv"))
+    os.makedirs(folder, exist_ok=True)
+    os.utime(os.path.join(tmp, "w", part), (mtime, mtime))
+    os.rename(os.path.join(tmp, "w", part), os.path.join(folder, name))
+
+
+STREAM_FIELDS = ["id", "file_name", "md5", "size", "state", "project_id", "baseid", "version", "release", "acl", "type", "deletereason", "url"]
+
+
+def test_latest_stream_equals_batch_of_last_rows(spark):
+    """Files delivered twice, and rows corrected later, over three runs of the stream."""
+    from objsync.sources.fixtures import Fixtures
+    from objsync.streaming.manifest_stream import latest_plan, start_latest_stream
+
+    from conftest import SF_SMALL
+    fx = Fixtures(spark, SF_SMALL)
+    root = tempfile.mkdtemp(prefix="objsync-latest-")
+    drop, out = os.path.join(root, "drop"), os.path.join(root, "out")
+    man = fx["f_manifest"].withColumn("acl", F.coalesce("acl", F.lit("")))
+    fixed = man.withColumn("acl", F.when(F.col("k") % 10 == 0, F.lit("['phs000999']")).otherwise(F.col("acl")))
+    runs = [[(man, "a.tsv", 1000)], [(man.filter("k % 2 = 0"), "b.tsv", 2000), (fixed.filter("k % 10 = 0"), "a2.tsv", 3000)], [(fixed.filter("k % 10 = 0"), "0.tsv", 4000)]]
+    for files in runs:
+        for df, name, mtime in files:
+            _drop(spark, df, drop, name, 1_700_000_000 + mtime)
+        q = start_latest_stream(spark, drop, out, os.path.join(root, "ckpt"), fx["f_project_map"], fx["f_buckets"], fx["f_inventory_raw"], fx["f_source"])
+        q.awaitTermination(300)
+    cols = ["id", "acl", "action", "source_key", "storage_class", "needs_copy", "reject_reason"]
+    want = aws.copy_plan(fixed, fx["f_project_map"], fx["f_buckets"], fx["f_inventory_raw"], fx["f_source"], PlanConfig())
+    got = latest_plan(spark, out)
+    assert sorted((tuple(r) for r in got.select(*cols).collect()), key=str) == sorted((tuple(r) for r in want.select(*cols).collect()), key=str)
+    epochs = {r.epoch: r["count"] for r in got.groupBy("epoch").count().collect()}
+    assert epochs[2] == fixed.filter("k % 10 = 0").count()
+
+
+def test_stream_refuses_other_headers(spark):
+    from objsync.streaming.manifest_stream import start_manifest_stream
+
+    root = tempfile.mkdtemp(prefix="objsync-head-")
+    os.makedirs(os.path.join(root, "drop"))
+    with open(os.path.join(root, "drop", "m.tsv"), "w") as f:
+        f.write("\t".join(["md5", "file_name", "id", *STREAM_FIELDS[3:]]) + "\n" + "\t".join(["m", "f.bam", "i", "5", *["x"] * 9]) + "\n")
+    empty = [spark.createDataFrame([], s) for s in (PM_SCHEMA, "bucket string", INV_SCHEMA, SRC_SCHEMA)]
+    q = start_manifest_stream(spark, os.path.join(root, "drop"), os.path.join(root, "out"), os.path.join(root, "ckpt"), *empty)
+    with pytest.raises(Exception):
+        q.awaitTermination(120)
+
+
 def test_hot_source_key_does_not_multiply(spark):
     # one source key repeated 300 times and a duplicated project-map entry
     man = [(i, "a", "f.bam", 5, "m", "['open']", "TCGA", None) for i in range(20)]
@@ -218,6 +271,42 @@ def test_hot_source_key_does_not_multiply(spark):
     assert len(plan) == 20 and all(r.action == "COPY" and r.source_key == "a/f.bam" for r in plan)
 
 
+def test_hot_manifest_key_is_spread(spark):
+    """A third of the rows share one key: same result, and no task of the probe has twice the median."""
+    from objsync.operators.inventory import inventory_by_key, probe_join
+
+    n = 30_000
+    man = spark.range(n).selectExpr("id as line_no", "case when id % 3 = 0 then 'hot' when id % 3000 = 1 then null else concat('k', id) end as k")
+    inv = spark.range(n).selectExpr("'b' as bucket", "concat('k', id) as key", "id as size", "'STANDARD' as storage_class") \
+        .union(spark.sql("select 'b', 'hot', 7L, 'GLACIER'")).union(spark.sql("select 'c', 'hot', 8L, 'STANDARD'"))
+    plain, spread = (probe_join(man, inventory_by_key(inv), F.col("k"), spread=s) for s in (0, 64))
+    text = lambda df: sorted((r.line_no, str(r.o)) for r in df.select("line_no", F.to_json("objects").alias("o")).collect())
+    assert text(plain) == text(spread)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sizes = lambda df: sorted(r.n for r in df.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.size("objects"))).collect())
+        few, many = (sizes(probe_join(man, inventory_by_key(inv), F.col("k"), spread=s)) for s in (0, 64))
+        assert few[-1] > 2 * few[len(few) // 2] and many[-1] < 2 * many[len(many) // 2], (few, many)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_inventory_keeps_the_last_listing_in_one_exchange(spark):
+    from objsync.operators.inventory import inventory_by_key
+
+    rows = [("a", "k", 1, "X", 1), ("a", "k", 2, None, 2), ("a", "k", 2, None, 2), ("b", "k", 5, "Y", 1), ("b", "k", 4, "Z", 0), ("a", "q", None, None, 3), (None, "q", 1, "n", 1)]
+    inv = spark.createDataFrame(rows, INV_SCHEMA + ", seq bigint")
+    got = {r.key: {b: (o["size"], o.storage_class) for b, o in r.objects.items()} for r in inventory_by_key(inv).collect()}
+    assert got == {"k": {"a": (2, None), "b": (5, "Y")}, "q": {"a": (None, None)}}
+    first = {r.key: {b: (o["size"], o.storage_class) for b, o in r.objects.items()} for r in inventory_by_key(inv.drop("seq")).collect()}
+    assert first["k"] == {"a": (1, "X"), "b": (4, "Z")}
+    plan = inventory_by_key(inv)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+
+
 def test_resolve_sources_modes_agree(spark):
     from conftest import SF_SMALL
     from objsync.sources.fixtures import Fixtures
@@ -225,6 +314,5 @@ def test_resolve_sources_modes_agree(spark):
     fx = Fixtures(spark, SF_SMALL)
     args = (fx["f_manifest"], fx["f_project_map"], fx["f_buckets"], fx["f_inventory_raw"], fx["f_source"],
             PlanConfig())
-    every = aws.copy_plan(*args, resolve_sources="all")
-    needed = aws.copy_plan(*args, resolve_sources="needed")
-    assert sorted(tuple(r) for r in every.collect()) == sorted(tuple(r) for r in needed.collect())
+    every, needed, pending = (sorted(tuple(r) for r in aws.copy_plan(*args, resolve_sources=m).collect()) for m in ("all", "needed", "pending"))
+    assert every == needed == pending
