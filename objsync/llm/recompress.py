@@ -13,17 +13,18 @@ the one of the highest round (of these the smallest name, then the leftmost) as
 its symbol; equal windows therefore take equal symbols.  Windows in which
 nothing merges (one word over and over) take a name of their whole content.
 
-1. Spark gathers the symbols of all documents and keeps those that occur in
-   two or more documents (a partial aggregation, then a join that AQE splits
-   where a symbol is frequent).
-2. The stretches of windows around shared symbols are found again and named by
-   their content.  Equal stretches are one from here on, with the smallest
-   document that has them; where all stretches of a symbol are equal, that
-   settles it.
-3. Of the others, one owner each shows the fingerprints of its windows, and the
-   smallest document of each window is found.
+1. Every document's stretches of windows that took one symbol are written, named
+   by symbol and content.  Symbols that occur in two or more documents are found by a
+   partial aggregation; only their stretches go on (a join that AQE splits where a symbol is frequent).
+2. Equal stretches are one from here on, with the smallest document that has
+   them; all others that have them lose the whole stretch.
+3. Where a symbol has different stretches, one owner of each shows the
+   fingerprints of its windows, and the smallest document of each window is found.
 4. Words covered by a window whose smallest document is not their own go.
 
+Stretches and windows are compared by their symbol and their own name together,
+two 64-bit names made with different seeds.
+
 Null text has no words.  A null ``doc_id`` counts as larger than any other;
 rows with equal ids are one document to the rule (neither is smaller), each
 with its own result row.  Other columns are ignored; an empty table gives an
@@ -144,44 +145,32 @@ def _chunks(batches: Iterator[pa.RecordBatch], text_at: int) -> Iterator[tuple[p
                 names, start, held = [], i + 1, 0
 
 
-def _symbols_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    for rows, names, doc, _ in _chunks(batches, 1):
-        starts, _, symbol, _ = symbols(names, doc, width)
-        d = rows.column(0).to_numpy(zero_copy_only=False)[doc[starts]]
-        order = np.lexsort((symbol, d))
-        d, symbol = d[order], symbol[order]
-        once = np.concatenate([[True], (d[1:] != d[:-1]) | (symbol[1:] != symbol[:-1])])[: len(d)]
-        yield pa.RecordBatch.from_arrays([as_long(symbol[once]), pa.array(d[once])], names=["symbol", "d"])
+def _stretches_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """All stretches of every row (d, t, text)."""
+    for rows, names, doc, ends in _chunks(batches, 2):
+        starts, count, symbol, _ = symbols(names, doc, width)
+        of = doc[starts]
+        yield pa.RecordBatch.from_arrays(
+            [as_long(symbol), as_long(_named(starts, count, symbol, window_names(names, width))), pa.array(rows.column(0).to_numpy(zero_copy_only=False)[of]),
+             pa.array(rows.column(1).to_numpy(zero_copy_only=False)[of]), pa.array((starts - ends[of]).astype(np.int32)), pa.array(count.astype(np.int32))],
+            names=["symbol", "stretch", "d", "t", "at", "n"])
 
 
-def _stretches_of(batches: Iterator[pa.RecordBatch], width: int, show: bool) -> Iterator[pa.RecordBatch]:
-    """Stretches of the wanted symbols, named; with ``show`` those of the wanted
-    names, with the fingerprints of their windows."""
-    for rows, names, doc, ends in _chunks(batches, 2):
+def _windows_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The asked stretches of every row (text, asked), with the names of their windows."""
+    for rows, names, doc, _ in _chunks(batches, 0):
         starts, count, symbol, _ = symbols(names, doc, width)
         window = window_names(names, width)
-        if show and len(starts):
-            symbol = _named(starts, count, symbol, window)
-        wanted = rows.column(3)
+        stretch = _named(starts, count, symbol, window)
         keep = np.zeros(len(starts), dtype=bool)
         cut = np.searchsorted(doc[starts], np.arange(rows.num_rows + 1))
         for i in range(rows.num_rows):
             own = slice(cut[i], cut[i + 1])
-            if wanted[i].values is not None and own.stop > own.start:
-                keep[own] = np.isin(symbol[own].view(np.int64), wanted[i].values.to_numpy(zero_copy_only=False))
-        starts, count, symbol = starts[keep], count[keep], symbol[keep]
-        if not len(starts):
-            continue
-        of = doc[starts]
-        if not show:
-            yield pa.RecordBatch.from_arrays(
-                [as_long(symbol), as_long(_named(starts, count, symbol, window)), pa.array(rows.column(0).to_numpy(zero_copy_only=False)[of]),
-                 pa.array(rows.column(1).to_numpy(zero_copy_only=False)[of]), pa.array((starts - ends[of]).astype(np.int32)), pa.array(count.astype(np.int32))],
-                names=["symbol", "stretch", "d", "t", "at", "n"])
-            continue
+            keep[own] = np.isin(stretch[own].view(np.int64), rows.column(1)[i].values.to_numpy(zero_copy_only=False))
+        starts, count, symbol, stretch = starts[keep], count[keep], symbol[keep], stretch[keep]
         total = np.concatenate([[0], np.cumsum(count)])
         flat = window[np.repeat(starts - total[:-1], count) + np.arange(total[-1])]
-        yield pa.RecordBatch.from_arrays([as_long(symbol), pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), as_long(flat))], names=["stretch", "windows"])
+        yield pa.RecordBatch.from_arrays([as_long(symbol), as_long(stretch), pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), as_long(flat))], names=["symbol", "stretch", "windows"])
 
 
 def _named(starts: np.ndarray, count: np.ndarray, symbol: np.ndarray, window: np.ndarray) -> np.ndarray:
@@ -214,29 +203,31 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
 
     ``rows``: d (the document), t (a hash of the text) and text.
     """
-    marks = written(rows.select("d", "text").mapInArrow(lambda b: _symbols_of(b, width), "symbol bigint, d bigint"), "symbols")
-    shared = marks.groupBy("symbol").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a < b").select("symbol")
-    lists = written(marks.join(shared, "symbol").groupBy("d").agg(F.collect_list("symbol").alias("symbols")), "shared-symbols")
-    discard(marks)
-    near = rows.join(lists, "d").select("d", "t", "text", "symbols")
-    found = near.mapInArrow(lambda b: _stretches_of(b, width, False), "symbol bigint, stretch bigint, d bigint, t bigint, at int, n int")
-    found = written(found, "stretches")
-    discard(lists)
+    spread = rows.select("d", "t", "text").mapInArrow(lambda b: _stretches_of(b, width), "symbol bigint, stretch bigint, d bigint, t bigint, at int, n int")
+    spread = written(spread, "all-stretches")
+    shared = spread.groupBy("symbol").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a < b").select("symbol")
+    shared = written(shared, "shared-symbols")
+    found = written(spread.join(shared, "symbol"), "stretches")
+    discard(spread)
+    discard(shared)
     # equal stretches are one from here on, however many documents have them
-    own = found.groupBy("symbol", "stretch").agg(F.min(F.struct("d", "t")).alias("o")).select("symbol", "stretch", "o.d", "o.t")
+    own = found.groupBy("symbol", "stretch").agg(F.min(F.struct("d", "t")).alias("o")).select("symbol", "stretch", F.col("o.d").alias("least"), F.col("o.t").alias("t"))
     own = written(own, "stretch-owners")
     several = own.groupBy("symbol").agg(F.min("stretch").alias("x"), F.max("stretch").alias("y")).filter("x < y").select("symbol")
-    asked = own.join(several, "symbol").groupBy("d", "t").agg(F.collect_list("stretch").alias("asked"))
-    shown = rows.join(asked, ["d", "t"]).select("d", "t", "text", "asked").mapInArrow(lambda b: _stretches_of(b, width, True), "stretch bigint, windows array<bigint>")
-    shown = written(shown.dropDuplicates(["stretch"]).join(own.select("symbol", "stretch", "d"), "stretch"), "windows")
-    shown = shown.select("symbol", "stretch", "d", F.posexplode("windows").alias("i", "window"))
-    first = shown.groupBy("symbol", "window").agg(F.min("d").alias("first"))
-    per = shown.join(first, ["symbol", "window"]).groupBy("stretch").agg(F.collect_list(F.struct("i", "first")).alias("firsts"))  # at most width windows a stretch
-    hits = found.join(own.select("stretch", F.col("d").alias("least")), "stretch").join(per, "stretch", "left").select("d", "t", "at", "n", "least", "firsts")
-    late = F.expr("""if(firsts is null, if(least < d, array(named_struct('at', at, 'n', n)), cast(array() as array<struct<at:int,n:int>>)),
-        transform(filter(firsts, x -> x.first < d), x -> named_struct('at', at + x.i, 'n', 1)))""")
-    spans = hits.select("d", "t", late.alias("spans")).filter("size(spans) > 0")
-    return spans.groupBy("d", "t").agg(F.flatten(F.collect_list("spans")).alias("spans"))  # a document's own, no longer than its text
+    asked = own.join(several, "symbol").groupBy(F.col("least").alias("d"), "t").agg(F.collect_list("stretch").alias("asked"))
+    shown = rows.join(asked, ["d", "t"]).select("text", "asked").mapInArrow(lambda b: _windows_of(b, width), "symbol bigint, stretch bigint, windows array<bigint>")
+    # rows that repeat an owner, and its own repetitions, show the same windows
+    shown = written(shown.dropDuplicates(["symbol", "stretch"]).join(own.select("symbol", "stretch", "least"), ["symbol", "stretch"]), "windows")
+    windows = shown.select("symbol", "stretch", "least", F.posexplode("windows").alias("i", "window"))
+    first = windows.groupBy("symbol", "window").agg(F.min("least").alias("first"))
+    late = windows.join(first, ["symbol", "window"]).filter("first < least").groupBy("symbol", "stretch").agg(F.collect_list("i").alias("late"))  # at most width windows a stretch
+    known = written(own.drop("t").join(late, ["symbol", "stretch"], "left"), "late-windows")
+    discard(own)
+    discard(shown)
+    hits = found.join(known, ["symbol", "stretch"]).filter("least < d or late is not null")
+    gone = F.expr("if(least < d, array(named_struct('at', at, 'n', n)), transform(late, i -> named_struct('at', at + i, 'n', 1)))")
+    # rows that repeat a (d, t) carry the same spans: each once, already within the tasks
+    return hits.select("d", "t", gone.alias("spans")).groupBy("d", "t").agg(F.flatten(F.collect_set("spans")).alias("spans"))  # a document's own, no longer than its text
 
 
 def dedup(docs: DataFrame, width: int = WIDTH, with_text: bool = False) -> DataFrame:
