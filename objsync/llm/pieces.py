@@ -23,8 +23,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from math import inf
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,12 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed by the tokenizer
 MOST_REMEMBERED = 100_000
+#: Parts from this length on are solved in typed arrays, a few bytes per character.
+LONG = 10_000
+
+
+def _cells(kind: str, value, n: int) -> list | array:
+    return [value] * n if n < LONG else array(kind, [value]) * n
 
 
 @dataclass(frozen=True)
@@ -118,18 +126,17 @@ class Segmenter:
     def count(self, part: str) -> tuple[int, float]:
         """Number of pieces and score of the best path: no path is kept."""
         n, unk = len(part), self.v.unknown_score
-        score: list[float | None] = [None] * (n + 1)
-        pieces = [0] * (n + 1)
+        score, pieces = _cells("d", -inf, n + 1), _cells("q", 0, n + 1)
         score[0] = 0.0
         # a run of unknown characters is one piece unless bytes stand for it
-        open_run = [False] * (n + 1)
+        open_run = _cells("b", False, n + 1)
         at = 1
         single = False
 
         def close(end: int) -> None:  # the unknown character comes last, and only if no piece is that character
             if not single:
                 new = score[end - 1] + unk
-                if score[end] is None or new > score[end]:
+                if new > score[end]:
                     score[end] = new
                     if self.v.byte_ids:
                         pieces[end] = pieces[end - 1] + len(part[end - 1].encode("utf-8", "surrogatepass"))
@@ -145,7 +152,7 @@ class Segmenter:
             start = end - length
             single = single or length == 1
             new = score[start] + s
-            if score[end] is None or new > score[end]:
+            if new > score[end]:
                 score[end], pieces[end], open_run[end] = new, pieces[start] + 1, False
         while at <= n:
             close(at)
@@ -155,37 +162,37 @@ class Segmenter:
     def path(self, part: str) -> bytes:
         """Ids of the best path, as int32 bytes."""
         n, unk = len(part), self.v.unknown_score
-        score: list[float | None] = [None] * (n + 1)
-        back: list[tuple[int, int]] = [(0, 0)] * (n + 1)
+        score, back, via = _cells("d", -inf, n + 1), _cells("i", 0, n + 1), _cells("i", 0, n + 1)
         score[0] = 0.0
         at, single = 1, False
         for last, (length, i, s) in self.automaton.iter(part):
             end = last + 1
             while at < end:
-                if not single and (score[at] is None or score[at - 1] + unk > score[at]):
-                    score[at], back[at] = score[at - 1] + unk, (at - 1, -1)
+                if not single and score[at - 1] + unk > score[at]:
+                    score[at], back[at], via[at] = score[at - 1] + unk, at - 1, -1
                 at, single = at + 1, False
             start = end - length
             single = single or length == 1
-            if score[end] is None or score[start] + s > score[end]:
-                score[end], back[end] = score[start] + s, (start, i)
+            if score[start] + s > score[end]:
+                score[end], back[end], via[end] = score[start] + s, start, i
         while at <= n:
-            if not single and (score[at] is None or score[at - 1] + unk > score[at]):
-                score[at], back[at] = score[at - 1] + unk, (at - 1, -1)
+            if not single and score[at - 1] + unk > score[at]:
+                score[at], back[at], via[at] = score[at - 1] + unk, at - 1, -1
             at, single = at + 1, False
-        out: list[int] = []
+        out = array("i")
         end, after_unknown = n, False
         while end:
-            start, i = back[end]
+            start, i = back[end], via[end]
             if i >= 0:
                 out.append(i)
             elif self.v.byte_ids:
-                out.extend(self.v.byte_ids[b] for b in reversed(part[start:end].encode("utf-8", "surrogatepass")))
+                out.extend([self.v.byte_ids[b] for b in reversed(part[start:end].encode("utf-8", "surrogatepass"))])
             elif not after_unknown:
                 out.append(self.v.unknown)
             after_unknown = i < 0
             end = start
-        return np.array(out[::-1], dtype=np.int32).tobytes()
+        out.reverse()
+        return out.tobytes()
 
     def count_text(self, text: str) -> tuple[int, float]:
         known = self.counts

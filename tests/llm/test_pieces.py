@@ -88,3 +88,20 @@ def test_frames(spark):
     back = P.decode(P.encode(df, ["doc_id"]), ["doc_id"]).collect()
     assert sorted(r.decoded for r in back) == sorted(t or "" for _, t, _ in rows)
     assert P.token_counts(df.limit(0)).count() == 0 and P.round_trip(df.limit(0), ["doc_id"]).count() == 0
+
+
+def test_long_texts_without_blanks(seg, monkeypatch):
+    """Typed arrays give the paths of lists, in a few bytes per character."""
+    import tracemalloc
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("aeinstrl.\n執🙂") for _ in range(3000)), "ab" * 2000, "執" * 1500]
+    want = [(P.Segmenter(seg.v).count_text(t), P.Segmenter(seg.v).encode_text(t).tolist()) for t in texts]
+    monkeypatch.setattr(P, "LONG", 1)
+    other = P.Segmenter(seg.v)
+    assert [(other.count_text(t), other.encode_text(t).tolist()) for t in texts] == want
+    tracemalloc.start()
+    ids = other.encode_text("abcdefgh" * 50_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert other.decode_ids(ids) == "abcdefgh" * 50_000 and peak < 50 * 400_000
