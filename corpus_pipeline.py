@@ -5,6 +5,12 @@ again.  Quality rules drop documents; of near duplicates (five words, 0.8) the
 smallest ``doc_id`` stays; passages of ``PASSAGE_BYTES`` that stand elsewhere
 too are cut out of the texts; documents that cover a benchmark item go; what is
 left is encoded, decoded and compared.
+
+Null, empty and wordless texts fail the quality rules.  A null ``doc_id`` is larger than
+any other, and its rows never go for another's sake in stage 2; rows that share an id stay
+or go together there, and are documents of their own in all other stages.  A null ``lang`` or
+``source`` is a group of its own.  Every other column is carried along to the last
+stage, whatever its name.  Empty tables pass every stage and stay empty.
 """
 
 from __future__ import annotations
