@@ -34,11 +34,12 @@ empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from objsync.llm.common import as_long, byte_texts, discard, mix64, seed64, ship, table, window_names, word_names, written
@@ -48,6 +49,9 @@ ROUNDS = 3
 LAST_ID = 2**63 - 1
 FAR = 1 << 60
 CHUNK_WORDS = 500_000
+#: Steps that shuffle by symbol take the symbols in so many parts, one after
+#: another, so that only one part's shuffle is on disk at a time.
+SLICES = 4
 
 
 def merges(names: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, ...]:
@@ -157,20 +161,24 @@ def _stretches_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.
 
 
 def _windows_of(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """The asked stretches of every row (text, asked), with the names of their windows."""
-    for rows, names, doc, _ in _chunks(batches, 0):
+    """The asked stretches of every row (d, text, asked), each once, with the names of
+    their windows."""
+    for rows, names, doc, _ in _chunks(batches, 1):
         starts, count, symbol, _ = symbols(names, doc, width)
         window = window_names(names, width)
         stretch = _named(starts, count, symbol, window)
-        keep = np.zeros(len(starts), dtype=bool)
         cut = np.searchsorted(doc[starts], np.arange(rows.num_rows + 1))
+        keep = [np.empty(0, dtype=np.int64)]
         for i in range(rows.num_rows):
-            own = slice(cut[i], cut[i + 1])
-            keep[own] = np.isin(stretch[own].view(np.int64), rows.column(1)[i].values.to_numpy(zero_copy_only=False))
-        starts, count, symbol, stretch = starts[keep], count[keep], symbol[keep], stretch[keep]
+            own, at = np.unique(stretch[cut[i] : cut[i + 1]].view(np.int64), return_index=True)
+            keep.append(cut[i] + at[np.isin(own, rows.column(2)[i].values.to_numpy(zero_copy_only=False), assume_unique=True)])
+        kept = np.concatenate(keep)
+        starts, count = starts[kept], count[kept]
         total = np.concatenate([[0], np.cumsum(count)])
         flat = window[np.repeat(starts - total[:-1], count) + np.arange(total[-1])]
-        yield pa.RecordBatch.from_arrays([as_long(symbol), as_long(stretch), pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), as_long(flat))], names=["symbol", "stretch", "windows"])
+        d = rows.column(0).to_numpy(zero_copy_only=False)[doc[starts]]
+        yield pa.RecordBatch.from_arrays([as_long(symbol[kept]), as_long(stretch[kept]), pa.array(d, pa.int64()), pa.ListArray.from_arrays(pa.array(total.astype(np.int32)), as_long(flat))],
+                                         names=["symbol", "stretch", "least", "windows"])
 
 
 def _named(starts: np.ndarray, count: np.ndarray, symbol: np.ndarray, window: np.ndarray) -> np.ndarray:
@@ -198,6 +206,13 @@ def _removed(batches: Iterator[pa.RecordBatch], width: int, text_too: bool) -> I
         yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"][: 4 + text_too])
 
 
+def sliced(make: Callable[[Column], DataFrame], tag: str) -> tuple[DataFrame, list[DataFrame]]:
+    """What ``make`` gives for each part of the symbols, written part by part: the
+    whole, and the parts."""
+    parts = [written(make(F.pmod(F.col("symbol"), F.lit(SLICES)) == i), tag) for i in range(SLICES)]
+    return reduce(DataFrame.unionAll, parts), parts
+
+
 def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """(d, t, spans): per row key, the stretches of windows to remove.
 
@@ -207,7 +222,7 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     spread = written(spread, "all-stretches")
     shared = spread.groupBy("symbol").agg(F.min("d").alias("a"), F.max("d").alias("b")).filter("a < b").select("symbol")
     shared = written(shared, "shared-symbols")
-    found = written(spread.join(shared, "symbol"), "stretches")
+    found, _ = sliced(lambda part: spread.filter(part).join(shared, "symbol"), "stretches")
     discard(spread)
     discard(shared)
     # equal stretches are one from here on, however many documents have them
@@ -215,15 +230,22 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     own = written(own, "stretch-owners")
     several = own.groupBy("symbol").agg(F.min("stretch").alias("x"), F.max("stretch").alias("y")).filter("x < y").select("symbol")
     asked = own.join(several, "symbol").groupBy(F.col("least").alias("d"), "t").agg(F.collect_list("stretch").alias("asked"))
-    shown = rows.join(asked, ["d", "t"]).select("text", "asked").mapInArrow(lambda b: _windows_of(b, width), "symbol bigint, stretch bigint, windows array<bigint>")
-    # rows that repeat an owner, and its own repetitions, show the same windows
-    shown = written(shown.dropDuplicates(["symbol", "stretch"]).join(own.select("symbol", "stretch", "least"), ["symbol", "stretch"]), "windows")
-    windows = shown.select("symbol", "stretch", "least", F.posexplode("windows").alias("i", "window"))
-    first = windows.groupBy("symbol", "window").agg(F.min("least").alias("first"))
-    late = windows.join(first, ["symbol", "window"]).filter("first < least").groupBy("symbol", "stretch").agg(F.collect_list("i").alias("late"))  # at most width windows a stretch
-    known = written(own.drop("t").join(late, ["symbol", "stretch"], "left"), "late-windows")
-    discard(own)
+    # rows that repeat an owner show the same windows: one is enough
+    shown = rows.join(asked, ["d", "t"]).dropDuplicates(["d", "t"]).select("d", "text", "asked")
+    shown = written(shown.mapInArrow(lambda b: _windows_of(b, width), "symbol bigint, stretch bigint, least bigint, windows array<bigint>"), "windows")
+
+    def late_windows(part: Column) -> DataFrame:
+        """Per stretch the windows that a smaller document has too."""
+        windows = shown.filter(part).select("symbol", "stretch", "least", F.posexplode("windows").alias("i", "window"))
+        first = windows.groupBy("symbol", "window").agg(F.min("least").alias("first"), F.max("least").alias("last")).filter("first < last").select("symbol", "window", "first")
+        late = windows.join(first, ["symbol", "window"]).filter("first < least")
+        return late.groupBy("symbol", "stretch").agg(F.collect_list("i").alias("late"))  # at most width windows a stretch
+
+    late, parts = sliced(late_windows, "late-windows")
     discard(shown)
+    known = written(own.drop("t").join(late, ["symbol", "stretch"], "left"), "stretches-known")
+    for table_ in (own, *parts):
+        discard(table_)
     hits = found.join(known, ["symbol", "stretch"]).filter("least < d or late is not null")
     gone = F.expr("if(least < d, array(named_struct('at', at, 'n', n)), transform(late, i -> named_struct('at', at + i, 'n', 1)))")
     # rows that repeat a (d, t) carry the same spans: each once, already within the tasks
