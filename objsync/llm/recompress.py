@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from functools import reduce
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +48,7 @@ from objsync.llm.common import as_long, byte_texts, discard, mix64, seed64, ship
 WIDTH = 13
 ROUNDS = 3
 LAST_ID = 2**63 - 1
-FAR = 1 << 60
+FAR = 1 << 30  # beyond any place
 CHUNK_WORDS = 500_000
 #: Steps that shuffle by symbol take the symbols in so many parts, one after
 #: another, so that only one part's shuffle is on disk at a time.
@@ -60,10 +61,11 @@ def merges(names: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> tuple[np
 
     ``doc`` tells the document of each word; nothing merges across documents.
     """
-    at = np.arange(len(names))
+    at = np.arange(len(names), dtype=np.int32)
     # what settles a symbol, seen from its right (llo, lhi) and from its left
     # (rlo, rhi): of a run only the end that is next to the onlooker counts
-    llo, lhi, rlo, rhi = at, at + 1, at, at + 1
+    far, zero = np.int32(FAR), np.int32(0)
+    llo, lhi, rlo, rhi = at, at + np.int32(1), at, at + np.int32(1)
     found = []
     for r in range(1, rounds + 1):
         if len(names) < 2:
@@ -77,12 +79,14 @@ def merges(names: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> tuple[np
         pair = np.flatnonzero(left[:-1] & ~left[1:] & same)
         pair_lo, pair_hi = np.minimum(llo[pair], rlo[pair + 1]), np.maximum(lhi[pair], rhi[pair + 1])
         name = mix64(names[pair] * seed64(200 + r) + mix64(names[pair + 1] * seed64(300 + r)))
-        found.append((np.full(len(pair), r), name, at[pair + 1], pair_lo, pair_hi))
+        found.append((np.full(len(pair), r, dtype=np.int32), name, at[pair + 1], pair_lo, pair_hi))
+        if r == rounds:
+            break
         # a symbol that stays alone does so because of its neighbour: a left
         # one of the next symbol, a right one of the previous symbol
         none_after, none_before = np.append(~same, True), np.append(True, ~same)
-        by_lo = np.where(left, np.where(none_after, FAR, np.append(rlo[1:], 0)), np.where(none_before, -FAR, np.append(0, llo[:-1])))
-        by_hi = np.where(left, np.where(none_after, FAR, np.append(rhi[1:], 0)), np.where(none_before, -FAR, np.append(0, lhi[:-1])))
+        by_lo = np.where(left, np.where(none_after, far, np.append(rlo[1:], zero)), np.where(none_before, -far, np.append(zero, llo[:-1])))
+        by_hi = np.where(left, np.where(none_after, far, np.append(rhi[1:], zero)), np.where(none_before, -far, np.append(zero, lhi[:-1])))
         both_lo, both_hi = np.minimum(np.minimum(llo, rlo), by_lo), np.maximum(np.maximum(lhi, rhi), by_hi)
         llo, lhi = np.where(left, np.minimum(llo, by_lo), both_lo), np.where(left, np.maximum(lhi, by_hi), both_hi)
         rlo, rhi = np.where(left, both_lo, np.minimum(rlo, by_lo)), np.where(left, both_hi, np.maximum(rhi, by_hi))
@@ -94,10 +98,23 @@ def merges(names: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS) -> tuple[np
         keep[pair + 1] = False
         names, doc, at, llo, lhi, rlo, rhi = names[keep], doc[keep], at[keep], llo[keep], lhi[keep], rlo[keep], rhi[keep]
     if not found:
-        return tuple(np.empty(0, dtype=t) for t in (np.int64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.empty(0, dtype=t) for t in (np.int32, np.uint64, np.int32, np.int32, np.int32))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
+def _smallest_last(pick: np.ndarray, name: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """``pick`` by falling name, the leftmost last of equal ones."""
+    order = np.argsort(~name)
+    name = name[order]
+    tied = np.flatnonzero(name[1:] == name[:-1])
+    if len(tied):  # few of them need the second key
+        among = np.zeros(len(name), dtype=bool)
+        among[tied] = among[tied + 1] = True
+        own = order[among]
+        order[among] = own[np.lexsort((-place[own], ~name[among]))]
+    return pick[order]
+
+
 def symbols(names: np.ndarray, doc: np.ndarray, width: int = WIDTH, rounds: int = ROUNDS) -> tuple[np.ndarray, ...]:
     """Stretches of windows that took the same merge: first window, number of
     windows, symbol, and the offset of the first window from the merge."""
@@ -111,7 +128,7 @@ def symbols(names: np.ndarray, doc: np.ndarray, width: int = WIDTH, rounds: int
     best = np.full(n, -1, dtype=np.int64)  # merge that each window takes
     for r in range(rounds, 0, -1):
         pick = np.flatnonzero(rnd == r)
-        pick = pick[np.lexsort((-place[pick], ~name[pick]))]  # the smallest name comes last, and of equal ones the leftmost
+        pick = _smallest_last(pick, name[pick], place[pick])
         first, last = np.maximum(hi[pick] - width, 0), np.minimum(lo[pick], n - 1)
         count = np.maximum(last - first + 1, 0)
         window = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
@@ -192,15 +209,19 @@ def _named(starts: np.ndarray, count: np.ndarray, symbol: np.ndarray, window: np
 def _removed(batches: Iterator[pa.RecordBatch], width: int, text_too: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: list[tuple] = []
-        for text, spans in zip(byte_texts(b.column(1)), b.column(2).to_pylist()):
+        spans = b.column(2)
+        ends = np.concatenate([[0], np.cumsum(spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))])
+        flat = spans.flatten()
+        at, n = (flat.field(f).to_numpy(zero_copy_only=False) for f in ("at", "n"))
+        for text, p, q in zip(byte_texts(b.column(1)), ends[:-1].tolist(), ends[1:].tolist()):
             words = text.split()
-            edge = np.zeros(len(words) + 1, dtype=np.int64)
-            for s in spans or ():
-                edge[s["at"]] += 1
-                edge[s["at"] + s["n"] + width - 1] -= 1
-            keep = np.cumsum(edge)[:-1] == 0
-            kept = b" ".join(w for w, k in zip(words, keep.tolist()) if k) if spans else b" ".join(words)
-            out.append((len(words), int(len(words) - np.count_nonzero(keep)), hashlib.sha256(kept).hexdigest(), *([kept.decode()] if text_too else [])))
+            gone = 0
+            if q > p:
+                edge = np.bincount(at[p:q], minlength=len(words) + 1) - np.bincount(at[p:q] + n[p:q] + width - 1, minlength=len(words) + 1)
+                keep = np.cumsum(edge)[:-1] == 0
+                gone = int(len(words) - np.count_nonzero(keep))
+            kept = b" ".join(compress(words, keep.tolist()) if q > p else words)
+            out.append((len(words), gone, hashlib.sha256(kept).hexdigest(), *([kept.decode()] if text_too else [])))
         kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
         columns = list(zip(*out)) or [()] * (3 + text_too)
         yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"][: 4 + text_too])
@@ -243,11 +264,14 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH) -> DataFrame:
 
     late, parts = sliced(late_windows, "late-windows")
     discard(shown)
-    known = written(own.drop("t").join(late, ["symbol", "stretch"], "left"), "stretches-known")
+    # late windows of a stretch mostly follow one another: one span then
+    runs = F.expr("""if(array_max(late) - array_min(late) + 1 = size(late), array(named_struct('i', array_min(late), 'n', size(late))),
+        transform(late, i -> named_struct('i', i, 'n', 1)))""")
+    known = written(own.drop("t").join(late.withColumn("late", runs), ["symbol", "stretch"], "left"), "stretches-known")
     for table_ in (own, *parts):
         discard(table_)
     hits = found.join(known, ["symbol", "stretch"]).filter("least < d or late is not null")
-    gone = F.expr("if(least < d, array(named_struct('at', at, 'n', n)), transform(late, i -> named_struct('at', at + i, 'n', 1)))")
+    gone = F.expr("if(least < d, array(named_struct('at', at, 'n', n)), transform(late, r -> named_struct('at', at + r.i, 'n', r.n)))")
     # rows that repeat a (d, t) carry the same spans: each once, already within the tasks
     return hits.select("d", "t", gone.alias("spans")).groupBy("d", "t").agg(F.flatten(F.collect_set("spans")).alias("spans"))  # a document's own, no longer than its text
 
