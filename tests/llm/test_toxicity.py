@@ -109,3 +109,64 @@ def test_every_mention_is_charged():
     y = np.maximum(x[:, blind], np.arange(len(x)) % 4 == 0)
     w, b = X.fit(x, y, rows, swaps, fairness=200.0)
     assert abs(X.sigmoid(w[blind] + b) - X.sigmoid(w[deaf] + b)) < 0.1
+
+
+def brute_scores(docs, labels):
+    """The whole method in plain loops: sample, features, swapped texts, descent, scores."""
+    import math
+    import zlib
+    from collections import Counter
+
+    held = lambda d: zlib.crc32(str(d).encode()) % 4 == 2
+    toxic = {d: y for d, y in labels if not held(d)}
+    sample = sorted((toxic[d], t) for d, t in docs if d in toxic)
+    n, n1 = len(sample), sum(y for y, _ in sample)
+    all_of, of_toxic = Counter(), Counter()
+    for y, t in sample:
+        all_of.update(X.words_of(t))
+        of_toxic.update(X.words_of(t) if y else ())
+
+    def chi(w):
+        a, b, has = of_toxic[w], all_of[w] - of_toxic[w], all_of[w]
+        return (a * (n - n1 - b) - b * (n1 - a)) ** 2 * n / (n1 * (n - n1) * has * max(n - has, 1))
+
+    top = sorted((w for w in all_of if all_of[w] >= 3 and chi(w) >= X.MIN_CHI), key=lambda w: (-chi(w), w))[: X.MAX_FEATURES]
+    features = list(dict.fromkeys([*top, *(t for kind in X.IDENTITY.values() for t in kind.split())]))
+    row = lambda words: np.array([f in words for f in features], dtype=float)
+    x, y = np.array([row(X.words_of(t)) for _, t in sample]), np.array([y for y, _ in sample], dtype=float)
+    pairs = []  # a text and its version with one term swapped
+    for i, (_, t) in enumerate(sample):
+        for kind in X.IDENTITY.values():
+            terms = kind.split()
+            for k, term in enumerate(terms):
+                if term in X.words_of(t):
+                    for other in X.partners(len(terms), k):
+                        words = [terms[other] if w == term else w for w in X.WORD.findall(t.lower())]
+                        pairs.append((i, row(X.words_of(" ".join(words)))))
+    w, b = np.zeros(len(features)), math.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6))
+    m, v = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
+    at, other = np.array([i for i, _ in pairs], dtype=int), np.array([r for _, r in pairs]).reshape(len(pairs), len(features))
+    s = lambda z: 1 / (1 + np.exp(-z))
+    for step in range(1, 401):
+        p = s(x @ w + b)
+        g, gb = x.T @ (p - y) / n + 4e-4 * w, (p - y).mean()
+        if pairs:
+            q = s(other @ w + b)
+            d = 10 * (p[at] - q) / len(pairs)
+            dp, dq = d * p[at] * (1 - p[at]), d * q * (1 - q)
+            g, gb = g + x[at].T @ dp - other.T @ dq, gb + dp.sum() - dq.sum()
+        g = np.append(g, gb)
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8) * min(1, 4 * (1 - step / 401))
+        w, b = w - move[:-1], b - move[-1]
+    weights = {f: c for f, c in zip(features, w) if abs(c) > 1e-4}
+    return {d: float(s(b + sum(weights[f] for f in X.words_of(t) & weights.keys()))) for d, t in docs}
+
+
+def test_against_brute_force(spark):
+    docs, labels = frame(spark, 160)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(9000, None), (9001, ""), (9002, "an awful christian woman met a black man")]
+    want = brute_scores(rows, [(r.doc_id, r.toxic) for r in labels.collect()])
+    weights, intercept = X.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    got = {r.doc_id: r.score for r in X.score(spark.createDataFrame(rows, "doc_id long, text string"), weights, intercept).collect()}
+    assert got.keys() == want.keys() and max(abs(got[d] - want[d]) for d in want) < 1e-3
