@@ -5,7 +5,8 @@ plan (C1), GS copy plan / pipeline (C2, C11), indexing (C13), validation
 ``config`` keys name input paths (``manifest``, ``project_map``,
 ``inventory``, ``source_inventory``, ``buckets``, ``gs_inventory``,
 ``ignored``, ``index``) and ``output``; inventories/indexes are parquet
-tables, or JSON dictionaries when the path ends in ``.json``.
+tables, or JSON dictionaries when the path ends in ``.json``; an index may
+also be a catalog table (``table:<name>``, see ``sinks.write_bucketed_snapshot``).
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ def _table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, path: str) -> DataFrame:
+    if path.startswith("table:"):
+        return spark.table(path[6:])
     if path.endswith(".json"):
         return S.read_index_json(spark, path)
     return S.read_index(spark, path)

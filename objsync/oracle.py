@@ -727,3 +727,6 @@ select id, cast(count(*) as integer) as n_parts, any_value(n) as received_size,
  string_agg(part_md5, ',' order by part_number) as part_md5s
 from p group by id
 """
+ORACLE["index_table_merge"] = ORACLE["index_merge_multi"].replace(
+    " md5, size,\n case when not touched then 'untouched' when not old then 'created' when z.changed then 'patched' else 'unchanged' end as change\n",
+    " md5, size\n")

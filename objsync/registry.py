@@ -23,7 +23,7 @@ from objsync.jobs import write_validation_reports
 from objsync.operators.inventory import dedupe_inventory, missing_buckets, restrict_to_buckets
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import row_slice, shuffle_position, union_last_wins, with_line_no
-from objsync.plans import aws, gs, index as I, redaction as RD, validation as V, verify as VF
+from objsync.plans import aws, gs, index as I, index_table as T, redaction as RD, validation as V, verify as VF
 from objsync.session import app_id, ensure_checkpoint_dir
 from objsync.sources.fixtures import Fixtures
 from objsync.sources import readers
@@ -312,6 +312,14 @@ def q_index_merge_multi(spark, d):
     return _index_text(I.merge_index(_index(spark, d), I.index_updates(fx(spark, d)["f_updates"], cfg), cfg), "change")
 
 
+def q_index_table_merge(spark, d):
+    """C6 on the bucketed table: the same updates, of which every bucket is rewritten once."""
+    cfg, path = _cfg(), _folder(spark, "index-table")
+    T.create_index_table(_index(spark, d), path, 16)
+    T.merge_into(spark, path, I.index_updates(fx(spark, d)["f_updates"], cfg), cfg, 16)
+    return _index_text(T.read_index_table(spark, path))
+
+
 def q_validate_platform(platform):
     def query(spark, d):
         f = fx(spark, d)
@@ -523,6 +531,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "index_merge_gs": q_index_merge_gs,
     "index_assemble": q_index_assemble,
     "index_merge_multi": q_index_merge_multi,
+    "index_table_merge": q_index_table_merge,
     "validate_aws": q_validate_platform("AWS"),
     "validate_gs": q_validate_platform("GS"),
     "manifest_round_trip": q_manifest_round_trip,

@@ -108,5 +108,12 @@ def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def write_bucketed_snapshot(df: DataFrame, name: str, key: str, buckets: int, mode: str = "overwrite") -> None:
+    """K6 as a catalog table, bucketed and sorted by ``key`` (``did`` of an index, ``key`` of an
+    inventory): joins on that key read it without an exchange.  For snapshots that are read
+    many times; ``plans.index_table`` is for those that are edited."""
+    df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 MANIFEST_FIELDS = list(C.MANIFEST_COLUMNS)
 AUGMENTED_FIELDS = list(C.AUGMENTED_COLUMNS)

@@ -53,3 +53,26 @@ def test_edits_read_their_buckets_only(spark, tmp_path):
     T.create_index_table(_index(spark, 50), path, 8)
     plan = T.read_index_table(spark, path).filter("did_bucket in (3)")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(did_bucket" in plan or "PartitionFilters: [(did_bucket" in plan
+
+
+def test_bucketed_snapshot_is_joined_without_an_exchange(spark, tmp_path):
+    from objsync import sinks
+    from objsync.jobs import _index as read
+
+    name = f"objsync_idx_{os.getpid()}"
+    idx = _index(spark, 40)
+    man = spark.createDataFrame([(i, f"d{i * 3}") for i in range(20)], "line_no bigint, id string")
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        sinks.write_bucketed_snapshot(idx, name, "did", int(spark.conf.get("spark.sql.shuffle.partitions")))
+        for k, v in zip(keep, ("-1", "false")):
+            spark.conf.set(k, v)
+        missing = I.missing_from_index(man, read(spark, f"table:{name}"))
+        assert sorted(r.id for r in missing.collect()) == sorted(f"d{i * 3}" for i in range(20) if i * 3 >= 40)
+        plan = missing._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan  # the manifest's
+        assert _rows(read(spark, f"table:{name}")) == _rows(idx)
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+        spark.sql(f"drop table if exists {name}")
