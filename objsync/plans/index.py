@@ -4,6 +4,8 @@ indexing status of copied files (C13)."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,22 +176,32 @@ def _fold(urls: Column, acl: Column, authz: Column, ups: Column) -> Column:
     return F.aggregate(ups, state0, apply)
 
 
-def _apply(urls: Column, acl: Column, authz: Column, namespace: str) -> Column:
-    """A record after its transition, like ``_fold``.  A class whose only run is of a URL that
-    the record lists keeps it in place; of every other class
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _apply(rec: Column, tracks: Column, acl: Column, namespace: str) -> Column:
+    """A record ``(urls, acl, authz)`` after its transition, like ``_fold``.  A class whose only
+    run is of a URL that the record lists keeps it in place; of every other class
     the record's URLs go and the last run's is appended where it began."""
-    reset = F.filter("tracks", lambda t: ~(t["single"] & F.array_contains(urls, t["url"])))
-    gone = lambda e: F.exists(reset, lambda t: t["cls"] == url_class(e))
-    last, first = A.acl_list(F.col("acl_last")), A.acl_list(F.col("acl_first"))
-    last_z, first_z = A.authz_list(F.col("acl_last"), namespace), A.authz_list(F.col("acl_first"), namespace)
-    acl_same = F.col("acl_single") & A.same_set(acl, first)
-    authz_same = F.col("acl_single") & A.same_set(authz, first_z)
-    return F.struct(
-        F.concat(F.filter(urls, lambda e: ~gone(e)), F.transform(reset, lambda t: t["url"])).alias("urls"),
-        F.filter(urls, gone).alias("removed"),
-        F.when(acl_same, acl).otherwise(last).alias("acl"),
-        F.when(authz_same, authz).otherwise(last_z).alias("authz"),
-        ((F.size(reset) > 0) | ~acl_same | ~authz_same).alias("changed"))
+    def after(x: Column) -> Column:
+        gone = lambda i: F.array_contains(x["names"], F.get(x["classes"], i))
+        acl_same = acl["single"] & A.same_set(rec["acl"], x["first"])
+        authz_same = acl["single"] & A.same_set(rec["authz"], x["first_z"])
+        return F.struct(
+            F.concat(F.filter(rec["urls"], lambda e, i: ~gone(i)), x["added"]).alias("urls"),
+            F.filter(rec["urls"], lambda e, i: gone(i)).alias("removed"),
+            F.when(acl_same, rec["acl"]).otherwise(x["last"]).alias("acl"),
+            F.when(authz_same, rec["authz"]).otherwise(x["last_z"]).alias("authz"),
+            ((F.size(x["added"]) > 0) | ~acl_same | ~authz_same).alias("changed"))
+
+    reset = F.filter(tracks, lambda t: ~(t["single"] & F.array_contains(rec["urls"], t["url"])))
+    read = [A.acl_list(acl[c]).alias(c) for c in ("first", "last")]
+    read += [A.authz_list(acl[c], namespace).alias(f"{c}_z") for c in ("first", "last")]
+    return _let(reset, lambda r: _let(F.struct(
+        F.transform(rec["urls"], url_class).alias("classes"), F.transform(r, lambda t: t["cls"]).alias("names"),
+        F.transform(r, lambda t: t["url"]).alias("added"), *read), after))
 
 
 def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_only: bool = False,
@@ -220,7 +232,8 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     api_url = F.concat(F.lit(cfg.data_api_url), F.col("did"))
     classes = F.transform("urls", url_class)
     several = index.filter((F.size(F.array_distinct(classes)) < F.size("urls")) | F.exists("urls", _odd)).select("did")
-    also = ups.filter(_odd(F.col("url")) | (url_class(F.col("url")) == url_class(api_url))).select("did")
+    # the update's URL is a long expression of its row: bound once, not repeated in every test
+    also = ups.filter(_let(F.struct("url", api_url.alias("api")), lambda x: _odd(x["url"]) | (url_class(x["url"]) == url_class(x["api"])))).select("did")
     in_order = _update_runs(ups.join(several.unionByName(also), "did", "left_semi"), cfg.namespace())
     grouped = index_transitions(ups, cfg, block).join(in_order, "did", "left")
     if changes_only:
@@ -230,11 +243,17 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     has_doc = F.coalesce(F.col("_has_doc"), F.lit(False))
     head, touched = F.col("head"), F.col("head").isNotNull()
     none = F.array().cast("array<string>")
-    start = [F.when(has_doc, F.coalesce("urls", none)).otherwise(F.array(api_url, head["value"])),
-             F.when(has_doc, F.coalesce("acl", none)).otherwise(A.acl_list(F.col("acl_first"))),
-             F.when(has_doc, F.coalesce("authz", none)).otherwise(A.authz_list(F.col("acl_first"), cfg.namespace()))]
-    st = F.when(F.col("ups").isNotNull(), _fold(*start, F.col("ups"))).otherwise(_apply(*start, cfg.namespace()))
-    j = j.withColumn("_st", F.when(touched, st))
+    start = F.struct(
+        F.when(has_doc, F.coalesce("urls", none)).otherwise(F.array(api_url, head["value"])).alias("urls"),
+        F.when(has_doc, F.coalesce("acl", none)).otherwise(A.acl_list(F.col("acl_first"))).alias("acl"),
+        F.when(has_doc, F.coalesce("authz", none)).otherwise(A.authz_list(F.col("acl_first"), cfg.namespace())).alias("authz"))
+    acl = F.struct(F.col("acl_first").alias("first"), F.col("acl_last").alias("last"), F.col("acl_single").alias("single"))
+
+    def changed(rec: Column) -> Column:
+        return F.when(F.col("ups").isNotNull(), _fold(rec["urls"], rec["acl"], rec["authz"], F.col("ups"))) \
+            .otherwise(_apply(rec, F.col("tracks"), acl, cfg.namespace()))
+
+    j = j.withColumn("_st", F.when(touched, _let(start, changed)))
     meta_src = F.when(has_doc, F.col("urls_metadata")).otherwise(F.create_map().cast("map<string,map<string,string>>"))
     return j.select(
         "did",
