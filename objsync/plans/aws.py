@@ -105,7 +105,7 @@ PLAN_COLUMNS = [
 
 
 def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, inventory: DataFrame,
-              source_inventory: DataFrame, cfg: PlanConfig, resolve_sources: str = "pending") -> DataFrame:
+              source_inventory: DataFrame, cfg: PlanConfig, resolve_sources: str = "all") -> DataFrame:
     """Per manifest row, the first matching action:
 
     1. project not in the map -> ``REJECT`` (``unknown_project``)
@@ -118,11 +118,12 @@ def copy_plan(manifest: DataFrame, project_map: DataFrame, buckets: DataFrame, i
 
     ``needs_copy`` is J2 (absent or size differs), the prepare filter.
 
-    ``resolve_sources="pending"`` (lazy): the manifest meets the key-first
-    inventory in one probe join, and only rows still pending a copy look for a
-    source key; both uses of the joined rows read the same shuffled tables.  ``"all"``: every
-    row looks for one, independently of the probe.  ``"needed"``: like pending, with the joined
-    rows materialized by a reliable ``checkpoint`` (the session's checkpoint folder) first.
+    ``resolve_sources="all"`` (lazy, one pass): every row looks for a source key,
+    independently of the probe.  ``"needed"`` (the copy job's mode): the probe-joined rows are
+    materialized by a reliable ``checkpoint`` (the session's checkpoint folder) first, and only
+    rows still pending a copy look for a source key.  ``"pending"``: the same without a
+    checkpoint, for plans that must stay lazy; the probe is then planned twice, and
+    whatever of it Spark does not reuse is shuffled twice.
     """
     if resolve_sources not in ("pending", "all", "needed"):
         raise ValueError("resolve_sources must be 'pending', 'all' or 'needed'")
