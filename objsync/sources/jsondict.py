@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from objsync.sources.ranges import RangeReader, file_ranges, list_files
+from objsync.sources.ranges import RangeReader, file_ranges, list_files, range_tasks
 
 RANGE_BYTES = 32 << 20
 #: Bytes of entries per object handed to ``from_json``.
@@ -164,8 +164,10 @@ def read_dictionary(spark: SparkSession, path: str | list[str], value_type: str,
     parsed as ``value_type``; a malformed document fails the read.  Of a key that a
     document repeats, the last entry counts (and over several
     documents, the one of the last path)."""
-    states = range_states(file_ranges(list_files(spark, path), range_bytes))
-    lots = states.repartition("path", "no").mapInArrow(lambda b: _objects(b, lot_bytes), "path string, offset bigint, value string")
+    files = list_files(spark, path)
+    tasks = range_tasks(files, range_bytes)
+    states = range_states(file_ranges(files, range_bytes, tasks))
+    lots = states.repartition(tasks, "path", "no").mapInArrow(lambda b: _objects(b, lot_bytes), "path string, offset bigint, value string")
     parsed: Column = F.from_json("value", f"map<string,{value_type}>", {"mode": "FAILFAST"})
     rows = lots.select("path", "offset", F.posexplode(F.map_entries(parsed)).alias("nth", "e"))
     last = F.max_by("e", F.struct("path", "offset", "nth"))

@@ -20,6 +20,8 @@ from objsync.functions.objects import chunk_ranges
 
 #: Bytes per read.
 BLOCK_BYTES = 8 << 20
+#: Bytes of files per task.
+TASK_BYTES = 32 << 20
 
 
 def file_system(path: str):
@@ -66,14 +68,24 @@ def list_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "length")
 
 
-def file_ranges(files: DataFrame, range_bytes: int) -> DataFrame:
+def range_tasks(files: DataFrame, range_bytes: int) -> int:
+    """Tasks for the ranges of ``files``: one per ``TASK_BYTES``, and at least one per core, but
+    never more than ranges.  The rows that name ranges are too small for AQE, which would
+    put the bytes of all files into one task."""
+    total = files.agg(F.sum("length").alias("size"), F.sum(F.ceil(F.col("length") / range_bytes)).alias("ranges")).first()
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(total["ranges"] or 0, max(cores, -(-(total["size"] or 0) // TASK_BYTES))))
+
+
+def file_ranges(files: DataFrame, range_bytes: int, tasks: int | None = None) -> DataFrame:
     """One row per range ``(path, length, no, start, end)``, ``end`` exclusive,
-    spread over the cluster."""
+    spread over the cluster in ``tasks`` tasks (``range_tasks``, if not given)."""
     if range_bytes <= 0:
         raise ValueError("range size must be positive")
+    tasks = tasks or range_tasks(files, range_bytes)
     ranges = files.select("path", "length", F.posexplode(chunk_ranges(F.col("length"), range_bytes)).alias("no", "r"))
     ranges = ranges.select("path", "length", F.col("no").cast("bigint").alias("no"), F.col("r.start").alias("start"), (F.col("r.end") + 1).alias("end"))
-    return ranges.repartition("path", "no")
+    return ranges.repartition(tasks, "path", "no")
 
 
 def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

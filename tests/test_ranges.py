@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from objsync.plans import verify as VF
-from objsync.sources import jsondict, readers
+from objsync.sources import jsondict, ranges, readers
 
 ODD = ['a"b', "back\\", "\\\\", '\\"', "{", "}", "[]", "a,b", ":", "ü🙂", "", " ", "\t\n", '","x":{"', "x" * 300, '\\\\"', "null"]
 
@@ -53,6 +53,21 @@ def test_empty_repeated_and_broken_documents(spark, tmp_path):
             _read(spark, put("x.json", broken), "array<string>", range_bytes=5)
 
 
+def test_ranges_are_not_put_into_one_task(spark, tmp_path, monkeypatch):
+    """The rows that name ranges are few and small; their bytes are not."""
+    doc = {f"key {i}": ["u" * 40] for i in range(800)}
+    (tmp_path / "d.json").write_text(json.dumps(doc))
+    size = (tmp_path / "d.json").stat().st_size
+    monkeypatch.setattr(ranges, "TASK_BYTES", 1_000)
+    files = ranges.list_files(spark, str(tmp_path / "d.json"))
+    assert ranges.range_tasks(files, 100) == -(-size // 1_000) > spark.sparkContext.defaultParallelism
+    assert ranges.range_tasks(files, size) == 1
+    assert ranges.range_tasks(files.filter("length < 0"), 100) == 1
+    # 40 ranges; AQE made one task of them
+    assert ranges.file_ranges(files, -(-size // 40)).rdd.getNumPartitions() == min(40, max(-(-size // 1_000), spark.sparkContext.defaultParallelism))
+    assert _read(spark, str(tmp_path / "d.json"), "array<string>", range_bytes=100) == doc
+
+
 def test_readers(spark, tmp_path):
     inv = {f"bkt-{i % 3}/id{i}/f, \"{i}\".bam": {"Bucket": f"bkt-{i % 3}", "Size": i, "StorageClass": None if i % 4 else "GLACIER"} for i in range(60)}
     (tmp_path / "inv.json").write_text(json.dumps(inv))
