@@ -11,6 +11,8 @@ from objsync import config as C
 
 # scheme :// authority path ? query # fragment  (scheme is case-insensitive)
 URL_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
+# the same with scheme://authority as one group
+HEAD_PATTERN = r"^(([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*))([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
 def _col(c) -> Column:
@@ -53,6 +55,12 @@ def url_netloc(url) -> Column:
     return F.regexp_extract(_col(url), URL_PATTERN, 2)
 
 
+@cached_expr
+def url_head(url) -> Column:
+    """Scheme as written, ``://`` and authority in one match of the URL; '' when there is none."""
+    return F.regexp_extract(_col(url), HEAD_PATTERN, 1)
+
+
 @cached_expr
 def url_path(url) -> Column:
     """Path including its leading ``/``; '' when none."""

@@ -89,19 +89,31 @@ RUN_BLOCK = 1_000_000
 _ACL = "acl"  # the track of a record's ACL; URL tracks hold "://"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+#: Stems of the special pair; they make one class.
+_SPECIAL_STEMS = [n[:-5] if n.endswith("-open") else n[:-11] for n in C.SPECIAL_URL_BUCKET_PAIR]
+
+
+def _class_and_odd(url: Column) -> Column:
+    """``struct(cls, odd)`` of a URL, which is matched once.  ``odd``: in the special class, but
+    not one of its two buckets, as such URLs do not all remove each other."""
+    def of(head: Column) -> Column:
+        netloc, scheme = F.substring_index(head, "://", -1), F.lower(F.substring_index(head, "://", 1))
+        return _let(F.struct(netloc.alias("netloc"), R.bucket_project_stem(netloc).alias("stem"), scheme.alias("scheme")), lambda x: F.struct(
+            F.concat(x["scheme"], F.lit("://"), F.when(x["stem"].isin(*_SPECIAL_STEMS), F.lit("/special")).otherwise(x["stem"])).alias("cls"),
+            (x["stem"].isin(*_SPECIAL_STEMS) & ~x["netloc"].isin(*C.SPECIAL_URL_BUCKET_PAIR)).alias("odd")))
+
+    return _let(U.url_head(url), of)
+
+
 def url_class(url: Column) -> Column:
     """Scheme and P21 stem of a URL: only URLs of one class remove each other.
     The stems of the special pair make one class."""
-    netloc = U.url_netloc(url)
-    stem = R.bucket_project_stem(netloc)
-    special = [n[:-5] if n.endswith("-open") else n[:-11] for n in C.SPECIAL_URL_BUCKET_PAIR]
-    return F.concat(U.url_scheme(url), F.lit("://"), F.when(stem.isin(*special), F.lit("/special")).otherwise(stem))
-
-
-def _odd(url: Column) -> Column:
-    """In the special class, but not one of its two buckets: such URLs do not
-    all remove each other."""
-    return url_class(url).endswith("/special") & ~U.url_netloc(url).isin(*C.SPECIAL_URL_BUCKET_PAIR)
+    return _class_and_odd(url)["cls"]
 
 
 def index_transitions(updates: DataFrame, cfg: PlanConfig, block: int = RUN_BLOCK) -> DataFrame:
@@ -230,10 +242,11 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     """
     ups = updates.filter(F.col("valid") & F.col("url").isNotNull())
     api_url = F.concat(F.lit(cfg.data_api_url), F.col("did"))
-    classes = F.transform("urls", url_class)
-    several = index.filter((F.size(F.array_distinct(classes)) < F.size("urls")) | F.exists("urls", _odd)).select("did")
-    # the update's URL is a long expression of its row: bound once, not repeated in every test
-    also = ups.filter(_let(F.struct("url", api_url.alias("api")), lambda x: _odd(x["url"]) | (url_class(x["url"]) == url_class(x["api"])))).select("did")
+    # long expressions of a row are bound once, not repeated in every test
+    several = index.filter(_let(F.transform("urls", _class_and_odd), lambda x: (
+        F.size(F.array_distinct(F.transform(x, lambda c: c["cls"]))) < F.size(x)) | F.exists(x, lambda c: c["odd"]))).select("did")
+    also = ups.filter(_let(F.struct(_class_and_odd(F.col("url")).alias("new"), url_class(api_url).alias("api")),
+                           lambda x: x["new"]["odd"] | (x["new"]["cls"] == x["api"]))).select("did")
     in_order = _update_runs(ups.join(several.unionByName(also), "did", "left_semi"), cfg.namespace())
     grouped = index_transitions(ups, cfg, block).join(in_order, "did", "left")
     if changes_only:
