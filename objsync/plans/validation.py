@@ -42,52 +42,60 @@ def validate_rows(manifest: DataFrame, project_map: DataFrame, index_urls: DataF
         raise ValueError("platform must be AWS, GS or ALL")
     m = manifest if "manifest_no" in manifest.columns else manifest.withColumn("manifest_no", F.lit(0))
     m = attach_projects(m, project_map, cfg)
-    # both id-keyed joins first: the second reuses the first one's partitioning
-    idx = index_urls.select(F.col("did").alias("_did"), F.col("urls").alias("_urls"))
-    m = (m.join(idx, m["id"] == idx["_did"], "left").drop("_did")
-          .withColumn("index_urls", F.coalesce(F.col("_urls"), F.array().cast("array<string>"))).drop("_urls")
-          .withColumn("no_index", F.size("index_urls") == 0))
+    first = m.columns
     if _gs(platform):
         m = attach_ignored(m, ignored_objs)
     nonzero = F.col("size") != 0
     known = F.col("known_project")
+    # what a listing says is one flag per row before the next shuffle, and the
+    # lists of URLs, the widest column, join last: they are shuffled once
     if _aws(platform):
         m = m.withColumn("aws_bucket", R.aws_bucket("aws_bucket_prefix", "acl"))
-        m = m.withColumn("_flip", F.coalesce(R.flip_account("aws_bucket"), F.lit("None")))
+        flip = F.coalesce(R.flip_account("aws_bucket"), F.lit("None"))
+        m = m.withColumn("_flip", flip)
         m = probe_join(m, inventory_by_key(aws_inventory, dedupe=cfg.dedupe_inventory),
                        U.object_key("id", "file_name"), "aws_objects", cfg.spread_hot_keys)
-        present = listed("aws_objects", "aws_bucket") | listed("aws_objects", "_flip")
-        copy_fail = known & ~present & nonzero
+        m = m.withColumn("_on_aws", listed("aws_objects", "aws_bucket") | listed("aws_objects", "_flip")).drop("aws_objects", "_flip")
+    if _gs(platform):
+        m = m.withColumn("gs_bucket", R.gs_bucket("gs_bucket_prefix", "acl"))
+        key = F.when(F.col("is_ignored"), F.coalesce(F.col("structured_key"), F.lit("None"))) \
+            .otherwise(U.object_key("id", U.safe_name("file_name")))
+        m = m.withColumn("_gs_key", key).drop("structured_key", "is_ignored")
+        m = probe_join(m, inventory_by_key(gs_inventory, dedupe=cfg.dedupe_inventory), F.col("_gs_key"),
+                       "gs_objects", cfg.spread_hot_keys)
+        m = m.withColumn("_on_gs", listed("gs_objects", "gs_bucket")).drop("gs_objects")
+    idx = index_urls.select(F.col("did").alias("_did"), F.col("urls").alias("_urls"))
+    m = (m.join(idx, m["id"] == idx["_did"], "left").drop("_did")
+          .withColumn("index_urls", F.coalesce(F.col("_urls"), F.array().cast("array<string>"))).drop("_urls")
+          .withColumn("no_index", F.size("index_urls") == 0))
+    if _aws(platform):
+        copy_fail = known & ~F.col("_on_aws") & nonzero
+        m = m.withColumn("_flip", flip)
         p1 = U.provider_url("s3", "aws_bucket", U.object_key("id", "file_name"))
         p2 = U.provider_url("s3", "_flip", U.object_key("id", "file_name"))
         m = (m.withColumn("aws_copy_fail", F.when(known, copy_fail))
               .withColumn("aws_index_fail", F.when(known, ~copy_fail & nonzero
                                                    & ~F.array_contains("index_urls", p1)
                                                    & ~F.array_contains("index_urls", p2)))
-              .withColumn("aws_url", F.when(known & ~copy_fail & nonzero, p2))
-              .drop("aws_objects", "_flip"))
+              .withColumn("aws_url", F.when(known & ~copy_fail & nonzero, p2)))
     else:
         m = (m.withColumn("aws_copy_fail", F.lit(None).cast("boolean"))
               .withColumn("aws_index_fail", F.lit(None).cast("boolean"))
               .withColumn("aws_url", F.lit(None).cast("string")))
     if _gs(platform):
-        m = m.withColumn("gs_bucket", R.gs_bucket("gs_bucket_prefix", "acl"))
-        key = F.when(F.col("is_ignored"), F.coalesce(F.col("structured_key"), F.lit("None"))) \
-            .otherwise(U.object_key("id", U.safe_name("file_name")))
-        m = m.withColumn("_gs_key", key)
-        m = probe_join(m, inventory_by_key(gs_inventory, dedupe=cfg.dedupe_inventory), F.col("_gs_key"),
-                       "gs_objects", cfg.spread_hot_keys)
-        copy_fail = known & ~listed("gs_objects", "gs_bucket") & nonzero
+        copy_fail = known & ~F.col("_on_gs") & nonzero
         gs_url = U.provider_url("gs", "gs_bucket", "_gs_key")
         m = (m.withColumn("gs_copy_fail", F.when(known, copy_fail))
               .withColumn("gs_url", F.when(known & ~copy_fail & nonzero, gs_url))
               .withColumn("gs_index_fail", F.when(known, ~copy_fail & nonzero
-                                                  & ~F.array_contains("index_urls", gs_url)))
-              .drop("gs_objects", "_gs_key", "structured_key", "is_ignored"))
+                                                  & ~F.array_contains("index_urls", gs_url))))
     else:
         m = (m.withColumn("gs_copy_fail", F.lit(None).cast("boolean"))
               .withColumn("gs_index_fail", F.lit(None).cast("boolean"))
               .withColumn("gs_url", F.lit(None).cast("string")))
+    aws = ["aws_copy_fail", "aws_index_fail", "aws_url"]
+    gs = ["gs_bucket", "gs_copy_fail", "gs_url", "gs_index_fail"] if _gs(platform) else ["gs_copy_fail", "gs_index_fail", "gs_url"]
+    m = m.select(*first, "index_urls", "no_index", *(["aws_bucket"] if _aws(platform) else []), *aws, *gs)
     return m.withColumn("reject_reason", F.when(~known, F.lit("unknown_project")))
 
 

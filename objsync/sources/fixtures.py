@@ -245,6 +245,14 @@ class Fixtures:
         self._cache[name] = df
         return df
 
+    def unwritten(self, name: str) -> DataFrame:
+        """A fixture for one reader that writes what it makes of it: not
+        written itself (unless it is there already)."""
+        with self._lock:
+            if name in self._cache:
+                return self._cache[name]
+            return self.spark.sql(FIXTURES[name], **{d: self.table(d) for d in _deps(FIXTURES[name])})
+
     def derived(self, name: str, build) -> DataFrame:
         """An input table built by library code from other fixtures (e.g. an
         index snapshot assembled from its long-form export), materialized

@@ -31,3 +31,20 @@ def test_a_url_is_matched_once_for_its_class(spark):
     for r in both.collect():
         assert r.one == r.two and r.odd == r.odd2, r
     assert _plan(df.select(I.url_class(F.col("url")).alias("c"))).count("regexp_extract(") == 1
+
+
+def test_index_urls_join_last(spark):
+    joins = [line for line in _plan(registry.QUERIES["validate_rows"](spark, SF_SMALL)).splitlines() if "Join LeftOuter" in line]
+    assert len(joins) >= 4 and re.search(r"id#\d+ = _?did#\d+", joins[0])
+
+
+def test_index_input_is_written_once(spark):
+    f = Fixtures(spark, SF_SMALL)
+    rows = f.derived("snapshot", lambda: I.index_from_long_form(f.unwritten("f_index_urls"), f.unwritten("f_index_attrs"))).count()
+    assert rows == f["f_manifest"].filter("k % 7 <> 0").count() > 0
+    assert not {"f_index_urls", "f_index_attrs"} & set(f._cache)
+    assert f.unwritten("f_index_urls").exceptAll(f["f_index_urls"]).isEmpty() and f.unwritten("f_index_urls") is f["f_index_urls"]
+
+
+def test_run_report_validates_once(spark):
+    assert "LeftOuter" not in _plan(registry.QUERIES["validate_run"](spark, SF_SMALL))
