@@ -96,10 +96,10 @@ def write_result_log(plan: DataFrame, path: str, release: str, mode: str = "over
 
 def write_deletion_log(log: DataFrame, path: str, release: str, mode: str = "overwrite") -> None:
     """K5: deletion log rows (``config.DELETION_LOG_FIELDS``) as
-    JSON lines partitioned by release and provider (the job writes them only
+    gzipped JSON lines partitioned by release and provider (the job writes them only
     on a real run); a rerun replaces its partitions."""
     log.select(F.lit(release).alias("release"), "provider", *C.DELETION_LOG_FIELDS) \
-        .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("release", "provider").json(path)
+        .write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", "gzip").partitionBy("release", "provider").json(path)
 
 
 def write_snapshot(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -48,3 +48,12 @@ def test_index_input_is_written_once(spark):
 
 def test_run_report_validates_once(spark):
     assert "LeftOuter" not in _plan(registry.QUERIES["validate_run"](spark, SF_SMALL))
+
+
+def test_deletion_log_is_compressed(spark, tmp_path):
+    log = spark.createDataFrame([("s3", "s3://b/k", True, True, None), ("gs", "gs://b/k", False, False, "m")], "provider string, url string, deleted boolean, indexdUpdated boolean, message string")
+    for _ in range(2):
+        sinks.write_deletion_log(log, str(tmp_path / "log"), "r1")
+    names = [n for _, _, files in os.walk(tmp_path / "log") for n in files if n.startswith("part-")]
+    assert len(names) == 2 and all(n.endswith(".json.gz") for n in names)
+    assert sorted((r.provider, r.url, r.deleted) for r in spark.read.json(str(tmp_path / "log")).collect()) == [("gs", "gs://b/k", False), ("s3", "s3://b/k", True)]
