@@ -1,5 +1,7 @@
 import hashlib
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -87,5 +89,63 @@ def test_long_text_in_pieces():
     assert each(whole) == each(cut) and len(each(whole)) == 4901
 
 
+def brute_passages(rows, width):
+    """doc_id, words covered by repeated sequences of ``width`` words, and their runs."""
+    texts = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for _, t in rows]
+    seen = Counter(tuple(w[i : i + width]) for w in texts for i in range(len(w) - width + 1))
+    out = []
+    for (d, _), w in zip(rows, texts):
+        hit = {i + j for i in range(len(w) - width + 1) if seen[tuple(w[i : i + width])] > 1 for j in range(width)}
+        out.append((d, len(hit), sum(1 for i in hit if i - 1 not in hit)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("most", [R.MOST_SEGMENTS, 1])
+def test_passages_against_brute_force(spark, most):
+    rows = [*corpus(9), (300, " \t\n" + "a " * 40 + "b\v"), (301, "a\n" * 45), (302, "\u00a0a" * 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = R.dedup(df, 100, False, most, 15).collect()
+    assert sorted(((r.doc_id, r.n_passage_words, r.n_passages) for r in out), key=str) == brute_passages(rows, 15)
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out), key=str) == brute(rows, 100)
+
+
+def test_short_words(spark, tmp_path):
+    """A passage of over 50 words is reported also where it is shorter than 400 bytes; the bytes stay as they are."""
+    rng = random.Random(5)
+    words = lambda n: [f"{rng.randrange(10_000):04d}" for _ in range(n)]
+    passage, fifty = words(51), words(50)
+    rows = [(d, " ".join(words(80) + passage + words(80))) for d in range(3)]
+    rows += [(3, "\n".join(words(9) + passage)), (4, " ".join(words(200))), (5, " ".join(words(60) + fifty)), (6, " ".join(fifty + words(60))), (7, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in R.op1_suffix_array_dedup(spark, str(tmp_path)).collect()}
+    assert {d: (r.n_passage_words, r.n_passages) for d, r in out.items()} == {d: (51, 1) if d < 4 else (0, 0) for d in range(8)}
+    assert all(r.n_removed == 0 and r.text == (rows[d][1] or "") for d, r in out.items())
+
+
+def test_index_over_words():
+    rng = random.Random(3)
+    for alphabet in (1, 2, 9):
+        for _ in range(20):
+            base = [rng.randint(0, alphabet) * (2**56 + 1) for _ in range(rng.randint(1, 40))]
+            parts = [[rng.randint(0, alphabet) for _ in range(rng.randint(0, 4))] + base[rng.randint(0, 4) : rng.randint(4, 40)] for _ in range(rng.randint(1, 6))]
+            suffixes = [p[i:] for p in parts for i in range(len(p) + 1)]
+            common = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            want = [max([common(s, o) for j, o in enumerate(suffixes) if j != i], default=0) for i, s in enumerate(suffixes)]
+            assert R.RunIndex([np.array(p, dtype=np.uint64).tobytes() for p in parts], np.uint64).statistics().tolist() == want
+
+
+def test_names_of_texts_in_parts(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("ab \n\u00e9") for _ in range(rng.choice((0, 1, 5, 40, 300)))).encode() for _ in range(200)]
+    monkeypatch.setattr(R, "NAMED_BYTES", 64)
+    for whole, parts in zip(map(R.word_names, texts), R.named(texts), strict=True):
+        assert whole.tolist() == parts.tolist()
+
+
 def test_empty(spark):
     assert R.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_empty_passages(spark):
+    assert R.dedup(spark.createDataFrame([], "doc_id long, text string"), words=R.WORDS).count() == 0
+    assert R.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
