@@ -21,6 +21,7 @@ from objsync.config import PlanConfig
 from objsync.operators.inventory import restrict_to_buckets
 from objsync.operators.projects import expected_buckets
 from objsync.plans import aws, gs, index as I, redaction as RD, validation as V
+from objsync.session import release_shuffles
 from objsync.sources import readers as S
 
 
@@ -144,7 +145,8 @@ def validation_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = N
     gs_inv = restrict_to_buckets(_table(spark, config["gs_inventory"]), exp.filter(F.col("provider") == "gs"))
     rows = V.validate_rows(manifest, pm, urls, aws_inv, gs_inv, ignored, cfg)
     failures = Observation("run_failures")
-    rows.observe(failures, *V.run_failures()).write.mode("overwrite").parquet(_out(config, "validated"))
+    rows.observe(failures, *V.run_failures()).write.mode("overwrite").option("compression", "zstd").parquet(_out(config, "validated"))
+    release_shuffles(spark)
     rows = spark.read.parquet(_out(config, "validated"))
     counts = V.validate_counts(rows)
     report = V.run_report(counts, cfg.force_manifest)
@@ -158,10 +160,12 @@ def write_validation_reports(rows: DataFrame, counts: DataFrame, output: str, fo
     lists in another; a manifest without rows for its report has no folder."""
     judged = V.with_verdict(rows, counts, force)
     fields = [c for c in V.C.MANIFEST_COLUMNS if c != "url"] + ["aws_url", "gs_url", "indexd_url"]
-    sinks.write_tsv_by(V.augmented_manifest(judged.filter(F.col("output") == "manifest")), os.path.join(output, "manifest"),
-                       "manifest_no", list(V.C.AUGMENTED_COLUMNS), ["line_no"])
-    sinks.write_tsv_by(V.fail_list(judged.filter(F.col("output") == "FAIL_manifest")), os.path.join(output, "FAIL_manifest"),
-                       "manifest_no", fields, ["line_no", "check_no"])
+    sinks.write_tsv_by(judged.filter(F.col("output") == "manifest"), os.path.join(output, "manifest"),
+                       "manifest_no", list(V.C.AUGMENTED_COLUMNS), ["line_no"], report=V.augmented_manifest)
+    release_shuffles(rows.sparkSession)
+    sinks.write_tsv_by(judged.filter(F.col("output") == "FAIL_manifest"), os.path.join(output, "FAIL_manifest"),
+                       "manifest_no", fields, ["line_no", "check_no"], report=V.fail_list)
+    release_shuffles(rows.sparkSession)
 
 
 def redaction_job(spark: SparkSession, config: dict, cfg: PlanConfig | None = None) -> dict:

@@ -31,10 +31,10 @@ def ignored_objects(ignored: DataFrame, order_col: str | None = None) -> DataFra
     return ig.withColumn("structured_key", U.structured_key("gcs_object_url"))
 
 
-def attach_ignored(manifest: DataFrame, ignored_objs: DataFrame) -> DataFrame:
-    """``is_ignored`` and ``structured_key`` per manifest row.  A plain
+def attach_ignored(manifest: DataFrame, ignored_objs: DataFrame, *more: str) -> DataFrame:
+    """``is_ignored`` and ``structured_key`` (and the columns ``more``) per manifest row.  A plain
     left join: AQE turns it into a broadcast when the runtime size is small."""
-    ig = ignored_objs.select(F.col("gdc_uuid").alias("_ig_id"), "structured_key").withColumn("_ig", F.lit(True))
+    ig = ignored_objs.select(F.col("gdc_uuid").alias("_ig_id"), "structured_key", *more).withColumn("_ig", F.lit(True))
     return (manifest.join(ig, manifest["id"] == ig["_ig_id"], "left").drop("_ig_id")
             .withColumn("is_ignored", F.coalesce(F.col("_ig"), F.lit(False))).drop("_ig"))
 

@@ -24,7 +24,7 @@ from objsync.operators.inventory import dedupe_inventory, missing_buckets, restr
 from objsync.operators.projects import attach_projects, expected_buckets
 from objsync.operators.relational import row_slice, shuffle_position, union_last_wins, with_line_no
 from objsync.plans import aws, gs, index as I, index_table as T, redaction as RD, validation as V, verify as VF
-from objsync.session import app_id, ensure_checkpoint_dir
+from objsync.session import app_id, ensure_checkpoint_dir, release_shuffles
 from objsync.sources.fixtures import Fixtures
 from objsync.sources import readers
 from objsync.sources.readers import read_manifest
@@ -458,7 +458,8 @@ def q_validate_run(spark, d):
 def q_validation_reports(spark, d):
     """C4 and K1: the reports of three manifests, written at once and read back."""
     path = _folder(spark, "reports")
-    _validated_run(spark, d).write.parquet(os.path.join(path, "validated"))
+    _validated_run(spark, d).write.option("compression", "zstd").parquet(os.path.join(path, "validated"))
+    release_shuffles(spark)
     rows = spark.read.parquet(os.path.join(path, "validated"))
     write_validation_reports(rows, V.validate_counts(rows), path)
     out = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 
@@ -37,6 +38,13 @@ def app_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "app")
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Between the steps of a job: let Spark's cleaner drop the shuffle files of writes that are
+    done, of which it learns when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster's ``spark.checkpoint.dir``.
 

@@ -3,7 +3,7 @@ writes; nothing is collected to the driver."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,14 +49,18 @@ def write_tsv(df: DataFrame, path: str, fields: Sequence[str] | None = None, sor
     _tsv(out, mode).option("emptyValue", "").csv(path)
 
 
-def write_tsv_by(df: DataFrame, path: str, by: str, fields: Sequence[str], order: Sequence[str], mode: str = "overwrite") -> None:
-    """K1 for many reports in one write: a folder ``by=<value>`` per report,
-    its rows in ``order``.  Rows are spread by ranges of both, so a large report has many
-    files, whose names sort in row order, and small ones share a task."""
+def write_tsv_by(df: DataFrame, path: str, by: str, fields: Sequence[str], order: Sequence[str], mode: str = "overwrite",
+                 report: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """K1 for many reports in one write: a folder ``by=<value>`` per report, of gzipped
+    files, its rows in ``order``.  Rows are spread by ranges of both, so a large report has many
+    files, whose names sort in row order, and small ones share a task.  ``report`` makes the
+    report's rows of ``df``'s, each by itself, once these are spread by the columns that they have."""
     keys = [by, *[c for c in order if c != by]]
-    have = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in fields]
-    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    _tsv(_render(ranged.select(by, *have)), mode).option("emptyValue", "").partitionBy(by).csv(path)
+    rows = df.repartitionByRange(*[c for c in keys if c in df.columns])
+    rows = report(rows) if report else rows
+    have = [F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in fields]
+    rows = rows.sortWithinPartitions(*keys).select(by, *have)
+    _tsv(_render(rows), mode).option("emptyValue", "").option("compression", "gzip").partitionBy(by).csv(path)
 
 
 def write_dictionary(df: DataFrame, path: str, key: str, value: str, entries_per_file: int = 100_000, mode: str = "overwrite") -> None:

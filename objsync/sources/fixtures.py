@@ -17,6 +17,8 @@ from collections import OrderedDict
 
 from pyspark.sql import DataFrame, SparkSession
 
+from objsync.session import release_shuffles
+
 BASE_TABLES = ("orders", "documents", "pages")
 
 FIXTURES: "OrderedDict[str, str]" = OrderedDict()
@@ -240,7 +242,7 @@ class Fixtures:
             df = self.spark.sql(text, **{d: self.table(d) for d in _deps(text)})
             if self.materialize:
                 path = os.path.join(self._folder(), name)
-                df.write.mode("overwrite").parquet(path)
+                df.write.mode("overwrite").option("compression", "zstd").parquet(path)
                 df = self.spark.read.parquet(path)
         self._cache[name] = df
         return df
@@ -262,8 +264,9 @@ class Fixtures:
                 df = build()
                 if self.materialize:
                     path = os.path.join(self._folder(), name)
-                    df.write.mode("overwrite").parquet(path)
+                    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
                     df = self.spark.read.parquet(path)
+                    release_shuffles(self.spark)
                 self._cache[name] = df
             return self._cache[name]
 
