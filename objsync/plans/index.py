@@ -116,7 +116,7 @@ def url_class(url: Column) -> Column:
     return _class_and_odd(url)["cls"]
 
 
-def index_transitions(updates: DataFrame, cfg: PlanConfig, block: int = RUN_BLOCK) -> DataFrame:
+def index_transitions(updates: DataFrame, cfg: PlanConfig, block: int = RUN_BLOCK, partitions: int | None = None) -> DataFrame:
     """What all updates of a did amount to, whatever its record holds:
     ``(did, head, tracks, acl_first, acl_last, acl_single)``.
 
@@ -128,20 +128,23 @@ def index_transitions(updates: DataFrame, cfg: PlanConfig, block: int = RUN_BLOC
     meet the others, where only neighbouring blocks are compared.
 
     ``head`` is the first update; ``tracks`` has ``(at, url, cls, single)`` per
-    URL class, ``at`` being the line that began the last run.
+    URL class, ``at`` being the line that began the last run.  The result is dealt
+    by did, over ``partitions`` tasks where given.
     """
     acl_set = F.concat_ws(",", F.sort_array(F.array_distinct("acl_l")))
-    values = updates.select("did", "line_no", F.explode(F.array(
+    # dealt by did and block before an update becomes two values: it is shuffled once, the values of a did side by side
+    dealt = updates.select("did", "line_no", "url", "md5", "size", "acl", acl_set.alias("acl_set"), F.floor(F.col("line_no") / block).alias("block")).repartition("did", "block")
+    values = dealt.select("did", "line_no", "block", F.explode(F.array(
         F.struct(url_class(F.col("url")).alias("track"), F.col("url").alias("value"), F.col("md5").alias("more"), F.col("size").alias("size")),
-        F.struct(F.lit(_ACL).alias("track"), acl_set.alias("value"), F.col("acl").alias("more"), F.lit(None).cast("bigint").alias("size")))).alias("v")) \
-        .select("did", "line_no", "v.*", F.floor(F.col("line_no") / block).alias("block"))
+        F.struct(F.lit(_ACL).alias("track"), F.col("acl_set").alias("value"), F.col("acl").alias("more"), F.lit(None).cast("bigint").alias("size")))).alias("v")) \
+        .select("did", "line_no", "block", "v.*")
     by_block = Window.partitionBy("did", "track", "block").orderBy("line_no")
     point = F.struct("line_no", "value", "more", "size")
     starts = values.withColumn("before", F.lag("value").over(by_block)).filter(F.col("before").isNull() | (F.col("before") != F.col("value")))
     blocks = starts.groupBy("did", "track", "block").agg(F.count(F.lit(1)).alias("runs"), F.min(point).alias("first"), F.max(point).alias("last"))
     # one partitioning by did serves the comparison of blocks, the tracks and the records
     along = Window.partitionBy("did", "track").orderBy("block")
-    blocks = blocks.repartition("did").withColumn("before", F.lag("last.value").over(along))
+    blocks = (blocks.repartition(partitions, "did") if partitions else blocks.repartition("did")).withColumn("before", F.lag("last.value").over(along))
     edge = F.col("before").isNull() | (F.col("before") != F.col("first.value"))
     began = F.when(F.col("runs") > 1, F.col("last")).when(edge, F.col("first"))
     changes = F.col("runs") - 1 + F.when(edge & F.col("before").isNotNull(), 1).otherwise(0)
@@ -164,7 +167,7 @@ def _update_runs(up: DataFrame, namespace: str = "") -> DataFrame:
     before = F.lag(sig).over(Window.partitionBy("did").orderBy("line_no"))
     runs = up.withColumn("_prev", before).filter(F.col("_prev").isNull() | (F.col("_prev") != sig))
     return runs.groupBy("did").agg(F.sort_array(F.collect_list(
-        F.struct("line_no", "url", "acl_l", "authz_l", "md5", "size"))).alias("ups"))
+        F.struct("line_no", "url", A.acl_list("acl").alias("acl_l"), A.authz_list("acl", namespace).alias("authz_l"), "md5", "size"))).alias("ups"))
 
 
 def _fold(urls: Column, acl: Column, authz: Column, ups: Column) -> Column:
@@ -217,7 +220,7 @@ def _apply(rec: Column, tracks: Column, acl: Column, namespace: str) -> Column:
 
 
 def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_only: bool = False,
-                block: int = RUN_BLOCK) -> DataFrame:
+                block: int = RUN_BLOCK, partitions: int | None = None) -> DataFrame:
     """Apply updates to index records; several updates of one did count
     in ``line_no`` order.  Output: the merged index plus ``change`` in
     ``created | patched | unchanged | untouched``.
@@ -239,6 +242,9 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     ``untouched`` rows): the index is then the non-preserved side of a left
     join, which lets Spark's runtime Bloom filter prune the index scan when
     the update set is selective, instead of rewriting the whole index.
+
+    ``partitions``: over so many tasks both sides are dealt by did; without it
+    over as many as the session's shuffles have.
     """
     ups = updates.filter(F.col("valid") & F.col("url").isNotNull())
     api_url = F.concat(F.lit(cfg.data_api_url), F.col("did"))
@@ -248,11 +254,10 @@ def merge_index(index: DataFrame, updates: DataFrame, cfg: PlanConfig, changes_o
     also = ups.filter(_let(F.struct(_class_and_odd(F.col("url")).alias("new"), url_class(api_url).alias("api")),
                            lambda x: x["new"]["odd"] | (x["new"]["cls"] == x["api"]))).select("did")
     in_order = _update_runs(ups.join(several.unionByName(also), "did", "left_semi"), cfg.namespace())
-    grouped = index_transitions(ups, cfg, block).join(in_order, "did", "left")
-    if changes_only:
-        j = grouped.join(index.withColumn("_has_doc", F.lit(True)), "did", "left")
-    else:
-        j = index.withColumn("_has_doc", F.lit(True)).join(grouped, "did", "full_outer")
+    grouped = index_transitions(ups, cfg, block, partitions).join(in_order, "did", "left")
+    docs = index.withColumn("_has_doc", F.lit(True))
+    docs = docs.repartition(partitions, "did") if partitions else docs
+    j = grouped.join(docs, "did", "left") if changes_only else docs.join(grouped, "did", "full_outer")
     has_doc = F.coalesce(F.col("_has_doc"), F.lit(False))
     head, touched = F.col("head"), F.col("head").isNotNull()
     none = F.array().cast("array<string>")

@@ -12,7 +12,7 @@ from objsync import registry, sinks
 from objsync.config import SPECIAL_URL_BUCKET_PAIR, PlanConfig
 from objsync.functions import routing as R
 from objsync.functions import urls as U
-from objsync.plans import index as I, validation as V
+from objsync.plans import index as I, index_table as T, validation as V
 from objsync.sources.fixtures import Fixtures
 
 
@@ -155,3 +155,25 @@ def test_written_inputs_are_small(spark):
     f = Fixtures(spark, SF_SMALL)
     names = [n for n in os.listdir(re.sub("^file:", "", os.path.dirname(f["f_manifest"].inputFiles()[0]))) if n.startswith("part-")]
     assert names and all(n.endswith(".zstd.parquet") for n in names)
+
+
+def test_bucket_of_an_index_is_written_where_it_is_merged(spark, tmp_path):
+    """Tasks hold dids of one bucket, so that no second shuffle brings them together."""
+    cfg, path = PlanConfig(data_api_url="https://api/"), str(tmp_path / "idx")
+    dids = [f"d{i}" for i in range(300)] + [None]
+    idx = spark.createDataFrame([(d, [f"s3://p-open/{d}"], {f"s3://p-open/{d}": {}}, ["*"], ["/open"], {"md5": "m"}, 1) for d in dids], I.INDEX_SCHEMA)
+    rows = spark.createDataFrame([(n, d, "['phs1']", "m", 5, f"s3://p-controlled/{d}") for n, d in enumerate([*dids[::2], "new"])], "line_no bigint, id string, acl string, md5 string, size bigint, url string")
+    ups = I.index_updates(rows, cfg)
+    for buckets in (5, 16):
+        n = T._tasks(spark, buckets)
+        assert n % buckets == 0 and n >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        with _no_broadcast(spark):
+            merged = I.merge_index(idx, ups, cfg, partitions=n)
+            per_task = merged.groupBy(F.spark_partition_id()).agg(F.count_distinct(T.did_bucket(F.col("did"), buckets)).alias("n")).collect()
+            assert max(r.n for r in per_task) == 1 and len(per_task) > 1
+    T.create_index_table(idx, path, 16)
+    want = {(r.did, tuple(r.urls), tuple(r.acl)) for r in I.merge_index(idx, ups, cfg).collect()}
+    assert len(T.merge_into(spark, path, ups, cfg, 16)) == 16
+    assert {(r.did, tuple(r.urls), tuple(r.acl)) for r in T.read_index_table(spark, path).collect()} == want
+    names = [n for _, _, files in os.walk(path) for n in files if n.startswith("part-")]
+    assert len(names) <= T._tasks(spark, 16) and all(n.endswith(".zstd.parquet") for n in names)
